@@ -221,7 +221,7 @@ def oracle_sql() -> dict[str, str]:
         "resolve_events": q("select * from winners", TYPED, WIN),
         "mark_cohorts": q("select year, cohortID, disturbance_type_id from marked", TYPED, WIN, MARKED),
         "cohort_groups": q("select cohortID, row_idx from d1k", C1, D1G, D1K),
-        "group_census": q("""select year, count(*) as n_groups, max(row_idx) as max_row_idx, sum(n) as n_cohorts,
+        "group_census": q("""select year, count(*) as n_groups, max(row_idx) as max_row_idx, cast(sum(n) as bigint) as n_cohorts,
             max(n) as max_group_cohorts from (select year, row_idx, count(*) as n from f_key group by year, row_idx) t
             group by year"""),
         "disturbed_with_state": q("select year, cohortID, row_idx_prev, disturbance_type_id, age, delay, Merch "
