@@ -137,6 +137,7 @@ def apply_split_to_key(key: DataFrame, split: Split, by: Sequence[str] = ()) ->
     key joins the (small) pair table, never a cohort-level table."""
     by = list(by)
     p = split.pairs.withColumnRenamed("row_idx", "__new")
+    key = key.drop("row_idx_prev")
     k = key.withColumn("row_idx_prev", F.col("row_idx"))
     out = k.join(p, [*by, "row_idx_prev", "disturbance_type_id"], "left")
     return out.withColumn("row_idx", F.coalesce(F.col("__new"), F.col("row_idx"))).drop("__new").select(

@@ -52,7 +52,7 @@ def annual_increments(state: DataFrame, gcmeta: DataFrame, increments: DataFrame
     if classifiers is None:
         classifiers = shared_classifiers(state, gcmeta, exclude=(*ID_COLUMNS, "gcID", "sw", age_col))
     keys = list(dict.fromkeys([c for c in ("admin_name", "eco_id") if c in state.columns] + list(classifiers)))
-    meta = gcmeta.select(*keys, "gcID")
+    meta = gcmeta.select(*keys, *([] if "gcID" in keys else ["gcID"]))
     s = state.drop("gcID") if "gcID" in state.columns and "gcID" not in keys else state
     s = null_safe_join(s, meta, keys, "inner")
     return increments_at_age(s, increments, age_col)

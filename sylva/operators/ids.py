@@ -2,9 +2,9 @@
 
 A global ``row_number()`` window would run on one task. Instead the table is range-
 partitioned and sorted (``orderBy``), every row gets its partition and position from
-``monotonically_increasing_id``, the tagged table is checkpointed (range boundaries are
-sampled, so it must not be computed twice), and a per-partition count table -- one row per
-(partition, by-value), tiny -- gives each partition its offset."""
+``monotonically_increasing_id``, the tagged table is written once to the shared folder
+(range boundaries are sampled, so it must not be computed twice), and a per-partition
+count table -- one row per (partition, by-value), tiny -- gives each partition its offset."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sylva.session import ensure_checkpoint_dir
+from sylva.session import materialize
 
 _POS_BITS = 33
 
@@ -26,16 +26,14 @@ def number_groups(groups: DataFrame, order_cols: Sequence[str], start: int | str
     (constant within a ``by`` value)."""
     order_cols = list(order_cols)
     by = list(by)
-    spark = groups.sparkSession
-    ensure_checkpoint_dir(spark)
     tagged = (
         groups.orderBy(*[F.col(c).asc_nulls_first() for c in by + order_cols])
         .withColumn("__tag", F.monotonically_increasing_id())
         .withColumn("__pid", F.shiftright(F.col("__tag"), _POS_BITS))
         .withColumn("__pos", F.col("__tag").bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
         .drop("__tag")
-        .checkpoint(eager=True)
     )
+    tagged = materialize(tagged, "group-ids")
     counts = tagged.groupBy(*by, "__pid").agg(F.count(F.lit(1)).alias("__n"), F.min("__pos").alias("__p0"))
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     if by:

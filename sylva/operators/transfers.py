@@ -25,15 +25,26 @@ def _by(df: DataFrame, by: Sequence[str]) -> list[str]:
     return [c for c in by if c in df.columns]
 
 
+def _matrix(matrix: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Matrix rows keyed by ``keys`` + pool. A model matrix (keyed by type or process, a
+    fixed-size dimension) is broadcast; a per-group matrix (keyed by row_idx, e.g. decay
+    rates) grows with the groups and is left to the planner (shuffle join unless AQE sees
+    it is small)."""
+    m = matrix.select(*[F.col(k) for k in keys], F.col("source").alias("pool"), "sink",
+                      F.col("proportion").cast("double"))
+    return m if "row_idx" in keys else F.broadcast(m)
+
+
 def apply_transfers(long_pools: DataFrame, matrix: DataFrame, selector: str = "disturbance_type_id",
                     by: Sequence[str] = ("year",)) -> DataFrame:
     """H6: new[sink] = sum over sources of pool[source] x proportion, with the matrix chosen
-    per row by ``selector``. A source absent from the row's matrix keeps its carbon; every
-    input pool stays present (0 when emptied). Output (by..., row_idx, pool, value)."""
+    per row by ``selector`` (a type column, or ``row_idx`` for per-group matrices). A
+    source absent from the row's matrix keeps its carbon; every input pool stays present
+    (0 when emptied). Output (by..., row_idx, pool, value)."""
     by = _by(long_pools, by)
-    m = F.broadcast(matrix.select(F.col(selector), F.col("source").alias("pool"), "sink",
-                                  F.col("proportion").cast("double")))
-    j = long_pools.join(m, [selector, "pool"], "left")
+    keys = [selector, *[c for c in by if c in matrix.columns and c != selector]]
+    m = _matrix(matrix, keys)
+    j = long_pools.join(m, [*keys, "pool"], "left")
     moved = j.select(*by, "row_idx", F.coalesce(F.col("sink"), F.col("pool")).alias("pool"),
                      (F.col("value") * F.coalesce(F.col("proportion"), F.lit(1.0))).alias("value"))
     keep = long_pools.select(*by, "row_idx", "pool", F.lit(0.0).alias("value"))
@@ -45,10 +56,10 @@ def transfer_flux(long_pools: DataFrame, matrix: DataFrame, flux_map: DataFrame,
     """H7: carbon that moved (source != sink), rolled up to named flux columns by a
     (source, sink, flux) mapping. Output (by..., row_idx, flux, value)."""
     by = _by(long_pools, by)
-    m = F.broadcast(matrix.where(F.col("source") != F.col("sink")).select(
-        F.col(selector), F.col("source").alias("pool"), "sink", F.col("proportion").cast("double")))
+    keys = [selector, *[c for c in by if c in matrix.columns and c != selector]]
+    m = _matrix(matrix.where(F.col("source") != F.col("sink")), keys)
     fmap = F.broadcast(flux_map.select(F.col("source").alias("pool"), "sink", "flux"))
-    moved = long_pools.join(m, [selector, "pool"], "inner").join(fmap, ["pool", "sink"], "inner")
+    moved = long_pools.join(m, [*keys, "pool"], "inner").join(fmap, ["pool", "sink"], "inner")
     return (moved.groupBy(*by, "row_idx", "flux")
             .agg(strict_sum(F.col("value") * F.col("proportion")).alias("value")))
 
@@ -151,6 +162,19 @@ def root_split(pools: DataFrame, sw_hw: str, hw_a, hw_b, sw_a, frp_a, frp_b, frp
             .withColumn("coarse_roots", F.col("total_root") * (F.lit(1.0) - F.col("fine_share"))))
 
 
+def decay_matrix(rates: DataFrame, sinks: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Per-group decay transfers from H3 rates: (by..., row_idx, pool, decay_rate) and the
+    destinations of decayed carbon (pool, sink, share) give rows (row_idx, source, sink,
+    proportion): rate x share to each sink and 1 - rate staying in the pool."""
+    by = _by(rates, by)
+    r = rates.select(*by, "row_idx", F.col("pool").alias("source"), "decay_rate")
+    out = r.join(F.broadcast(sinks.select(F.col("pool").alias("source"), "sink", "share")), "source", "inner").select(
+        *by, "row_idx", "source", "sink", (F.col("decay_rate") * F.col("share")).alias("proportion"))
+    stay = r.select(*by, "row_idx", "source", F.col("source").alias("sink"),
+                    (F.lit(1.0) - F.col("decay_rate")).alias("proportion"))
+    return out.unionByName(stay)
+
+
 def pools_wide(long_pools: DataFrame, names: Sequence[str], by: Sequence[str] = ("year",)) -> DataFrame:
     """Long -> wide with the pool list given (``pivot`` with values: no extra job)."""
     by = _by(long_pools, by)
@@ -158,50 +182,96 @@ def pools_wide(long_pools: DataFrame, names: Sequence[str], by: Sequence[str] =
 
 
 def advance_year(pools: DataFrame, parameters: DataFrame, disturbance_matrix: DataFrame,
-                 dom_turnover: DataFrame, bio_turnover: DataFrame, decay_matrix: DataFrame,
-                 slow_rate: float = fm.SLOW_MIXING_RATE, by: Sequence[str] = ()) -> DataFrame:
+                 dom_turnover: DataFrame | None = None, bio_turnover: DataFrame | None = None,
+                 decay: DataFrame | None = None, flux_map: DataFrame | None = None,
+                 slow_rate: float | None = fm.SLOW_MIXING_RATE,
+                 slow_pools: tuple[str, str] = ("AboveGroundSlowSoil", "BelowGroundSlowSoil"),
+                 pool_names: Sequence[str] | None = None, by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """One year over all groups, in the documented order: disturbance, half growth,
     dead-matter turnover, biomass turnover, overmature decline, half growth, decay, slow
-    mixing. ``parameters``: (row_idx, disturbance_type, three increments); matrices:
-    disturbance (disturbance_type_id, source, sink, proportion), turnovers and decay
-    (source, sink, proportion; decay proportions already a_k per pool). Returns wide
-    pools with every pool that appears. Lineage grows with each step; callers write the
-    result (a snapshot) before the next year."""
+    mixing.
+
+    ``parameters``: (row_idx, disturbance_type, three increments). Matrices: disturbance
+    (disturbance_type_id, source, sink, proportion); turnovers (source, sink, proportion);
+    decay either the same shape or per group (row_idx, source, sink, proportion; see
+    ``decay_matrix``). ``flux_map`` (process, source, sink, flux) names the carbon moved by
+    each process; growth adds ``DeltaBiomass_AG``.
+
+    Every step is a broadcast join with its (small) matrix and an aggregation by group;
+    all groups move through each step together. Returns (wide pools, long flux
+    (by..., row_idx, flux, value)). Lineage grows with each step: callers write the result
+    (the year's snapshot) before the next year."""
     by = list(by)
-    names = [c for c in pools.columns if c not in (*by, "row_idx")]
+    names = list(pool_names) if pool_names is not None else _pool_names(
+        [c for c in pools.columns if c not in (*by, "row_idx")],
+        [m for m in (disturbance_matrix, dom_turnover, bio_turnover, decay) if m is not None and "row_idx" not in m.columns],
+        slow_pools if slow_rate else ())
+    w = pools
+    for n in names:
+        if n not in w.columns:
+            w = w.withColumn(n, F.lit(0.0))
+    fluxes: list[DataFrame] = []
     sel = parameters.select(*_by(parameters, by), "row_idx",
                             F.coalesce(F.col("disturbance_type"), F.lit(0)).alias("disturbance_type_id"))
-    lp = pools_long(pools, names, by).join(sel, [*_by(parameters, by), "row_idx"], "left")
-    lp = apply_transfers(lp, disturbance_matrix, "disturbance_type_id", by)
-    all_names = _pool_names(names, disturbance_matrix, dom_turnover, bio_turnover, decay_matrix)
-    wide = pools_wide(lp, all_names, by).fillna(0.0, subset=all_names)
-    wide = half_growth(wide, parameters, by)
-
-    def step(w, matrix):
-        lp2 = pools_long(w, all_names, by).withColumn("__sel", F.lit(0))
-        m = matrix.withColumn("__sel", F.lit(0))
-        return pools_wide(apply_transfers(lp2, m, "__sel", by), all_names, by)
-
-    wide = step(wide, dom_turnover)
-    wide = step(wide, bio_turnover)
-    wide = pools_wide(overmature_decline(wide, parameters, bio_turnover, by), all_names, by).fillna(0.0)
-    wide = half_growth(wide, parameters, by)
-    wide = step(wide, decay_matrix)
-    lp3 = slow_mixing(pools_long(wide, all_names, by), slow_rate, by=by)
-    return pools_wide(lp3, all_names, by).fillna(0.0)
-
-
-def _pool_names(names, *matrices: DataFrame) -> list[str]:
+
+    def transfer(wide: DataFrame, matrix: DataFrame, process: str, selector: str | None = None) -> DataFrame:
+        lp = pools_long(wide, names, by)
+        if selector is None:
+            selector = "row_idx" if "row_idx" in matrix.columns else "__sel"
+        if selector == "__sel":
+            lp, matrix = lp.withColumn("__sel", F.lit(0)), matrix.withColumn("__sel", F.lit(0))
+        elif selector == "disturbance_type_id":
+            lp = lp.join(sel, [*_by(parameters, by), "row_idx"], "left").fillna(0, subset=[selector])
+        if flux_map is not None:
+            fm_p = flux_map.where(F.col("process") == process)
+            fluxes.append(transfer_flux(lp, matrix, fm_p, selector, by))
+        return pools_wide(apply_transfers(lp, matrix, selector, by), names, by).fillna(0.0, subset=names)
+
+    def grow(wide: DataFrame) -> DataFrame:
+        before = wide
+        out = half_growth(wide, parameters, by)
+        if flux_map is not None:
+            g = out.select(*_by(out, by), "row_idx", *[F.col(p).alias(f"__{p}") for p, _ in BIOMASS_INCREMENTS])
+            d = before.join(g, [*_by(before, by), "row_idx"], "inner")
+            delta = sum((F.col(f"__{p}") - F.col(p) for p, _ in BIOMASS_INCREMENTS), F.lit(0.0))
+            fluxes.append(d.select(*_by(d, by), "row_idx", F.lit("DeltaBiomass_AG").alias("flux"),
+                                   delta.alias("value")))
+        return out
+
+    w = transfer(w, disturbance_matrix, "disturbance", "disturbance_type_id")
+    w = grow(w)
+    if dom_turnover is not None:
+        w = transfer(w, dom_turnover, "dom_turnover")
+    if bio_turnover is not None:
+        w = transfer(w, bio_turnover, "bio_turnover")
+        w = pools_wide(overmature_decline(w, parameters, bio_turnover, by), names, by).fillna(0.0, subset=names)
+    w = grow(w)
+    if decay is not None:
+        w = transfer(w, decay, "decay")
+    if slow_rate and slow_pools[0] in names:
+        w = pools_wide(slow_mixing(pools_long(w, names, by), slow_rate, slow_pools[0], slow_pools[1], by),
+                       names, by).fillna(0.0, subset=names)
+    flux = None
+    for f in fluxes:
+        flux = f if flux is None else flux.unionByName(f)
+    if flux is not None:
+        flux = flux.groupBy(*by, "row_idx", "flux").agg(F.sum("value").alias("value"))
+    return w.select(*by, "row_idx", *names), flux
+
+
+def _pool_names(names, matrices, extra=()) -> list[str]:
+    """Pools named by the input and by the model matrices (a model dimension: a few
+    hundred rows at most, so their distinct names are read on the driver)."""
     out = list(names)
     for p, _ in BIOMASS_INCREMENTS:
         if p not in out:
             out.append(p)
     for m in matrices:
-        for r in m.select("source", "sink").distinct().collect():  # matrix rows: a model dimension
+        for r in m.select("source", "sink").distinct().collect():
             for p in (r[0], r[1]):
                 if p not in out:
                     out.append(p)
-    for p in ("AboveGroundSlowSoil", "BelowGroundSlowSoil"):
+    for p in extra:
         if p not in out:
             out.append(p)
     return out

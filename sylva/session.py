@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -23,6 +24,9 @@ def get_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # a union of two hash-partitioned inputs would otherwise zip their partitions,
+        # which fails when AQE coalesced the two inputs differently (Spark 4.1)
+        .config("spark.sql.unionOutputPartitioning", "false")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -60,9 +64,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     _checkpoint_root(spark)
 
 
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` to a fresh folder under the shared checkpoint folder
+    and reading it back. Unlike ``checkpoint()`` on an uncached plan, the plan runs once;
+    unlike caching, the result survives the loss of an executor."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+@contextmanager
+def conf(spark: SparkSession, **settings):
+    """Set session settings for a block and restore them afterwards
+    (``conf(spark, **{"spark.sql.x": "v"})``)."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield spark
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+SAFE_UNION = {"spark.sql.unionOutputPartitioning": "false"}
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for local-only bookkeeping in tests."""
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["get_session", "shared_dir", "ensure_checkpoint_dir", "local_path"]
+__all__ = ["get_session", "shared_dir", "ensure_checkpoint_dir", "materialize", "local_path"]
