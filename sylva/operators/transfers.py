@@ -204,7 +204,7 @@ def advance_year(pools: DataFrame, parameters: DataFrame, disturbance_matrix: Da
     by = list(by)
     names = list(pool_names) if pool_names is not None else _pool_names(
         [c for c in pools.columns if c not in (*by, "row_idx")],
-        [m for m in (disturbance_matrix, dom_turnover, bio_turnover, decay) if m is not None and "row_idx" not in m.columns],
+        [m for m in (disturbance_matrix, dom_turnover, bio_turnover, decay) if m is not None],
         slow_pools if slow_rate else ())
     w = pools
     for n in names:
@@ -260,8 +260,10 @@ def advance_year(pools: DataFrame, parameters: DataFrame, disturbance_matrix: Da
 
 
 def _pool_names(names, matrices, extra=()) -> list[str]:
-    """Pools named by the input and by the model matrices (a model dimension: a few
-    hundred rows at most, so their distinct names are read on the driver)."""
+    """Pools named by the input and by the matrices. The distinct (source, sink) pairs are
+    at most pools x pools, whatever the number of groups, so they are read on the driver
+    (a partial aggregation, even for per-group matrices). Every pool a transfer can reach
+    must be listed: the pivot back to wide keeps only listed pools."""
     out = list(names)
     for p, _ in BIOMASS_INCREMENTS:
         if p not in out:

@@ -213,7 +213,7 @@ def _run_years(spark, inputs, model, start, end, initial, root, opts, save_spinu
     if model.pool_names is None:  # fix the pool list once per run (no per-year driver reads)
         pool_cols = [c for c in initial.pools.columns if c != "row_idx"]
         mats = [m for m in (model.disturbance_matrix, model.dom_turnover, model.bio_turnover, model.decay)
-                if m is not None and "row_idx" not in m.columns]
+                if m is not None]
         slow = ("AboveGroundSlowSoil", "BelowGroundSlowSoil") if model.slow_rate else ()
         model = replace(model, pool_names=tuple(tr._pool_names(pool_cols, mats, slow)))
     if save_spinup:

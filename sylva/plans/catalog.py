@@ -21,6 +21,7 @@ from sylva.session import shared_dir
 from sylva.sources import snapshots as sn
 from sylva.sources.fixtures import Fixtures
 from sylva.sources.schema import shared_classifiers
+from sylva.streaming.events import ingest_events
 
 Y = ("year",)
 # Test coefficients for the formula queries (dyadic where they are summed).
@@ -321,6 +322,31 @@ def q_age_panel(spark, d):
     return ev.age_panel(_winners(fx), end, cohorts=fx.cohort, delay_col="delayRegen")
 
 
+def advance_year_inputs(fx: Fixtures):
+    """Pools panel, parameters (type + increments) and per-group decay matrix for H11."""
+    params = _group_types(_state_increments(fx)).withColumnRenamed("disturbance_type_id", "disturbance_type")
+    lp = rp.pools_long(fx.pools, None, Y)
+    rates = tr.decay_rates(lp, fx.pools, _group_units(fx), _units(fx), fx.decay, STAND_MAX_BIO, STAND_MAX_R, Y)
+    decay = tr.decay_matrix(rates.select("year", "row_idx", "pool", "decay_rate"), fx.decay_sinks, Y)
+    return params, decay
+
+
+def q_advance_year(spark, d):
+    fx = Fixtures(spark, d)
+    params, decay = advance_year_inputs(fx)
+    pools, _ = tr.advance_year(fx.pools, params, fx.matrix, None, fx.turnover, decay, fx.process_flux,
+                               by=Y)
+    names = [c for c in pools.columns if c not in ("year", "row_idx")]
+    return rp.pools_long(pools, names, Y)
+
+
+def q_ingest_events(spark, d):
+    fx = Fixtures(spark, d)
+    table = shared_dir(spark, "events-table")
+    return ingest_events(spark, fx.sf_dir, table, schema=fx.raw("events").schema,
+                         transform=Fixtures.events_from_raw, glob_filter="events.parquet")
+
+
 def q_orphans(spark, d):
     fx = Fixtures(spark, d)
     return qa.orphans(fx.stand, fx.cohort, fx.events, fx.distmeta, fx.gcmeta)
@@ -421,6 +447,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "total_carbon_by_stand": q_total_carbon_by_stand,
     "age_panel": q_age_panel,
     "orphans": q_orphans,
+    "ingest_events": q_ingest_events,
+    "advance_year": q_advance_year,
     "temp_modifier": q_temp_modifier,
     "stand_modifier": q_stand_modifier,
     "decay_rates": q_decay_rates,

@@ -276,6 +276,7 @@ def oracle_sql() -> dict[str, str]:
             group by k.year, k.pixelIndex"""),
         "age_panel": _age_panel(),
         "orphans": _orphans(),
+        "ingest_events": q("select pixelIndex, year, eventID from f_events"),
         "temp_modifier": q(f"select year, row_idx, pool, round(temp_mod, {DIGITS}) as temp_mod from tm", LP, GU, TM),
         "stand_modifier": q(f"select year, row_idx, round(stand_mod, {DIGITS}) as stand_mod from sm", SM),
         "decay_rates": q(f"""select tm.year, tm.row_idx, tm.pool, round(tm.base_rate * tm.temp_mod * sm.stand_mod,

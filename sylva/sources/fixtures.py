@@ -87,7 +87,11 @@ class Fixtures:
 
     @cached_property
     def events(self) -> DataFrame:
-        e = self.raw("events")
+        return self.events_from_raw(self.raw("events"))
+
+    @staticmethod
+    def events_from_raw(e: DataFrame) -> DataFrame:
+        """Raw event rows -> (pixelIndex, year, eventID); works on batch and stream frames."""
         et = F.col("event_type")
         return e.select(
             F.col("user_id").alias("pixelIndex"),
@@ -205,6 +209,24 @@ class Fixtures:
                 ("Merch", "Products", "DisturbanceSoftProduction"), ("Merch", "StemSnags", "DisturbanceMerchToSnags"),
                 ("Foliage", "StemSnags", "DisturbanceFoliageToSnags")]
 
+    DECAY_SINKS = [("StemSnags", "CO2", 0.75), ("StemSnags", "MediumSoil", 0.25),
+                   ("MediumSoil", "CO2", 1.0)]
+    PROCESS_FLUX = [("disturbance", "Merch", "CO2", "DisturbanceBioCO2Emission"),
+                    ("disturbance", "Foliage", "CO2", "DisturbanceBioCO2Emission"),
+                    ("disturbance", "Merch", "Products", "DisturbanceSoftProduction"),
+                    ("decay", "StemSnags", "CO2", "DecayDOMCO2Emission"),
+                    ("decay", "MediumSoil", "CO2", "DecayDOMCO2Emission"),
+                    ("bio_turnover", "Merch", "StemSnags", "TurnoverMerchLitterInput"),
+                    ("bio_turnover", "Foliage", "AboveGroundVeryFastSoil", "TurnoverFolLitterInput")]
+
+    @cached_property
+    def decay_sinks(self) -> DataFrame:
+        return self._values(self.DECAY_SINKS, "pool string, sink string, share double")
+
+    @cached_property
+    def process_flux(self) -> DataFrame:
+        return self._values(self.PROCESS_FLUX, "process string, source string, sink string, flux string")
+
     @cached_property
     def species(self) -> DataFrame:
         return self._values(self.SPECIES, "species_id int, species_name string")

@@ -70,7 +70,8 @@ def save_years(initial: int | None, interval: int, end: int, spinup: bool = Fals
 def save_years_frame(spark: SparkSession, initial: int, interval: int, end: int, spinup: bool = False) -> DataFrame:
     """A6 as a DataFrame (``sequence`` + ``explode``), for joining against panels."""
     df = spark.range(1).select(F.explode(F.sequence(F.lit(int(initial)), F.lit(int(end)),
-                                                    F.lit(int(interval)))).cast("int").alias("year"))
+                                                    F.lit(int(interval)))).alias("year"))
+    df = df.select(F.col("year").cast("int").alias("year"))
     if spinup:
         df = spark.range(1).select(F.lit(0).alias("year")).unionByName(df)
     return df
