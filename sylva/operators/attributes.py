@@ -77,7 +77,7 @@ def default_sw_hw(state: DataFrame, parameters: DataFrame) -> DataFrame:
                .join(parameters.select("row_idx", *incs), "row_idx", "inner")
                .where(" or ".join(f"coalesce({c}, 0) != 0" for c in incs)))
         if bad.limit(1).count() > 0:
-            raise ValueError("Cohorts with increments != 0 must have the cbm_vars$state$sw_hw flag set")
+            raise ValueError("Groups with increments != 0 must have the state sw_hw flag set")
     return state.withColumn("sw_hw", F.coalesce(F.col("sw_hw"), F.lit(0)).cast("int"))
 
 
