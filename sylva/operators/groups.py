@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sylva.functions.columns import null_safe_join, typed_null
 from sylva.operators.ids import number_groups
+from sylva.session import materialize
 from sylva.sources.schema import ID_COLUMNS
 
 log = logging.getLogger(__name__)
@@ -110,6 +111,9 @@ def split_disturbed(key: DataFrame, state: DataFrame, pools: DataFrame, classifi
                                 *[c for c in cols if c in pools.columns and c not in state.columns])
     attrs = (pairs.join(s, ["row_idx_prev", *[c for c in by if c in state.columns]], "inner")
              .join(p, ["row_idx_prev", *[c for c in by if c in pools.columns]], "inner"))
+    # one row per (previous group, type): small, and read twice below (grouping and the
+    # pair -> new id mapping), so it is written once instead of recomputing the key
+    attrs = materialize(attrs, "split-pairs")
     gkeys = ["disturbance_type_id", *cols]
     new = attrs.groupBy(*by, *gkeys).agg(
         F.min("__first").alias("__first"),

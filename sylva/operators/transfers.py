@@ -25,30 +25,35 @@ def _by(df: DataFrame, by: Sequence[str]) -> list[str]:
     return [c for c in by if c in df.columns]
 
 
-def _matrix(matrix: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _matrix(matrix: DataFrame, keys: Sequence[str], zero_self: bool = False) -> DataFrame:
     """Matrix rows keyed by ``keys`` + pool. A model matrix (keyed by type or process, a
     fixed-size dimension) is broadcast; a per-group matrix (keyed by row_idx, e.g. decay
     rates) grows with the groups and is left to the planner (shuffle join unless AQE sees
-    it is small)."""
+    it is small). ``zero_self`` adds a 0-proportion self row for every source, so a pool
+    that is emptied still appears in the output without reading the pools a second time."""
     m = matrix.select(*[F.col(k) for k in keys], F.col("source").alias("pool"), "sink",
                       F.col("proportion").cast("double"))
+    if zero_self:
+        zero = matrix.select(*[F.col(k) for k in keys], F.col("source").alias("pool")).distinct()
+        m = m.unionByName(zero.select(*keys, "pool", F.col("pool").alias("sink"), F.lit(0.0).alias("proportion")))
     return m if "row_idx" in keys else F.broadcast(m)
 
 
 def apply_transfers(long_pools: DataFrame, matrix: DataFrame, selector: str = "disturbance_type_id",
-                    by: Sequence[str] = ("year",)) -> DataFrame:
+                    by: Sequence[str] = ("year",), carry: Sequence[str] = ()) -> DataFrame:
     """H6: new[sink] = sum over sources of pool[source] x proportion, with the matrix chosen
     per row by ``selector`` (a type column, or ``row_idx`` for per-group matrices). A
     source absent from the row's matrix keeps its carbon; every input pool stays present
-    (0 when emptied). Output (by..., row_idx, pool, value)."""
+    (0 when emptied). Output (by..., row_idx, [carry...,] pool, value); ``carry`` columns
+    are per-group values kept through the step (they ride along as grouping keys)."""
     by = _by(long_pools, by)
+    carry = [c for c in carry if c != selector] + ([selector] if selector in carry else [])
     keys = [selector, *[c for c in by if c in matrix.columns and c != selector]]
-    m = _matrix(matrix, keys)
+    m = _matrix(matrix, keys, zero_self=True)
     j = long_pools.join(m, [*keys, "pool"], "left")
-    moved = j.select(*by, "row_idx", F.coalesce(F.col("sink"), F.col("pool")).alias("pool"),
+    moved = j.select(*by, "row_idx", *carry, F.coalesce(F.col("sink"), F.col("pool")).alias("pool"),
                      (F.col("value") * F.coalesce(F.col("proportion"), F.lit(1.0))).alias("value"))
-    keep = long_pools.select(*by, "row_idx", "pool", F.lit(0.0).alias("value"))
-    return moved.unionByName(keep).groupBy(*by, "row_idx", "pool").agg(strict_sum("value").alias("value"))
+    return moved.groupBy(*by, "row_idx", *carry, "pool").agg(strict_sum("value").alias("value"))
 
 
 def transfer_flux(long_pools: DataFrame, matrix: DataFrame, flux_map: DataFrame,
@@ -197,10 +202,11 @@ def advance_year(pools: DataFrame, parameters: DataFrame, disturbance_matrix: Da
     ``decay_matrix``). ``flux_map`` (process, source, sink, flux) names the carbon moved by
     each process; growth adds ``DeltaBiomass_AG``.
 
-    Every step is a broadcast join with its (small) matrix and an aggregation by group;
-    all groups move through each step together. Returns (wide pools, long flux
-    (by..., row_idx, flux, value)). Lineage grows with each step: callers write the result
-    (the year's snapshot) before the next year."""
+    The year runs on long pools (by..., row_idx, pool, value). The group's parameters are
+    joined once and carried through every step as grouping keys, so each step is one
+    broadcast join with its matrix and one aggregation, growth is a column expression, and
+    the pivot back to wide happens once at the end. Returns (wide pools, long flux
+    (by..., row_idx, flux, value)). Callers write the result before the next year."""
     by = list(by)
     names = list(pool_names) if pool_names is not None else _pool_names(
         [c for c in pools.columns if c not in (*by, "row_idx")],
@@ -210,53 +216,78 @@ def advance_year(pools: DataFrame, parameters: DataFrame, disturbance_matrix: Da
     for n in names:
         if n not in w.columns:
             w = w.withColumn(n, F.lit(0.0))
+    inc_cols = [c for _, c in BIOMASS_INCREMENTS]
+    by_par = _by(parameters, by)
+    par = parameters.select(*by_par, "row_idx",
+                            F.coalesce(F.col("disturbance_type"), F.lit(0)).cast("int").alias("disturbance_type_id"),
+                            *[F.col(c).cast("double").alias(c) for c in inc_cols])
+    carry = ["disturbance_type_id", *inc_cols]
+    lp = pools_long(w, names, by).join(par, [*by_par, "row_idx"], "left").fillna(0, subset=["disturbance_type_id"])
     fluxes: list[DataFrame] = []
-    sel = parameters.select(*_by(parameters, by), "row_idx",
-                            F.coalesce(F.col("disturbance_type"), F.lit(0)).alias("disturbance_type_id"))
 
-    def transfer(wide: DataFrame, matrix: DataFrame, process: str, selector: str | None = None) -> DataFrame:
-        lp = pools_long(wide, names, by)
+    def transfer(lp: DataFrame, matrix: DataFrame, process: str, selector: str | None = None) -> DataFrame:
         if selector is None:
             selector = "row_idx" if "row_idx" in matrix.columns else "__sel"
         if selector == "__sel":
             lp, matrix = lp.withColumn("__sel", F.lit(0)), matrix.withColumn("__sel", F.lit(0))
-        elif selector == "disturbance_type_id":
-            lp = lp.join(sel, [*_by(parameters, by), "row_idx"], "left").fillna(0, subset=[selector])
         if flux_map is not None:
-            fm_p = flux_map.where(F.col("process") == process)
-            fluxes.append(transfer_flux(lp, matrix, fm_p, selector, by))
-        return pools_wide(apply_transfers(lp, matrix, selector, by), names, by).fillna(0.0, subset=names)
-
-    def grow(wide: DataFrame) -> DataFrame:
-        before = wide
-        out = half_growth(wide, parameters, by)
-        if flux_map is not None:
-            g = out.select(*_by(out, by), "row_idx", *[F.col(p).alias(f"__{p}") for p, _ in BIOMASS_INCREMENTS])
-            d = before.join(g, [*_by(before, by), "row_idx"], "inner")
-            delta = sum((F.col(f"__{p}") - F.col(p) for p, _ in BIOMASS_INCREMENTS), F.lit(0.0))
-            fluxes.append(d.select(*_by(d, by), "row_idx", F.lit("DeltaBiomass_AG").alias("flux"),
-                                   delta.alias("value")))
+            fluxes.append(transfer_flux(lp, matrix, flux_map.where(F.col("process") == process), selector, by))
+        out = apply_transfers(lp, matrix, selector, by, carry=carry)
         return out
 
-    w = transfer(w, disturbance_matrix, "disturbance", "disturbance_type_id")
-    w = grow(w)
+    def grow(lp: DataFrame) -> DataFrame:
+        add = F.lit(0.0)
+        for pool, c in BIOMASS_INCREMENTS:
+            add = F.when(F.col("pool") == pool, _growth(F.col(c))).otherwise(add)
+        if flux_map is not None:
+            total = sum((_growth(F.col(c)) for c in inc_cols), F.lit(0.0))
+            one = lp.where(F.col("pool") == names[0])  # one row per group
+            fluxes.append(one.select(*_by(lp, by), "row_idx", F.lit("DeltaBiomass_AG").alias("flux"),
+                                     total.alias("value")))
+        return lp.withColumn("value", F.col("value") + add)
+
+    def decline(lp: DataFrame, turnover: DataFrame) -> DataFrame:
+        # each row emits itself minus its loss and the loss split over the turnover sinks:
+        # one explode per row (the pools are read once), sinks from a per-source list of
+        # the turnover matrix (a model dimension, broadcast)
+        loss = F.lit(0.0)
+        for pool, c in BIOMASS_INCREMENTS:
+            loss = F.when(F.col("pool") == pool, F.when(F.col(c) < 0, -F.col(c)).otherwise(F.lit(0.0))).otherwise(loss)
+        b = _by(lp, by)
+        sinks = turnover.groupBy(F.col("source").alias("pool")).agg(
+            F.collect_list(F.struct(F.col("sink").alias("p"), F.col("proportion").cast("double").alias("q")))
+            .alias("__sinks"))
+        j = lp.join(F.broadcast(sinks), "pool", "left").withColumn("__loss", loss)
+        own = F.array(F.struct(F.col("pool").alias("p"), (F.col("value") - F.col("__loss")).alias("q")))
+        moved = F.transform(F.coalesce(F.col("__sinks"), F.expr("array()")),
+                            lambda x: F.struct(x["p"].alias("p"), (F.col("__loss") * x["q"]).alias("q")))
+        rows = j.select(*b, "row_idx", *carry, F.explode(F.concat(own, moved)).alias("__i")).select(
+            *b, "row_idx", *carry, F.col("__i.p").alias("pool"), F.col("__i.q").alias("value"))
+        return rows.groupBy(*b, "row_idx", *carry, "pool").agg(strict_sum("value").alias("value"))
+
+    lp = transfer(lp, disturbance_matrix, "disturbance", "disturbance_type_id")
+    lp = grow(lp)
     if dom_turnover is not None:
-        w = transfer(w, dom_turnover, "dom_turnover")
+        lp = transfer(lp, dom_turnover, "dom_turnover")
     if bio_turnover is not None:
-        w = transfer(w, bio_turnover, "bio_turnover")
-        w = pools_wide(overmature_decline(w, parameters, bio_turnover, by), names, by).fillna(0.0, subset=names)
-    w = grow(w)
+        lp = transfer(lp, bio_turnover, "bio_turnover")
+        lp = decline(lp, bio_turnover)
+    lp = grow(lp)
     if decay is not None:
-        w = transfer(w, decay, "decay")
+        lp = transfer(lp, decay, "decay")
     if slow_rate and slow_pools[0] in names:
-        w = pools_wide(slow_mixing(pools_long(w, names, by), slow_rate, slow_pools[0], slow_pools[1], by),
-                       names, by).fillna(0.0, subset=names)
+        spark: SparkSession = lp.sparkSession
+        mix = spark.createDataFrame(
+            [(slow_pools[0], slow_pools[1], float(slow_rate)), (slow_pools[0], slow_pools[0], 1.0 - float(slow_rate))],
+            "source string, sink string, proportion double")
+        lp = transfer(lp, mix, "slow_mixing")
+    wide = pools_wide(lp, names, by).fillna(0.0, subset=names)
     flux = None
     for f in fluxes:
         flux = f if flux is None else flux.unionByName(f)
     if flux is not None:
-        flux = flux.groupBy(*by, "row_idx", "flux").agg(F.sum("value").alias("value"))
-    return w.select(*by, "row_idx", *names), flux
+        flux = flux.groupBy(*_by(flux, by), "row_idx", "flux").agg(F.sum("value").alias("value"))
+    return wide.select(*_by(wide, by), "row_idx", *names), flux
 
 
 def _pool_names(names, matrices, extra=()) -> list[str]:

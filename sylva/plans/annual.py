@@ -157,6 +157,16 @@ def carbon_dynamics(t: CarbonTables, inputs: Inputs, model: Model, opts: Options
     pools, flux_long = tr.advance_year(
         t.pools, params, model.disturbance_matrix, model.dom_turnover, model.bio_turnover, model.decay,
         model.flux_map, model.slow_rate, pool_names=model.pool_names)
+    pool_cols = [c for c in pools.columns if c != "row_idx"]
+    if flux_long is not None:
+        # pools and flux come out of the same chain of transfers: write them as one long
+        # table in one plan (the shared exchanges are reused), so the chain runs once
+        both = rp.pools_long(pools, pool_cols, by=()).select(
+            "row_idx", F.lit("pool").alias("kind"), F.col("pool").alias("name"), "value").unionByName(
+            flux_long.select("row_idx", F.lit("flux").alias("kind"), F.col("flux").alias("name"), "value"))
+        both = materialize(both, "year-step")
+        pools = tr.pools_wide(both.where(F.col("kind") == "pool").withColumnRenamed("name", "pool"), pool_cols, by=())
+        flux_long = both.where(F.col("kind") == "flux").select("row_idx", F.col("name").alias("flux"), "value")
     flux = flux_wide(flux_long, pools, names if names is not None else flux_names(model))
     state = advance_state(state, params)
     state, params = at.regen_delay_gate(state, params)
