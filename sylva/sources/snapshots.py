@@ -49,8 +49,11 @@ def write_panel(df: DataFrame, root: str, table: str) -> None:
 
 
 def read_snapshots(spark: SparkSession, root: str, table: str, years: Iterable[int] | None = None) -> DataFrame:
-    """A5: one table over several years as a panel with an int ``year`` column."""
-    df = spark.read.option("basePath", f"{root.rstrip('/')}/{table}").parquet(f"{root.rstrip('/')}/{table}")
+    """A5: one table over several years as a panel with an int ``year`` column. Years may
+    differ in columns (the spinup has fewer pools than later years), so schemas are merged;
+    a column a year lacks reads as NULL."""
+    base = f"{root.rstrip('/')}/{table}"
+    df = spark.read.option("basePath", base).option("mergeSchema", "true").parquet(base)
     df = df.withColumn("year", F.col("year").cast("int"))
     if years is not None:
         ys = sorted({int(y) for y in years})
