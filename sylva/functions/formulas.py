@@ -5,8 +5,6 @@ coefficient values are defined here except the documented reduction factor b."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,6 +52,3 @@ def fine_root_share(t_hw, t_sw, frp_a, frp_b, frp_c) -> Column:
     """H5: P_fine = frp_a + frp_b * exp((-1/frp_c) * (T_hw + T_sw))."""
     return _c(frp_a) + _c(frp_b) * F.exp((F.lit(-1.0) / _c(frp_c)) * (_c(t_hw) + _c(t_sw)))
 
-
-def ln(x: float) -> float:
-    return math.log(x)

@@ -150,10 +150,12 @@ def flux_names(model: Model) -> list[str]:
 
 def carbon_dynamics(t: CarbonTables, inputs: Inputs, model: Model, opts: Options, year: int,
                     names: Sequence[str] | None = None) -> CarbonTables:
-    """H11 + state update + B7 gate + group areas."""
+    """C13 + B4 + H11 + state update + B7 gate + group areas."""
     state, params = t.state, t.parameters
     if inputs.units is not None and "admin_name" in state.columns:
         state, params = at.fill_spatial_unit(state, inputs.units, params)
+    if "sw_hw" in state.columns:
+        state = at.default_sw_hw(state, params)  # B4: one guard job per year
     pools, flux_long = tr.advance_year(
         t.pools, params, model.disturbance_matrix, model.dom_turnover, model.bio_turnover, model.decay,
         model.flux_map, model.slow_rate, pool_names=model.pool_names)
