@@ -44,11 +44,14 @@ def cohorts_with_area(key: DataFrame, stands: DataFrame) -> DataFrame:
     return key.join(stand_areas(stands), "pixelIndex", "inner")
 
 
-def group_area(key: DataFrame, stands: DataFrame, by: Sequence[str] = ("year",)) -> DataFrame:
+def group_area(key: DataFrame, stands: DataFrame | None, by: Sequence[str] = ("year",)) -> DataFrame:
     """Per group, sum of its cohorts' stand areas (each cohort counts its whole stand,
-    Q5). Output (by..., row_idx, area_m2, area_ha); NULL if any area is NULL (Q1)."""
+    Q5). Output (by..., row_idx, area_m2, area_ha); NULL if any area is NULL (Q1). A key
+    that already carries the stand ``area`` (the yearly loop attaches it once) needs no
+    join with the stands: the area is one partial aggregation of the key."""
     by = _by(key, by)
-    return (cohorts_with_area(key, stands).groupBy(*by, "row_idx")
+    src = key if "area" in key.columns else cohorts_with_area(key, stands)
+    return (src.groupBy(*by, "row_idx")
             .agg(strict_sum("area").alias("area_m2"))
             .withColumn("area_ha", F.col("area_m2") / F.lit(M2_PER_HA)))
 

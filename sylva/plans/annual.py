@@ -95,7 +95,11 @@ def initial_tables(key: DataFrame, groups: DataFrame, stands: DataFrame, pools:
     state = fill_or_add(state, "delay", opts.default_delay_regen, "int")
     if "time_since_last_disturbance" not in state.columns:
         state = state.withColumn("time_since_last_disturbance", F.col("age").cast("double"))
-    area = rp.group_area(key, stands, by=()).select("row_idx", "area_ha")
+    # each cohort carries its stand's area from here on, so yearly group areas never
+    # join the (large) stand table again. LEFT: every cohort stays in the key; a cohort
+    # without a stand makes its group's area NULL (strict sums, see quality.orphans)
+    key = key.drop("area").join(rp.stand_areas(stands), "pixelIndex", "left")
+    area = rp.group_area(key, None, by=()).select("row_idx", "area_ha")
     state = state.join(area, "row_idx", "left").withColumnRenamed("area_ha", "area")
     if pools is None:
         pools = groups.select("row_idx", F.lit(1.0).alias("Input"), *[F.lit(0.0).alias(p) for p in pool_names])
@@ -172,7 +176,7 @@ def carbon_dynamics(t: CarbonTables, inputs: Inputs, model: Model, opts: Options
     flux = flux_wide(flux_long, pools, names if names is not None else flux_names(model))
     state = advance_state(state, params)
     state, params = at.regen_delay_gate(state, params)
-    areas = rp.group_area(t.key, inputs.stands, by=())
+    areas = rp.group_area(t.key, inputs.stands, by=())  # no join when the key carries area
     state = state.drop("area").join(areas.select("row_idx", F.col("area_ha").alias("area")), "row_idx", "left")
     return CarbonTables(key=t.key, parameters=params, state=state, pools=pools, flux=flux)
 
