@@ -42,3 +42,24 @@ def test_incremental_ingest_equals_batch(spark, tmp_path):
     got = sorted(tuple(r) for r in read_events(spark, table).collect())
     assert got == sorted([tuple(r) for r in a.collect()] + [tuple(r) for r in b.collect()])
     assert read_events(spark, table, 2001).count() == 2
+
+
+def test_streamed_events_prune_by_year_and_feed_the_loop(spark, tmp_path):
+    from sylva.operators import events as ev
+    from sylva.plans import annual as an
+    import test_annual as ta
+    src, table = str(tmp_path / "in"), str(tmp_path / "events")
+    inputs = ta._inputs(spark)
+    inputs.events.write.parquet(src + "/batch=0")
+    q = start_event_ingest(spark, src, table, checkpoint=str(tmp_path / "ckpt"), glob_filter="*.parquet")
+    q.awaitTermination()
+    streamed = read_events(spark, table)
+    plan = ev.year_filter(streamed, 2000)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan  # the year is a folder, not a row filter
+    key, groups, _ = an.spinup_inputs(inputs)
+    init = an.initial_tables(key, groups, inputs.stands)
+    from dataclasses import replace
+    got = an.run_years(spark, replace(inputs, events=streamed), ta._model(spark), 2000, 2001, init,
+                       root=str(tmp_path / "a")).collect()
+    want = an.run_years(spark, inputs, ta._model(spark), 2000, 2001, init, root=str(tmp_path / "b")).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
