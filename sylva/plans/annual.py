@@ -207,7 +207,7 @@ def reload(spark: SparkSession, root: str, year: int) -> CarbonTables:
     tabs = {}
     for n in sn.ALL_TABLES:
         try:
-            tabs[n] = sn.read_snapshots(spark, root, n, [year]).drop("year")
+            tabs[n] = sn.read_year(spark, root, n, year)
         except AnalysisException:
             tabs[n] = None
     return CarbonTables(**tabs)

@@ -61,6 +61,12 @@ def read_snapshots(spark: SparkSession, root: str, table: str, years: Iterable[i
     return df
 
 
+def read_year(spark: SparkSession, root: str, table: str, year: int) -> DataFrame:
+    """One table of one year (without the ``year`` column). A year's files share one
+    schema, so the folder is read directly: no schema merge, no listing of other years."""
+    return spark.read.parquet(f"{root.rstrip('/')}/{table}/year={int(year)}")
+
+
 def save_years(initial: int | None, interval: int, end: int, spinup: bool = False) -> list[int]:
     """Initial, initial+interval, ... <= end, plus 0 for a saved spinup; nothing when
     ``initial`` is None."""
