@@ -63,3 +63,36 @@ def test_streamed_events_prune_by_year_and_feed_the_loop(spark, tmp_path):
                        root=str(tmp_path / "a")).collect()
     want = an.run_years(spark, inputs, ta._model(spark), 2000, 2001, init, root=str(tmp_path / "b")).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_cluster_session_needs_a_shared_checkpoint_folder():
+    import pytest as _pt
+    from sylva.session import shared_dir
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _SC:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return _Conf()
+
+    class _Spark:
+        sparkContext = _SC()
+        conf = _Conf()
+
+    with _pt.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(_Spark(), "x")
+
+
+def test_shared_dir_uses_the_session_folder(spark):
+    from sylva.session import shared_dir
+    root = spark.sparkContext.getCheckpointDir() or ""
+    a, b = shared_dir(spark, "t"), shared_dir(spark, "t")
+    assert a != b and a.startswith(spark.sparkContext.getCheckpointDir().rstrip("/"))
+    assert root == "" or a.startswith(root.rstrip("/"))
