@@ -55,3 +55,35 @@ def test_regen_delay_gate(spark):
     s2, p2 = at.regen_delay_gate(st, pa)
     assert {r["row_idx"]: r["age"] for r in s2.collect()} == {1: 0, 2: 0, 3: 5}
     assert {r["row_idx"]: r["merch_inc"] for r in p2.collect()} == {1: 0.0, 2: 0.0, 3: 1.0}
+
+
+def test_null_classifier_matches_null_curve(spark):
+    g = spark.createDataFrame([(1, "A", None), (2, "A", "x"), (3, "B", "x")], "row_idx long, admin_name string, sp string")
+    meta = spark.createDataFrame([(10, "A", None, True), (11, "A", "x", False)],
+                                 "gcID int, admin_name string, sp string, sw boolean")
+    got = {r["row_idx"]: r["gcID"] for r in at.attach_curves(g, meta).collect()}
+    assert got == {1: 10, 2: 11, 3: None}  # R joins NA to NA
+
+
+def test_extra_classifier_splits_groups_and_optional_columns_default(spark):
+    from sylva.operators import groups as gr
+    from sylva.plans import annual as an
+    cs = spark.createDataFrame([(1, 1, 5, "x"), (2, 2, 5, "y")], "cohortID long, pixelIndex long, age int, extra string")
+    _, groups = gr.cohort_groups(cs)
+    assert groups.count() == 2
+    _, groups2 = gr.cohort_groups(cs.drop("extra"))
+    assert groups2.count() == 1
+    # only required columns: defaults for delay and disturbance types are added
+    stands = spark.createDataFrame([(1, "A", 1), (2, "A", 1)], "pixelIndex long, admin_name string, eco_id int")
+    cohorts = spark.createDataFrame([(1, 1, 1, 5), (2, 2, 1, 5)], "cohortID long, pixelIndex long, gcID int, age int")
+    meta = spark.createDataFrame([(1, "A", 1, True)], "gcID int, admin_name string, eco_id int, sw boolean")
+    incs = spark.createDataFrame([(1, 1, 1.0, 1.0, 1.0)], "gcID int, age int, merch_inc double, foliage_inc double, "
+                                                          "other_inc double")
+    key, g, inc = an.spinup_inputs(an.Inputs(stands=stands, cohorts=cohorts, gcmeta=meta, increments=incs))
+    row = g.collect()[0]
+    assert g.count() == 1 and key.count() == 2 and inc.count() == 1
+    assert (row["delay"], row["historical_disturbance_type"], row["last_pass_disturbance_type"], row["sw_hw"]) == \
+        (0, 1, 1, 0)
+    with pytest.warns(UserWarning):
+        init = an.initial_tables(key, g, stands)
+    assert init.state.collect()[0]["area"] == 2.0  # no area column: 1 ha per stand, two stands
