@@ -181,13 +181,13 @@ def carbon_dynamics(t: CarbonTables, inputs: Inputs, model: Model, opts: Options
     return CarbonTables(key=t.key, parameters=params, state=state, pools=pools, flux=flux)
 
 
-def year_totals(t: CarbonTables, year: int, names: Sequence[str]) -> DataFrame:
+def year_totals(t: CarbonTables, year: int, names: Sequence[str], stands: DataFrame | None = None) -> DataFrame:
     """The year's row: flux totals and the product stock in one aggregation over groups
-    (D5, D7), then the gases (D6). Areas come from the state (ha), so totals are
-    density x area summed over groups."""
+    (D5, D7), then the gases (D6). Group areas in m2 come from the key (which carries the
+    stand area: one partial aggregation, no join), so totals are exact sums divided once."""
     prod = F.col("Products") if "Products" in t.pools.columns else F.lit(0.0)
     fp = t.flux.join(t.pools.select("row_idx", prod.alias("Products")), "row_idx", "inner")
-    a = t.state.select("row_idx", (F.col("area") * F.lit(rp.M2_PER_HA)).alias("area_m2"))
+    a = rp.group_area(t.key, stands, by=()).select("row_idx", "area_m2")
     fp, a = fp.withColumn("year", F.lit(int(year))), a.withColumn("year", F.lit(int(year)))
     totals = rp.flux_totals(fp, a, by=("year",), columns=[*names, "Products"])
     return rp.emission_gases(totals).withColumnRenamed("Products", "products_stock")
@@ -242,7 +242,7 @@ def _run_years(spark, inputs, model, start, end, initial, root, opts, save_spinu
         t = carbon_dynamics(t, inputs, model, opts, year, names)
         sn.write_snapshot({"key": t.key, **t.group_tables()}, root, year, save_all=True)
         t = reload(spark, root, year)
-        sn.append_year(year_totals(t, year, names), root, "yearly")
+        sn.append_year(year_totals(t, year, names, inputs.stands), root, "yearly")
     yearly = sn.read_snapshots(spark, root, "yearly")
     out = rp.products_by_year(yearly)
     cols = [c for c in ("Products", "Emissions", "CO2", "CH4", "CO", *opts.emissions_columns) if c in out.columns]
