@@ -127,13 +127,20 @@ def _npp(flux: DataFrame) -> F.Column:
     return expr
 
 
-def npp_by_year(key: DataFrame, flux: DataFrame, by: Sequence[str] = ("year",)) -> DataFrame:
+def npp_by_year(key: DataFrame, flux: DataFrame, by: Sequence[str] = ("year",),
+                areas: DataFrame | None = None) -> DataFrame:
     """Per year, sum over cohorts of the seven NPP flux densities (no area, as the
     reference test). The key is first counted per group (partial aggregation), so the big
-    table never joins flux row by row: NPP = sum(n_cohorts x group NPP)."""
+    table never joins flux row by row: NPP = sum(n_cohorts x group NPP).
+
+    With ``areas`` (D4 output) the area-weighted variant: tC = sum over groups of NPP
+    density x group area (m2) / 10 000, a join of two per-group tables."""
     by = _by(key, by)
-    n = key.groupBy(*by, "row_idx").agg(F.count(F.lit(1)).alias("__n"))
     f = flux.select(*by, "row_idx", _npp(flux).alias("__npp"))
+    if areas is not None:
+        j = f.join(areas.select(*by, "row_idx", "area_m2"), [*by, "row_idx"], "inner")
+        return j.groupBy(*by).agg((strict_sum(F.col("__npp") * F.col("area_m2")) / F.lit(M2_PER_HA)).alias("NPP"))
+    n = key.groupBy(*by, "row_idx").agg(F.count(F.lit(1)).alias("__n"))
     return n.join(f, [*by, "row_idx"], "inner").groupBy(*by).agg(strict_sum(F.col("__n") * F.col("__npp")).alias("NPP"))
 
 

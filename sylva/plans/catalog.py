@@ -301,6 +301,11 @@ def q_npp_by_year(spark, d):
     return rp.npp_by_year(fx.key, fx.flux, Y)
 
 
+def q_npp_by_year_area(spark, d):
+    fx = Fixtures(spark, d)
+    return rp.npp_by_year(fx.key, fx.flux, Y, areas=_areas(fx))
+
+
 def q_npp_by_stand(spark, d):
     fx = Fixtures(spark, d)
     return rp.npp_by_stand(fx.key, fx.flux, Y)
@@ -442,6 +447,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "emissions_products": q_emissions_products,
     "cohort_flux": q_cohort_flux,
     "npp_by_year": q_npp_by_year,
+    "npp_by_year_area": q_npp_by_year_area,
     "npp_by_stand": q_npp_by_stand,
     "pool_proportions": q_pool_proportions,
     "total_carbon_by_stand": q_total_carbon_by_stand,

@@ -262,6 +262,8 @@ def oracle_sql() -> dict[str, str]:
             from f_key k join f_flux f on f.year = k.year and f.row_idx = k.row_idx"""),
         "npp_by_year": q(f"""select k.year, {strict(NPP_SUM)} as NPP from f_key k
             join f_flux f on f.year = k.year and f.row_idx = k.row_idx group by k.year"""),
+        "npp_by_year_area": q(f"""select f.year, {strict('(' + NPP_SUM + ') * ga.area_m2')} / 10000 as NPP
+            from f_flux f join ga on f.year = ga.year and f.row_idx = ga.row_idx group by f.year""", AREAS),
         "npp_by_stand": q(f"""select k.year, k.pixelIndex, {strict(NPP_SUM)} as NPP from f_key k
             join f_flux f on f.year = k.year and f.row_idx = k.row_idx group by k.year, k.pixelIndex"""),
         "pool_proportions": q(f"""select year, pool_class, carbon,
