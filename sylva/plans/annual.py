@@ -166,7 +166,8 @@ def carbon_dynamics(t: CarbonTables, inputs: Inputs, model: Model, opts: Options
     pool_cols = [c for c in pools.columns if c != "row_idx"]
     if flux_long is not None:
         # pools and flux come out of the same chain of transfers: write them as one long
-        # table in one plan (the shared exchanges are reused), so the chain runs once
+        # table in one plan, so AQE reuses the shared shuffles instead of running the chain
+        # once for the pools and again for the flux
         both = rp.pools_long(pools, pool_cols, by=()).select(
             "row_idx", F.lit("pool").alias("kind"), F.col("pool").alias("name"), "value").unionByName(
             flux_long.select("row_idx", F.lit("flux").alias("kind"), F.col("flux").alias("name"), "value"))
