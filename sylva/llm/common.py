@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from sylva.session import materialize as stored
 
@@ -126,10 +127,9 @@ def map_texts(docs: DataFrame, added: dict[str, str], of_texts: Callable[[list[s
     added one gives way to it."""
     gone = {a.lower() for a in added}
     kept = [c for c in docs.columns if c.lower() not in gone]
-    schema = docs.select(*kept).schema
-    for name, kind in added.items():
-        schema = schema.add(name, kind)
-    kinds = [pa_type for pa_type in to_arrow_schema(schema).types[len(kept):]]
+    more = StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in added.items()))
+    schema = StructType([*docs.select(*kept).schema.fields, *more.fields])
+    kinds = to_arrow_schema(more).types
     reads_itself = text not in kept
     source = docs.select(*kept, *([F.col(text)] if reads_itself else []))
 

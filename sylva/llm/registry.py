@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language, mixing, sharding, simhash
+from . import chat, decontaminate, language, license, mixing, quality, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_benchmark_decontamination": decontaminate.op1_benchmark_decontamination,
     "op2_sharding": sharding.op2_sharding,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_language_id": language.op4_language_id,
     "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,
     "op6_mixing_to_weights": mixing.op6_mixing_to_weights,
+    "op7_chat_formatting": chat.op7_chat_formatting,
+    "op9_license_scan": license.op9_license_scan,
+    "op10_quality_rules": quality.op10_quality_rules,
 }
 
 ORACLES = {
     "op1_benchmark_decontamination": decontaminate.ORACLE,
+    "op7_chat_formatting": chat.ORACLE,
 }

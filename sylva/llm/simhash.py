@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, components, map_texts, read, stored
+from .common import components, map_texts, read, stored
 
 SEED = 42
 SHINGLE = 4
@@ -36,20 +36,17 @@ MAX_BITS = 4
 #: Above this many members the changed values of a list are fewer than its pairs.
 LONG_LIST = 1024
 FP, AT, KEPT = "_simhash", "_simhash_at", "_simhash_kept"
-_FOLD = str.maketrans(UPPER, LOWER)
-_SPACE = str.maketrans("\t\n\x0b\x0c\r", "     ")
 
 
 def simhash(text: str | None, shingle: int = SHINGLE) -> int:
     """64-bit SimHash of the word shingles of ``text``, as an unsigned number."""
-    words = [w for w in (text or "").translate(_FOLD).translate(_SPACE).split(" ") if w]
-    if not words:
+    raw = (text or "").encode().lower().split()  # of bytes, both go by ASCII alone
+    if not raw:
         return 0
-    raw = [w.encode() for w in words]
     joined = b" ".join(raw)
     ends = np.cumsum([len(w) + 1 for w in raw]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1)).tolist()
-    ends, k = ends.tolist(), min(shingle, len(words))
+    ends, k = ends.tolist(), min(shingle, len(raw))
     digest = xxhash.xxh64_intdigest
     hashes = np.array([digest(joined[s:e], SEED) for s, e in zip(starts, ends[k - 1:], strict=False)], dtype="<u8")
     set_in = np.zeros(64, dtype=np.int64)
