@@ -20,6 +20,7 @@ from sylva.session import materialize as stored
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The word of most contracts: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+SPACE = r"[\x20\x09-\x0D]+"
 
 #: A table of at most so many rows, each of a few dozen bytes, may be broadcast.
 BROADCAST_ROWS = 1_000_000
@@ -119,6 +120,19 @@ def fresh(name: str, taken: list[str]) -> str:
     return name
 
 
+def chunks(texts: list[str | None], chars: int = 4_000_000) -> Iterator[list[str | None]]:
+    """``texts`` in runs of about ``chars`` characters, to bound what a task holds at once."""
+    run, size = [], 0
+    for t in texts:
+        run.append(t)
+        size += len(t or "")
+        if size >= chars:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
+
+
 def map_texts(docs: DataFrame, added: dict[str, str], of_texts: Callable[[list[str | None]], dict[str, Any]],
               text: str = "text") -> DataFrame:
     """``docs`` with the columns ``added`` (name: SQL type), made by ``of_texts`` from a batch's texts.
@@ -135,10 +149,13 @@ def map_texts(docs: DataFrame, added: dict[str, str], of_texts: Callable[[list[s
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-            made = of_texts(texts)
-            columns = [batch.column(i) for i in range(len(kept))]
-            columns += [pa.array(made[a], type=k) for a, k in zip(added, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, *added])
+            begin = 0
+            for texts in chunks(batch.column(batch.schema.get_field_index(text)).to_pylist()):
+                made = of_texts(texts)
+                part = batch.slice(begin, len(texts))
+                begin += len(texts)
+                columns = [part.column(i) for i in range(len(kept))]
+                columns += [pa.array(made[a], type=k) for a, k in zip(added, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*kept, *added])
 
     return source.mapInArrow(mapped, schema)

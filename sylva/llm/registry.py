@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, language, license, mixing, quality, sharding, simhash, toxicity
+from . import chat, decontaminate, language, license, lm, mixing, quality, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_benchmark_decontamination": decontaminate.op1_benchmark_decontamination,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,
     "op6_mixing_to_weights": mixing.op6_mixing_to_weights,
     "op7_chat_formatting": chat.op7_chat_formatting,
+    "op8_lm_scoring": lm.op8_lm_scoring,
     "op9_license_scan": license.op9_license_scan,
     "op10_quality_rules": quality.op10_quality_rules,
 }
