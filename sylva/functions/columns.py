@@ -18,18 +18,6 @@ def strict_sum(col: str | Column) -> Column:
     return F.when(F.count(F.lit(1)) == F.count(c), F.sum(c))
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    """Join condition that matches NULL to NULL on every key (R joins NA to NA).
-    Spark still plans a hash join for ``<=>`` keys."""
-    cond = None
-    for c in cols:
-        term = left[c].eqNullSafe(right[c])
-        cond = term if cond is None else cond & term
-    if cond is None:
-        raise ValueError("null-safe join needs at least one key column")
-    return cond
-
-
 def null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "left") -> DataFrame:
     """Equi-join on ``cols`` with NULL = NULL, keeping one copy of every key column
     (the left one), like a natural join on those names."""

@@ -23,8 +23,8 @@ HARDWOOD_SPECIES_NAME = "Unspecified hardwood species"
 def cohorts_with_stands(cohorts: DataFrame, stands: DataFrame) -> DataFrame:
     """Cohort LEFT JOIN stand on pixelIndex. Both are large; they shuffle (or, when
     stored bucketed by pixelIndex, co-locate) on that key."""
-    require_columns(cohorts, "cohortDT", ("cohortID", "pixelIndex"))
-    require_columns(stands, "standDT", ("pixelIndex",))
+    require_columns(cohorts, "cohorts", ("cohortID", "pixelIndex"))
+    require_columns(stands, "stands", ("pixelIndex",))
     return cohorts.join(stands, "pixelIndex", "left").select(
         *cohorts.columns, *[c for c in stands.columns if c not in cohorts.columns])
 
@@ -43,11 +43,14 @@ def spatial_units(spatial_unit: DataFrame, spinup_parameter: DataFrame, admin_bo
 
 
 def species_ids(species: DataFrame) -> DataFrame:
-    """A3: one row (sw_species_id, hw_species_id) from the species table."""
+    """A3: one row (sw_species_id, hw_species_id) from the species table. A table without one of
+    the two generic names raises when the row is read."""
     name, sid = F.col("species_name"), F.col("species_id")
-    return species.agg(
-        F.max(F.when(name == SOFTWOOD_SPECIES_NAME, sid)).alias("sw_species_id"),
-        F.max(F.when(name == HARDWOOD_SPECIES_NAME, sid)).alias("hw_species_id"))
+
+    def of(wanted: str) -> F.Column:
+        found = F.max(F.when(name == wanted, sid))
+        return F.when(found.isNull(), F.raise_error(F.lit(f"the species table has no '{wanted}'")).cast("int")).otherwise(found)
+    return species.agg(of(SOFTWOOD_SPECIES_NAME).alias("sw_species_id"), of(HARDWOOD_SPECIES_NAME).alias("hw_species_id"))
 
 
 def softwood_flags(df: DataFrame, sw_species_id, hw_species_id, mode: str = "spinup") -> DataFrame:
@@ -77,16 +80,16 @@ def default_sw_hw(state: DataFrame, parameters: DataFrame) -> DataFrame:
                .join(parameters.select("row_idx", *incs), "row_idx", "inner")
                .where(" or ".join(f"coalesce({c}, 0) != 0" for c in incs)))
         if bad.limit(1).count() > 0:
-            raise ValueError("Groups with increments != 0 must have the state sw_hw flag set")
+            raise ValueError("a growing group has no wood type: set sw_hw for every group with an increment")
     return state.withColumn("sw_hw", F.coalesce(F.col("sw_hw"), F.lit(0)).cast("int"))
 
 
 def attach_curves(groups: DataFrame, gcmeta: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """LEFT JOIN growth-curve metadata on every shared column name (NULL = NULL)."""
-    require_columns(gcmeta, "growthMeta", ("gcID", "sw"))
+    require_columns(gcmeta, "growth curve metadata", ("gcID", "sw"))
     keys = list(keys) if keys is not None else shared_classifiers(groups, gcmeta, exclude=ID_COLUMNS)
     if not keys:
-        raise ValueError("growthMeta shares no column with the cohort table")
+        raise ValueError("the growth curve metadata share no column with the cohorts")
     right = gcmeta.select(*keys, *[c for c in gcmeta.columns if c not in keys and c not in groups.columns])
     return null_safe_join(groups, right, keys, "left")
 
@@ -96,22 +99,22 @@ def spatial_unit_keys(df: DataFrame) -> list[str]:
         return ["spatial_unit_id"]
     if "admin_name" in df.columns and "eco_id" in df.columns:
         return ["admin_name", "eco_id"]
-    raise ValueError("cohortDT must have either 'spatial_unit_id' or 'admin_name' and 'eco_id' columns")
+    raise ValueError("no spatial unit: give spatial_unit_id, or admin_name together with eco_id")
 
 
 def attach_spatial_unit(groups: DataFrame, units: DataFrame) -> DataFrame:
     """LEFT JOIN spatial units (A2) on spatial_unit_id if present, else (admin_name,
     eco_id). Right-side columns already on the left are dropped before the join (left
-    wins). Spatial units are a national dimension (hundreds of rows): broadcast."""
+    wins)."""
     keys = spatial_unit_keys(groups)
     right = units.select(*keys, *[c for c in units.columns if c not in groups.columns and c not in keys])
-    return null_safe_join(groups, F.broadcast(right), keys, "left")
+    return null_safe_join(groups, right, keys, "left")
 
 
 def fill_spatial_unit(state: DataFrame, units: DataFrame, parameters: DataFrame | None = None):
     """Set spatial_unit_id from (admin_name, eco_id) when the column is absent, then
     add mean_annual_temperature where absent (state, and parameters by row_idx)."""
-    su = F.broadcast(units.select("spatial_unit_id", "admin_name", "eco_id", "mean_annual_temperature"))
+    su = units.select("spatial_unit_id", "admin_name", "eco_id", "mean_annual_temperature")
     if "spatial_unit_id" not in state.columns:
         spatial_unit_keys(state)
         state = null_safe_join(state, su.select("admin_name", "eco_id", "spatial_unit_id"),
@@ -133,7 +136,11 @@ def spinup_defaults(groups: DataFrame, age_col: str = "age", delay_col: str = "d
                     default_historical: int = 1, default_last_pass: int = 1) -> DataFrame:
     """B2 + B1 for the spinup: the spinup age column becomes ``age`` (the real age is kept
     as ``age_in``), the spinup delay column becomes ``delay``; NULL or absent delay and
-    disturbance types get their defaults."""
+    disturbance types get their defaults (logged when a whole column is missing)."""
+    for name, default in ((delay_col, default_delay), ("historical_disturbance_type", default_historical),
+                          ("last_pass_disturbance_type", default_last_pass)):
+        if name not in groups.columns:
+            log.info("no column %s: every group takes the default %s", name, default)
     if age_col != "age" and age_col in groups.columns:
         if "age" in groups.columns:
             groups = groups.withColumnRenamed("age", "age_in")

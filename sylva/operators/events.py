@@ -6,6 +6,7 @@ years; the annual loop passes a single year's events and the same code runs."""
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 
 from sylva.sources.schema import require_columns
 
+log = logging.getLogger(__name__)
+
 EVENT_COLUMNS = ("pixelIndex", "year", "eventID")
 META_COLUMNS = ("eventID", "disturbance_type_id")
 
@@ -20,7 +23,7 @@ META_COLUMNS = ("eventID", "disturbance_type_id")
 def year_filter(events: DataFrame, year: int) -> DataFrame:
     """The events of one year. The column is cast to int (never compared as text:
     a double year prints as "2000.0")."""
-    require_columns(events, "disturbanceEvents", EVENT_COLUMNS)
+    require_columns(events, "events", EVENT_COLUMNS)
     return events.where(F.col("year").cast("int") == F.lit(int(year)))
 
 
@@ -28,13 +31,12 @@ def type_events(events: DataFrame, meta: DataFrame) -> DataFrame:
     """Events LEFT JOIN distinct (eventID, disturbance_type_id[, priority]). An unknown
     eventID keeps a NULL type and still competes in E1.
 
-    The metadata is the table of event kinds (a handful of rows whatever the data size),
-    so it is broadcast."""
-    require_columns(events, "disturbanceEvents", EVENT_COLUMNS)
-    require_columns(meta, "disturbanceMeta", META_COLUMNS)
+    The planner broadcasts the table of event kinds as long as it is small."""
+    require_columns(events, "events", EVENT_COLUMNS)
+    require_columns(meta, "event metadata", META_COLUMNS)
     keep = [c for c in ("eventID", "disturbance_type_id", "priority") if c in meta.columns]
     m = meta.select(*keep).distinct()
-    return events.join(F.broadcast(m), "eventID", "left")
+    return events.join(m, "eventID", "left")
 
 
 def contested_stands(typed: DataFrame, by: Sequence[str] = ("year",)) -> DataFrame:
@@ -47,8 +49,7 @@ def _check_no_contest(typed: DataFrame, by: Sequence[str]) -> None:
     # Q3: without a priority column, two events in one stand (even equal rows) are an error
     if contested_stands(typed, by).limit(1).count() > 0:
         raise ValueError(
-            "Multiple disturbance events found in one or more pixels for one year. "
-            "Use the 'disturbanceMeta' \"priority\" field to set event precedence.")
+            "Two or more events hit one stand in the same year; give the event metadata a priority column to rank them.")
 
 
 def resolve_events(typed: DataFrame, by: Sequence[str] = ("year",), check: bool = True) -> DataFrame:
@@ -81,15 +82,16 @@ def prep_disturbances(key: DataFrame, events: DataFrame | None, meta: DataFrame
                       year: int | None = None, by: Sequence[str] = ()) -> DataFrame:
     """B9 -> C5 -> D10 -> E1 -> C6 for one year (``year``) or a panel (``by=("year",)``)."""
     if events is None:
+        log.info("no events: no cohort is disturbed")
         return key.withColumn("disturbance_type_id", F.lit(None).cast("int"))
     ev = year_filter(events, year) if year is not None else events
     if meta is None:
-        raise ValueError("disturbanceMeta not found")
+        raise ValueError("events need their metadata table")
     winners = resolve_events(type_events(ev, meta), by=by)
     return mark_cohorts(key, winners, by=by)
 
 
-def age_panel(winners: DataFrame, end_year: int | str, cohorts: DataFrame | None = None,
+def age_panel(winners: DataFrame, end_year: int, cohorts: DataFrame | None = None,
               delay_col: str = "delay", default_delay: int = 0) -> DataFrame:
     """Stand age for every year from each stand's first event in the horizon to
     ``end_year``, without a year loop.
@@ -104,9 +106,8 @@ def age_panel(winners: DataFrame, end_year: int | str, cohorts: DataFrame | None
     With ``cohorts`` (cohortID, pixelIndex, delay column) the result is per cohort."""
     ev = (winners.where(F.col("disturbance_type_id").isNotNull())
           .select("pixelIndex", F.col("year").cast("int").alias("event_year")).distinct())
-    end = F.col(end_year) if isinstance(end_year, str) else F.lit(int(end_year))
     first = ev.groupBy("pixelIndex").agg(F.min("event_year").alias("first_year"))
-    panel = first.select("pixelIndex", F.explode(F.sequence(F.col("first_year"), end)).alias("year"))
+    panel = first.select("pixelIndex", F.explode(F.sequence(F.col("first_year"), F.lit(int(end_year)))).alias("year"))
     panel = panel.join(ev.withColumnRenamed("event_year", "year").withColumn("__hit", F.col("year")),
                        ["pixelIndex", "year"], "left")
     w = Window.partitionBy("pixelIndex").orderBy("year").rowsBetween(Window.unboundedPreceding, 0)

@@ -29,10 +29,12 @@ def cohort_groups(cohort_stand: DataFrame, exclude: Sequence[str] = GROUP_EXCLUD
     Returns (key, groups): key = (cohortID, pixelIndex, row_idx) per cohort; groups = one
     row per row_idx with its attributes. The group table comes from a partial (map-side)
     aggregation, so a group holding a third of all cohorts costs one row per map task; ids
-    are assigned in parallel (``number_groups``); the key is a null-safe equi-join back."""
+    are assigned in parallel (``number_groups``); the key is a null-safe equi-join back. The
+    input, usually a join of two large tables, is stored once and read for both."""
     cols = [c for c in cohort_stand.columns if c not in exclude]
     if not cols:
-        raise ValueError("cohort table has no attribute columns to group on")
+        raise ValueError("the cohorts have no attribute columns to group by")
+    cohort_stand = materialize(cohort_stand, "cohort-stands")
     groups = cohort_stand.groupBy(*cols).agg(F.min("cohortID").alias("__first"))
     groups = number_groups(groups, ["__first"]).drop("__first")
     key_cols = [c for c in ("cohortID", "pixelIndex") if c in cohort_stand.columns]
@@ -137,15 +139,28 @@ def split_disturbed(key: DataFrame, state: DataFrame, pools: DataFrame, classifi
 
 
 def apply_split_to_key(key: DataFrame, split: Split, by: Sequence[str] = ()) -> DataFrame:
-    """Key update: row_idx_prev = row_idx; disturbed cohorts take their new row_idx. The
-    key joins the (small) pair table, never a cohort-level table."""
+    """Key update: row_idx_prev = row_idx; disturbed cohorts take their new row_idx.
+
+    Only the disturbed rows join the (small) pair table; all others pass through without a
+    shuffle. ``key`` should be a stored table, since both halves read it."""
     by = list(by)
     p = split.pairs.withColumnRenamed("row_idx", "__new")
-    key = key.drop("row_idx_prev")
-    k = key.withColumn("row_idx_prev", F.col("row_idx"))
-    out = k.join(p, [*by, "row_idx_prev", "disturbance_type_id"], "left")
-    return out.withColumn("row_idx", F.coalesce(F.col("__new"), F.col("row_idx"))).drop("__new").select(
-        *key.columns, "row_idx_prev")
+    columns = [c for c in key.columns if c != "row_idx_prev"]
+    k = key.select(*columns).withColumn("row_idx_prev", F.col("row_idx"))
+    hit = k.where(F.col("disturbance_type_id").isNotNull()).join(p, [*by, "row_idx_prev", "disturbance_type_id"], "left")
+    hit = hit.withColumn("row_idx", F.coalesce(F.col("__new"), F.col("row_idx"))).select(*columns, "row_idx_prev")
+    return k.where(F.col("disturbance_type_id").isNull()).unionByName(hit)
+
+
+def live_groups(marked: DataFrame, split: Split, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., row_idx) of the groups that hold a cohort after the split: those with an undisturbed
+    cohort or one whose pair got no new group, and the new groups. One partial aggregation of
+    the marked key; the updated key is not needed."""
+    by = list(by)
+    per = marked.groupBy(*by, "row_idx", "disturbance_type_id").agg(F.count(F.lit(1)).alias("__n"))
+    pairs = split.pairs.select(*by, F.col("row_idx_prev").alias("row_idx"), "disturbance_type_id")
+    kept = per.join(pairs, [*by, "row_idx", "disturbance_type_id"], "left_anti").select(*by, "row_idx")
+    return kept.union(split.new_groups.select(*by, "row_idx")).distinct()
 
 
 def clone_group_rows(new_groups: DataFrame, table: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -178,8 +193,10 @@ def reset_disturbed_pools(pool_rows: DataFrame) -> DataFrame:
 
 
 def union_fill(old: DataFrame, new: DataFrame) -> DataFrame:
-    """append rows; columns missing on either side become NULL."""
-    return old.unionByName(new, allowMissingColumns=True)
+    """append rows; columns missing on either side become NULL. The new rows, few beside the
+    old ones and used by several tables, are stored first: a union of two inputs that were
+    hash-partitioned alike could otherwise be zipped partition by partition."""
+    return old.unionByName(materialize(new, "new-rows"), allowMissingColumns=True)
 
 
 def parameters_from_state(parameters: DataFrame, state: DataFrame, new_groups: DataFrame | None = None,
@@ -198,8 +215,8 @@ def parameters_from_state(parameters: DataFrame, state: DataFrame, new_groups: D
 
 
 def drop_inactive(table: DataFrame, key: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Keep rows whose row_idx is still in the key (LEFT SEMI). The distinct live ids
-    come from a partial aggregation of the key, one row per group."""
+    """Keep rows whose row_idx is still in the key (LEFT SEMI); ``key`` is the updated key or
+    the table of ``live_groups``. Either way the ids come from a partial aggregation."""
     by_k = [c for c in by if c in table.columns and c in key.columns]
     live = key.select(*by_k, "row_idx").distinct()
     return table.join(live, [*by_k, "row_idx"], "left_semi")

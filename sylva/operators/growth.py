@@ -28,7 +28,7 @@ def positive_ages(increments: DataFrame) -> DataFrame:
 def expand_increments(groups: DataFrame, increments: DataFrame) -> DataFrame:
     """C4: group INNER JOIN increments (age > 0) on gcID; a deliberate fan-out to
     (row_idx, age, three increments). No global sort: consumers join on (row_idx, age)."""
-    require_columns(increments, "growthIncr", ("gcID", "age", *INCREMENT_COLUMNS))
+    require_columns(increments, "increments", ("gcID", "age", *INCREMENT_COLUMNS))
     g = groups.select("row_idx", "gcID")
     return g.join(positive_ages(increments), "gcID", "inner").select("row_idx", "age", *INCREMENT_COLUMNS)
 
@@ -78,6 +78,7 @@ def extend_curves(increments: DataFrame, max_age: int | DataFrame) -> DataFrame:
     if top is None:
         return increments
     top = int(top)
+    log.info("curves that end before age %d are extended by their last increments", top)
     short = last.where(F.col("max_age") < F.lit(top))
     ext = short.select(
         "gcID", F.explode(F.sequence(F.col("max_age") + 1, F.lit(top + EXTENSION_YEARS))).alias("age"),

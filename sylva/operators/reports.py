@@ -34,7 +34,7 @@ def stand_areas(stands: DataFrame) -> DataFrame:
     """(pixelIndex, area in m2). A missing area column means 1 ha = 10 000 m2 (Q4: the
     reference warns "1 ha" but uses 1 m2; we use the stated hectare)."""
     if "area" not in stands.columns:
-        warnings.warn('standDT does not have an "area" column; area assumed to be 1 ha', stacklevel=2)
+        warnings.warn("the stand table has no area: each stand counts as one hectare", stacklevel=2)
         return stands.select("pixelIndex", F.lit(M2_PER_HA).alias("area"))
     return stands.select("pixelIndex", F.col("area").cast("double").alias("area"))
 
@@ -111,11 +111,14 @@ def emissions_products(key: DataFrame, stands: DataFrame, flux: DataFrame, pools
     """P1 (flagship): per year Products, Emissions, CO2, CH4, CO (+ requested flux columns),
     over all years in one plan. Group areas are computed once (Spark reuses the exchange
     for both branches); both yearly aggregations are partial, the two per-year results
-    are joined on year."""
+    are joined on year. Asking for a column that is no flux raises before any job."""
+    cols = result_columns(extra_columns)
+    unknown = [c for c in cols if c not in (*result_columns(), *flux.columns)]
+    if unknown:
+        raise ValueError(f"no flux column of the name(s) {', '.join(unknown)} to report")
     areas = group_area(key, stands, by)
     gases = emission_gases(flux_totals(flux, areas, by))
     prod = products_by_year(products_stock(pools, areas, by), by[0])
-    cols = result_columns(extra_columns)
     out = gases.join(prod.select(*by, "Products"), list(by), "full")
     return out.select(*by, *cols)
 
@@ -182,12 +185,16 @@ def pools_long(pools: DataFrame, names: Sequence[str] | None = None, by: Sequenc
 def pool_proportions(pools: DataFrame, areas: DataFrame, pool_class: DataFrame,
                      by: Sequence[str] = ("year",), digits: int = 9) -> DataFrame:
     """Per year, area-weighted carbon of each pool class and its share of the year's
-    total. ``pool_class`` maps pool -> pool_class; unmapped pools are left out."""
+    total over all stock pools. ``pool_class`` maps pool -> pool_class; the pools it leaves out
+    form the class "unmapped", so that shares add up to 1. A NULL class total makes the
+    year's shares NULL."""
     by = _by(pools, by)
-    names = [r for r in stock_pools(pools, by)]
-    lp = pools_long(pools, names, by).join(F.broadcast(pool_class.select("pool", "pool_class")), "pool", "inner")
+    lp = pools_long(pools, stock_pools(pools, by), by)
+    lp = lp.join(pool_class.groupBy("pool").agg(F.min("pool_class").alias("pool_class")), "pool", "left")
+    lp = lp.withColumn("pool_class", F.coalesce("pool_class", F.lit("unmapped")))
     lp = lp.join(areas.select(*by, "row_idx", "area_m2"), [*by, "row_idx"], "inner")
     agg = lp.groupBy(*by, "pool_class").agg(
         (strict_sum(F.col("value") * F.col("area_m2")) / F.lit(M2_PER_HA)).alias("carbon"))
-    tot = F.sum("carbon").over(Window.partitionBy(*by))
+    w = Window.partitionBy(*by)
+    tot = F.when(F.count("*").over(w) == F.count("carbon").over(w), F.sum("carbon").over(w))
     return agg.withColumn("share", F.round(F.col("carbon") / F.nullif(tot, F.lit(0.0)), digits))

@@ -1,11 +1,14 @@
-"""Pool transfers given as proportion tables (H6, H7), growth (H8), overmature decline
-(H9), slow mixing (H10), decay rates (H1-H3), root split (H4, H5), the year's sequence
-(H11) and the regeneration-delay gate after it (B7, in ``attributes``).
+"""Pool transfers given as proportion tables (H6, H7), growth (H8), overmature decline (H9),
+slow mixing (H10), decay rates (H1-H3) and the root split (H4, H5), over panels of groups.
 
 Pools are handled long: (by..., row_idx, pool, value). A transfer is an equi-join of the
 long pools with a matrix (selector, source, sink, proportion) and a grouped sum by sink --
-a job over all groups at once, no per-group code. Matrices are model dimension tables
-(types x pools x pools, independent of the data size) and are broadcast."""
+a job over all groups at once, no per-group code. The planner picks the join by the size of
+the matrix (a model matrix is small and gets broadcast, one keyed per group is shuffled).
+
+Nothing disappears: a NULL value stays NULL in every pool it would have reached, carbon without
+a mapped destination or name is reported as ``UNMAPPED``, and a group without a spatial unit
+keeps its rows with NULL rates."""
 
 from __future__ import annotations
 
@@ -18,6 +21,8 @@ from sylva.functions import formulas as fm
 from sylva.functions.columns import strict_sum
 from sylva.operators.reports import pools_long
 
+#: Name of the flux, sink or class of carbon that a table has no name for.
+UNMAPPED = "unmapped"
 BIOMASS_INCREMENTS = (("Merch", "merch_inc"), ("Foliage", "foliage_inc"), ("Other", "other_inc"))
 
 
@@ -26,17 +31,15 @@ def _by(df: DataFrame, by: Sequence[str]) -> list[str]:
 
 
 def _matrix(matrix: DataFrame, keys: Sequence[str], zero_self: bool = False) -> DataFrame:
-    """Matrix rows keyed by ``keys`` + pool. A model matrix (keyed by type or process, a
-    fixed-size dimension) is broadcast; a per-group matrix (keyed by row_idx, e.g. decay
-    rates) grows with the groups and is left to the planner (shuffle join unless AQE sees
-    it is small). ``zero_self`` adds a 0-proportion self row for every source, so a pool
-    that is emptied still appears in the output without reading the pools a second time."""
+    """Matrix rows keyed by ``keys`` + pool. ``zero_self`` adds a 0-proportion self row for every
+    source, so a pool that is emptied still appears in the output without reading the pools
+    a second time."""
     m = matrix.select(*[F.col(k) for k in keys], F.col("source").alias("pool"), "sink",
                       F.col("proportion").cast("double"))
     if zero_self:
         zero = matrix.select(*[F.col(k) for k in keys], F.col("source").alias("pool")).distinct()
         m = m.unionByName(zero.select(*keys, "pool", F.col("pool").alias("sink"), F.lit(0.0).alias("proportion")))
-    return m if "row_idx" in keys else F.broadcast(m)
+    return m
 
 
 def apply_transfers(long_pools: DataFrame, matrix: DataFrame, selector: str = "disturbance_type_id",
@@ -59,13 +62,17 @@ def apply_transfers(long_pools: DataFrame, matrix: DataFrame, selector: str = "d
 def transfer_flux(long_pools: DataFrame, matrix: DataFrame, flux_map: DataFrame,
                   selector: str = "disturbance_type_id", by: Sequence[str] = ("year",)) -> DataFrame:
     """H7: carbon that moved (source != sink), rolled up to named flux columns by a
-    (source, sink, flux) mapping. Output (by..., row_idx, flux, value)."""
+    (source, sink, flux) mapping. A move without a name is reported as ``UNMAPPED``; two
+    names for one move raise while the job runs. Output (by..., row_idx, flux, value)."""
     by = _by(long_pools, by)
     keys = [selector, *[c for c in by if c in matrix.columns and c != selector]]
     m = _matrix(matrix.where(F.col("source") != F.col("sink")), keys)
-    fmap = F.broadcast(flux_map.select(F.col("source").alias("pool"), "sink", "flux"))
-    moved = long_pools.join(m, [*keys, "pool"], "inner").join(fmap, ["pool", "sink"], "inner")
-    return (moved.groupBy(*by, "row_idx", "flux")
+    fmap = flux_map.groupBy(F.col("source").alias("pool"), "sink").agg(
+        F.min("flux").alias("flux"), F.count_distinct("flux").alias("__names"))
+    fmap = fmap.select("pool", "sink", F.when(F.col("__names") > 1, F.raise_error(
+        F.concat(F.lit("more than one flux name for "), "pool", F.lit(" to "), "sink"))).otherwise(F.col("flux")).alias("flux"))
+    moved = long_pools.join(m, [*keys, "pool"], "inner").join(fmap, ["pool", "sink"], "left")
+    return (moved.groupBy(*by, "row_idx", F.coalesce("flux", F.lit(UNMAPPED)).alias("flux"))
             .agg(strict_sum(F.col("value") * F.col("proportion")).alias("value")))
 
 
@@ -89,8 +96,8 @@ def half_growth(pools: DataFrame, increments: DataFrame, by: Sequence[str] = ("y
 def overmature_decline(pools: DataFrame, increments: DataFrame, turnover: DataFrame,
                        by: Sequence[str] = ("year",)) -> DataFrame:
     """H9: a negative increment moves that much carbon out of its biomass pool into snags
-    and soil in the turnover proportions (turnover: source, sink, proportion). Returns
-    long pools."""
+    and soil in the turnover proportions (turnover: source, sink, proportion). A biomass
+    pool without turnover rows sends its loss to the pool ``UNMAPPED``. Returns long pools."""
     by_p = _by(pools, by)
     inc_by = _by(increments, by_p)
     inc = pools.select(*by_p, "row_idx").join(
@@ -98,9 +105,10 @@ def overmature_decline(pools: DataFrame, increments: DataFrame, turnover: DataFr
     amounts = inc.select(*by_p, "row_idx", *[
         F.when(F.col(c) < 0, -F.col(c)).otherwise(F.lit(0.0)).alias(p) for p, c in BIOMASS_INCREMENTS])
     losses = amounts.unpivot([*by_p, "row_idx"], [p for p, _ in BIOMASS_INCREMENTS], "source", "amount")
-    t = F.broadcast(turnover.select("source", "sink", F.col("proportion").cast("double")))
-    gains = losses.join(t, "source", "inner").select(*by_p, "row_idx", F.col("sink").alias("pool"),
-                                                     (F.col("amount") * F.col("proportion")).alias("value"))
+    t = turnover.select("source", "sink", F.col("proportion").cast("double"))
+    share = F.coalesce("proportion", F.lit(1.0))
+    gains = losses.join(t, "source", "left").where(F.col("sink").isNotNull() | (F.col("amount") != 0)).select(
+        *by_p, "row_idx", F.coalesce("sink", F.lit(UNMAPPED)).alias("pool"), (F.col("amount") * share).alias("value"))
     minus = losses.select(*by_p, "row_idx", F.col("source").alias("pool"), (-F.col("amount")).alias("value"))
     names = [c for c in pools.columns if c not in (*by_p, "row_idx")]
     base = pools
@@ -126,185 +134,74 @@ def slow_mixing(long_pools: DataFrame, rate: float = fm.SLOW_MIXING_RATE, source
 def temp_modifiers(long_pools: DataFrame, group_units: DataFrame, units: DataFrame,
                    decay_params: DataFrame, by: Sequence[str] = ("year",)) -> DataFrame:
     """H1 per (group, DOM pool): exp((MAT - RefTemp) x ln(Q10) x 0.1). decay_params:
-    (pool, base_rate, ref_temp, q10); group_units: (row_idx, spatial_unit_id)."""
+    (pool, base_rate, ref_temp, q10); group_units: (row_idx, spatial_unit_id). A group without
+    a spatial unit, or with an unknown one, keeps its rows with a NULL modifier (as C3 does;
+    C14 counts such groups)."""
     by = _by(long_pools, by)
-    dp = F.broadcast(decay_params.select("pool", "base_rate", "ref_temp", "q10"))
-    mat = F.broadcast(units.select("spatial_unit_id", "mean_annual_temperature"))
+    dp = decay_params.select("pool", "base_rate", "ref_temp", "q10")
+    mat = units.select("spatial_unit_id", "mean_annual_temperature")
     j = (long_pools.join(dp, "pool", "inner")
-         .join(group_units.select("row_idx", "spatial_unit_id"), "row_idx", "inner")
-         .join(mat, "spatial_unit_id", "inner"))
+         .join(group_units.select("row_idx", "spatial_unit_id"), "row_idx", "left")
+         .join(mat, "spatial_unit_id", "left"))
     return j.withColumn("temp_mod", fm.temp_modifier("mean_annual_temperature", "ref_temp", "q10"))
 
 
-def stand_modifiers(pools: DataFrame, max_bio, max_r=1.0, by: Sequence[str] = ("year",)) -> DataFrame:
-    """H2 per group: TotBio = Merch + Foliage + Other (absent pools count 0)."""
-    tot = None
-    for p, _ in BIOMASS_INCREMENTS:
-        c = F.col(p) if p in pools.columns else F.lit(0.0)
-        tot = c if tot is None else tot + c
-    return pools.select(*_by(pools, by), "row_idx", fm.stand_modifier(tot, max_bio, max_r).alias("stand_mod"))
+def _pool(pools: DataFrame, name: str) -> F.Column:
+    """A biomass pool; an absent one counts 0."""
+    return F.col(name) if name in pools.columns else F.lit(0.0)
+
+
+def stand_modifiers(pools: DataFrame, group_units: DataFrame, coefficients: DataFrame,
+                    by: Sequence[str] = ("year",)) -> DataFrame:
+    """H2 per group: TotBio = Merch + Foliage + Other. ``coefficients``: (spatial_unit_id, max_bio,
+    max_r), joined through the group's spatial unit; NULL where a group has none."""
+    total = _pool(pools, "Merch") + _pool(pools, "Foliage") + _pool(pools, "Other")
+    p = pools.select(*_by(pools, by), "row_idx", total.alias("__bio"))
+    j = p.join(group_units.select("row_idx", "spatial_unit_id"), "row_idx", "left").join(
+        coefficients.select("spatial_unit_id", "max_bio", "max_r"), "spatial_unit_id", "left")
+    return j.select(*_by(pools, by), "row_idx", fm.stand_modifier("__bio", "max_bio", "max_r").alias("stand_mod"))
 
 
 def decay_rates(long_pools: DataFrame, pools: DataFrame, group_units: DataFrame, units: DataFrame,
-                decay_params: DataFrame, max_bio, max_r=1.0, by: Sequence[str] = ("year",)) -> DataFrame:
+                decay_params: DataFrame, coefficients: DataFrame, by: Sequence[str] = ("year",)) -> DataFrame:
     """H3: a_k = D_k x TempMod x StandMod for each DOM pool of each group."""
     by = _by(long_pools, by)
     tm = temp_modifiers(long_pools, group_units, units, decay_params, by)
-    sm = stand_modifiers(pools, max_bio, max_r, by)
-    j = tm.join(sm, [*by, "row_idx"], "inner")
+    sm = stand_modifiers(pools, group_units, coefficients, by)
+    j = tm.join(sm, [*by, "row_idx"], "left")
     return j.withColumn("decay_rate", fm.decay_rate("base_rate", "temp_mod", "stand_mod"))
 
 
-def root_split(pools: DataFrame, sw_hw: str, hw_a, hw_b, sw_a, frp_a, frp_b, frp_c) -> DataFrame:
-    """H4 + H5: total root biomass by wood type, its fine share, fine and coarse roots."""
-    def pool(p):
-        return F.col(p) if p in pools.columns else F.lit(0.0)
-    t_hw, t_sw = fm.root_biomass(pool("Merch"), pool("Foliage"), pool("Other"), F.col(sw_hw), hw_a, hw_b, sw_a)
-    p_fine = fm.fine_root_share(t_hw, t_sw, frp_a, frp_b, frp_c)
-    total = t_hw + t_sw
-    return (pools.withColumn("total_root", total).withColumn("fine_share", p_fine)
-            .withColumn("fine_roots", F.col("total_root") * F.col("fine_share"))
-            .withColumn("coarse_roots", F.col("total_root") * (F.lit(1.0) - F.col("fine_share"))))
+ROOT_COEFFICIENTS = ("hw_a", "hw_b", "sw_a", "frp_a", "frp_b", "frp_c")
+
+
+def root_split(pools: DataFrame, sw_hw: str, coefficients: DataFrame) -> DataFrame:
+    """H4 + H5: total root biomass by wood type, its fine share, fine and coarse roots.
+    ``coefficients``: one row per wood type (sw_hw and ``ROOT_COEFFICIENTS``); a group of
+    unknown wood type has NULL roots."""
+    c = coefficients.select(F.col("sw_hw").alias("__wood"), *[F.col(x).alias(f"__{x}") for x in ROOT_COEFFICIENTS])
+    j = pools.join(c, F.col(sw_hw) == F.col("__wood"), "left")
+    t_hw, t_sw = fm.root_biomass(_pool(pools, "Merch"), _pool(pools, "Foliage"), _pool(pools, "Other"), F.col(sw_hw),
+                                 "__hw_a", "__hw_b", "__sw_a")
+    known = F.col("__wood").isNotNull()
+    j = j.withColumn("total_root", F.when(known, t_hw + t_sw))
+    j = j.withColumn("fine_share", fm.fine_root_share("total_root", F.lit(0.0), "__frp_a", "__frp_b", "__frp_c"))
+    return (j.withColumn("fine_roots", F.col("total_root") * F.col("fine_share"))
+            .withColumn("coarse_roots", F.col("total_root") * (F.lit(1.0) - F.col("fine_share")))
+            .drop("__wood", *[f"__{x}" for x in ROOT_COEFFICIENTS]))
 
 
 def decay_matrix(rates: DataFrame, sinks: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Per-group decay transfers from H3 rates: (by..., row_idx, pool, decay_rate) and the
     destinations of decayed carbon (pool, sink, share) give rows (row_idx, source, sink,
-    proportion): rate x share to each sink and 1 - rate staying in the pool."""
+    proportion): rate x share to each sink and 1 - rate staying in the pool. Without a
+    destination, decayed carbon goes to ``UNMAPPED``."""
     by = _by(rates, by)
     r = rates.select(*by, "row_idx", F.col("pool").alias("source"), "decay_rate")
-    out = r.join(F.broadcast(sinks.select(F.col("pool").alias("source"), "sink", "share")), "source", "inner").select(
-        *by, "row_idx", "source", "sink", (F.col("decay_rate") * F.col("share")).alias("proportion"))
+    to = sinks.select(F.col("pool").alias("source"), "sink", "share")
+    out = r.join(to, "source", "left").select(
+        *by, "row_idx", "source", F.coalesce("sink", F.lit(UNMAPPED)).alias("sink"),
+        (F.col("decay_rate") * F.coalesce("share", F.lit(1.0))).alias("proportion"))
     stay = r.select(*by, "row_idx", "source", F.col("source").alias("sink"),
                     (F.lit(1.0) - F.col("decay_rate")).alias("proportion"))
     return out.unionByName(stay)
-
-
-def pools_wide(long_pools: DataFrame, names: Sequence[str], by: Sequence[str] = ("year",)) -> DataFrame:
-    """Long -> wide with the pool list given (``pivot`` with values: no extra job)."""
-    by = _by(long_pools, by)
-    return long_pools.groupBy(*by, "row_idx").pivot("pool", list(names)).agg(F.first("value"))
-
-
-def advance_year(pools: DataFrame, parameters: DataFrame, disturbance_matrix: DataFrame,
-                 dom_turnover: DataFrame | None = None, bio_turnover: DataFrame | None = None,
-                 decay: DataFrame | None = None, flux_map: DataFrame | None = None,
-                 slow_rate: float | None = fm.SLOW_MIXING_RATE,
-                 slow_pools: tuple[str, str] = ("AboveGroundSlowSoil", "BelowGroundSlowSoil"),
-                 pool_names: Sequence[str] | None = None, by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """One year over all groups, in the documented order: disturbance, half growth,
-    dead-matter turnover, biomass turnover, overmature decline, half growth, decay, slow
-    mixing.
-
-    ``parameters``: (row_idx, disturbance_type, three increments). Matrices: disturbance
-    (disturbance_type_id, source, sink, proportion); turnovers (source, sink, proportion);
-    decay either the same shape or per group (row_idx, source, sink, proportion; see
-    ``decay_matrix``). ``flux_map`` (process, source, sink, flux) names the carbon moved by
-    each process; growth adds ``DeltaBiomass_AG``.
-
-    The year runs on long pools (by..., row_idx, pool, value). The group's parameters are
-    joined once and carried through every step as grouping keys, so each step is one
-    broadcast join with its matrix and one aggregation, growth is a column expression, and
-    the pivot back to wide happens once at the end. Returns (wide pools, long flux
-    (by..., row_idx, flux, value)). Callers write the result before the next year."""
-    by = list(by)
-    names = list(pool_names) if pool_names is not None else _pool_names(
-        [c for c in pools.columns if c not in (*by, "row_idx")],
-        [m for m in (disturbance_matrix, dom_turnover, bio_turnover, decay) if m is not None],
-        slow_pools if slow_rate else ())
-    w = pools
-    for n in names:
-        if n not in w.columns:
-            w = w.withColumn(n, F.lit(0.0))
-    inc_cols = [c for _, c in BIOMASS_INCREMENTS]
-    by_par = _by(parameters, by)
-    par = parameters.select(*by_par, "row_idx",
-                            F.coalesce(F.col("disturbance_type"), F.lit(0)).cast("int").alias("disturbance_type_id"),
-                            *[F.col(c).cast("double").alias(c) for c in inc_cols])
-    carry = ["disturbance_type_id", *inc_cols]
-    lp = pools_long(w, names, by).join(par, [*by_par, "row_idx"], "left").fillna(0, subset=["disturbance_type_id"])
-    fluxes: list[DataFrame] = []
-
-    def transfer(lp: DataFrame, matrix: DataFrame, process: str, selector: str | None = None) -> DataFrame:
-        if selector is None:
-            selector = "row_idx" if "row_idx" in matrix.columns else "__sel"
-        if selector == "__sel":
-            lp, matrix = lp.withColumn("__sel", F.lit(0)), matrix.withColumn("__sel", F.lit(0))
-        if flux_map is not None:
-            fluxes.append(transfer_flux(lp, matrix, flux_map.where(F.col("process") == process), selector, by))
-        out = apply_transfers(lp, matrix, selector, by, carry=carry)
-        return out
-
-    def grow(lp: DataFrame) -> DataFrame:
-        add = F.lit(0.0)
-        for pool, c in BIOMASS_INCREMENTS:
-            add = F.when(F.col("pool") == pool, _growth(F.col(c))).otherwise(add)
-        if flux_map is not None:
-            total = sum((_growth(F.col(c)) for c in inc_cols), F.lit(0.0))
-            one = lp.where(F.col("pool") == names[0])  # one row per group
-            fluxes.append(one.select(*_by(lp, by), "row_idx", F.lit("DeltaBiomass_AG").alias("flux"),
-                                     total.alias("value")))
-        return lp.withColumn("value", F.col("value") + add)
-
-    def decline(lp: DataFrame, turnover: DataFrame) -> DataFrame:
-        # each row emits itself minus its loss and the loss split over the turnover sinks:
-        # one explode per row (the pools are read once), sinks from a per-source list of
-        # the turnover matrix (a model dimension, broadcast)
-        loss = F.lit(0.0)
-        for pool, c in BIOMASS_INCREMENTS:
-            loss = F.when(F.col("pool") == pool, F.when(F.col(c) < 0, -F.col(c)).otherwise(F.lit(0.0))).otherwise(loss)
-        b = _by(lp, by)
-        sinks = turnover.groupBy(F.col("source").alias("pool")).agg(
-            F.collect_list(F.struct(F.col("sink").alias("p"), F.col("proportion").cast("double").alias("q")))
-            .alias("__sinks"))
-        j = lp.join(F.broadcast(sinks), "pool", "left").withColumn("__loss", loss)
-        own = F.array(F.struct(F.col("pool").alias("p"), (F.col("value") - F.col("__loss")).alias("q")))
-        moved = F.transform(F.coalesce(F.col("__sinks"), F.expr("array()")),
-                            lambda x: F.struct(x["p"].alias("p"), (F.col("__loss") * x["q"]).alias("q")))
-        rows = j.select(*b, "row_idx", *carry, F.explode(F.concat(own, moved)).alias("__i")).select(
-            *b, "row_idx", *carry, F.col("__i.p").alias("pool"), F.col("__i.q").alias("value"))
-        return rows.groupBy(*b, "row_idx", *carry, "pool").agg(strict_sum("value").alias("value"))
-
-    lp = transfer(lp, disturbance_matrix, "disturbance", "disturbance_type_id")
-    lp = grow(lp)
-    if dom_turnover is not None:
-        lp = transfer(lp, dom_turnover, "dom_turnover")
-    if bio_turnover is not None:
-        lp = transfer(lp, bio_turnover, "bio_turnover")
-        lp = decline(lp, bio_turnover)
-    lp = grow(lp)
-    if decay is not None:
-        lp = transfer(lp, decay, "decay")
-    if slow_rate and slow_pools[0] in names:
-        spark: SparkSession = lp.sparkSession
-        mix = spark.createDataFrame(
-            [(slow_pools[0], slow_pools[1], float(slow_rate)), (slow_pools[0], slow_pools[0], 1.0 - float(slow_rate))],
-            "source string, sink string, proportion double")
-        lp = transfer(lp, mix, "slow_mixing")
-    wide = pools_wide(lp, names, by).fillna(0.0, subset=names)
-    flux = None
-    for f in fluxes:
-        flux = f if flux is None else flux.unionByName(f)
-    if flux is not None:
-        flux = flux.groupBy(*_by(flux, by), "row_idx", "flux").agg(F.sum("value").alias("value"))
-    return wide.select(*_by(wide, by), "row_idx", *names), flux
-
-
-def _pool_names(names, matrices, extra=()) -> list[str]:
-    """Pools named by the input and by the matrices. The distinct (source, sink) pairs are
-    at most pools x pools, whatever the number of groups, so they are read on the driver
-    (a partial aggregation, even for per-group matrices). Every pool a transfer can reach
-    must be listed: the pivot back to wide keeps only listed pools."""
-    out = list(names)
-    for p, _ in BIOMASS_INCREMENTS:
-        if p not in out:
-            out.append(p)
-    for m in matrices:
-        for r in m.select("source", "sink").distinct().collect():
-            for p in (r[0], r[1]):
-                if p not in out:
-                    out.append(p)
-    for p in extra:
-        if p not in out:
-            out.append(p)
-    return out

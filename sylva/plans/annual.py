@@ -1,30 +1,20 @@
-"""The yearly run: spinup inputs, then for each year disturbances -> cohort groups -> carbon
-dynamics -> areas and totals -> snapshot.
-
-Each year is a batch of DataFrame jobs over all groups and cohorts. At the end of a year
-the five tables are written to ``<root>/<table>/year=<y>`` and read back, so year t+1
-starts from files (lineage cut; a lost executor recomputes at most one year) and a
-failed run can resume from the last written year. The equilibrium spinup itself is not
-built (it is a simulator); ``initial_tables`` starts from given or empty pools."""
+"""Table work around a year's step: the group table before the first year and the preparation of
+the cohort groups of a year. The step itself, and the equilibrium spinup, are simulators and not
+part of this library."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sylva.functions.columns import choose_column, fill_or_add
-from sylva.functions.formulas import SLOW_MIXING_RATE
+from sylva.functions.columns import choose_column
 from sylva.operators import attributes as at
-from sylva.operators import events as ev
 from sylva.operators import groups as gr
 from sylva.operators import growth as gw
-from sylva.operators import reports as rp
-from sylva.operators import transfers as tr
-from sylva.session import SAFE_UNION, conf, materialize, shared_dir
-from sylva.sources import snapshots as sn
+from sylva.session import materialize
 from sylva.sources.schema import ID_COLUMNS, CarbonTables, require_columns, shared_classifiers
 
 
@@ -34,29 +24,14 @@ class Inputs:
     cohorts: DataFrame
     gcmeta: DataFrame
     increments: DataFrame
-    events: DataFrame | None = None
-    meta: DataFrame | None = None
     units: DataFrame | None = None  # spatial units (A2 output)
 
 
-@dataclass(frozen=True)
-class Model:
-    disturbance_matrix: DataFrame
-    dom_turnover: DataFrame | None = None
-    bio_turnover: DataFrame | None = None
-    decay: DataFrame | None = None
-    flux_map: DataFrame | None = None
-    slow_rate: float | None = SLOW_MIXING_RATE
-    pool_names: tuple[str, ...] | None = None
-
-
 @dataclass(frozen=True)
 class Options:
-    default_delay_regen: int = 0
     default_delay_spinup: int = 0
     default_historical_disturbance_type: int = 1
     default_last_pass_disturbance_type: int = 1
-    emissions_columns: tuple[str, ...] = ()
 
 
 def classifiers(inputs: Inputs) -> list[str]:
@@ -66,7 +41,7 @@ def classifiers(inputs: Inputs) -> list[str]:
 
 def spinup_inputs(inputs: Inputs, opts: Options = Options()):
     """C1 -> D1 -> C2 -> C3 -> B8 -> B2/B1 -> C4: (key, groups, increments per group)."""
-    require_columns(inputs.cohorts, "cohortDT", ("cohortID", "pixelIndex", "age"))
+    require_columns(inputs.cohorts, "cohorts", ("cohortID", "pixelIndex", "age"))
     cs = at.cohorts_with_stands(inputs.cohorts, inputs.stands)
     key, groups = gr.cohort_groups(cs)
     groups = at.attach_curves(groups, inputs.gcmeta)
@@ -84,167 +59,32 @@ def spinup_inputs(inputs: Inputs, opts: Options = Options()):
     return key, groups, gw.expand_increments(groups, inputs.increments)
 
 
-def initial_tables(key: DataFrame, groups: DataFrame, stands: DataFrame, pools: DataFrame | None = None,
-                   pool_names: Sequence[str] = ("Merch", "Foliage", "Other"), opts: Options = Options()) -> CarbonTables:
-    """Year-0 tables from spinup groups. State: the group attributes, delay = delayRegen
-    (or the default), time since last disturbance = age when unknown (stand origin at age
-    0). Pools: given per row_idx, else zero with Input = 1."""
-    state = groups.drop("area", "delay")  # the spinup delay is not the regeneration delay
-    if "delayRegen" in state.columns:
-        state = state.withColumnRenamed("delayRegen", "delay")
-    state = fill_or_add(state, "delay", opts.default_delay_regen, "int")
-    if "time_since_last_disturbance" not in state.columns:
-        state = state.withColumn("time_since_last_disturbance", F.col("age").cast("double"))
-    # each cohort carries its stand's area from here on, so yearly group areas never
-    # join the (large) stand table again. LEFT: every cohort stays in the key; a cohort
-    # without a stand makes its group's area NULL (strict sums, see quality.orphans)
-    key = key.drop("area").join(rp.stand_areas(stands), "pixelIndex", "left")
-    area = rp.group_area(key, None, by=()).select("row_idx", "area_ha")
-    state = state.join(area, "row_idx", "left").withColumnRenamed("area_ha", "area")
-    if pools is None:
-        pools = groups.select("row_idx", F.lit(1.0).alias("Input"), *[F.lit(0.0).alias(p) for p in pool_names])
-    params = state.select("row_idx", "age", F.lit(0).cast("int").alias("disturbance_type"))
-    return CarbonTables(key=key, parameters=params, state=state, pools=pools, flux=None)
-
-
-def prep_cohort_groups(t: CarbonTables, inputs: Inputs, cls: Sequence[str]) -> CarbonTables:
-    """annual group preparation: C7 -> D2 -> D3 -> C8 + B5 -> F2 -> B6 -> C9 -> C10."""
-    split = gr.split_disturbed(t.key, t.state, t.pools, cls)
-    key = gr.apply_split_to_key(t.key, split)
-    state = gr.union_fill(t.state, gr.reset_disturbed_state(gr.clone_group_rows(split.new_groups, t.state)))
-    pools = gr.union_fill(t.pools, gr.reset_disturbed_pools(gr.clone_group_rows(split.new_groups, t.pools)))
+def prepare_groups(t: CarbonTables, inputs: Inputs, cls: Sequence[str], by: Sequence[str] = ()) -> CarbonTables:
+    """The cohort groups of a year (or, with ``by``, of a panel of years) after its disturbances:
+    C7 -> D2 -> D3 -> C8 + B5 -> F2 -> B6 -> C9 -> C10. ``t.key`` is the marked key (C6).
+
+    The marked key is stored once. The new key is stored before it is returned, and every group
+    table keeps exactly the groups of ``live_groups``, so all tables hold the same row_idx."""
+    by = list(by)
+    marked = materialize(t.key, "marked-key")
+    state = t.state
+    split = gr.split_disturbed(marked, state, t.pools, cls, by)
+    key = materialize(gr.apply_split_to_key(marked, split, by), "new-key")
+    live = materialize(gr.live_groups(marked, split, by), "live-groups")
+    if by and not set(by) <= set(state.columns):
+        # a state without the panel's columns holds for every year in which its group lives
+        years = marked.select(*by, "row_idx").distinct()
+        state = years.join(state, "row_idx", "inner")
+    state = gr.union_fill(state, gr.reset_disturbed_state(gr.clone_group_rows(split.new_groups, state, by)))
+    pools = gr.union_fill(t.pools, gr.reset_disturbed_pools(gr.clone_group_rows(split.new_groups, t.pools, by)))
     flux = None
     if t.flux is not None:
-        flux = gr.union_fill(t.flux, gr.clone_group_rows(split.new_groups, t.flux))
-    params = gr.parameters_from_state(t.parameters.select("row_idx"), state, split.new_groups)
-    state, pools, params = (gr.drop_inactive(x, key) for x in (state, pools, params))
-    flux = gr.drop_inactive(flux, key) if flux is not None else None
-    incs = gw.annual_increments(state, inputs.gcmeta, inputs.increments, cls).select("row_idx", *gw.INCREMENT_COLUMNS)
-    params = params.join(incs, "row_idx", "left")
-    return CarbonTables(key=key, parameters=params, state=state, pools=pools, flux=flux)
-
-
-def advance_state(state: DataFrame, params: DataFrame) -> DataFrame:
-    """End-of-step state: a disturbed group restarts at age 0 and time since disturbance 0;
-    then every group ages one year."""
-    d = params.select("row_idx", (F.coalesce(F.col("disturbance_type"), F.lit(0)) > 0).alias("__dist"))
-    s = state.join(d, "row_idx", "left").fillna(False, subset=["__dist"])
-    age_t = dict(state.dtypes)["age"]
-    s = s.withColumn("age", (F.when(F.col("__dist"), F.lit(0)).otherwise(F.col("age")) + 1).cast(age_t))
-    s = s.withColumn("time_since_last_disturbance",
-                     (F.when(F.col("__dist"), F.lit(0.0)).otherwise(F.col("time_since_last_disturbance")) + 1.0))
-    return s.drop("__dist")
-
-
-def flux_wide(flux_long: DataFrame | None, rows: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Long flux -> one column per name, 0 where a group moved nothing."""
-    names = list(dict.fromkeys(names))
-    if flux_long is None:
-        return rows.select("row_idx", *[F.lit(0.0).alias(n) for n in names])
-    w = flux_long.groupBy("row_idx").pivot("flux", names).agg(F.sum("value"))
-    return rows.select("row_idx").join(w, "row_idx", "left").fillna(0.0, subset=names)
-
-
-def flux_names(model: Model) -> list[str]:
-    names = list(rp.CO2_FLUX + rp.CH4_FLUX + rp.CO_FLUX + rp.NPP_FLUX)
-    if model.flux_map is not None:
-        names += [r[0] for r in model.flux_map.select("flux").distinct().collect()]  # model dimension
-    return list(dict.fromkeys(names))
-
-
-def carbon_dynamics(t: CarbonTables, inputs: Inputs, model: Model, opts: Options, year: int,
-                    names: Sequence[str] | None = None) -> CarbonTables:
-    """C13 + B4 + H11 + state update + B7 gate + group areas."""
-    state, params = t.state, t.parameters
-    if inputs.units is not None and "admin_name" in state.columns:
-        state, params = at.fill_spatial_unit(state, inputs.units, params)
-    if "sw_hw" in state.columns:
-        state = at.default_sw_hw(state, params)  # B4: one guard job per year
-    pools, flux_long = tr.advance_year(
-        t.pools, params, model.disturbance_matrix, model.dom_turnover, model.bio_turnover, model.decay,
-        model.flux_map, model.slow_rate, pool_names=model.pool_names)
-    pool_cols = [c for c in pools.columns if c != "row_idx"]
-    if flux_long is not None:
-        # pools and flux come out of the same chain of transfers: write them as one long
-        # table in one plan, so AQE reuses the shared shuffles instead of running the chain
-        # once for the pools and again for the flux
-        both = rp.pools_long(pools, pool_cols, by=()).select(
-            "row_idx", F.lit("pool").alias("kind"), F.col("pool").alias("name"), "value").unionByName(
-            flux_long.select("row_idx", F.lit("flux").alias("kind"), F.col("flux").alias("name"), "value"))
-        both = materialize(both, "year-step")
-        pools = tr.pools_wide(both.where(F.col("kind") == "pool").withColumnRenamed("name", "pool"), pool_cols, by=())
-        flux_long = both.where(F.col("kind") == "flux").select("row_idx", F.col("name").alias("flux"), "value")
-    flux = flux_wide(flux_long, pools, names if names is not None else flux_names(model))
-    state = advance_state(state, params)
-    state, params = at.regen_delay_gate(state, params)
-    areas = rp.group_area(t.key, inputs.stands, by=())  # no join when the key carries area
-    state = state.drop("area").join(areas.select("row_idx", F.col("area_ha").alias("area")), "row_idx", "left")
-    return CarbonTables(key=t.key, parameters=params, state=state, pools=pools, flux=flux)
-
-
-def year_totals(t: CarbonTables, year: int, names: Sequence[str], stands: DataFrame | None = None) -> DataFrame:
-    """The year's row: flux totals and the product stock in one aggregation over groups
-    (D5, D7), then the gases (D6). Group areas in m2 come from the key (which carries the
-    stand area: one partial aggregation, no join), so totals are exact sums divided once."""
-    prod = F.col("Products") if "Products" in t.pools.columns else F.lit(0.0)
-    fp = t.flux.join(t.pools.select("row_idx", prod.alias("Products")), "row_idx", "inner")
-    a = rp.group_area(t.key, stands, by=()).select("row_idx", "area_m2")
-    fp, a = fp.withColumn("year", F.lit(int(year))), a.withColumn("year", F.lit(int(year)))
-    totals = rp.flux_totals(fp, a, by=("year",), columns=[*names, "Products"])
-    return rp.emission_gases(totals).withColumnRenamed("Products", "products_stock")
-
-
-def _materialize(t: CarbonTables, root: str, stage: str, year: int) -> CarbonTables:
-    spark = t.key.sparkSession
-    tabs = {"key": t.key, **t.group_tables()}
-    sn.write_snapshot(tabs, f"{root}/_work/{stage}", year, save_all=True)
-    return reload(spark, f"{root}/_work/{stage}", year)
-
-
-def reload(spark: SparkSession, root: str, year: int) -> CarbonTables:
-    """Read one year's tables back (a table never written, e.g. flux before the first
-    step, comes back as None)."""
-    from pyspark.errors import AnalysisException
-    tabs = {}
-    for n in sn.ALL_TABLES:
-        try:
-            tabs[n] = sn.read_year(spark, root, n, year)
-        except AnalysisException:
-            tabs[n] = None
-    return CarbonTables(**tabs)
-
-
-def run_years(spark: SparkSession, inputs: Inputs, model: Model, start: int, end: int,
-              initial: CarbonTables, root: str | None = None, opts: Options = Options(),
-              save_spinup: bool = True) -> DataFrame:
-    """Run ``start``..``end``; returns emissionsProducts (year, Products, Emissions, CO2, CH4,
-    CO, extra columns) over all years. Snapshots of every year are under ``root``."""
-    with conf(spark, **SAFE_UNION):
-        return _run_years(spark, inputs, model, start, end, initial, root, opts, save_spinup)
-
-
-def _run_years(spark, inputs, model, start, end, initial, root, opts, save_spinup) -> DataFrame:
-    root = root or shared_dir(spark, "run")
-    cls = classifiers(inputs)
-    names = flux_names(model)
-    if model.pool_names is None:  # fix the pool list once per run (no per-year driver reads)
-        pool_cols = [c for c in initial.pools.columns if c != "row_idx"]
-        mats = [m for m in (model.disturbance_matrix, model.dom_turnover, model.bio_turnover, model.decay)
-                if m is not None]
-        slow = ("AboveGroundSlowSoil", "BelowGroundSlowSoil") if model.slow_rate else ()
-        model = replace(model, pool_names=tuple(tr._pool_names(pool_cols, mats, slow)))
-    if save_spinup:
-        sn.write_snapshot(initial.group_tables() | {"key": initial.key}, root, 0, save_all=True, spinup=True)
-    t = initial
-    for year in range(int(start), int(end) + 1):
-        key = ev.prep_disturbances(t.key, inputs.events, inputs.meta, year=year)
-        key = materialize(key, "marked-key")
-        t = _materialize(prep_cohort_groups(t.with_(key=key), inputs, cls), root, "prepared", year)
-        t = carbon_dynamics(t, inputs, model, opts, year, names)
-        sn.write_snapshot({"key": t.key, **t.group_tables()}, root, year, save_all=True)
-        t = reload(spark, root, year)
-        sn.append_year(year_totals(t, year, names, inputs.stands), root, "yearly")
-    yearly = sn.read_snapshots(spark, root, "yearly")
-    out = rp.products_by_year(yearly)
-    cols = [c for c in ("Products", "Emissions", "CO2", "CH4", "CO", *opts.emissions_columns) if c in out.columns]
-    return out.select("year", *dict.fromkeys(cols))
+        flux = gr.drop_inactive(gr.union_fill(t.flux, gr.clone_group_rows(split.new_groups, t.flux, by)), live, by)
+    old = t.parameters.select(*[c for c in by if c in t.parameters.columns], "row_idx")
+    if by and not set(by) <= set(old.columns):
+        old = marked.select(*by, "row_idx").distinct().join(old, "row_idx", "left_semi")
+    state = materialize(gr.drop_inactive(state, live, by), "new-state")
+    params = gr.drop_inactive(gr.parameters_from_state(old, state, split.new_groups, by), live, by)
+    incs = gw.annual_increments(state, inputs.gcmeta, inputs.increments, cls).select(*by, "row_idx", *gw.INCREMENT_COLUMNS)
+    params = params.join(incs, [*by, "row_idx"], "left")
+    return CarbonTables(key=key, parameters=params, state=state, pools=gr.drop_inactive(pools, live, by), flux=flux)

@@ -6,10 +6,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sylva.functions.columns import fill_or_add
+from sylva.functions.columns import choose_column, fill_or_add
 from sylva.operators import attributes as at
 from sylva.operators import events as ev
 from sylva.operators import groups as gr
@@ -17,18 +17,17 @@ from sylva.operators import growth as gw
 from sylva.operators import quality as qa
 from sylva.operators import reports as rp
 from sylva.operators import transfers as tr
-from sylva.session import shared_dir
+from sylva.plans import annual as an
+from sylva.session import materialize, shared_dir
 from sylva.sources import snapshots as sn
-from sylva.sources.fixtures import Fixtures
-from sylva.sources.schema import shared_classifiers
+from sylva.sources.fixtures import GROUP_KINDS, Fixtures
+from sylva.sources.schema import CarbonTables, shared_classifiers
 from sylva.streaming.events import ingest_events
 
 Y = ("year",)
-# Test coefficients for the formula queries (dyadic where they are summed).
-STAND_MAX_BIO, STAND_MAX_R = 8.0, 2.0
-ROOT = dict(hw_a=1.5, hw_b=0.75, sw_a=0.25, frp_a=0.125, frp_b=0.5, frp_c=4.0)
-N_SPATIAL_UNITS = 25
 DIGITS = 9
+#: Last year of the event horizon (the event years are days of a month).
+HORIZON = 30
 
 
 # ---- shared building blocks -------------------------------------------------------------
@@ -53,11 +52,13 @@ def _marked(fx: Fixtures) -> DataFrame:
     return ev.mark_cohorts(fx.key, _winners(fx), by=Y)
 
 
+def _classifiers(fx: Fixtures) -> list[str]:
+    return shared_classifiers(fx.cohort, fx.gcmeta, exclude=("cohortID", "pixelIndex", "gcID", "sw", "age"))
+
+
 def _split(fx: Fixtures):
-    marked = _marked(fx)
-    cls = shared_classifiers(fx.cohort, fx.gcmeta, exclude=("cohortID", "pixelIndex", "gcID", "sw", "age"))
-    split = gr.split_disturbed(marked, fx.state, fx.pools, classifiers=cls, by=Y)
-    return marked, split
+    marked = materialize(_marked(fx), "marked-key")
+    return marked, gr.split_disturbed(marked, fx.state, fx.pools, classifiers=_classifiers(fx), by=Y)
 
 
 def _areas(fx: Fixtures) -> DataFrame:
@@ -65,7 +66,10 @@ def _areas(fx: Fixtures) -> DataFrame:
 
 
 def _group_units(fx: Fixtures) -> DataFrame:
-    return fx.state.select("row_idx", (F.col("row_idx") % N_SPATIAL_UNITS + 1).cast("int").alias("spatial_unit_id"))
+    """A spatial unit per group; every thirteenth group has none."""
+    n = fx.spatial_unit.count()
+    unit = F.when(F.col("row_idx") % 13 != 0, (F.col("row_idx") % n + 1).cast("int"))
+    return fx.state.select("row_idx", unit.alias("spatial_unit_id"))
 
 
 def _group_types(df: DataFrame) -> DataFrame:
@@ -93,13 +97,130 @@ def q_spatial_units(spark, d):
 
 
 def q_read_snapshots(spark, d):
+    """Years 1, 3, 5, 7 and a spinup year 0 that has fewer pools."""
     fx = Fixtures(spark, d)
-    root = shared_dir(spark, "snapshots")
+    root = sn.open_store(spark, shared_dir(spark, "snapshots"))
     sn.write_panel(fx.pools, root, "pools")
-    years = sn.save_years(1, 2, 7)
+    spinup = fx.pools.where("year = 1").drop("Products")
+    sn.write_snapshot({"pools": spinup}, root, 0, spinup=True)
+    years = sn.save_years(1, 2, 7, spinup=True)
     return sn.read_snapshots(spark, root, "pools", years).select("year", "row_idx", "Merch", "Products")
 
 
+def q_write_snapshot(spark, d):
+    """The tables and years that each set of save options leaves in a store."""
+    fx = Fixtures(spark, d)
+    tables = {"key": fx.key, "parameters": fx.key.select("year", "row_idx").distinct(), "pools": fx.pools, "flux": fx.flux}
+    out = None
+    for option, kw in (("default", {}), ("save_all", {"save_all": True})):
+        root = sn.open_store(spark, shared_dir(spark, "store"))
+        for name in sn.write_years(tables, root, 2, 3, 7, **kw):
+            rows = sn.read_snapshots(spark, root, name).groupBy("year").agg(F.count("*").alias("n")).select(
+                F.lit(option).alias("option"), F.lit(name).alias("name"), "year", "n")
+            out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def q_append_year(spark, d):
+    """each year's totals added to the results one by one, one of them twice, read back."""
+    fx = Fixtures(spark, d)
+    root = sn.open_store(spark, shared_dir(spark, "results"))
+    totals = materialize(rp.products_stock(fx.pools, _areas(fx), Y), "totals")
+    for y in (1, 2, 3, 2):
+        sn.append_year(totals.where(F.col("year") == y), root, "yearly")
+    return sn.read_snapshots(spark, root, "yearly").select("year", "products_stock")
+
+
+def q_year_filter(spark, d):
+    events = Fixtures(spark, d).events.withColumn("year", F.col("year").cast("double"))
+    return ev.year_filter(events, 12).select("pixelIndex", F.col("year").cast("int").alias("year"), "eventID")
+
+
+def q_spinup_parameters(spark, d):
+    """B8 + B2 + B1 on cohort groups with their own spinup age column and no delay column."""
+    fx = Fixtures(spark, d)
+    _, groups = _d1(fx)
+    groups = at.per_hectare(groups).withColumn("ageSpinup", F.col("age") + 100)
+    out = at.spinup_defaults(groups, age_col=choose_column(groups, "ageSpinup", "age"),
+                             delay_col=choose_column(groups, "delaySpinup", "delay"), default_delay=3)
+    return out.select("row_idx", "area", "age", "age_in", "delay", "historical_disturbance_type", "last_pass_disturbance_type")
+
+
+def _wood(fx: Fixtures) -> DataFrame:
+    """Wood type by group: 0, 1 or unknown."""
+    return fx.state.withColumn("sw_hw", F.when(F.col("row_idx") % 3 < 2, (F.col("row_idx") % 3).cast("int")))
+
+
+def q_default_sw_hw(spark, d):
+    fx = Fixtures(spark, d)
+    state = _wood(fx)
+    still = F.when(F.col("row_idx") % 3 < 2, 1.0).otherwise(F.when(F.col("row_idx") % 2 == 0, 0.0))
+    params = fx.state.select("row_idx", still.alias("merch_inc"))
+    return at.default_sw_hw(state, params).select("row_idx", "sw_hw")
+
+
+def q_softwood_flags_step(spark, d):
+    fx = Fixtures(spark, d)
+    ids = at.species_ids(fx.species).first()
+    out = at.softwood_flags(_wood(fx), ids["sw_species_id"], ids["hw_species_id"], mode="step")
+    return out.select("row_idx", "sw_hw", F.col("species").alias("species_id"))
+
+
+def q_fill_spatial_unit_parameters(spark, d):
+    """C13 where the unit ids are there already, with the parameters filled by row_idx."""
+    fx = Fixtures(spark, d)
+    state, params = at.fill_spatial_unit(_group_units(fx), _spu(fx), fx.state.select("row_idx", "age"))
+    return params.join(state.select("row_idx", "spatial_unit_id"), "row_idx", "inner")
+
+
+def q_clone_flux(spark, d):
+    fx = Fixtures(spark, d)
+    _, split = _split(fx)
+    return gr.clone_group_rows(split.new_groups, fx.flux, Y)
+
+
+def q_emissions_products_extra(spark, d):
+    """Two more flux columns, one of them named twice, in the order asked for."""
+    fx = Fixtures(spark, d)
+    extra = (Fixtures.EMISSION_FLUX[3], Fixtures.NPP_FLUX[0], Fixtures.EMISSION_FLUX[3], "CO2")
+    return rp.emissions_products(fx.key, fx.stand, fx.flux, fx.pools, extra_columns=extra)
+
+
+def _prepared(fx: Fixtures) -> CarbonTables:
+    state = fx.state.join(_group_sites(fx), "row_idx", "left").drop("gcID")
+    inputs = an.Inputs(stands=fx.stand, cohorts=fx.cohort, gcmeta=fx.gcmeta, increments=fx.increments)
+    t = CarbonTables(key=_marked(fx), parameters=fx.state.select("row_idx"), state=state, pools=fx.pools, flux=fx.flux)
+    return an.prepare_groups(t, inputs, ["species"], Y)
+
+
+def _group_sites(fx: Fixtures) -> DataFrame:
+    """admin_name, eco_id and species of a group: those of the curve that its number names."""
+    curves = fx.gcmeta.withColumn("k", F.row_number().over(Window.orderBy("gcID")) - 1)  # a dimension
+    n = fx.gcmeta.count()
+    return fx.state.select("row_idx").withColumn("k", F.col("row_idx") % GROUP_KINDS % n).join(
+        curves, "k", "left").select("row_idx", "admin_name", "eco_id", "species")
+
+
+def q_prepare_groups_key(spark, d):
+    return _prepared(Fixtures(spark, d)).key.select("year", "cohortID", "row_idx_prev", "row_idx")
+
+
+def q_prepare_groups_state(spark, d):
+    return _prepared(Fixtures(spark, d)).state.select("year", "row_idx", "age", "delay", "admin_name", "eco_id", "species")
+
+
+def q_prepare_groups_pools(spark, d):
+    return _prepared(Fixtures(spark, d)).pools
+
+
+def q_prepare_groups_flux(spark, d):
+    return _prepared(Fixtures(spark, d)).flux
+
+
+def q_prepare_groups_parameters(spark, d):
+    return _prepared(Fixtures(spark, d)).parameters.select("year", "row_idx", "disturbance_type", "age", *gw.INCREMENT_COLUMNS)
+
+
 def q_fill_or_add(spark, d):
     s = Fixtures(spark, d).stand
     s = fill_or_add(s, "historical_disturbance_type", 1, "int")
@@ -238,8 +359,7 @@ def q_union_fill(spark, d):
 def q_drop_inactive(spark, d):
     fx = Fixtures(spark, d)
     marked, split = _split(fx)
-    key = gr.apply_split_to_key(marked, split, Y)
-    return gr.drop_inactive(_union_pools(fx, split), key, Y)
+    return gr.drop_inactive(_union_pools(fx, split), gr.live_groups(marked, split, Y), Y)
 
 
 def q_last_increment(spark, d):
@@ -263,7 +383,10 @@ def q_cohorts_with_area(spark, d):
 
 
 def q_group_area(spark, d):
-    return _areas(Fixtures(spark, d))
+    """Every fiftieth stand has no known area."""
+    fx = Fixtures(spark, d)
+    stands = fx.stand.withColumn("area", F.when(F.col("pixelIndex") % 50 != 0, F.col("area")))
+    return rp.group_area(fx.key, stands, Y)
 
 
 def q_flux_totals(spark, d):
@@ -323,26 +446,8 @@ def q_total_carbon_by_stand(spark, d):
 
 def q_age_panel(spark, d):
     fx = Fixtures(spark, d)
-    end = fx.events.agg(F.max("year")).first()[0]  # horizon end: one scalar
-    return ev.age_panel(_winners(fx), end, cohorts=fx.cohort, delay_col="delayRegen")
-
-
-def advance_year_inputs(fx: Fixtures):
-    """Pools panel, parameters (type + increments) and per-group decay matrix for H11."""
-    params = _group_types(_state_increments(fx)).withColumnRenamed("disturbance_type_id", "disturbance_type")
-    lp = rp.pools_long(fx.pools, None, Y)
-    rates = tr.decay_rates(lp, fx.pools, _group_units(fx), _units(fx), fx.decay, STAND_MAX_BIO, STAND_MAX_R, Y)
-    decay = tr.decay_matrix(rates.select("year", "row_idx", "pool", "decay_rate"), fx.decay_sinks, Y)
-    return params, decay
-
-
-def q_advance_year(spark, d):
-    fx = Fixtures(spark, d)
-    params, decay = advance_year_inputs(fx)
-    pools, _ = tr.advance_year(fx.pools, params, fx.matrix, None, fx.turnover, decay, fx.process_flux,
-                               by=Y)
-    names = [c for c in pools.columns if c not in ("year", "row_idx")]
-    return rp.pools_long(pools, names, Y)
+    winners = ev.resolve_events(ev.type_events(fx.sparse_events, fx.distmeta), by=Y)
+    return ev.age_panel(winners, HORIZON, cohorts=fx.cohort, delay_col="delayRegen")
 
 
 def q_ingest_events(spark, d):
@@ -354,7 +459,12 @@ def q_ingest_events(spark, d):
 
 def q_orphans(spark, d):
     fx = Fixtures(spark, d)
-    return qa.orphans(fx.stand, fx.cohort, fx.events, fx.distmeta, fx.gcmeta)
+    twice = F.explode(F.when(F.col("pixelIndex") % 37 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    stands = fx.stand.withColumn("__copy", twice).drop("__copy")
+    meta = fx.distmeta.unionByName(fx.distmeta.where("eventID = 2").withColumn("priority", F.lit(9)))
+    curves = fx.gcmeta.unionByName(fx.gcmeta.where("gcID % 10 = 3").withColumn("gcID", F.col("gcID") + 1000))
+    units = _units(fx).unionByName(_units(fx).where("spatial_unit_id = 4"))
+    return qa.orphans(stands, fx.cohort, fx.events, meta, curves, units, _group_units(fx))
 
 
 def q_temp_modifier(spark, d):
@@ -366,20 +476,20 @@ def q_temp_modifier(spark, d):
 
 def q_stand_modifier(spark, d):
     fx = Fixtures(spark, d)
-    return tr.stand_modifiers(fx.pools, STAND_MAX_BIO, STAND_MAX_R, Y).select("year", "row_idx", _r("stand_mod"))
+    return tr.stand_modifiers(fx.pools, _group_units(fx), fx.stand_coefficients, Y).select("year", "row_idx", _r("stand_mod"))
 
 
 def q_decay_rates(spark, d):
     fx = Fixtures(spark, d)
     lp = rp.pools_long(fx.pools, None, Y)
-    out = tr.decay_rates(lp, fx.pools, _group_units(fx), _units(fx), fx.decay, STAND_MAX_BIO, STAND_MAX_R, Y)
+    out = tr.decay_rates(lp, fx.pools, _group_units(fx), _units(fx), fx.decay, fx.stand_coefficients, Y)
     return out.select("year", "row_idx", "pool", _r("decay_rate"))
 
 
 def q_root_split(spark, d):
     fx = Fixtures(spark, d)
-    p = fx.pools.withColumn("sw_hw", (F.col("row_idx") % 2).cast("int"))
-    out = tr.root_split(p, "sw_hw", **ROOT)
+    p = fx.pools.join(_wood(fx).select("row_idx", "sw_hw"), "row_idx", "left")
+    out = tr.root_split(p, "sw_hw", fx.roots)
     return out.select("year", "row_idx", _r("total_root"), _r("fine_roots"), _r("coarse_roots"))
 
 
@@ -414,6 +524,20 @@ def q_slow_mixing(spark, d):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "spatial_units": q_spatial_units,
     "read_snapshots": q_read_snapshots,
+    "write_snapshot": q_write_snapshot,
+    "append_year": q_append_year,
+    "year_filter": q_year_filter,
+    "spinup_parameters": q_spinup_parameters,
+    "default_sw_hw": q_default_sw_hw,
+    "softwood_flags_step": q_softwood_flags_step,
+    "fill_spatial_unit_parameters": q_fill_spatial_unit_parameters,
+    "clone_flux": q_clone_flux,
+    "emissions_products_extra": q_emissions_products_extra,
+    "prepare_groups_key": q_prepare_groups_key,
+    "prepare_groups_state": q_prepare_groups_state,
+    "prepare_groups_pools": q_prepare_groups_pools,
+    "prepare_groups_flux": q_prepare_groups_flux,
+    "prepare_groups_parameters": q_prepare_groups_parameters,
     "fill_or_add": q_fill_or_add,
     "softwood_flags": q_softwood_flags,
     "regen_delay_gate": q_regen_delay_gate,
@@ -454,7 +578,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "age_panel": q_age_panel,
     "orphans": q_orphans,
     "ingest_events": q_ingest_events,
-    "advance_year": q_advance_year,
     "temp_modifier": q_temp_modifier,
     "stand_modifier": q_stand_modifier,
     "decay_rates": q_decay_rates,

@@ -4,7 +4,7 @@ way the Spark operators run, so the check is independent of the distributed desi
 
 from __future__ import annotations
 
-from sylva.plans.catalog import DIGITS, N_SPATIAL_UNITS, ROOT, STAND_MAX_BIO, STAND_MAX_R
+from sylva.plans.catalog import DIGITS, HORIZON
 from sylva.sources.fixtures import Fixtures, with_fixtures
 
 EMI = Fixtures.EMISSION_FLUX
@@ -41,6 +41,8 @@ left join (select distinct eventID, disturbance_type_id, priority from f_distmet
 WIN = ("winners", """select pixelIndex, year, eventID, disturbance_type_id from (
   select *, row_number() over (partition by pixelIndex, year order by priority asc nulls first,
          eventID asc nulls first, disturbance_type_id asc nulls first) as rn from typed) t where rn = 1""")
+STYPED = ("styped", TYPED[1].replace("f_events", "f_sparse_events"))
+SWIN = ("swinners", WIN[1].replace("from typed", "from styped"))
 MARKED = ("marked", """select k.year, k.cohortID, k.pixelIndex, k.row_idx, w.disturbance_type_id from f_key k
 left join winners w on k.pixelIndex = w.pixelIndex and k.year = w.year""")
 SPLIT_COLS = ("disturbance_type_id", "age", "delay", *POOLS)
@@ -77,14 +79,44 @@ left join f_increments i on i.gcID = s.gcID and i.age = case when s.age > mx.max
 LP = ("lp", long_pools())
 LPT = ("lpt", "select *, cast(row_idx % 5 as int) as disturbance_type_id from lp")
 NPP_SUM = "+".join(f"f.{c}" for c in NPP)
-GU = ("gu", f"select row_idx, cast(row_idx % {N_SPATIAL_UNITS} + 1 as int) as spatial_unit_id from f_state")
+GU = ("gu", """select row_idx, case when row_idx % 13 <> 0
+   then cast(row_idx % (select count(*) from f_spatial_unit) + 1 as int) end as spatial_unit_id from f_state""")
 TM = ("tm", """select lp.year, lp.row_idx, lp.pool, d.base_rate,
   exp((u.mean_annual_temperature - d.ref_temp) * ln(d.q10) * 0.1) as temp_mod
-from lp join f_decay d on d.pool = lp.pool join gu on gu.row_idx = lp.row_idx
-join f_spatial_unit u on u.id = gu.spatial_unit_id""")
-SM = ("sm", f"""select year, row_idx, cast(1.0 as double) + (cast({STAND_MAX_R!r} as double) - cast(1.0 as double))
-   * exp(cast(-6.93 as double) * ((Merch + Foliage + cast(0.0 as double)) / cast({STAND_MAX_BIO!r} as double)))
-   as stand_mod from f_pools""")
+from lp join f_decay d on d.pool = lp.pool left join gu on gu.row_idx = lp.row_idx
+left join f_spatial_unit u on u.id = gu.spatial_unit_id""")
+SM = ("sm", """select p.year, p.row_idx, cast(1.0 as double) + (c.max_r - cast(1.0 as double))
+   * exp(cast(-6.93 as double) * ((p.Merch + p.Foliage + cast(0.0 as double)) / c.max_bio)) as stand_mod
+from f_pools p left join gu on gu.row_idx = p.row_idx left join f_stand_coefficients c on c.spatial_unit_id = gu.spatial_unit_id""")
+WOOD = ("wood", "select row_idx, case when row_idx % 3 < 2 then cast(row_idx % 3 as int) end as sw_hw from f_state")
+SITES = ("sites", """select s.row_idx, g.admin_name, g.eco_id, g.species from f_state s
+left join (select *, row_number() over (order by gcID) - 1 as k from f_gcmeta) g
+  on g.k = s.row_idx % 30 % (select count(*) from f_gcmeta)""")
+# the same split with the site of a group among the columns that must agree
+PCOLS = ("disturbance_type_id", "species", "age", "delay", *POOLS)
+PDIST = ("pdist", f"""select m.year, m.cohortID, m.row_idx as row_idx_prev, m.disturbance_type_id, si.species, s.age, s.delay,
+       {', '.join('p.' + c for c in POOLS)}
+from marked m join f_state s on s.row_idx = m.row_idx join sites si on si.row_idx = m.row_idx
+join f_pools p on p.year = m.year and p.row_idx = m.row_idx where m.disturbance_type_id is not null""")
+PNEW = ("pnew", f"""select *, (select max(row_idx) from f_state)
+         + row_number() over (partition by year order by first_cohort) as row_idx from (
+  select year, {', '.join(PCOLS)}, min(cohortID) as first_cohort, arg_min(row_idx_prev, cohortID) as rep
+  from pdist group by year, {', '.join(PCOLS)}) g""")
+PKEY = ("pkey", f"""select m.year, m.cohortID, m.row_idx as row_idx_prev, coalesce(x.row_idx, m.row_idx) as row_idx from marked m
+left join (select d.year, d.cohortID, n.row_idx from pdist d join pnew n on d.year = n.year and {nse('d', 'n', PCOLS)}) x
+  on x.year = m.year and x.cohortID = m.cohortID""")
+PSTATE = ("pstate", """select year, row_idx, age, delay, admin_name, eco_id, species from (
+  select y.year, s.row_idx, s.age, s.delay, si.admin_name, si.eco_id, si.species
+  from (select distinct year, row_idx from f_key) y join f_state s on s.row_idx = y.row_idx join sites si on si.row_idx = s.row_idx
+  union all select n.year, n.row_idx, 1, s.delay, si.admin_name, si.eco_id, si.species
+  from pnew n join f_state s on s.row_idx = n.rep join sites si on si.row_idx = n.rep) a
+where exists (select 1 from pkey k where k.year = a.year and k.row_idx = a.row_idx)""")
+
+def _prepared(table: str, columns: str) -> str:
+    """Old rows and those of the new groups' representatives, kept where a cohort holds the group."""
+    return f"""select * from (select * from {table} union all select n.year, n.row_idx, {columns}
+  from pnew n left join {table} p on p.year = n.year and p.row_idx = n.rep) a
+where exists (select 1 from pkey k where k.year = a.year and k.row_idx = a.row_idx)"""
 
 
 def q(body: str, *ctes) -> str:
@@ -160,10 +192,9 @@ union all select year, row_idx, pool, cast(0 as double) from lp""")
 
 
 def _age_panel() -> str:
-    e = ("ev", "select distinct pixelIndex, year as event_year from winners where disturbance_type_id is not null")
+    e = ("ev", "select distinct pixelIndex, year as event_year from swinners where disturbance_type_id is not null")
     first = ("fy", "select pixelIndex, min(event_year) as first_year from ev group by pixelIndex")
-    panel = ("panel", """select pixelIndex, cast(unnest(generate_series(first_year, (select max(year) from f_events)))
-              as int) as year from fy""")
+    panel = ("panel", f"""select pixelIndex, cast(unnest(generate_series(first_year, {HORIZON})) as int) as year from fy""")
     p2 = ("p2", """select p.pixelIndex, p.year, max(e.event_year) over (partition by p.pixelIndex order by p.year
               rows between unbounded preceding and current row) as last_event_year
           from panel p left join ev e on e.pixelIndex = p.pixelIndex and e.event_year = p.year""")
@@ -172,29 +203,86 @@ def _age_panel() -> str:
     return q(f"""select coh.cohortID, p2.pixelIndex, p2.year, p2.last_event_year, coh.delay,
   cast(case when {t} = 1 then 1 when {t} - 1 - coh.delay > 0 then {t} - 1 - coh.delay else 0 end as int) as lookup_age,
   cast(case when {t} - coh.delay > 0 then {t} - coh.delay else 0 end as int) as age
-from p2 join coh on coh.pixelIndex = p2.pixelIndex""", TYPED, WIN, e, first, panel, p2, c)
+from p2 join coh on coh.pixelIndex = p2.pixelIndex""", STYPED, SWIN, e, first, panel, p2, c)
 
 
 def _orphans() -> str:
     keys = ("admin_name", "eco_id", "species")
+    stands = ("st", "select * from f_stand union all select * from f_stand where pixelIndex % 37 = 0")
+    meta = ("me", "select * from f_distmeta union all select 2, 2, 9")
+    curves = ("cu", "select * from f_gcmeta union all select * replace (gcID + 1000 as gcID) from f_gcmeta where gcID % 10 = 3")
+    units = ("un", "select id from f_spatial_unit union all select 4")
+    cs = ("cs", """select c.cohortID, c.species, s.admin_name, s.eco_id from f_cohort c left join st s on c.pixelIndex = s.pixelIndex""")
+
+    def repeated(name: str, table: str, by: str) -> str:
+        return f"""union all select '{name}', cast(coalesce(sum(n - 1), 0) as bigint) from
+  (select count(*) as n from {table} group by {by} having count(*) > 1) t"""
     return q(f"""
 select 'cohorts_without_stand' as "check", count(*) as n from f_cohort c
-  where not exists (select 1 from f_stand s where s.pixelIndex = c.pixelIndex)
-union all select 'stands_without_cohort', count(*) from f_stand s
+  where not exists (select 1 from st s where s.pixelIndex = c.pixelIndex)
+union all select 'stands_without_cohort', count(*) from st s
   where not exists (select 1 from f_cohort c where s.pixelIndex = c.pixelIndex)
 union all select 'events_without_stand', count(*) from f_events e
-  where not exists (select 1 from f_stand s where s.pixelIndex = e.pixelIndex)
+  where not exists (select 1 from st s where s.pixelIndex = e.pixelIndex)
 union all select 'events_without_meta', count(*) from f_events e
-  where not exists (select 1 from f_distmeta m where m.eventID = e.eventID)
-union all select 'cohorts_without_curve', count(*) from c1
-  where not exists (select 1 from f_gcmeta g where {nse('c1', 'g', keys)})""", C1)
+  where not exists (select 1 from me m where m.eventID = e.eventID)
+union all select 'cohorts_without_curve', count(*) from cs
+  where not exists (select 1 from cu g where {nse('cs', 'g', keys)})
+union all select 'groups_without_unit', count(*) from gu
+  where not exists (select 1 from un u where u.id = gu.spatial_unit_id)
+{repeated('repeated_stands', 'st', 'pixelIndex')}
+{repeated('repeated_event_meta', 'me', 'eventID')}
+{repeated('repeated_curves', 'cu', 'admin_name, eco_id, species')}
+{repeated('repeated_units', 'un', 'id')}""", stands, meta, curves, units, cs, GU)
+
+
+def _save_options() -> str:
+    parts = []
+    for option, names in (("default", ("key", "pools", "flux")), ("save_all", ("key", "parameters", "state", "pools", "flux"))):
+        for name in names:
+            if name == "state":
+                continue
+            table = "(select distinct year, row_idx from f_key)" if name == "parameters" else f"f_{name}"
+            parts.append(f"select '{option}' as option, '{name}' as name, year, count(*) as n from {table} t where year in (2, 5) group by year")
+    return q(" union all ".join(parts))
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "spatial_units": q("select spatial_unit_id, admin_name, eco_id, mean_annual_temperature, return_interval "
                            "from spu", SPU),
-        "read_snapshots": q("select year, row_idx, Merch, Products from f_pools where year in (1, 3, 5, 7)"),
+        "read_snapshots": q("""select year, row_idx, Merch, Products from f_pools where year in (1, 3, 5, 7)
+            union all select 0, row_idx, Merch, null from f_pools where year = 1"""),
+        "write_snapshot": _save_options(),
+        "append_year": q("select year, products_stock from stock where year in (1, 2, 3)", AREAS, STOCK),
+        "year_filter": q("select * from f_events where year = 12"),
+        "spinup_parameters": q("""select row_idx, cast(1 as int) as area, cast(age + 100 as int) as age, age as age_in,
+            cast(3 as int) as delay, coalesce(historical_disturbance_type, 1) as historical_disturbance_type,
+            cast(1 as int) as last_pass_disturbance_type from d1g""", C1, D1G),
+        "default_sw_hw": q("select row_idx, cast(coalesce(sw_hw, 0) as int) as sw_hw from wood", WOOD),
+        "softwood_flags_step": q("""select row_idx, sw_hw, cast(case when sw_hw is null then 0 else
+            (select species_id from f_species where species_name =
+             case when sw_hw = 0 then 'Unspecified softwood species' else 'Unspecified hardwood species' end) end as int) as species_id
+            from wood""", WOOD),
+        "fill_spatial_unit_parameters": q("""select s.row_idx, s.age, u.mean_annual_temperature, gu.spatial_unit_id from f_state s
+            join gu on gu.row_idx = s.row_idx left join f_spatial_unit u on u.id = gu.spatial_unit_id""", GU),
+        "clone_flux": q(f"""select n.year, n.row_idx, {', '.join('f.' + c for c in EMI + NPP)} from newg n
+            left join f_flux f on f.year = n.year and f.row_idx = n.rep""", TYPED, WIN, MARKED, DIST, NEWG),
+        "emissions_products_extra": q(f"""select year, pby.Products, gases.Emissions, gases.CO2, gases.CH4, gases.CO,
+            totals.{EMI[3]}, totals.{NPP[0]} from gases join totals using (year) full outer join pby using (year)""",
+                                      AREAS, TOTALS, GASES, STOCK, PBY),
+        "prepare_groups_key": q("select * from pkey", TYPED, WIN, MARKED, SITES, PDIST, PNEW, PKEY),
+        "prepare_groups_state": q("select * from pstate", TYPED, WIN, MARKED, SITES, PDIST, PNEW, PKEY, PSTATE),
+        "prepare_groups_pools": q(_prepared("f_pools", "cast(1 as double), " + ", ".join("p." + c for c in POOLS if c != "Input")),
+                                  TYPED, WIN, MARKED, SITES, PDIST, PNEW, PKEY),
+        "prepare_groups_flux": q(_prepared("f_flux", ", ".join("p." + c for c in EMI + NPP)),
+                                 TYPED, WIN, MARKED, SITES, PDIST, PNEW, PKEY),
+        "prepare_groups_parameters": q("""select st.year, st.row_idx, coalesce(n.disturbance_type_id, 0) as disturbance_type, st.age,
+            i.merch_inc, i.foliage_inc, i.other_inc from pstate st left join pnew n on n.year = st.year and n.row_idx = st.row_idx
+            left join f_gcmeta g on """ + nse("st", "g", ("admin_name", "eco_id", "species")) + """
+            left join mx on mx.gcID = g.gcID left join f_increments i on i.gcID = g.gcID
+              and i.age = case when st.age > mx.max_age then mx.max_age else st.age end""",
+                                       TYPED, WIN, MARKED, SITES, PDIST, PNEW, PKEY, PSTATE, MX),
         "fill_or_add": q("""select pixelIndex, admin_name, eco_id, area,
             coalesce(historical_disturbance_type, 1) as historical_disturbance_type,
             cast(1 as int) as last_pass_disturbance_type from f_stand"""),
@@ -251,7 +339,9 @@ def oracle_sql() -> dict[str, str]:
             from mx where max_age < (select max(age) from f_cohort)""", MX),
         "cohorts_with_area": q("""select k.year, k.cohortID, k.pixelIndex, k.row_idx, s.area
             from f_key k join f_stand s on k.pixelIndex = s.pixelIndex"""),
-        "group_area": q("select * from ga", AREAS),
+        "group_area": q(f"""select k.year, k.row_idx, {strict('s.area')} as area_m2, {strict('s.area')} / 10000 as area_ha
+            from f_key k join (select pixelIndex, case when pixelIndex % 50 <> 0 then area end as area from f_stand) s
+              on k.pixelIndex = s.pixelIndex group by k.year, k.row_idx"""),
         "flux_totals": q("select * from totals", AREAS, TOTALS),
         "emission_gases": q("select * from gases", AREAS, TOTALS, GASES),
         "products_stock": q("select * from stock", AREAS, STOCK),
@@ -268,11 +358,11 @@ def oracle_sql() -> dict[str, str]:
             join f_flux f on f.year = k.year and f.row_idx = k.row_idx group by k.year, k.pixelIndex"""),
         "pool_proportions": q(f"""select year, pool_class, carbon,
             round(carbon / nullif(sum(carbon) over (partition by year), 0), {DIGITS}) as share from (
-              select lp.year, c.pool_class, {strict('lp.value * ga.area_m2')} / 10000 as carbon
-              from lp join f_pool_class c on c.pool = lp.pool
+              select lp.year, coalesce(c.pool_class, 'unmapped') as pool_class, {strict('lp.value * ga.area_m2')} / 10000 as carbon
+              from lp left join f_pool_class c on c.pool = lp.pool
               join ga on ga.year = lp.year and ga.row_idx = lp.row_idx
               where lp.pool not in ('Input', 'Products')
-              group by lp.year, c.pool_class) t""", AREAS, LP),
+              group by lp.year, coalesce(c.pool_class, 'unmapped')) t""", AREAS, LP),
         "total_carbon_by_stand": q(f"""select k.year, k.pixelIndex, {strict('p.Merch + p.Foliage + p.StemSnags')}
             as total_carbon from f_key k join f_pools p on p.year = k.year and p.row_idx = k.row_idx
             group by k.year, k.pixelIndex"""),
@@ -280,15 +370,15 @@ def oracle_sql() -> dict[str, str]:
         "orphans": _orphans(),
         "ingest_events": q("select pixelIndex, year, eventID from f_events"),
         "temp_modifier": q(f"select year, row_idx, pool, round(temp_mod, {DIGITS}) as temp_mod from tm", LP, GU, TM),
-        "stand_modifier": q(f"select year, row_idx, round(stand_mod, {DIGITS}) as stand_mod from sm", SM),
+        "stand_modifier": q(f"select year, row_idx, round(stand_mod, {DIGITS}) as stand_mod from sm", GU, SM),
         "decay_rates": q(f"""select tm.year, tm.row_idx, tm.pool, round(tm.base_rate * tm.temp_mod * sm.stand_mod,
             {DIGITS}) as decay_rate from tm join sm on sm.year = tm.year and sm.row_idx = tm.row_idx""", LP, GU, TM, SM),
         "root_split": _root_split(),
         "apply_transfers": _transfers(),
-        "transfer_flux": q(f"""select lpt.year, lpt.row_idx, fm.flux, {strict('lpt.value * m.proportion')} as value
+        "transfer_flux": q(f"""select lpt.year, lpt.row_idx, coalesce(fm.flux, 'unmapped') as flux, {strict('lpt.value * m.proportion')} as value
             from lpt join f_matrix m on m.disturbance_type_id = lpt.disturbance_type_id and m.source = lpt.pool
-            join f_flux_map fm on fm.source = m.source and fm.sink = m.sink
-            where m.source <> m.sink group by lpt.year, lpt.row_idx, fm.flux""", LP, LPT),
+            left join f_flux_map fm on fm.source = m.source and fm.sink = m.sink
+            where m.source <> m.sink group by lpt.year, lpt.row_idx, coalesce(fm.flux, 'unmapped')""", LP, LPT),
         "half_growth": _half_growth(),
         "overmature_decline": _decline(),
         "slow_mixing": _slow(),
@@ -296,12 +386,10 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _root_split() -> str:
-    r = {k: f"cast({v!r} as double)" for k, v in ROOT.items()}
-    agb = "((Merch + Foliage + cast(0.0 as double)) * cast(2.0 as double))"
-    t = ("rt", f"""select year, row_idx,
-      case when row_idx % 2 = 1 then {r['hw_a']} * pow({agb}, {r['hw_b']}) else cast(0.0 as double) end as t_hw,
-      case when row_idx % 2 = 0 then {r['sw_a']} * {agb} else cast(0.0 as double) end as t_sw from f_pools""")
-    pf = f"({r['frp_a']} + {r['frp_b']} * exp((cast(-1.0 as double) / {r['frp_c']}) * (t_hw + t_sw)))"
-    return q(f"""select year, row_idx, round(t_hw + t_sw, {DIGITS}) as total_root,
-        round((t_hw + t_sw) * {pf}, {DIGITS}) as fine_roots,
-        round((t_hw + t_sw) * (cast(1.0 as double) - {pf}), {DIGITS}) as coarse_roots from rt""", t)
+    agb = "((p.Merch + p.Foliage + cast(0.0 as double)) * cast(2.0 as double))"
+    t = ("rt", f"""select p.year, p.row_idx, r.frp_a, r.frp_b, r.frp_c,
+      case when w.sw_hw = 1 then r.hw_a * pow({agb}, r.hw_b) when w.sw_hw = 0 then r.sw_a * {agb} end as total
+      from f_pools p left join wood w on w.row_idx = p.row_idx left join f_roots r on r.sw_hw = w.sw_hw""")
+    pf = "(frp_a + frp_b * exp((cast(-1.0 as double) / frp_c) * total))"
+    return q(f"""select year, row_idx, round(total, {DIGITS}) as total_root, round(total * {pf}, {DIGITS}) as fine_roots,
+        round(total * (cast(1.0 as double) - {pf}), {DIGITS}) as coarse_roots from rt""", WOOD, t)

@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -10,9 +11,10 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 
-def get_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str = "sylva") -> SparkSession:
-    """Local session used by tests and ``bench.py``. On a cluster, build your own session;
-    the library reads nothing from here except ``spark.checkpoint.dir``."""
+def get_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str = "sylva",
+                checkpoint_dir: str | None = None) -> SparkSession:
+    """Local session used by tests and ``bench.py``, which name their ``checkpoint_dir``. On a
+    cluster, build your own session; the library reads only ``spark.checkpoint.dir``."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -24,19 +26,21 @@ def get_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        # a union of two hash-partitioned inputs would otherwise zip their partitions,
-        # which fails when AQE coalesced the two inputs differently (Spark 4.1)
-        .config("spark.sql.unionOutputPartitioning", "false")
     )
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+#: Folders of the work in progress, the innermost last.
+_WORK: list[str] = []
+
+
 def _checkpoint_root(spark: SparkSession) -> str:
-    """The cluster's shared folder. Read from the session; only a local session without
-    one gets a fresh temporary folder (tests)."""
+    """The cluster's shared folder, read from the session. Only a session in one process
+    (``local`` or ``local[...]``) that names none gets a fresh temporary folder."""
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if root:
@@ -45,58 +49,41 @@ def _checkpoint_root(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: set it to a folder every executor can reach "
             "(HDFS, S3, ...) before running sylva jobs on a cluster")
-    local = tempfile.mkdtemp(prefix="sylva-ckpt-")
-    sc.setCheckpointDir(local)
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="sylva-ckpt-"))
     return sc.getCheckpointDir()
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder, one per call."""
-    root = _checkpoint_root(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh sub-folder of the shared folder (or of the open ``work_folder``), one per call."""
+    root = _WORK[-1] if _WORK else _checkpoint_root(spark)
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint()`` usable (it needs the checkpoint folder)."""
-    _checkpoint_root(spark)
+@contextmanager
+def work_folder(spark: SparkSession):
+    """A folder for the intermediate tables of the block, deleted at its end. Queries return lazy
+    results that read such tables, so write or collect the result inside the block."""
+    path = shared_dir(spark, "work")
+    _WORK.append(path)
+    try:
+        yield path
+    finally:
+        _WORK.remove(path)
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def materialize(df, name: str):
-    """Cut lineage by writing ``df`` to a fresh folder under the shared checkpoint folder
-    and reading it back. Unlike ``checkpoint()`` on an uncached plan, the plan runs once;
-    unlike caching, the result survives the loss of an executor."""
+    """Cut lineage by writing ``df`` to a fresh folder under the shared folder and reading it back.
+    Unlike ``checkpoint()`` on an uncached plan, the plan runs once; unlike caching, the
+    result survives the loss of an executor."""
     path = shared_dir(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
-@contextmanager
-def conf(spark: SparkSession, **settings):
-    """Set session settings for a block and restore them afterwards
-    (``conf(spark, **{"spark.sql.x": "v"})``)."""
-    old = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        yield spark
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
-
-SAFE_UNION = {"spark.sql.unionOutputPartitioning": "false"}
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local-only bookkeeping in tests."""
-    return path[5:] if path.startswith("file:") else path
-
-
-__all__ = ["get_session", "shared_dir", "ensure_checkpoint_dir", "materialize", "local_path"]
+__all__ = ["get_session", "shared_dir", "work_folder", "materialize"]

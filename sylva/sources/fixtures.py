@@ -4,16 +4,31 @@ The test tables are TPC-H-like; this module maps them onto stands, cohorts, curv
 events and per-year group tables (DataFrame API), and gives the same mapping as SQL CTEs
 for the DuckDB oracle. Numbers that get summed are dyadic fractions, so double sums are
 exact in both engines.
+
+Groups grow with the orders (``GROUP_ORDERS`` of them each). State and pools repeat every
+``GROUP_KINDS`` groups, so that disturbed groups of one kind merge into one new group. Some
+customers are no stands and some stands have no cohort, some curves are missing, and the
+last year holds NULL fluxes and pools.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+GROUP_ORDERS = 3
+GROUP_KINDS = 30
+#: The year (of 1 to 7) with NULL fluxes and pools.
+NULL_YEAR = 7
+
+
+def group_of(order_key: str) -> F.Column:
+    return (F.floor(F.col(order_key) / GROUP_ORDERS) + 1).cast("long")
+
+
 class Fixtures:
     """Lazily built fixture views over the parquet files in ``sf_dir``."""
 
@@ -29,15 +44,19 @@ class Fixtures:
 
     @cached_property
     def stand(self) -> DataFrame:
-        c = self.raw("customer").select("c_custkey", "c_nationkey")
+        c = self.raw("customer").select("c_custkey", "c_nationkey").where("c_custkey % 29 <> 0")
+        # stands without a cohort: keys that no order has
+        c = c.select("c_custkey", "c_nationkey", F.explode(F.when(F.col("c_custkey") % 31 == 0, F.array(F.lit(1), F.lit(-1)))
+                                                           .otherwise(F.array(F.lit(1)))).alias("sign"))
+        c = c.withColumn("c_custkey", F.when(F.col("sign") == 1, F.col("c_custkey")).otherwise(-1 - F.col("c_custkey")))
         n = self.raw("nation").select("n_nationkey", "n_name", "n_regionkey")
         k = F.col("c_custkey")
         return c.join(n, c.c_nationkey == n.n_nationkey).select(
             k.alias("pixelIndex"),
             F.col("n_name").alias("admin_name"),
             F.col("n_regionkey").cast("int").alias("eco_id"),
-            (F.lit(900) * (F.lit(1) + k % 4)).cast("double").alias("area"),
-            F.when(k % 3 == 0, F.lit(None).cast("int")).otherwise((F.lit(1) + k % 4).cast("int"))
+            (F.lit(900) * (F.lit(1) + F.abs(k) % 4)).cast("double").alias("area"),
+            F.when(k % 3 == 0, F.lit(None).cast("int")).otherwise((F.lit(1) + F.abs(k) % 4).cast("int"))
             .alias("historical_disturbance_type"),
         )
 
@@ -55,14 +74,14 @@ class Fixtures:
 
     @cached_property
     def gcmeta(self) -> DataFrame:
-        species = (self.raw("orders").select(F.col("o_orderpriority").alias("species")).distinct()
-                   .withColumn("k", F.substring("species", 1, 1).cast("int") - 1))
-        # every nation gets every species: nations carry their possible k values (one
-        # leading digit -> k in -1..8), then an equi-join on k
-        n = (self.raw("nation").select("n_nationkey", "n_name", "n_regionkey")
-             .withColumn("k", F.explode(F.sequence(F.lit(-1), F.lit(8)))))
+        # the window runs over the distinct species, a dimension of a few rows
+        species = self.raw("orders").select(F.col("o_orderpriority").alias("species")).distinct()
+        species = species.withColumn("k", F.dense_rank().over(Window.orderBy("species")) - 1)
+        n_species = species.count()
+        n = self.raw("nation").select("n_nationkey", "n_name", "n_regionkey")
+        n = n.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(n_species - 1)))).where("(n_nationkey + k) % 11 <> 0")
         return n.join(species, "k").select(
-            (F.col("n_nationkey") * 5 + F.col("k")).cast("int").alias("gcID"),
+            (F.col("n_nationkey") * n_species + F.col("k")).cast("int").alias("gcID"),
             F.col("n_name").alias("admin_name"),
             F.col("n_regionkey").cast("int").alias("eco_id"),
             F.col("species"),
@@ -89,6 +108,11 @@ class Fixtures:
     def events(self) -> DataFrame:
         return self.events_from_raw(self.raw("events"))
 
+    @cached_property
+    def sparse_events(self) -> DataFrame:
+        """One event kind on a third of the stands: years pass between the events of a stand."""
+        return self.events.where("eventID = 1 AND pixelIndex % 3 = 0")
+
     @staticmethod
     def events_from_raw(e: DataFrame) -> DataFrame:
         """Raw event rows -> (pixelIndex, year, eventID); works on batch and stream frames."""
@@ -143,7 +167,7 @@ class Fixtures:
             (F.year("l_shipdate") - 1994).cast("int").alias("year"),
             F.col("l_orderkey").alias("cohortID"),
             F.col("o_custkey").alias("pixelIndex"),
-            (F.col("l_orderkey") % 40 + 1).alias("row_idx"),
+            group_of("l_orderkey").alias("row_idx"),
         ).distinct()
 
     EMISSION_FLUX = ("DisturbanceBioCO2Emission", "DecayDOMCO2Emission", "DisturbanceDOMCO2Emission",
@@ -163,26 +187,29 @@ class Fixtures:
         for i, name in enumerate(self.NPP_FLUX):
             aggs.append((F.sum(F.when(F.col("l_suppkey") % 7 == i, q).otherwise(F.lit(0.0))).cast("double")
                          / F.lit(64)).alias(name))
-        return (li.groupBy((F.year("l_shipdate") - 1994).cast("int").alias("year"),
-                           (F.col("l_orderkey") % 40 + 1).alias("row_idx")).agg(*aggs))
+        out = (li.groupBy((F.year("l_shipdate") - 1994).cast("int").alias("year"),
+                          group_of("l_orderkey").alias("row_idx")).agg(*aggs))
+        unknown = (F.col("year") == NULL_YEAR) & (F.col("row_idx") % GROUP_KINDS == 11)
+        first = self.EMISSION_FLUX[0]
+        return out.withColumn(first, F.when(~unknown, F.col(first)))
 
     @cached_property
     def pools(self) -> DataFrame:
         x = self.key.select("year", "row_idx").distinct()
-        r, y = F.col("row_idx"), F.col("year")
+        r, y = F.col("row_idx") % GROUP_KINDS, F.col("year")
         return x.select(
             "year", "row_idx",
             F.lit(1.0).alias("Input"),
             (((r * 3 + y) % 16).cast("double") / F.lit(4)).alias("Merch"),
             (((r + y) % 8).cast("double") / F.lit(8)).alias("Foliage"),
             ((r % 4).cast("double") / F.lit(8)).alias("StemSnags"),
-            (((r % 5) * y).cast("double") / F.lit(16)).alias("Products"),
+            F.when(~((y == NULL_YEAR) & (r == 7)), ((r % 5) * y).cast("double") / F.lit(16)).alias("Products"),
         )
 
     @cached_property
     def state(self) -> DataFrame:
         x = self.key.select("row_idx").distinct()
-        r = F.col("row_idx")
+        r = F.col("row_idx") % GROUP_KINDS
         return x.select(
             "row_idx",
             ((r % 8).cast("int") * 10).alias("age"),
@@ -201,7 +228,7 @@ class Fixtures:
     # Small model dimension tables used by single operators (test coefficients, dyadic).
     SPECIES = [(1, "Black spruce"), (2, "Unspecified softwood species"), (3, "White birch"),
                (4, "Unspecified hardwood species")]
-    POOL_CLASS = [("Merch", "Biomass"), ("Foliage", "Biomass"), ("Other", "Biomass"), ("StemSnags", "DeadOrganicMatter")]
+    POOL_CLASS = [("Merch", "Biomass"), ("Foliage", "Biomass"), ("Other", "Biomass")]
     DECAY = [("StemSnags", 0.0625, 5.0, 2.0), ("MediumSoil", 0.015625, 10.0, 2.0)]
     TURNOVER = [("Merch", "StemSnags", 1.0), ("Foliage", "AboveGroundVeryFastSoil", 1.0),
                 ("Other", "BranchSnags", 0.5), ("Other", "AboveGroundFastSoil", 0.5)]
@@ -209,23 +236,18 @@ class Fixtures:
                 ("Merch", "Products", "DisturbanceSoftProduction"), ("Merch", "StemSnags", "DisturbanceMerchToSnags"),
                 ("Foliage", "StemSnags", "DisturbanceFoliageToSnags")]
 
-    DECAY_SINKS = [("StemSnags", "CO2", 0.75), ("StemSnags", "MediumSoil", 0.25),
-                   ("MediumSoil", "CO2", 1.0)]
-    PROCESS_FLUX = [("disturbance", "Merch", "CO2", "DisturbanceBioCO2Emission"),
-                    ("disturbance", "Foliage", "CO2", "DisturbanceBioCO2Emission"),
-                    ("disturbance", "Merch", "Products", "DisturbanceSoftProduction"),
-                    ("decay", "StemSnags", "CO2", "DecayDOMCO2Emission"),
-                    ("decay", "MediumSoil", "CO2", "DecayDOMCO2Emission"),
-                    ("bio_turnover", "Merch", "StemSnags", "TurnoverMerchLitterInput"),
-                    ("bio_turnover", "Foliage", "AboveGroundVeryFastSoil", "TurnoverFolLitterInput")]
+    # Coefficients by spatial unit (H2; the unit number is scaled) and by wood type (H4, H5).
+    ROOTS = [(0, 1.5, 0.75, 0.25, 0.125, 0.5, 4.0), (1, 1.25, 0.5, 0.5, 0.25, 0.5, 8.0)]
 
     @cached_property
-    def decay_sinks(self) -> DataFrame:
-        return self._values(self.DECAY_SINKS, "pool string, sink string, share double")
+    def stand_coefficients(self) -> DataFrame:
+        u = F.col("id")
+        return self.spatial_unit.select(u.alias("spatial_unit_id"), (F.lit(4) * (1 + u % 3)).cast("double").alias("max_bio"),
+                                        (1 + u % 2).cast("double").alias("max_r"))
 
     @cached_property
-    def process_flux(self) -> DataFrame:
-        return self._values(self.PROCESS_FLUX, "process string, source string, sink string, flux string")
+    def roots(self) -> DataFrame:
+        return self._values(self.ROOTS, "sw_hw int, hw_a double, hw_b double, sw_a double, frp_a double, frp_b double, frp_c double")
 
     @cached_property
     def species(self) -> DataFrame:
@@ -263,19 +285,22 @@ def _values_sql(rows, cols: str, types: dict[int, str] | None = None) -> str:
 FIXTURE_SQL: dict[str, str] = {
     "f_stand": """
 select c_custkey as pixelIndex, n_name as admin_name, cast(n_regionkey as int) as eco_id,
-       cast(900*(1+c_custkey%4) as double) as area,
-       case when c_custkey%3=0 then null else cast(1+c_custkey%4 as int) end as historical_disturbance_type
-from customer join nation on c_nationkey=n_nationkey""",
+       cast(900*(1+abs(c_custkey)%4) as double) as area,
+       case when c_custkey%3=0 then null else cast(1+abs(c_custkey)%4 as int) end as historical_disturbance_type
+from (select c_custkey, c_nationkey from customer where c_custkey%29<>0
+      union all select -1-c_custkey, c_nationkey from customer where c_custkey%29<>0 and c_custkey%31=0) c
+join nation on c_nationkey=n_nationkey""",
     "f_cohort": """
 select o_orderkey as cohortID, o_custkey as pixelIndex, o_orderpriority as species,
        cast(year(o_orderdate)-1994 as int) as age,
        cast(case when o_orderstatus='F' then null when o_orderstatus='O' then 0 else 2 end as int) as delayRegen
 from orders""",
     "f_gcmeta": """
-select cast(n_nationkey*5+k as int) as gcID, n_name as admin_name, cast(n_regionkey as int) as eco_id, species,
+select cast(n_nationkey*n_species+k as int) as gcID, n_name as admin_name, cast(n_regionkey as int) as eco_id, species,
        k%2=0 as sw
-from nation cross join (select species, cast(substr(species,1,1) as int)-1 as k
-                        from (select distinct o_orderpriority as species from orders) a) b""",
+from nation cross join (select species, row_number() over (order by species)-1 as k, count(*) over () as n_species
+                        from (select distinct o_orderpriority as species from orders) a) b
+where (n_nationkey+k)%11<>0""",
     "f_increments": """
 select gcID, age, cast(age*(1+gcID%3) as double)/64 as merch_inc, cast(age as double)/128 as foliage_inc,
        cast(age-3 as double)/256 as other_inc
@@ -286,6 +311,7 @@ select user_id as pixelIndex, cast(day(ts) as int) as year,
        cast(case event_type when 'click' then 1 when 'error' then 2 when 'purchase' then 3
             when 'signup' then 4 else 5 end as int) as eventID
 from events""",
+    "f_sparse_events": """select * from f_events where eventID=1 and pixelIndex%3=0""",
     "f_distmeta": """
 select * from (values (1,1,3),(2,2,1),(3,3,2),(4,4,cast(null as int))) t(eventID,disturbance_type_id,priority)""",
     "f_spatial_unit": """
@@ -301,24 +327,29 @@ select cast(n_nationkey as int) as admin_boundary_id, cast(l as int) as locale_i
 from nation cross join (select * from (values (1),(2)) t(l)) x""",
     "f_key": """
 select distinct cast(year(l_shipdate)-1994 as int) as year, l_orderkey as cohortID, o_custkey as pixelIndex,
-       l_orderkey%40+1 as row_idx
+       cast(floor(l_orderkey/3.0) as bigint)+1 as row_idx
 from lineitem join orders on l_orderkey=o_orderkey""",
     "f_flux": """
-select cast(year(l_shipdate)-1994 as int) as year, l_orderkey%40+1 as row_idx,
+select cast(year(l_shipdate)-1994 as int) as year, cast(floor(l_orderkey/3.0) as bigint)+1 as row_idx,
 """ + ",\n".join(
-        [f"       cast(sum(case when l_linenumber%7={i} then l_quantity else 0 end) as double)/64 as {n}"
+        [("       case when not (any_value(year(l_shipdate))=2001 and any_value(cast(floor(l_orderkey/3.0) as bigint)+1)%30=11) then "
+          if i == 0 else "       ")
+         + f"cast(sum(case when l_linenumber%7={i} then l_quantity else 0 end) as double)/64 {'end ' if i == 0 else ''}as {n}"
          for i, n in enumerate(Fixtures.EMISSION_FLUX)]
         + [f"       cast(sum(case when l_suppkey%7={i} then l_quantity else 0 end) as double)/64 as {n}"
            for i, n in enumerate(Fixtures.NPP_FLUX)]) + """
-from lineitem group by cast(year(l_shipdate)-1994 as int), l_orderkey%40+1""",
+from lineitem group by cast(year(l_shipdate)-1994 as int), cast(floor(l_orderkey/3.0) as bigint)+1""",
     "f_pools": """
-select year, row_idx, cast(1 as double) as Input, cast((row_idx*3+year)%16 as double)/4 as Merch,
-       cast((row_idx+year)%8 as double)/8 as Foliage, cast(row_idx%4 as double)/8 as StemSnags,
-       cast((row_idx%5)*year as double)/16 as Products
-from (select distinct year,row_idx from f_key) x""",
+select year, row_idx, cast(1 as double) as Input, cast((z*3+year)%16 as double)/4 as Merch,
+       cast((z+year)%8 as double)/8 as Foliage, cast(z%4 as double)/8 as StemSnags,
+       case when not (year=7 and z=7) then cast((z%5)*year as double)/16 end as Products
+from (select distinct year, row_idx, row_idx%30 as z from f_key) x""",
     "f_state": """
-select row_idx, cast(row_idx%8 as int)*10 as age, cast(row_idx%3 as int) as delay, cast(row_idx%5 as int) as gcID
-from (select distinct row_idx from f_key) x""",
+select row_idx, cast(z%8 as int)*10 as age, cast(z%3 as int) as delay, cast(z%5 as int) as gcID
+from (select distinct row_idx, row_idx%30 as z from f_key) x""",
+    "f_stand_coefficients": """
+select id as spatial_unit_id, cast(4*(1+id%3) as double) as max_bio, cast(1+id%2 as double) as max_r from f_spatial_unit""",
+    "f_roots": _values_sql(Fixtures.ROOTS, "sw_hw,hw_a,hw_b,sw_a,frp_a,frp_b,frp_c"),
     "f_species": _values_sql(Fixtures.SPECIES, "species_id,species_name"),
     "f_pool_class": _values_sql(Fixtures.POOL_CLASS, "pool,pool_class"),
     "f_decay": _values_sql(Fixtures.DECAY, "pool,base_rate,ref_temp,q10"),
@@ -332,6 +363,8 @@ from (values (1,'Merch','Products',0.75),(1,'Merch','CO2',0.25),(2,'Merch','Stem
 
 _DEPS = {
     "f_increments": ["f_gcmeta"],
+    "f_sparse_events": ["f_events"],
+    "f_stand_coefficients": ["f_spatial_unit"],
     "f_pools": ["f_key"],
     "f_state": ["f_key"],
 }

@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame
 def require_columns(df: DataFrame | None, name: str, cols: Iterable[str]) -> DataFrame:
     """A1: raise before any job if the table is absent or misses required columns."""
     if df is None:
-        raise ValueError(f"{name} not found")
+        raise ValueError(f"the table of {name} is needed and was not given")
     missing = [c for c in cols if c not in df.columns]
     if missing:
-        raise ValueError(f"{name} missing column(s): " + ", ".join(f"'{c}'" for c in missing))
+        raise ValueError(f"the table of {name} lacks " + ", ".join(missing))
     return df
 
 

@@ -3,7 +3,7 @@
 Layout: ``<root>/<table>/year=<y>/part-*.parquet``. Writing one year overwrites only that
 year's folder, so a retried or re-run year is idempotent and year t+1 never overwrites
 the folder it reads. Reading the table folder gives the ``year`` column back by partition
-discovery, and a year filter prunes folders (PartitionFilters), not rows."""
+discovery, and reading some years lists and opens only their folders."""
 
 from __future__ import annotations
 
@@ -41,24 +41,70 @@ def write_snapshot(tables: Mapping[str, DataFrame | None], root: str, year: int,
     return written
 
 
+def open_store(spark: SparkSession, root: str, wipe: bool = False) -> str:
+    """Start a run's store: a folder that already holds tables is refused, or emptied with ``wipe``,
+    so that no year of an earlier run can be taken for one of this run."""
+    root = root.rstrip("/")
+    fs, path = _path(spark, root)
+    if fs.exists(path) and len(fs.listStatus(path)):
+        if not wipe:
+            raise ValueError(f"{root} holds tables of an earlier run; wipe it or name another folder")
+        fs.delete(path, True)
+    fs.mkdirs(path)
+    return root
+
+
+def write_years(tables: Mapping[str, DataFrame | None], root: str, initial: int | None, interval: int, end: int,
+                save_all: bool = False, spinup: bool = False) -> list[str]:
+    """A4 + A6 on panels: of each chosen table, the years that the save options name (first year,
+    interval, last year; year 0 holds the spinup, which has no flux)."""
+    wanted = save_years(initial, interval, end, spinup)
+    written = []
+    for name in snapshot_tables(save_all):
+        df = tables.get(name)
+        if df is None:
+            continue
+        years = [y for y in wanted if not (y == 0 and name == "flux")]
+        write_panel(df.where(F.col("year").isin(years)), root, name)
+        written.append(name)
+    return written
+
+
 def write_panel(df: DataFrame, root: str, table: str) -> None:
     """Write a (year, ...) panel in one job, one folder per year; only the years present
-    are replaced (dynamic partition overwrite)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    are replaced (dynamic partition overwrite). Rows are rebalanced by year first, which splits
+    large years and keeps a task from opening a file in every year."""
+    (df.hint("rebalance", "year").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("year").parquet(f"{root.rstrip('/')}/{table}"))
 
 
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def written_years(spark: SparkSession, root: str, table: str) -> list[int]:
+    """Years that have a folder; one listing, no file is opened."""
+    fs, path = _path(spark, f"{root.rstrip('/')}/{table}")
+    if not fs.exists(path):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(path)]
+    return sorted(int(n[5:]) for n in names if n.startswith("year="))
+
+
 def read_snapshots(spark: SparkSession, root: str, table: str, years: Iterable[int] | None = None) -> DataFrame:
-    """A5: one table over several years as a panel with an int ``year`` column. Years may
-    differ in columns (the spinup has fewer pools than later years), so schemas are merged;
-    a column a year lacks reads as NULL."""
-    base = f"{root.rstrip('/')}/{table}"
-    df = spark.read.option("basePath", base).option("mergeSchema", "true").parquet(base)
-    df = df.withColumn("year", F.col("year").cast("int"))
-    if years is not None:
-        ys = sorted({int(y) for y in years})
-        df = df.where(F.col("year").isin(ys))
-    return df
+    """A5: one table over several years as a panel with an int ``year`` column. Only the wanted
+    years' folders are touched, and of each one footer is read: years may differ in columns
+    (the spinup has fewer pools), and the union gives NULL where a year lacks one."""
+    there = written_years(spark, root, table)
+    wanted = there if years is None else sorted({int(y) for y in years} & set(there))
+    if not wanted:
+        raise ValueError(f"no such year of {table} in {root}")
+    panels = [read_year(spark, root, table, y).withColumn("year", F.lit(y)) for y in wanted]
+    out = panels[0]
+    for p in panels[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
 
 
 def read_year(spark: SparkSession, root: str, table: str, year: int) -> DataFrame:

@@ -84,6 +84,7 @@ def test_extra_classifier_splits_groups_and_optional_columns_default(spark):
     assert g.count() == 1 and key.count() == 2 and inc.count() == 1
     assert (row["delay"], row["historical_disturbance_type"], row["last_pass_disturbance_type"], row["sw_hw"]) == \
         (0, 1, 1, 0)
+    from sylva.operators import reports as rp
     with pytest.warns(UserWarning):
-        init = an.initial_tables(key, g, stands)
-    assert init.state.collect()[0]["area"] == 2.0  # no area column: 1 ha per stand, two stands
+        area = rp.group_area(key, stands, by=())
+    assert area.collect()[0]["area_ha"] == 2.0  # no area column: 1 ha per stand, two stands

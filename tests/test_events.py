@@ -34,7 +34,7 @@ def test_unknown_event_competes_and_means_undisturbed(spark):
 
 
 def test_duplicates_without_priority_are_an_error(spark):
-    with pytest.raises(ValueError, match="Multiple disturbance events"):
+    with pytest.raises(ValueError, match="Two or more events"):
         _resolve(spark, [(1, 2000, 1), (1, 2000, 1)], [(1, 10)], "eventID int, disturbance_type_id int")
 
 

@@ -68,9 +68,9 @@ def test_npp_counts_cohorts(spark):
 
 def test_schema_helpers(spark):
     df = spark.createDataFrame([(1,)], "a int")
-    with pytest.raises(ValueError, match="cohortDT missing column\\(s\\): 'b'"):
-        require_columns(df, "cohortDT", ["a", "b"])
-    with pytest.raises(ValueError, match="standDT not found"):
-        require_columns(None, "standDT", ["a"])
+    with pytest.raises(ValueError, match="cohorts lacks b"):
+        require_columns(df, "cohorts", ["a", "b"])
+    with pytest.raises(ValueError, match="stands is needed"):
+        require_columns(None, "stands", ["a"])
     assert result_columns(["CO2", "DecayDOMCO2Emission"]) == ["Products", "Emissions", "CO2", "CH4", "CO",
                                                               "DecayDOMCO2Emission"]

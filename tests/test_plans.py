@@ -6,10 +6,11 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from sylva.plans.catalog import QUERIES
 from conftest import SF_SMALL
 from tools.oracle_check import table_hash
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(QUERIES)
 
 
 def _plan(df) -> str:

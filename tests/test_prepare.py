@@ -1,140 +1,109 @@
-"""The reference's one complete inline scenario (regeneration delay), run through the yearly
-loop: two stands of one cohort each, one curve, both burnt in the first year."""
+"""Group tables before the first year and the preparation of a year's cohort groups."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from sylva.plans import annual as an
+from sylva.plans.catalog import QUERIES
+from sylva.sources.schema import CarbonTables
 
+from conftest import SF_SMALL
 
-def _inputs(spark, with_delay_col=True):
+
+def _inputs(spark):
     stands = spark.createDataFrame([(1, "Saskatchewan", 9, 900.0), (2, "Saskatchewan", 9, 900.0)],
                                    "pixelIndex long, admin_name string, eco_id int, area double")
-    if with_delay_col:
-        cohorts = spark.createDataFrame([(1, 1, 1, 10, 0), (2, 2, 1, 10, 2)],
-                                        "cohortID long, pixelIndex long, gcID int, age int, delayRegen int")
-    else:
-        cohorts = spark.createDataFrame([(1, 1, 1, 10), (2, 2, 1, 10)],
-                                        "cohortID long, pixelIndex long, gcID int, age int")
-    meta = spark.createDataFrame([(1, 1)], "eventID int, disturbance_type_id int")
-    events = spark.createDataFrame([(1, 2000, 1), (2, 2000, 1)], "pixelIndex long, year int, eventID int")
+    cohorts = spark.createDataFrame([(1, 1, 1, 10, 0), (2, 2, 1, 10, 2)],
+                                    "cohortID long, pixelIndex long, gcID int, age int, delayRegen int")
     gcmeta = spark.createDataFrame([(1, "Saskatchewan", 9, True)], "gcID int, admin_name string, eco_id int, sw boolean")
-    # increments 0 at age 0, then 100 equal steps; k/128 values keep sums exact
     rows = [(1, a, a / 128.0, a / 128.0, a / 128.0) for a in range(0, 101)]
     incs = spark.createDataFrame(rows, "gcID int, age int, merch_inc double, foliage_inc double, other_inc double")
-    return an.Inputs(stands=stands, cohorts=cohorts, gcmeta=gcmeta, increments=incs, events=events, meta=meta)
-
-
-def _model(spark):
-    fire = spark.createDataFrame([(1, "Merch", "CO2", 1.0), (1, "Foliage", "CO2", 1.0), (1, "Other", "CO2", 1.0)],
-                                 "disturbance_type_id int, source string, sink string, proportion double")
-    fmap = spark.createDataFrame([("disturbance", "Merch", "CO2", "DisturbanceBioCO2Emission"),
-                                  ("disturbance", "Foliage", "CO2", "DisturbanceBioCO2Emission"),
-                                  ("disturbance", "Other", "CO2", "DisturbanceBioCO2Emission")],
-                                 "process string, source string, sink string, flux string")
-    return an.Model(disturbance_matrix=fire, flux_map=fmap, slow_rate=None)
+    return an.Inputs(stands=stands, cohorts=cohorts, gcmeta=gcmeta, increments=incs)
 
 
-def _run(spark, inputs, opts):
-    key, groups, _ = an.spinup_inputs(inputs, opts)
-    pools = groups.select("row_idx", F.lit(1.0).alias("Input"), F.lit(4.0).alias("Merch"),
-                          F.lit(2.0).alias("Foliage"), F.lit(1.0).alias("Other"))
-    init = an.initial_tables(key, groups, inputs.stands, pools, opts=opts)
-    ep = an.run_years(spark, inputs, _model(spark), 2000, 2002, init, opts=opts)
-    return ep, init
-
-
-@pytest.mark.parametrize("seed", [0])
-def test_regen_delay_by_column(spark, seed):
-    inputs = _inputs(spark)
-    opts = an.Options()
-    key, groups, incs = an.spinup_inputs(inputs, opts)
-    assert groups.count() == 2
+def test_spinup_inputs(spark):
+    key, groups, incs = an.spinup_inputs(_inputs(spark))
+    assert key.count() == 2 and groups.count() == 2
     assert incs.count() == 200  # two groups x ages 1..100 (age 0 dropped, B10)
-    ep, _ = _run(spark, inputs, opts)
-    res = {r["year"]: r for r in ep.collect()}
-    assert sorted(res) == [2000, 2001, 2002]
-    # the fire in 2000 burns the 7 tC/ha of both 0.09 ha stands: 2 x 7 x 0.09
-    assert res[2000]["CO2"] == pytest.approx(1.26)
-    assert res[2001]["CO2"] == 0.0 and res[2002]["CO2"] == 0.0
+    row = groups.first().asDict()
+    assert row["area"] == 1 and row["sw_hw"] == 0 and row["delay"] == 0 and row["historical_disturbance_type"] == 1
 
 
-def test_regen_delay_final_state(spark, tmp_path):
+def test_disturbed_groups_restart_and_tables_stay_aligned(spark):
     inputs = _inputs(spark)
-    opts = an.Options()
-    key, groups, _ = an.spinup_inputs(inputs, opts)
-    init = an.initial_tables(key, groups, inputs.stands, opts=opts)
-    root = str(tmp_path / "run")
-    an.run_years(spark, inputs, _model(spark), 2000, 2002, init, root=root, opts=opts).collect()
-    t = an.reload(spark, root, 2002)
-    st = t.state.orderBy("delay").collect()
-    assert len(st) == 2
-    # expected ages 3 (delay 0) and 1 (delay 2), as the reference test
-    assert [r["age"] for r in st] == [3, 1]
-    pools = {r["row_idx"]: r["Merch"] for r in t.pools.collect()}
-    merch = [pools[r["row_idx"]] for r in st]
-    assert merch[0] > merch[1]
-    k = t.key.orderBy("cohortID").collect()
-    assert [r["cohortID"] for r in k] == [1, 2]
-    assert len({r["row_idx"] for r in k}) == 2
-    # every key row_idx has a row in every group table (C9 + split consistency)
-    ids = {r["row_idx"] for r in k}
-    for tab in (t.state, t.pools, t.parameters, t.flux):
-        assert {r["row_idx"] for r in tab.collect()} == ids
-
-
-def test_regen_delay_by_parameter(spark, tmp_path):
-    opts = an.Options(default_delay_regen=2)
-    inputs = _inputs(spark, with_delay_col=False)
-    key, groups, _ = an.spinup_inputs(inputs, opts)
-    assert groups.count() == 1
-    init = an.initial_tables(key, groups, inputs.stands, opts=opts)
-    root = str(tmp_path / "run")
-    an.run_years(spark, inputs, _model(spark), 2000, 2002, init, root=root, opts=opts).collect()
-    t = an.reload(spark, root, 2002)
-    st = t.state.collect()
-    assert len(st) == 1 and st[0]["age"] == 1
-    # same pools as the delayed group of the column run
-    inputs2 = _inputs(spark)
-    key2, groups2, _ = an.spinup_inputs(inputs2, an.Options())
-    init2 = an.initial_tables(key2, groups2, inputs2.stands)
-    root2 = str(tmp_path / "run2")
-    an.run_years(spark, inputs2, _model(spark), 2000, 2002, init2, root=root2).collect()
-    t2 = an.reload(spark, root2, 2002)
-    delayed = [r["row_idx"] for r in t2.state.collect() if r["delay"] == 2][0]
-    p2 = [r for r in t2.pools.collect() if r["row_idx"] == delayed][0].asDict()
-    p1 = t.pools.collect()[0].asDict()
-    p1.pop("row_idx"), p2.pop("row_idx")
-    assert p1 == p2
-
-
-def test_loop_on_driver_tables_keeps_invariants(spark, tmp_path):
+    key = spark.createDataFrame([(1, 1, 1, 7), (2, 2, 2, 7), (3, 3, 3, None), (4, 4, 2, None)],
+                                "cohortID long, pixelIndex long, row_idx long, disturbance_type_id int")
+    state = spark.createDataFrame([(i, "Saskatchewan", 9, 1, 10, 0) for i in (1, 2, 3)],
+                                  "row_idx long, admin_name string, eco_id int, gcID int, age int, delay int")
+    pools = spark.createDataFrame([(1, 5.0, 4.0), (2, 5.0, 4.0), (3, 5.0, None)], "row_idx long, Input double, Merch double")
+    t = an.prepare_groups(CarbonTables(key=key, parameters=state.select("row_idx"), state=state, pools=pools), inputs, ["gcID"])
+    ids = {r["cohortID"]: r["row_idx"] for r in t.key.collect()}
+    assert ids == {1: 4, 2: 4, 3: 3, 4: 2}  # equal parents merge; group 1 is gone
+    for table in (t.state, t.pools, t.parameters):
+        assert sorted(r["row_idx"] for r in table.collect()) == [2, 3, 4]
+    assert {r["row_idx"]: (r["disturbance_type"], r["age"], r["merch_inc"]) for r in t.parameters.collect()} == {
+        2: (0, 10, 10 / 128), 3: (0, 10, 10 / 128), 4: (7, 1, 1 / 128)}
+    assert {r["row_idx"]: (r["Input"], r["Merch"]) for r in t.pools.collect()} == {2: (5.0, 4.0), 3: (5.0, None), 4: (1.0, 4.0)}
+
+
+def test_all_tables_of_the_panel_hold_the_same_groups(spark):
+    names = ("key", "state", "pools", "flux", "parameters")
+    ids = {n: {tuple(r) for r in QUERIES[f"prepare_groups_{n}"](spark, SF_SMALL).select("year", "row_idx").distinct().collect()}
+           for n in names}
+    assert all(ids[n] == ids["key"] for n in names)
+
+
+def test_fixtures_hold_the_cases_that_could_fail(spark):
+    q = {n: QUERIES[n](spark, SF_SMALL) for n in ("union_fill", "drop_inactive", "split_disturbed", "orphans", "group_area",
+                                                   "flux_totals", "products_stock", "emissions_products", "age_panel", "decay_rates")}
+    assert q["drop_inactive"].count() < q["union_fill"].count()
+    parents = q["split_disturbed"].groupBy("year", "row_idx").agg(F.count_distinct("row_idx_prev").alias("n"))
+    assert parents.where("n > 1").count() > 0
+    assert q["orphans"].where("n = 0").count() == 0
+    assert 0 < q["group_area"].where("area_ha IS NULL").count() < q["group_area"].count()
+    assert q["flux_totals"].where("DisturbanceBioCO2Emission IS NULL").count() == 1
+    assert q["products_stock"].where("products_stock IS NULL").count() == 1
+    assert q["emissions_products"].where("Products IS NULL AND CO2 IS NULL").count() == 1
+    assert q["age_panel"].agg(F.max(F.col("year") - F.col("last_event_year"))).first()[0] >= 8
+    assert q["decay_rates"].where("decay_rate IS NULL").count() > 0
+
+
+def test_untouched_rows_are_not_shuffled_by_the_key_update(spark):
+    from sylva.operators import groups as gr
     from sylva.plans import catalog as c
     from sylva.sources.fixtures import Fixtures
+    marked, split = c._split(Fixtures(spark, SF_SMALL))
+    plan = gr.apply_split_to_key(marked, split, ("year",))._jdf.queryExecution().executedPlan()
+    union = plan.toString()
+    branches = union.split("Union")[1].split("+- ")
+    first = union[union.index("Union"):].split("isnull(disturbance_type_id")[0]
+    assert "Exchange" not in first and len(branches) > 1
+
+
+@pytest.mark.parametrize("wipe", [False, True])
+def test_a_used_store_is_refused_or_wiped(spark, tmp_path, wipe):
+    from sylva.sources import snapshots as sn
+    root = str(tmp_path / "run")
+    df = spark.createDataFrame([(1, 1), (2, 1)], "year int, row_idx long")
+    sn.open_store(spark, root)
+    sn.write_panel(df, root, "key")
+    if wipe:
+        sn.open_store(spark, root, wipe=True)
+        assert sn.written_years(spark, root, "key") == []
+    else:
+        with pytest.raises(ValueError, match="earlier run"):
+            sn.open_store(spark, root)
+
+
+def test_years_are_read_alone_and_written_in_few_files(spark, tmp_path):
     from sylva.sources import snapshots as sn
-    from conftest import SF_SMALL
-    fx = Fixtures(spark, SF_SMALL)
-    units = c._spu(fx).select("spatial_unit_id", "admin_name", "eco_id", "mean_annual_temperature")
-    inputs = an.Inputs(stands=fx.stand, cohorts=fx.cohort, gcmeta=fx.gcmeta, increments=fx.increments,
-                       events=fx.events, meta=fx.distmeta, units=units)
-    model = an.Model(disturbance_matrix=fx.matrix, bio_turnover=fx.turnover, flux_map=fx.process_flux)
-    key, groups, _ = an.spinup_inputs(inputs)
-    init = an.initial_tables(key, groups, fx.stand)
     root = str(tmp_path / "run")
-    ep = {r["year"]: r for r in an.run_years(spark, inputs, model, 1, 3, init, root=root).collect()}
-    n_cohorts = fx.cohort.count()
-    stock_prev = 0.0
-    for y in (1, 2, 3):
-        t = an.reload(spark, root, y)
-        ids = {r["row_idx"] for r in t.key.select("row_idx").distinct().collect()}
-        assert t.key.count() == n_cohorts
-        for tab in (t.state, t.pools, t.parameters, t.flux):
-            got = [r["row_idx"] for r in tab.select("row_idx").collect()]
-            assert len(got) == len(set(got)) and set(got) == ids
-        area = {r["row_idx"]: r["area"] for r in t.state.collect()}
-        stock = sum(r["Products"] * area[r["row_idx"]] for r in t.pools.collect())
-        assert ep[y]["Products"] == pytest.approx(stock - stock_prev, abs=1e-9)
-        stock_prev = stock
-    assert any(ep[y]["CO2"] > 0 for y in ep) and any(ep[y]["Products"] > 0 for y in ep)
-    assert sorted(r["year"] for r in sn.read_snapshots(spark, root, "key").select("year").distinct().collect()) \
-        == [0, 1, 2, 3]
+    panel = spark.range(20_000).select((F.col("id") % 5 + 1).cast("int").alias("year"), "id", F.lit(1.0).alias("Products")).repartition(16)
+    sn.write_panel(panel, root, "pools")
+    sn.write_snapshot({"pools": spark.range(3).select("id")}, root, 0, spinup=True)
+    for y in range(1, 6):
+        assert len(list((tmp_path / "run" / "pools" / f"year={y}").glob("*.parquet"))) <= 2
+    got = sn.read_snapshots(spark, root, "pools", [0, 3, 99])
+    assert {r["year"] for r in got.select("year").distinct().collect()} == {0, 3}
+    assert got.where("year = 0 AND Products IS NULL").count() == 3
+    assert "year=1" not in str(got.inputFiles())
