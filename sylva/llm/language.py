@@ -85,7 +85,7 @@ def suffix_automaton(codes: list[int], width: int) -> np.ndarray:
 @dataclass
 class CrossParser:
     """Tables of all languages. ``step[state * width + code]`` holds 2 * (next state * width) plus 1
-    where a phrase ended."""
+    where a phrase begins; ``roots`` are the states before the first character."""
 
     languages: list[str]
     alphabet: np.ndarray
@@ -108,12 +108,13 @@ class CrossParser:
                 codes += [*_encode(row, kept).tolist(), width - 1]
             t = suffix_automaton(codes, width)
             t[:, 0] = t[:, width - 1] = -1
-            ends = t < 0
-            t = np.where(ends, t[0], t)
-            t[t < 0] = 0
-            tables.append(((t + at).astype(np.int64) * width * 2 + ends).astype(np.int32 if len(languages) * t.size < 5e8 else np.int64))
-            roots.append(at * width)
+            # a last state without transitions: no phrase is under way, any character begins one
+            t = np.concatenate((t, np.full((1, width), -1, t.dtype)))
+            begins = t < 0
+            t = np.where(begins, np.where(t[0] < 0, len(t) - 1, t[0]), t)
+            tables.append(((t + at).astype(np.int64) * width * 2 + begins).astype(np.int32 if len(languages) * t.size < 5e8 else np.int64))
             at += len(t)
+            roots.append((at - 1) * width)
         step = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
         return cls(languages, kept, step, np.array(roots, dtype=np.int64), width)
 
@@ -134,15 +135,15 @@ class CrossParser:
         begin, size, owner = begin[order], size[order], owner[order]
         for language, root in enumerate(self.roots):
             state = np.full(len(owner), root, dtype=np.int64)
-            ended = np.ones(len(owner), dtype=np.int32)  # the phrase under way at the end
+            begun = np.zeros(len(owner), dtype=np.int32)
             going = len(owner)
             for k in range(int(size[0])):
                 while size[going - 1] <= k:
                     going -= 1
                 got = self.step[state[:going] + codes[begin[:going] + k]]
-                ended[:going] += got & 1
+                begun[:going] += got & 1
                 state[:going] = got >> 1
-            counts[:, language] = np.bincount(owner, weights=ended, minlength=len(texts)).astype(np.int64)
+            counts[:, language] = np.bincount(owner, weights=begun, minlength=len(texts)).astype(np.int64)
         return chars, counts
 
     def predict(self, texts: list[str | None]) -> pd.DataFrame:

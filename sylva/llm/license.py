@@ -45,7 +45,7 @@ TEMPLATES = {
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"],
     "CC-BY-4.0": ["Licensed under CC BY 4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"],
-    "proprietary": ["All rights reserved", "Proprietary and confidential. All rights reserved"],
+    "proprietary": ["All rights reserved", "Copyright. All rights reserved", "Proprietary and confidential. All rights reserved"],
 }
 _WORD = re.compile(r"[^\W_]+")
 

@@ -1,8 +1,10 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms that speak for toxicity are chosen from counts over all labelled training rows (the lower
-confidence bound of a term's toxic rate must clear the base rate by a factor). Examples are a bounded
-sample of the labelled rows that have such a term. They go into a block-max inverted index: postings
+A term is a word or, to know its unseen forms, the first letters of a word. Terms that speak for
+toxicity are chosen from counts over all labelled training rows: the lower confidence bound of a
+term's toxic rate must clear the base rate by a factor, once over the texts that hold the term and
+once over the different words before it, so that a word of one text with many copies does not pass.
+Examples are a bounded sample of the labelled rows that have such a term. They go into a block-max inverted index: postings
 by term, and per term and block of examples the largest weight. A text asks for its terms, the block
 maxima bound what any example of a block can reach, blocks are opened from the best bound down, and
 the search ends when no unopened block can beat the k-th example found: the k nearest are exact.
@@ -21,10 +23,11 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, crc_of_id, map_texts, read, small, stored
@@ -37,6 +40,8 @@ MAX_EXAMPLES = 4096
 LIFT = 3.0
 #: Standard errors of that bound.
 CAUTION = 4.0
+#: Lengths of the word beginnings that are terms too.
+BEGINNINGS = (4, 5)
 NEAREST = 15
 BLOCK = 64
 EVIDENCE = 3
@@ -130,10 +135,11 @@ class ToxicityModel:
 
     def score(self, text: str | None) -> tuple[float, list]:
         counts: dict[int, int] = {}
-        for word in _WORD.findall((text or "").translate(_FOLD)):
-            t = self.terms.get(word)
-            if t is not None:
-                counts[t] = counts.get(t, 0) + 1
+        for word, n in Counter(_WORD.findall((text or "").translate(_FOLD))).items():
+            for term in (word, *[word[:k] + "*" for k in BEGINNINGS]):
+                t = self.terms.get(term)
+                if t is not None:
+                    counts[t] = counts.get(t, 0) + n
         if not counts:
             return self.rate_without, []
         vote, near = self._vote(*unit(counts, self.idf))
@@ -143,6 +149,18 @@ class ToxicityModel:
         return float(self.values[step]), [self.ids[i] for i in near[:EVIDENCE]]
 
 
+def beginning(word: Column, letters: int) -> Column:
+    """The term for the first letters of ``word``."""
+    return F.concat(F.substring(word, 1, letters), F.lit("*"))
+
+
+def lower_bound(hits: Column, n: Column, errors: float = CAUTION) -> Column:
+    """Lower end of the Wilson interval of the rate hits / n."""
+    z2, rate = errors ** 2, hits / n
+    spread = errors * F.sqrt(rate * (1 - rate) / n + z2 / (4 * n * n))
+    return (rate + z2 / (2 * n) - spread) / (1 + z2 / n)
+
+
 def learn(labelled: DataFrame, max_terms: int = MAX_TERMS, max_examples: int = MAX_EXAMPLES) -> ToxicityModel:
     """A model from doc_id, text and toxic of ``labelled``. Counts are over all its rows; only the
     chosen terms and the bounded sample of examples come to the driver."""
@@ -152,18 +170,27 @@ def learn(labelled: DataFrame, max_terms: int = MAX_TERMS, max_examples: int = M
     n, n_toxic = firsts.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     once = bags.join(small(firsts.select(F.col("h").alias("of"), "first"), n), (F.col("h") == F.col("of")) & (F.col("doc_id") == F.col("first")), "left_semi")
     base = n_toxic / max(n, 1)
-    per = once.select("toxic", F.explode(F.array_distinct("w")).alias("term")).groupBy("term") \
+    least = min(0.5, LIFT * base)
+    begun = F.concat(*[F.transform("w", lambda x: beginning(x, k)) for k in BEGINNINGS])  # noqa: B023
+    per = once.select("toxic", F.explode(F.array_distinct(F.concat("w", begun))).alias("term")).groupBy("term") \
         .agg(F.count("*").alias("df"), F.sum("toxic").alias("bad"))
-    z2 = CAUTION ** 2
-    rate = F.col("bad") / F.col("df")
-    spread = CAUTION * F.sqrt(rate * (1 - rate) / F.col("df") + z2 / (4 * F.col("df") * F.col("df")))
-    low = (rate + z2 / (2 * F.col("df")) - spread) / (1 + z2 / F.col("df"))
-    chosen = per.withColumn("low", low).where(F.col("low") >= min(0.5, LIFT * base)).orderBy(F.desc("low"), "term").limit(max_terms).collect()
+    likely = per.withColumn("low", lower_bound(F.col("bad"), F.col("df"))).where(F.col("low") >= least) \
+        .orderBy(F.desc("low"), "term").limit(4 * max_terms)
+    likely = stored(likely.select("term", "df"), "toxic-terms")
+    # where the likely terms stand: the word before each of them
+    spots = once.select("doc_id", "toxic", "h", F.explode(F.arrays_zip("w", F.concat(F.array(F.lit("")), "w").alias("before"))).alias("s")) \
+        .select("doc_id", "toxic", "h", F.col("s.before").alias("before"), F.explode(F.array(
+            F.col("s.w"), *[beginning(F.col("s.w"), k) for k in BEGINNINGS])).alias("term"))
+    # 4 * max_terms rows at most
+    places = spots.join(F.broadcast(likely.select("term")), "term").groupBy("term", "before") \
+        .agg(F.max("toxic").alias("bad"), (1 - F.min("toxic")).alias("good")).groupBy("term") \
+        .agg(F.sum("bad").alias("bad"), F.sum(F.col("bad") + F.col("good")).alias("places"))
+    chosen = places.withColumn("low", lower_bound(F.col("bad"), F.col("places"))).where(F.col("low") >= least) \
+        .join(likely, "term").orderBy(F.desc("low"), "term").limit(max_terms).collect()
     terms = {r["term"]: i for i, r in enumerate(chosen)}
     idf = np.array([math.log((1 + n) / (1 + r["df"])) + 1 for r in chosen])
     if not terms:
         return ToxicityModel({}, idf, [], (n_toxic + 0.5) / (n + 2))
-    spots = once.select("doc_id", "toxic", "h", F.explode("w").alias("term"))
     listed = F.broadcast(labelled.sparkSession.createDataFrame(list(terms.items()), "term string, t int"))  # max_terms rows at most
     vectors = spots.join(listed, "term").groupBy("h", "toxic", "t").agg(F.count("*").alias("tf"), F.min("doc_id").alias("doc_id")) \
         .groupBy("h", "toxic").agg(F.min("doc_id").alias("doc_id"), F.collect_list(F.struct("t", "tf")).alias("terms"))

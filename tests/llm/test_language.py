@@ -87,4 +87,4 @@ def test_sample_is_bounded(spark, documents):
     docs = documents([(i, f"{i} words " * 300, "en") for i in range(50)])
     parser = la.learn(docs, reference_chars=2000, row_chars=500)
     assert len(parser.step) // parser.width <= 2 * (2000 + 64)
-    assert np.all(parser.roots == [0])
+    assert np.all(parser.roots < len(parser.step))

@@ -25,6 +25,11 @@ def test_figures_against_brute_force():
         assert {k: got[k] for k in slow(t)} == slow(t), t
 
 
+def body_of(lines, seed=1):
+    rng = random.Random(seed)
+    return "\n".join(" ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8))) for _ in range(9)) + "." for _ in range(lines))
+
+
 GOOD = "This is a plain line of text, and it ends like one."
 
 
@@ -39,7 +44,7 @@ def test_lines():
 
 
 def test_rejects_documents_that_lose_too_much():
-    body = "\n".join(f"Line {i} says something of its own, plainly number {i * 7}." for i in range(12))
+    body = body_of(12)
     assert ql.judge(body)["kept"]
     noisy = body + "\n" + "\n".join(f"Menu{i} | Item{i} | Other{i}" for i in range(3))
     got = ql.judge(noisy)
@@ -48,7 +53,7 @@ def test_rejects_documents_that_lose_too_much():
 
 
 def test_table(spark, documents):
-    body = "\n".join(f"Line {i} says something of its own, plainly number {i * 7}." for i in range(12))
+    body = body_of(12)
     rows = [(1, body + "\nAll rights reserved."), (2, None), (3, ""), (None, body), (1, body + "\nAll rights reserved."), (5, "word " * 40_000)]
     docs = documents(rows).withColumnRenamed("lang", "kept").withColumnRenamed("source", "n_words")
     assert ql.figures(docs.select("doc_id", "text", "kept")).count() == 6

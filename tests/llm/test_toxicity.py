@@ -35,8 +35,9 @@ def test_monotone_fit():
 def test_held_out_rows(spark):
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     got = tx.op3_toxicity(spark, "/root/testdata/sf0.1").join(labels, "doc_id").where("held_out").collect()
+    # an eighth of the toxic labels of this table stand at texts without any toxic word
     toxic, clean = [r for r in got if r["toxic"] == 1], [r for r in got if r["toxic"] == 0]
-    assert sum(r["predicted"] for r in toxic) >= 0.95 * len(toxic)
+    assert sum(r["predicted"] for r in toxic) >= 0.85 * len(toxic)
     assert sum(r["predicted"] for r in clean) <= 0.02 * len(clean)
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in got)
 
@@ -55,7 +56,8 @@ def labelled(spark):
 
 def test_learns_and_explains(spark, labelled):
     model = tx.learn(spark.createDataFrame(labelled, "doc_id long, text string, toxic int"))
-    assert set(model.terms) == {"nasty", "awful"}
+    assert {"nasty", "awful", "nast*", "awfu*"} <= set(model.terms) <= {"nasty", "awful", "nast*", "nasty*", "awfu*", "awful*"}
+    assert model.score("nastiest of them")[0] > 0.9  # a form that no labelled text has
     score, evidence = model.score("some NASTY, awful thing")
     assert score > 0.9 and all(int(e) % 5 == 0 for e in evidence) and len(evidence) == 3
     assert model.score("nothing of the kind")[0] < 0.05
@@ -77,3 +79,10 @@ def test_labels_of_training_rows_only(spark, documents):
     rows = tx.labelled_rows(documents([(i, "t") for i in range(6)]), labels).collect()
     assert all(r["doc_id"] in (1, 3) for r in rows)
     assert {r["toxic"] for r in rows if r["doc_id"] == 1} <= {1}
+
+
+def test_words_of_one_copied_text_do_not_pass(spark, labelled):
+    """Many near copies of a toxic text: its other words stand behind the same words everywhere."""
+    copies = [(1000 + i, f"rare words stand in a text with nasty {i} awful things", 1) for i in range(60)]
+    model = tx.learn(spark.createDataFrame(labelled + copies, "doc_id long, text string, toxic int"))
+    assert "nasty" in model.terms and not {"rare", "words", "text", "things"} & set(model.terms)
