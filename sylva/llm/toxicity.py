@@ -22,22 +22,23 @@ the text. Extra columns are ignored."""
 from __future__ import annotations
 
 import math
-import re
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, crc_of_id, map_texts, read, small, stored
+from .common import crc_of_id, map_texts, read, small, stored
 from .decontaminate import words
 
-#: Bounds of what is learned: terms kept, examples in the index, distinct terms per example.
+#: Bounds of what is learned: terms and word beginnings kept, examples in the index, distinct terms per example.
 MAX_TERMS = 4096
+MAX_BEGINNINGS = 64
 MAX_EXAMPLES = 4096
 #: A term speaks for toxicity if the lower bound of its toxic rate is this many times the base rate.
 LIFT = 3.0
+#: A word beginning must clear this bound, as it stands for words that nobody labelled.
+PURE = 0.7
 #: Standard errors of that bound.
 CAUTION = 4.0
 #: Lengths of the word beginnings that are terms too.
@@ -45,8 +46,8 @@ BEGINNINGS = (4, 5)
 NEAREST = 15
 BLOCK = 64
 EVIDENCE = 3
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-_FOLD = str.maketrans(UPPER, LOWER)
+#: Of the bytes of a text: A-Z in lower case, all that stands between words as a space.
+_SPACED = bytes(ord(" ") if c < 128 and not chr(c).isalnum() else ord(chr(c).lower()) if c < 128 else c for c in range(256))
 
 
 @dataclass
@@ -117,7 +118,10 @@ def monotone(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 class ToxicityModel:
     def __init__(self, terms: dict[str, int], idf: np.ndarray, examples: list[Example], rate_without: float, k: int = NEAREST):
-        self.terms, self.idf, self.k, self.rate_without = terms, idf, k, rate_without
+        self.terms = {t.encode(): i for t, i in terms.items()}
+        self.words = frozenset(t for t in self.terms if not t.endswith(b"*"))
+        self.beginnings = [(b" " + t[:-1], i) for t, i in self.terms.items() if t.endswith(b"*")]
+        self.idf, self.k, self.rate_without = idf, k, rate_without
         self.ids = [e.doc_id for e in examples]
         self.toxic = np.array([e.toxic for e in examples], dtype=float)
         vectors = [unit(e.terms, idf) for e in examples]
@@ -134,12 +138,13 @@ class ToxicityModel:
         return float((cosine * self.toxic[near]).sum() / cosine.sum()), near
 
     def score(self, text: str | None) -> tuple[float, list]:
-        counts: dict[int, int] = {}
-        for word, n in Counter(_WORD.findall((text or "").translate(_FOLD))).items():
-            for term in (word, *[word[:k] + "*" for k in BEGINNINGS]):
-                t = self.terms.get(term)
-                if t is not None:
-                    counts[t] = counts.get(t, 0) + n
+        # separators become spaces, so that a beginning is what follows one
+        spaced = b" " + (text or "").encode().translate(_SPACED)
+        words = spaced.split()
+        counts = {self.terms[w]: words.count(w) for w in self.words.intersection(words)}
+        for start, t in self.beginnings:
+            if n := spaced.count(start):
+                counts[t] = n
         if not counts:
             return self.rate_without, []
         vote, near = self._vote(*unit(counts, self.idf))
@@ -170,7 +175,7 @@ def learn(labelled: DataFrame, max_terms: int = MAX_TERMS, max_examples: int = M
     n, n_toxic = firsts.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     once = bags.join(small(firsts.select(F.col("h").alias("of"), "first"), n), (F.col("h") == F.col("of")) & (F.col("doc_id") == F.col("first")), "left_semi")
     base = n_toxic / max(n, 1)
-    least = min(0.5, LIFT * base)
+    least = F.when(F.col("term").endswith("*"), PURE).otherwise(min(0.5, LIFT * base))
     begun = F.concat(*[F.transform("w", lambda x: beginning(x, k)) for k in BEGINNINGS])  # noqa: B023
     per = once.select("toxic", F.explode(F.array_distinct(F.concat("w", begun))).alias("term")).groupBy("term") \
         .agg(F.count("*").alias("df"), F.sum("toxic").alias("bad"))
@@ -187,6 +192,8 @@ def learn(labelled: DataFrame, max_terms: int = MAX_TERMS, max_examples: int = M
         .agg(F.sum("bad").alias("bad"), F.sum(F.col("bad") + F.col("good")).alias("places"))
     chosen = places.withColumn("low", lower_bound(F.col("bad"), F.col("places"))).where(F.col("low") >= least) \
         .join(likely, "term").orderBy(F.desc("low"), "term").limit(max_terms).collect()
+    beginnings = [r["term"] for r in chosen if r["term"].endswith("*")]
+    chosen = [r for r in chosen if r["term"] not in beginnings[MAX_BEGINNINGS:]]
     terms = {r["term"]: i for i, r in enumerate(chosen)}
     idf = np.array([math.log((1 + n) / (1 + r["df"])) + 1 for r in chosen])
     if not terms:
