@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, read, running_totals, small, stored, word_count
+from .common import read, running_totals, small, stored, word_count
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -49,7 +49,7 @@ def queue(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int =
     """One row per row of ``docs`` (doc_id, source, size and any more): its source's source_size,
     weight and target, and ``finish``, its entries' finish times by pass, and ``epochs``, the number
     of its entries that are in the mix."""
-    shuffled = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), "size")
+    shuffled = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "size").cast("binary"))
     order = [F.col("source").asc_nulls_last(), shuffled, F.col("doc_id"), F.col("size")]
     placed = running_totals(docs, order, {"size": "tokens"}, "mix-sources")
     per = stored(targets(docs, weights, max_epochs), "mix-targets")
@@ -80,19 +80,49 @@ def sized(docs: DataFrame) -> DataFrame:
 def mix(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them (0 to ``MAX_EPOCHS`` times). Rows that
     agree in id, source and size are taken equally often, up to one pass, by their rank."""
-    key, rank, n, of = (fresh(x, docs.columns) for x in ("_doc", "_rank", "_n", "_of"))
-    times = queue(sized(docs)).groupBy("doc_id", "source", "size").agg(F.sum("epochs").alias(n), F.count("*").alias(of))
-    times = times.select(F.to_json(F.struct("doc_id", "source", "size")).alias(key), n, of)
-    keyed = docs.withColumn(key, F.to_json(F.struct("doc_id", "source", word_count(F.col("text")).alias("size"))))
-    counted = keyed.join(times, key)
-    # a key of one row needs no rank; repeated rows share their entries out
-    alone = counted.where(F.col(of) == 1).withColumn(rank, F.lit(0))
-    again = counted.where(F.col(of) > 1).withColumn(rank, F.row_number().over(Window.partitionBy(key).orderBy("text")) - 1)
-    both = alone.unionByName(again)
-    copies = F.floor(F.col(n) / F.col(of)) + (F.col(rank) < F.col(n) % F.col(of)).cast("int")
-    return both.withColumn(rank, F.explode(F.sequence(F.lit(0), copies))).where(F.col(rank) > 0).select(*docs.columns)
+    times = queue(sized(docs)).groupBy("doc_id", "source", "size").agg(F.sum("epochs").alias("n"), F.count("*").alias("of"))
+    times = times.select(F.to_json(F.struct("doc_id", "source", "size")).alias("key"), "n", "of")
+    times = stored(times.where("n > 0"), "mix-times")
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.to_json(F.struct(
+        "doc_id", "source", word_count(F.col("text")).alias("size"))).alias("key"))
+    alone = keyed.join(times.where("of = 1"), "key").select("row", F.col("n").alias("copies"))
+    repeated = times.where("of > 1")
+    n_repeated = repeated.count()
+    if not n_repeated:
+        return _copies(alone)
+    # repeated rows share their entries out by their place in one global order
+    again = keyed.join(small(repeated, n_repeated), "key").withColumn("tie", F.monotonically_increasing_id())
+    again = running_totals(again, [F.col("key"), F.col("tie")], {}, "mix-repeats")
+    first = stored(again.groupBy(F.col("key").alias("of_key")).agg(F.min("row_pos").alias("first")), "mix-firsts")
+    again = again.join(small(first, first.count()), F.col("key") == F.col("of_key"))
+    share = F.floor(F.col("n") / F.col("of")) + (F.col("row_pos") - F.col("first") < F.col("n") % F.col("of")).cast("int")
+    return _copies(alone.unionByName(again.select("row", share.alias("copies"))))
+
+
+def _copies(rows: DataFrame) -> DataFrame:
+    return rows.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
 
 
 def op6_mixing_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = queue(sized(read(spark, sf_dir, "documents")))
     return placed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("epochs")).cast("long").alias("taken"))
+
+
+#: The same mix by DuckDB: running sums per source, all entries sorted, cut at the budget.
+ORACLE = rf"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS nth FROM d GROUP BY source),
+w AS (SELECT *, [{", ".join(map(str, WEIGHTS))}][(nth - 1) % {len(WEIGHTS)} + 1] AS weight, {MAX_EPOCHS} * source_size AS most FROM s),
+l AS (SELECT *, most / weight AS fills_at, (sum(source_size) OVER () - coalesce(sum(most) OVER below, 0))
+        / (sum(weight) OVER () - coalesce(sum(weight) OVER below, 0)) AS level
+    FROM w WINDOW below AS (ORDER BY most / weight, nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT *, least(most::DOUBLE, (SELECT max(level) FROM l WHERE level <= fills_at) * weight) AS target FROM l),
+p AS (SELECT d.*, t.source_size, t.weight, t.target, md5('{SEED}:' || coalesce(doc_id::VARCHAR, '') || ':' || size) AS h
+    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+q AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST, h, doc_id NULLS FIRST) AS place,
+    sum(size) OVER (PARTITION BY source ORDER BY h, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) AS tokens FROM p),
+e AS (SELECT place, size, pass, (tokens + pass * source_size) / weight AS finish FROM q, (SELECT unnest(range({MAX_EPOCHS})) AS pass)),
+m AS (SELECT place, size, sum(size) OVER (ORDER BY finish, pass, place ROWS UNBOUNDED PRECEDING) AS spent FROM e),
+n AS (SELECT place, sum(size) AS taken FROM m WHERE spent <= (SELECT sum(size) FROM d) GROUP BY place)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM q LEFT JOIN n USING (place)
+"""

@@ -12,6 +12,7 @@ Extra columns are ignored, or kept by ``clean``."""
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -31,18 +32,19 @@ SHARE_WORDS = 6
 #: A document must keep this share of its word characters.
 MIN_LEFT = 0.5
 _SYMBOLS = b"#*$%&|<>"
-_SENTENCE = re.compile(r"[.!?…。！？][\"'»”’)\]]*(?:\s|$)")
+_SENTENCE = re.compile(r"[.!?…][\"'»”’)\]]*(?:[\x20\x09-\x0D]|$)")
 #: Fixed phrases of page furniture, lower case.
-FURNITURE = re.compile(
+PHRASES = (
     r"all rights reserved|licensed under|released under the|terms of (?:use|service)|privacy policy|cookie policy|"
     r"accept cookies|subscribe to our newsletter|click here|sign up|log in|back to top|share this|skip to content|javascript")
+FURNITURE = re.compile(PHRASES)
 #: A line is furniture if it has no more words than this beside such a phrase.
 FURNITURE_WORDS = 15
 
 
 def bad_line(line: str) -> str | None:
     """The rule that ``line`` fails, or None. Lines without words fail no rule."""
-    words = line.split()
+    words = line.encode().split()  # of bytes: at ASCII white space only
     n = len(words)
     if not n:
         return None
@@ -52,25 +54,16 @@ def bad_line(line: str) -> str | None:
     if n <= FURNITURE_WORDS and FURNITURE.search(line.lower()):
         return "furniture"
     if n >= SHARE_WORDS:
-        if line.upper() == line != line.lower():
+        upper = sum(map(str.isupper, line))
+        if upper and upper > MAX_UPPER * sum(map(str.isalpha, line)):
             return "shouted"
-        letters = [c for c in line if c.isalpha()]
-        if letters and sum(c.isupper() for c in letters) > MAX_UPPER * len(letters):
-            return "shouted"
-        if max(map(words.count, set(words)), default=0) > MAX_ONE_WORD * n if n < 64 else _top_share(words) > MAX_ONE_WORD:
+        if max(Counter(words).values()) > MAX_ONE_WORD * n:
             return "one word"
         if not _SENTENCE.search(line):
             return "no sentence"
     return None
 
 
-def _top_share(words: list[str]) -> float:
-    counts: dict[str, int] = {}
-    for w in words:
-        counts[w] = counts.get(w, 0) + 1
-    return max(counts.values()) / len(words)
-
-
 def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     """Number of words inside windows that occur twice or more, the first occurrence included."""
     n = len(words)
@@ -155,3 +148,32 @@ def clean(docs: DataFrame) -> DataFrame:
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return figures(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+#: The same rules by DuckDB.
+ORACLE = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM d),
+pos AS (SELECT r, unnest(range(1, len(w) - {WINDOW - 2})) AS p, w FROM w WHERE len(w) > {WINDOW}),
+grams AS (SELECT r, p, count(*) OVER (PARTITION BY r, w[p], w[p + 1], w[p + 2]) AS n FROM pos),
+again AS (SELECT r, count(DISTINCT p + k)::BIGINT AS n_repeat_words FROM grams, (SELECT unnest(range({WINDOW})) AS k) WHERE n > 1 GROUP BY r),
+lines AS (SELECT r, k, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS lw,
+        row_number() OVER (PARTITION BY r, line ORDER BY k) > 1 AS again
+    FROM (SELECT r, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM d)),
+common AS (SELECT r, k, max(n) AS top FROM (SELECT r, k, word, count(*) AS n FROM (SELECT r, k, unnest(lw) AS word FROM lines) GROUP BY ALL) GROUP BY r, k),
+judged AS (SELECT r, len(lw) > 0 AND again AS again, len(array_to_string(lw, '')) AS chars, len(lw) > 0 AND (again
+        OR len(regexp_extract_all(line, '[#*$%&|<>]')) > {MAX_SYMBOLS} * len(lw)
+        OR len(lw) <= {FURNITURE_WORDS} AND regexp_matches(lower(line), '{PHRASES}')
+        OR len(lw) >= {SHARE_WORDS} AND (
+            len(regexp_extract_all(line, '\p{{Lu}}')) > {MAX_UPPER} * len(regexp_extract_all(line, '\p{{L}}')) AND regexp_matches(line, '\p{{Lu}}')
+            OR top > {MAX_ONE_WORD} * len(lw)
+            OR NOT regexp_matches(line, '[.!?…]["''»”’)\]]*([\x20\x09-\x0D]|$)'))) AS bad
+    FROM lines LEFT JOIN common USING (r, k)),
+sums AS (SELECT r, count(*) FILTER (again) AS n_dup_lines, coalesce(sum(chars) FILTER (bad), 0) AS lost FROM judged GROUP BY r),
+f AS (SELECT doc_id, len(w)::BIGINT AS n_words, len(array_to_string(w, ''))::BIGINT AS word_chars,
+        len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, lost
+    FROM w JOIN sums USING (r) LEFT JOIN again USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND word_chars - lost >= {MIN_LEFT} * word_chars AS kept, (word_chars - lost)::BIGINT AS chars_left
+FROM (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM f)
+"""

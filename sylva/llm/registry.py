@@ -19,5 +19,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_benchmark_decontamination": decontaminate.ORACLE,
+    "op6_mixing_to_weights": mixing.ORACLE,
     "op7_chat_formatting": chat.ORACLE,
+    "op10_quality_rules": quality.ORACLE,
 }
