@@ -10,8 +10,10 @@ that numpy parses many pieces of text in step, one character of each per turn. W
 parsed, in pieces of ``PIECE`` characters (a phrase also ends where a piece ends, for every language
 alike).
 
-The reference text is a bounded sample: per language the first ``REFERENCE_CHARS`` characters of
-labelled training rows in the order of a hash. Only that sample comes to the driver.
+The reference text is a bounded sample: per language, whole labelled training rows of up to
+``REFERENCE_ROW_CHARS`` characters in the order of a hash, until they hold ``REFERENCE_CHARS``
+characters; where these rows hold less, longer ones give what is missing. Only that sample comes
+to the driver.
 
 A NULL text, or one without a letter, is ``und`` with score 0. Ties go to the language that comes
 first by name. Rows with a NULL language teach nothing. With no labelled row at all, everything is
@@ -28,9 +30,9 @@ from pyspark.sql import functions as F
 
 from .common import crc_of_id, fresh, map_texts, read
 
-#: Bounds of the sample that is learned from, in characters per language and per row.
+#: Bounds of the sample that is learned from: characters per language, and of a row that is taken first.
 REFERENCE_CHARS = 24_000
-REFERENCE_ROW_CHARS = 1_000
+REFERENCE_ROW_CHARS = 2_000
 #: Characters of the alphabet kept apart; rarer ones match nothing.
 ALPHABET = 62
 PIECE = 512
@@ -172,20 +174,22 @@ def _encode(points: np.ndarray, alphabet: np.ndarray) -> np.ndarray:
 
 
 def learn(labelled: DataFrame, reference_chars: int = REFERENCE_CHARS, row_chars: int = REFERENCE_ROW_CHARS) -> CrossParser:
-    """Automata from columns doc_id, text and lang of ``labelled``. Rows come in the order of a hash
-    of id and text; equal texts count once, and a row gives at most ``row_chars`` characters."""
-    need = max(64, 8 * reference_chars // row_chars)
-    rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select(
-        "lang", F.substring("text", 1, row_chars).alias("text"), F.xxhash64("text").alias("h")).where("length(trim(text)) > 0")
-    # rank_limit is pushed below the shuffle, so a task passes on no more rows than are kept
-    first = rows.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))).where(F.col("k") <= need)
+    """Automata from columns text and lang of ``labelled``, in the order of a hash of the text; equal
+    texts of a language count once."""
+    need = max(256, 64 * reference_chars // row_chars)  # texts per language that are enough, however short
+    rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").where("length(trim(text)) > 0").select(
+        "lang", F.least(F.length("text"), F.lit(reference_chars)).alias("n"), F.xxhash64("text").alias("h"), "text")
+    # copies first become one row; the limit on the rank is applied below the shuffle too
+    distinct = rows.groupBy("lang", (F.col("n") > row_chars).alias("long"), "h").agg(F.max("n").alias("n"))
+    ranked = distinct.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("long", "h"))).where(F.col("k") <= need)
+    before = Window.partitionBy("lang").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    chosen = ranked.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).where(F.col("before") < reference_chars)
+    # at most `need` rows per language
+    found = rows.select("lang", "h", "text").join(F.broadcast(chosen.select("lang", "h", "k", "before")), ["lang", "h"])
+    first = found.groupBy("lang", "k", "before").agg(F.min(F.substring("text", 1, reference_chars)).alias("text"))
     samples: dict[str, list[str]] = {}
-    left: dict[str, int] = {}
-    for r in sorted(first.dropDuplicates(["lang", "h"]).collect(), key=lambda r: (r["lang"], r["k"])):
-        room = left.setdefault(r["lang"], reference_chars)
-        if room > 0:
-            samples.setdefault(r["lang"], []).append(r["text"][:room])
-            left[r["lang"]] = room - len(r["text"])
+    for r in sorted(first.collect(), key=lambda r: (r["lang"], r["k"])):
+        samples.setdefault(r["lang"], []).append(r["text"][: reference_chars - r["before"]])
     return CrossParser.learn(samples)
 
 
