@@ -84,8 +84,8 @@ def matches(index: DataFrame, windows: DataFrame, n_windows: int, slop: int = 0,
     asked = survivors.join(small(rest, n_windows * WINDOW), "win").select(
         "win", "size", "row", "at", "term_id", "q", F.explode(
             F.sequence(F.col("at") + F.col("q") - slop, F.col("at") + F.col("q") + slop)).alias("pos"))
-    rows = survivors.select(F.col("row").alias("of")).distinct()
-    near = postings.join(rows, postings["row"] == rows["of"], "left_semi").select("row", "term_id", "pos")
+    rows = stored(survivors.select(F.col("row").alias("of")).distinct(), "surviving-rows")
+    near = postings.join(small(rows, rows.count()), F.col("row") == F.col("of"), "left_semi").select("row", "term_id", "pos")
     met = asked.join(near, ["row", "term_id", "pos"]).select("win", "size", "row", "at", "q").distinct() \
         .groupBy("win", "size", "row", "at").agg(F.count("*").alias("found"))
     whole = met.where(F.col("found") == F.col("size") - rarest).select("win", "size", "row", "at") \
@@ -97,8 +97,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     """One row per row of ``docs``: row, doc_id, n_words, n_hit (words inside any occurrence of a test
     window), items (sorted ids of the items with an occurring window) and contaminated: at least a
     twentieth of the words are hit."""
-    tests = stored(test_windows(benchmark, window), "tests")
+    tests = stored(test_windows(benchmark, window), "test-words")
     n_tests = tests.count()
+    # a number for each window, as it goes into every row of the intersection
+    numbers = stored(tests.select("win").distinct().withColumn("number", F.monotonically_increasing_id()), "test-windows")
+    tests = stored(tests.join(small(numbers, n_tests), "win").drop("win").withColumnRenamed("number", "win"), "tests")
     terms = stored(tests.select("term").distinct().withColumn("term_id", F.monotonically_increasing_id()), "terms")
     index = build_index(docs, terms, n_tests)
     windows = tests.join(terms, "term").select("win", "size", "q", "term_id").distinct()
