@@ -74,7 +74,8 @@ def running_totals(df: DataFrame, order: list[Column], sums: dict[str, str], nam
     inside = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     # one row per partition: the broadcast is bounded by the number of partitions
     out = rows.join(F.broadcast(starts), "_part").withColumn("row_pos", F.col("_b_n") + F.col("_in_part"))
-    out = out.withColumns({new: F.col(f"_b_t_{c}") + F.sum(c).over(inside) for c, new in sums.items()})
+    for c, new in sums.items():
+        out = out.withColumn(new, F.col(f"_b_t_{c}") + F.sum(c).over(inside))
     return out.drop("_part", "_in_part", "_at", "_b_n", *[f"_b_t_{c}" for c in sums])
 
 
@@ -120,22 +121,25 @@ def fresh(name: str, taken: list[str]) -> str:
     return name
 
 
-def chunks(texts: list[str | None], chars: int = 4_000_000) -> Iterator[list[str | None]]:
-    """``texts`` in runs of about ``chars`` characters, to bound what a task holds at once."""
+def chunks(column: pa.Array, chars: int = 4_000_000, rows: int = 256) -> Iterator[list[str | None]]:
+    """The texts of ``column`` in runs of about ``chars`` characters, to bound what a task holds as
+    Python strings at once."""
     run, size = [], 0
-    for t in texts:
-        run.append(t)
-        size += len(t or "")
-        if size >= chars:
-            yield run
-            run, size = [], 0
+    for begin in range(0, len(column), rows):
+        for t in column.slice(begin, rows).to_pylist():
+            run.append(t)
+            size += len(t or "")
+            if size >= chars:
+                yield run
+                run, size = [], 0
     if run:
         yield run
 
 
 def map_texts(docs: DataFrame, added: dict[str, str], of_texts: Callable[[list[str | None]], dict[str, Any]],
-              text: str = "text") -> DataFrame:
-    """``docs`` with the columns ``added`` (name: SQL type), made by ``of_texts`` from a batch's texts.
+              text: str = "text", chars: int = 4_000_000) -> DataFrame:
+    """``docs`` with the columns ``added`` (name: SQL type), made by ``of_texts`` from runs of about
+    ``chars`` characters of a batch's texts.
 
     Arrow passes the other columns through untouched. A column of ``docs`` that has the name of an
     added one gives way to it."""
@@ -150,7 +154,7 @@ def map_texts(docs: DataFrame, added: dict[str, str], of_texts: Callable[[list[s
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             begin = 0
-            for texts in chunks(batch.column(batch.schema.get_field_index(text)).to_pylist()):
+            for texts in chunks(batch.column(batch.schema.get_field_index(text)), chars):
                 made = of_texts(texts)
                 part = batch.slice(begin, len(texts))
                 begin += len(texts)
