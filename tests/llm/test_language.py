@@ -88,3 +88,10 @@ def test_sample_is_bounded(spark, documents):
     parser = la.learn(docs, reference_chars=2000, row_chars=500)
     assert len(parser.step) // parser.width <= 2 * (2000 + 64)
     assert np.all(parser.roots < len(parser.step))
+
+
+def test_copies_of_one_text_do_not_fill_the_sample(spark, documents):
+    rows = [(i, "copied text of one kind", "en") for i in range(900)] + [(1000 + i, f"another sentence number {chr(97 + i)}", "en") for i in range(20)]
+    parser = la.learn(documents(rows))
+    whole = la.letters_only("another sentence number t")
+    assert parser.phrases([whole])[1][0][0] == 1
