@@ -31,8 +31,8 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def ascii_lower(c: Column) -> Column:
-    """A-Z to lower case, everything else as it is."""
-    return F.translate(c, UPPER, LOWER)
+    """A-Z to lower case, everything else as it is. A text of ASCII alone takes the faster way."""
+    return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
 def word_count(c: Column) -> Column:
