@@ -36,6 +36,8 @@ REFERENCE_ROW_CHARS = 2_000
 #: Characters of the alphabet kept apart; rarer ones match nothing.
 ALPHABET = 62
 PIECE = 512
+#: Buckets by hash in which a language's first texts are looked for.
+BUCKETS = 211
 UNKNOWN = "und"
 
 
@@ -179,8 +181,10 @@ def learn(labelled: DataFrame, reference_chars: int = REFERENCE_CHARS, row_chars
     need = max(256, 64 * reference_chars // row_chars)  # texts per language that are enough, however short
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").where("length(trim(text)) > 0").select(
         "lang", F.least(F.length("text"), F.lit(reference_chars)).alias("n"), F.xxhash64("text").alias("h"), "text")
-    # copies first become one row; the limit on the rank is applied below the shuffle too
+    # copies first become one row; the first texts of a language are the first among those of its buckets
     distinct = rows.groupBy("lang", (F.col("n") > row_chars).alias("long"), "h").agg(F.max("n").alias("n"))
+    bucket = Window.partitionBy("lang", F.pmod("h", F.lit(BUCKETS))).orderBy("long", "h")
+    distinct = distinct.withColumn("k", F.row_number().over(bucket)).where(F.col("k") <= need).drop("k")
     ranked = distinct.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("long", "h"))).where(F.col("k") <= need)
     before = Window.partitionBy("lang").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
     chosen = ranked.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).where(F.col("before") < reference_chars)
