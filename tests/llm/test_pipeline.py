@@ -4,8 +4,8 @@ import pytest
 
 import corpus_pipeline as cp
 from sylva.llm import language, mixing, registry, sharding
-from test_decontaminate import words as plain_words
-from test_simhash import slow_components, slow_simhash
+from .test_decontaminate import words as plain_words
+from .test_simhash import slow_components, slow_simhash
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
