@@ -1,27 +1,34 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-A term is a word or, to know its unseen forms, the first letters of a word. Terms that speak for
-toxicity are chosen from counts over all labelled training rows: the lower confidence bound of a
-term's toxic rate must clear the base rate by a factor, once over the texts that hold the term and
-once over the different words before it, so that a word of one text with many copies does not pass.
-Examples are a bounded sample of the labelled rows that have such a term. They go into a block-max inverted index: postings
-by term, and per term and block of examples the largest weight. A text asks for its terms, the block
-maxima bound what any example of a block can reach, blocks are opened from the best bound down, and
-the search ends when no unopened block can beat the k-th example found: the k nearest are exact.
-
-Their votes are weighted by cosine, so that near examples count more, and a monotone map, fitted on
-the examples' own votes (each without itself), turns the weighted share into a calibrated score. A
-text without any chosen term scores the toxic rate of such labelled rows. ``evidence`` lists the ids
-of the nearest examples.
-
-NULL texts have no terms. Labels: a NULL label teaches nothing; an id labelled more than once counts
+Every word of a text is a term; document frequencies are counted over all labelled training rows.
+Examples are a bounded sample of these rows, up to half of it of either label, in the order of a
+hash of the text; each stands for the rows of its label per example. Their whole texts go into a
+block-max inverted index: postings by term, and per term and block of examples the largest weight
+(terms that many examples hold are kept as rows over all examples, which is exact). Every text asks
+it: the block maxima bound what any example of a block can reach, the best block is opened first,
+then all blocks that can still beat the k-th example found: the k nearest are exact.
+
+Words, and the first letters of words for their unseen forms, that speak for toxicity are chosen
+from counts over all labelled rows and are extra terms, which make up half of the squared length of
+a text that has any: the lower confidence bound of the toxic rate must clear the base rate by a
+factor, once over the texts that hold the term and once over the different words before it, so that a
+word of one text with many copies does not pass.
+
+Votes weigh by a power of the odds of the cosine, so that a copy outvotes texts that only share
+common words, and a monotone map, fitted on the examples' own votes (each without itself), turns the
+weighted share into a calibrated score. A text that shares no term with any example scores the toxic
+rate of the labelled rows without chosen terms. ``evidence`` lists the ids of the nearest examples.
+
+NULL texts have no terms. A word that no example has counts in a text's length like one of no
+labelled row. Labels: a NULL label teaches nothing; an id labelled more than once counts
 as toxic if any label says so; equal texts with equal labels teach once. Without labels every text
-scores the same low value. Ties among neighbours go by the order of the sample, which is a hash of
-the text. Extra columns are ignored."""
+scores the same low value. Ties among neighbours go by the order of the sample. Extra columns are
+ignored."""
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +38,7 @@ from pyspark.sql import functions as F
 from .common import crc_of_id, map_texts, read, small, stored
 from .decontaminate import words
 
-#: Bounds of what is learned: terms and word beginnings kept, examples in the index, distinct terms per example.
+#: Bounds of what is learned: chosen terms and word beginnings, examples in the index.
 MAX_TERMS = 4096
 MAX_BEGINNINGS = 64
 MAX_EXAMPLES = 4096
@@ -45,6 +52,10 @@ CAUTION = 4.0
 BEGINNINGS = (4, 5)
 NEAREST = 15
 BLOCK = 64
+#: Terms that more than one in so many examples hold are kept as rows over all examples.
+COMMON = 8
+#: Share of the chosen terms in the squared length of a text that has any.
+CHOSEN_SHARE = 0.5
 EVIDENCE = 3
 #: Of the bytes of a text: A-Z in lower case, all that stands between words as a space.
 _SPACED = bytes(ord(" ") if c < 128 and not chr(c).isalnum() else ord(chr(c).lower()) if c < 128 else c for c in range(256))
@@ -54,14 +65,22 @@ _SPACED = bytes(ord(" ") if c < 128 and not chr(c).isalnum() else ord(chr(c).low
 class Example:
     doc_id: object
     toxic: int
-    terms: dict[int, int]  # term number: occurrences
+    text: str
+    stands_for: float = 1.0  # labelled rows of its label per example
 
 
-def unit(terms: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted term numbers and their TF-IDF weights, scaled to length 1."""
+def unit(terms: dict[int, int], idf: np.ndarray, other: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted term numbers and their TF-IDF weights, scaled to length 1 with terms of no number,
+    whose squared weights add up to ``other``."""
     at = np.array(sorted(terms), dtype=np.int64)
-    w = np.array([1 + math.log(terms[t]) for t in at.tolist()]) * idf[at] if len(at) else np.zeros(0)
-    return at, w / np.sqrt((w * w).sum()) if len(at) else w
+    w = (1 + np.log([terms[t] for t in at.tolist()])) * idf[at] if len(at) else np.zeros(0)
+    return at, w / np.sqrt((w * w).sum() + other) if len(at) else w
+
+
+def ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges [begin, end), one range after the other."""
+    size = end - begin
+    return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
 class BlockMaxIndex:
@@ -73,85 +92,130 @@ class BlockMaxIndex:
         owner = np.repeat(np.arange(self.n), [len(t) for t, _ in vectors])
         term = np.concatenate([t for t, _ in vectors] or [np.zeros(0, np.int64)]).astype(np.int64)
         weight = np.concatenate([w for _, w in vectors] or [np.zeros(0)])
-        # lists by block and term, so that opening a block reads its own lists only
-        order = np.lexsort((owner, term, owner // block))
-        self.owner, self.weight = owner[order], weight[order]
-        self.key = (owner // block * n_terms + term)[order]
-        self.n_terms = n_terms
-        self.top = np.zeros((n_terms, self.blocks))
-        np.maximum.at(self.top, (term, owner // block), weight)
+        common = np.flatnonzero(np.bincount(term, minlength=n_terms) * COMMON > self.n)
+        self.row = np.full(n_terms, -1, dtype=np.int32)
+        self.row[common] = np.arange(len(common))
+        self.rows = np.zeros((len(common), self.n))
+        dense = self.row[term] >= 0
+        self.rows[self.row[term[dense]], owner[dense]] = weight[dense]
+        owner, term, weight = owner[~dense], term[~dense], weight[~dense]
+        order = np.lexsort((owner, term))
+        self.owner, self.weight, term = owner[order].astype(np.int32), weight[order], term[order]
+        # an entry per term and block: where its postings begin, and their largest weight
+        key = term * max(self.blocks, 1) + self.owner // block
+        self.begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+        self.top = np.maximum.reduceat(self.weight, self.begin) if len(key) else np.zeros(0)
+        self.of_block = (self.owner[self.begin] // block).astype(np.int32)
+        self.entries = np.searchsorted(term[self.begin], np.arange(n_terms + 1))
+        self.begin = np.append(self.begin, len(key))
 
     def nearest(self, at: np.ndarray, w: np.ndarray, k: int, leave_out: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest cosine (above 0), nearest first, ties by number."""
-        bound = w @ self.top[at]
-        found_at, found = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bound, kind="stable").tolist():
-            least = found[k - 1] if len(found) >= k else 0.0
-            if bound[b] <= 0 or bound[b] < least - 1e-12:
-                break
-            keys = b * self.n_terms + at
-            begin, end = np.searchsorted(self.key, keys), np.searchsorted(self.key, keys, side="right")
-            scores = np.zeros(self.block)
-            for s, e, q in zip(begin.tolist(), end.tolist(), w.tolist(), strict=True):
-                scores[self.owner[s:e] - b * self.block] += q * self.weight[s:e]
-            if b == leave_out // self.block and leave_out >= 0:
-                scores[leave_out % self.block] = 0
-            hit = np.flatnonzero(scores > 0)
-            found_at, found = np.concatenate((found_at, hit + b * self.block)), np.concatenate((found, scores[hit]))
-            best = np.lexsort((found_at, -np.round(found, 12)))[:k]
-            found_at, found = found_at[best], found[best]
+        none = np.zeros(0, np.int64), np.zeros(0)
+        if not self.n or not len(at):
+            return none
+        row = self.row[at]
+        is_row = row >= 0
+        scores = w[is_row] @ self.rows[row[is_row]]
+        at, w = at[~is_row], w[~is_row]
+        entry = ranges(self.entries[at], self.entries[at + 1])
+        q, of_block = np.repeat(w, self.entries[at + 1] - self.entries[at]), self.of_block[entry]
+        bound = np.maximum.reduceat(scores, np.arange(0, self.n, self.block))
+        bound = bound + np.bincount(of_block, weights=q * self.top[entry], minlength=self.blocks)
+        opened = np.zeros(self.blocks, dtype=bool)
+        found_at, found = none
+        opening = np.zeros(self.blocks, dtype=bool)
+        opening[bound.argmax()] = True
+        while (opening & (bound > 0)).any():
+            chosen = opening[of_block]
+            e = entry[chosen]
+            begin, end = self.begin[e], self.begin[e + 1]
+            spots = ranges(begin, end)
+            scores += np.bincount(self.owner[spots], weights=np.repeat(q[chosen], end - begin) * self.weight[spots], minlength=self.n)
+            if leave_out >= 0:
+                scores[leave_out] = 0
+            opened |= opening
+            hit = np.flatnonzero((scores > 0) & np.repeat(opened, self.block)[:self.n])
+            if len(hit) > k:  # all that tie with the k-th stay
+                hit = hit[scores[hit] >= np.partition(scores[hit], len(hit) - k)[len(hit) - k] - 1e-11]
+            best = np.lexsort((hit, -np.round(scores[hit], 12)))[:k]
+            found_at, found = hit[best], scores[hit[best]]
+            opening = ~opened & (bound >= (found[k - 1] if len(found) >= k else 0.0) - 1e-11)
         return found_at, found
 
 
-def monotone(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Steps of the best non-decreasing fit of y by x: pool neighbours that are out of order."""
+def monotone(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """First and last points of the best non-decreasing fit of y by x: pool neighbours that are out of order."""
     order = np.argsort(x, kind="stable")
-    pools: list[list[float]] = []  # sum, count, first x
-    for a, b in zip(x[order].tolist(), y[order].tolist(), strict=True):
-        pools.append([b, 1, a])
+    weight = np.ones(len(x)) if weight is None else weight * len(x) / weight.sum()
+    pools: list[list[float]] = []  # sum, count, first x, last x
+    for a, b, n in zip(x[order].tolist(), y[order].tolist(), weight[order].tolist(), strict=True):
+        pools.append([b * n, n, a, a])
         while len(pools) > 1 and (pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1] or pools[-2][2] == pools[-1][2]):
             last = pools.pop()
             pools[-1][0] += last[0]
             pools[-1][1] += last[1]
-    return np.array([p[2] for p in pools]), np.array([(p[0] + 0.5) / (p[1] + 1) for p in pools])
+            pools[-1][3] = last[3]
+    values = np.maximum.accumulate([(p[0] + 0.5) / (p[1] + 1) for p in pools])
+    return np.array([v for p in pools for v in p[2:]]), np.repeat(values, 2)
 
 
 class ToxicityModel:
-    def __init__(self, terms: dict[str, int], idf: np.ndarray, examples: list[Example], rate_without: float, k: int = NEAREST):
+    """``terms`` are the chosen ones; ``df`` the labelled rows, of ``n``, that hold a word of the examples."""
+
+    def __init__(self, terms: dict[str, int], idf: np.ndarray, examples: list[Example], rate_without: float, k: int = NEAREST,
+                 df: dict[str, int] | None = None, n: int = 0):
         self.terms = {t.encode(): i for t, i in terms.items()}
-        self.words = frozenset(t for t in self.terms if not t.endswith(b"*"))
         self.beginnings = [(b" " + t[:-1], i) for t, i in self.terms.items() if t.endswith(b"*")]
         self.idf, self.k, self.rate_without = idf, k, rate_without
+        self.vocabulary = {w: i for i, w in enumerate(sorted({w for e in examples for w in spaced(e.text).split()}))}
+        self.other = math.log(1 + n) + 1
+        self.word_idf = np.array([math.log((1 + n) / (1 + (df or {}).get(w.decode(), 0))) + 1 for w in self.vocabulary])
         self.ids = [e.doc_id for e in examples]
         self.toxic = np.array([e.toxic for e in examples], dtype=float)
-        vectors = [unit(e.terms, idf) for e in examples]
-        self.index = BlockMaxIndex(vectors, len(terms))
+        self.stands_for = np.array([e.stands_for for e in examples], dtype=float)
+        vectors = [self.vector(e.text) for e in examples]
+        self.index = BlockMaxIndex(vectors, len(self.vocabulary) + len(terms))
         own = [self._vote(*v, leave_out=i)[0] for i, v in enumerate(vectors)]
         known = np.array([x is not None for x in own], dtype=bool)
-        self.steps, self.values = monotone(np.array([x for x in own if x is not None]), self.toxic[known]) if known.any() \
+        self.steps, self.values = monotone(np.array([x for x in own if x is not None]), self.toxic[known], self.stands_for[known]) if known.any() \
             else (np.zeros(1), np.array([rate_without]))
 
+    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Term numbers and weights: the words of the examples, then the chosen terms."""
+        flat = spaced(text)
+        words = Counter(flat.split())
+        known = {i: c for w, c in words.items() if (i := self.vocabulary.get(w)) is not None}
+        other = sum((1 + math.log(c)) ** 2 for w, c in words.items() if w not in self.vocabulary) * self.other ** 2
+        chosen = {i: words[t] for t, i in self.terms.items() if t in words} if len(self.terms) < len(words) \
+            else {self.terms[w]: c for w, c in words.items() if w in self.terms}
+        for start, t in self.beginnings:
+            if c := flat.count(start):
+                chosen[t] = c
+        at, w = unit(known, self.word_idf, other)
+        if not chosen:
+            return at, w
+        more, x = unit(chosen, self.idf)
+        return np.concatenate((at, more + len(self.vocabulary))), np.concatenate((w * math.sqrt(1 - CHOSEN_SHARE), x * math.sqrt(CHOSEN_SHARE)))
+
     def _vote(self, at: np.ndarray, w: np.ndarray, leave_out: int = -1) -> tuple[float | None, np.ndarray]:
         near, cosine = self.index.nearest(at, w, self.k, leave_out)
         if not len(near):
             return None, near
-        return float((cosine * self.toxic[near]).sum() / cosine.sum()), near
+        cosine = np.minimum(cosine, 1.0)
+        weight = (cosine / (1.01 - cosine)) ** 2 * self.stands_for[near]
+        return round(float((weight * self.toxic[near]).sum() / weight.sum()), 9), near
 
     def score(self, text: str | None) -> tuple[float, list]:
-        # separators become spaces, so that a beginning is what follows one
-        spaced = b" " + (text or "").encode().translate(_SPACED)
-        words = spaced.split()
-        counts = {self.terms[w]: words.count(w) for w in self.words.intersection(words)}
-        for start, t in self.beginnings:
-            if n := spaced.count(start):
-                counts[t] = n
-        if not counts:
-            return self.rate_without, []
-        vote, near = self._vote(*unit(counts, self.idf))
+        vote, near = self._vote(*self.vector(text))
         if vote is None:
             return self.rate_without, []
-        step = max(0, int(np.searchsorted(self.steps, vote, side="right")) - 1)
-        return float(self.values[step]), [self.ids[i] for i in near[:EVIDENCE]]
+        return float(np.interp(vote, self.steps, self.values)), [self.ids[i] for i in near[:EVIDENCE]]
+
+
+def spaced(text: str | None) -> bytes:
+    """The words of a text in lower case, each behind a space, so that a beginning is what follows one."""
+    return b" " + (text or "").encode("utf-8", "replace").translate(_SPACED)
 
 
 def beginning(word: Column, letters: int) -> Column:
@@ -168,44 +232,54 @@ def lower_bound(hits: Column, n: Column, errors: float = CAUTION) -> Column:
 
 def learn(labelled: DataFrame, max_terms: int = MAX_TERMS, max_examples: int = MAX_EXAMPLES) -> ToxicityModel:
     """A model from doc_id, text and toxic of ``labelled``. Counts are over all its rows; only the
-    chosen terms and the bounded sample of examples come to the driver."""
+    chosen terms, the bounded sample of examples and the counts of its words come to the driver."""
     rows = labelled.where("toxic IS NOT NULL").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
-    bags = rows.select("doc_id", "toxic", F.xxhash64("text").alias("h"), words(F.col("text")).alias("w"))
-    firsts = stored(bags.groupBy("h", "toxic").agg(F.min("doc_id").alias("first")), "toxic-texts")
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    bags = rows.select("doc_id", "toxic", "h", words(F.col("text")).alias("w"))
+    firsts = stored(rows.groupBy("h", "toxic").agg(F.min("doc_id").alias("first")), "toxic-texts")
     n, n_toxic = firsts.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    once = bags.join(small(firsts.select(F.col("h").alias("of"), "first"), n), (F.col("h") == F.col("of")) & (F.col("doc_id") == F.col("first")), "left_semi")
+    is_first = (F.col("h") == F.col("of")) & (F.col("doc_id") == F.col("first"))
+    once = bags.join(small(firsts.select(F.col("h").alias("of"), "first"), n), is_first, "left_semi")
     base = n_toxic / max(n, 1)
     least = F.when(F.col("term").endswith("*"), PURE).otherwise(min(0.5, LIFT * base))
     begun = F.concat(*[F.transform("w", lambda x: beginning(x, k)) for k in BEGINNINGS])  # noqa: B023
-    per = once.select("toxic", F.explode(F.array_distinct(F.concat("w", begun))).alias("term")).groupBy("term") \
-        .agg(F.count("*").alias("df"), F.sum("toxic").alias("bad"))
+    per = stored(once.select("toxic", F.explode(F.array_distinct(F.concat("w", begun))).alias("term")).where("term IS NOT NULL")
+                 .groupBy("term").agg(F.count("*").alias("df"), F.sum("toxic").alias("bad")), "toxic-counts")
     likely = per.withColumn("low", lower_bound(F.col("bad"), F.col("df"))).where(F.col("low") >= least) \
         .orderBy(F.desc("low"), "term").limit(4 * max_terms)
     likely = stored(likely.select("term", "df"), "toxic-terms")
     # where the likely terms stand: the word before each of them
-    spots = once.select("doc_id", "toxic", "h", F.explode(F.arrays_zip("w", F.concat(F.array(F.lit("")), "w").alias("before"))).alias("s")) \
-        .select("doc_id", "toxic", "h", F.col("s.before").alias("before"), F.explode(F.array(
+    spots = once.select("toxic", "h", F.explode(F.arrays_zip("w", F.concat(F.array(F.lit("")), "w").alias("before"))).alias("s")) \
+        .select("toxic", "h", F.col("s.before").alias("before"), F.explode(F.array(
             F.col("s.w"), *[beginning(F.col("s.w"), k) for k in BEGINNINGS])).alias("term"))
     # 4 * max_terms rows at most
     places = spots.join(F.broadcast(likely.select("term")), "term").groupBy("term", "before") \
         .agg(F.max("toxic").alias("bad"), (1 - F.min("toxic")).alias("good")).groupBy("term") \
         .agg(F.sum("bad").alias("bad"), F.sum(F.col("bad") + F.col("good")).alias("places"))
-    chosen = places.withColumn("low", lower_bound(F.col("bad"), F.col("places"))).where(F.col("low") >= least) \
-        .join(likely, "term").orderBy(F.desc("low"), "term").limit(max_terms).collect()
+    places = places.withColumn("low", lower_bound(F.col("bad"), F.col("places"))).select("term", "low")
+    chosen = places.where(F.col("low") >= least).join(likely, "term").orderBy(F.desc("low"), "term").limit(max_terms).collect()
     beginnings = [r["term"] for r in chosen if r["term"].endswith("*")]
     chosen = [r for r in chosen if r["term"] not in beginnings[MAX_BEGINNINGS:]]
     terms = {r["term"]: i for i, r in enumerate(chosen)}
     idf = np.array([math.log((1 + n) / (1 + r["df"])) + 1 for r in chosen])
-    if not terms:
-        return ToxicityModel({}, idf, [], (n_toxic + 0.5) / (n + 2))
-    listed = F.broadcast(labelled.sparkSession.createDataFrame(list(terms.items()), "term string, t int"))  # max_terms rows at most
-    vectors = spots.join(listed, "term").groupBy("h", "toxic", "t").agg(F.count("*").alias("tf"), F.min("doc_id").alias("doc_id")) \
-        .groupBy("h", "toxic").agg(F.min("doc_id").alias("doc_id"), F.collect_list(F.struct("t", "tf")).alias("terms"))
-    vectors = stored(vectors, "toxic-vectors")
-    with_terms, toxic_with = vectors.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    sample = vectors.orderBy("h", "toxic").limit(max_examples).collect()
-    examples = [Example(r["doc_id"], r["toxic"], {x["t"]: x["tf"] for x in r["terms"]}) for r in sample]
-    return ToxicityModel(terms, idf, examples, (n_toxic - toxic_with + 0.5) / (n - with_terms + 2))
+    with_terms, toxic_with = 0, 0
+    if terms:
+        listed = F.broadcast(labelled.sparkSession.createDataFrame([(t,) for t in terms], "term string"))  # max_terms rows at most
+        all_terms = once.select("h", "toxic", F.explode(F.array_distinct(F.concat("w", begun))).alias("term"))
+        with_terms, toxic_with = all_terms.join(listed, "term", "left_semi").select("h", "toxic").distinct() \
+            .agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    # up to half of the examples of either label, the rest of the other one
+    n_clean = n - n_toxic
+    take = {1: min(n_toxic, max(max_examples // 2, max_examples - n_clean))}
+    take[0] = min(n_clean, max_examples - take[1])
+    picked = [firsts.where(F.col("toxic") == x).orderBy("h").limit(take[x]) for x in (0, 1)]
+    picked = picked[0].union(picked[1]).select(F.col("h").alias("of"), "first", F.col("toxic").alias("label"))  # max_examples rows at most
+    sample = stored(rows.join(F.broadcast(picked), is_first & (F.col("toxic") == F.col("label")), "left_semi").dropDuplicates(["h", "toxic"]), "toxic-sample")
+    used = sample.select(F.explode(words(F.col("text"))).alias("term")).distinct()
+    df = {r["term"]: r["df"] for r in per.join(used, "term", "left_semi").select("term", "df").collect()}
+    found = sorted(sample.collect(), key=lambda r: (r["h"], r["toxic"]))
+    examples = [Example(r["doc_id"], r["toxic"], r["text"], (n_toxic if r["toxic"] else n_clean) / take[r["toxic"]]) for r in found]
+    return ToxicityModel(terms, idf, examples, (n_toxic - toxic_with + 0.5) / (n - with_terms + 2), df=df, n=n)
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:

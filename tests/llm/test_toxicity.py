@@ -86,3 +86,14 @@ def test_words_of_one_copied_text_do_not_pass(spark, labelled):
     copies = [(1000 + i, f"rare words stand in a text with nasty {i} awful things", 1) for i in range(60)]
     model = tx.learn(spark.createDataFrame(labelled + copies, "doc_id long, text string, toxic int"))
     assert b"nasty" in model.terms and not {b"rare", b"words", b"text", b"things"} & set(model.terms)
+
+
+def test_copy_of_an_example_without_chosen_words(spark, labelled):
+    """All words of a text are asked for, not the chosen ones alone."""
+    plain = "an ordinary sentence whose words stand on no list at all"
+    model = tx.learn(spark.createDataFrame([*labelled, (1001, plain, 1)], "doc_id long, text string, toxic int"))
+    score, evidence = model.score(plain)
+    assert evidence[0] == 1001 and score >= 0.5
+    at, w = model.vector(plain)
+    assert model.index.nearest(at, w, 1)[1][0] == pytest.approx(1)
+    assert model.score(labelled[1][1])[1][0] == 1
