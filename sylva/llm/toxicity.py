@@ -12,7 +12,7 @@ Words, and the first letters of words for their unseen forms, that speak for tox
 from counts over all labelled rows and are extra terms, which make up half of the squared length of
 a text that has any: the lower confidence bound of the toxic rate must clear the base rate by a
 factor, once over the texts that hold the term and once over the different words before it, so that a
-word of one text with many copies does not pass.
+word of one text with many copies does not pass. A beginning of k letters stands for the words of at least k letters that begin so.
 
 Votes weigh by a power of the odds of the cosine, so that a copy outvotes texts that only share
 common words, and a monotone map, fitted on the examples' own votes (each without itself), turns the
@@ -219,8 +219,8 @@ def spaced(text: str | None) -> bytes:
 
 
 def beginning(word: Column, letters: int) -> Column:
-    """The term for the first letters of ``word``."""
-    return F.concat(F.substring(word, 1, letters), F.lit("*"))
+    """The term for the first letters of ``word``; NULL for a word of fewer."""
+    return F.when(F.length(word) >= letters, F.concat(F.substring(word, 1, letters), F.lit("*")))
 
 
 def lower_bound(hits: Column, n: Column, errors: float = CAUTION) -> Column:

@@ -97,3 +97,14 @@ def test_copy_of_an_example_without_chosen_words(spark, labelled):
     at, w = model.vector(plain)
     assert model.index.nearest(at, w, 1)[1][0] == pytest.approx(1)
     assert model.score(labelled[1][1])[1][0] == 1
+
+
+def test_short_word_does_not_speak_for_longer_ones(spark):
+    """A toxic word of three letters is not the beginning of other words."""
+    rng = random.Random(4)
+    rows = [(i, " ".join([f"w{rng.randrange(900)}" for _ in range(30)] + (["ass", f"u{i}", f"v{i}", f"x{i}"] if i % 4 == 0 else [])), int(i % 4 == 0)) for i in range(400)]
+    model = tx.learn(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    assert b"ass" in model.terms and b"ass*" not in model.terms
+    assert model.score("we assume the assembly is associated")[0] < 0.5
+    at, w = model.vector(rows[0][1])
+    assert (w * w).sum() == pytest.approx(1)
