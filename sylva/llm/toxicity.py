@@ -11,8 +11,9 @@ then all blocks that can still beat the k-th example found: the k nearest are ex
 Words, and the first letters of words for their unseen forms, that speak for toxicity are chosen
 from counts over all labelled rows and are extra terms, which make up half of the squared length of
 a text that has any: the lower confidence bound of the toxic rate must clear the base rate by a
-factor, once over the texts that hold the term and once over the different words before it, so that a
-word of one text with many copies does not pass. A beginning of k letters stands for the words of at least k letters that begin so.
+factor, once over the texts that hold the term and once over the different contexts of three words
+on the side where it has fewer of them, so that a word of one text with many near copies does not
+pass. A beginning of k letters stands for the words of at least k letters that begin so.
 
 Votes weigh by a power of the odds of the cosine, so that a copy outvotes texts that only share
 common words, and a monotone map, fitted on the examples' own votes (each without itself), turns the
@@ -50,6 +51,8 @@ PURE = 0.7
 CAUTION = 4.0
 #: Lengths of the word beginnings that are terms too.
 BEGINNINGS = (4, 5)
+#: Words on either side of a term that tell one place from another.
+CONTEXT = 3
 NEAREST = 15
 BLOCK = 64
 #: Terms that more than one in so many examples hold are kept as rows over all examples.
@@ -223,6 +226,16 @@ def beginning(word: Column, letters: int) -> Column:
     return F.when(F.length(word) >= letters, F.concat(F.substring(word, 1, letters), F.lit("*")))
 
 
+def places_of(w: Column, words: int = CONTEXT) -> Column:
+    """An array with a struct per word of ``w``: the word (w) and the hashes of the words to its left
+    and right (l1, r1, ...); the text goes on at its other end."""
+    h = F.transform(w, lambda x: F.xxhash64(x))
+    sides = [w.alias("w")]
+    for j in range(1, words + 1):
+        sides += [F.concat(F.slice(h, -j, j), h).alias(f"l{j}"), F.concat(F.slice(h, F.lit(j + 1), F.size(h)), F.slice(h, 1, j)).alias(f"r{j}")]
+    return F.arrays_zip(*sides)
+
+
 def lower_bound(hits: Column, n: Column, errors: float = CAUTION) -> Column:
     """Lower end of the Wilson interval of the rate hits / n."""
     z2, rate = errors ** 2, hits / n
@@ -248,15 +261,15 @@ def learn(labelled: DataFrame, max_terms: int = MAX_TERMS, max_examples: int = M
     likely = per.withColumn("low", lower_bound(F.col("bad"), F.col("df"))).where(F.col("low") >= least) \
         .orderBy(F.desc("low"), "term").limit(4 * max_terms)
     likely = stored(likely.select("term", "df"), "toxic-terms")
-    # where the likely terms stand: the word before each of them
-    spots = once.select("toxic", "h", F.explode(F.arrays_zip("w", F.concat(F.array(F.lit("")), "w").alias("before"))).alias("s")) \
-        .select("toxic", "h", F.col("s.before").alias("before"), F.explode(F.array(
-            F.col("s.w"), *[beginning(F.col("s.w"), k) for k in BEGINNINGS])).alias("term"))
+    # where the likely terms stand: the words on either side of each of them
+    spots = once.select("toxic", "h", F.explode(places_of(F.col("w"))).alias("s")).select("toxic", "h", "s.*")
+    spots = spots.select("*", F.explode(F.array("w", *[beginning(F.col("w"), k) for k in BEGINNINGS])).alias("term"))
+    sides = F.explode(F.array(*[F.struct(F.lit(x).alias("side"), F.xxhash64(*[f"{x}{j}" for j in range(1, CONTEXT + 1)]).alias("words")) for x in "lr"]))
     # 4 * max_terms rows at most
-    places = spots.join(F.broadcast(likely.select("term")), "term").groupBy("term", "before") \
-        .agg(F.max("toxic").alias("bad"), (1 - F.min("toxic")).alias("good")).groupBy("term") \
+    places = spots.join(F.broadcast(likely.select("term")), "term").select("term", "toxic", sides.alias("c")).groupBy("term", "c") \
+        .agg(F.max("toxic").alias("bad"), (1 - F.min("toxic")).alias("good")).groupBy("term", "c.side") \
         .agg(F.sum("bad").alias("bad"), F.sum(F.col("bad") + F.col("good")).alias("places"))
-    places = places.withColumn("low", lower_bound(F.col("bad"), F.col("places"))).select("term", "low")
+    places = places.groupBy("term").agg(F.min(lower_bound(F.col("bad"), F.col("places"))).alias("low"))
     chosen = places.where(F.col("low") >= least).join(likely, "term").orderBy(F.desc("low"), "term").limit(max_terms).collect()
     beginnings = [r["term"] for r in chosen if r["term"].endswith("*")]
     chosen = [r for r in chosen if r["term"] not in beginnings[MAX_BEGINNINGS:]]

@@ -108,3 +108,12 @@ def test_short_word_does_not_speak_for_longer_ones(spark):
     assert model.score("we assume the assembly is associated")[0] < 0.5
     at, w = model.vector(rows[0][1])
     assert (w * w).sum() == pytest.approx(1)
+
+
+def test_fixed_phrase_is_learned(spark):
+    """A toxic word that always follows the same word, in many different texts."""
+    rng = random.Random(5)
+    text = lambda bad: [f"w{rng.randrange(900)}" for _ in range(15)] + (["you", "moron"] if bad else []) + [f"w{rng.randrange(900)}" for _ in range(15)]
+    rows = [(i, " ".join(text(i % 5 == 0)), int(i % 5 == 0)) for i in range(300)]
+    model = tx.learn(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    assert b"moron" in model.terms
