@@ -6,8 +6,9 @@ has a transition, and the next phrase starts at the character that broke it. The
 character, the closer the document is to the language; the smallest normalised count wins.
 
 The automata become one dense table of transitions that also says whether a step ends a phrase, so
-that numpy parses many pieces of text in step, one character of each per turn. Whole texts are
-parsed, in pieces of ``PIECE`` characters (a phrase also ends where a piece ends, for every language
+that numpy parses many pieces of text in step, one character of each per turn. Every letter of a
+sample counts: the table has columns for the commonest ones of each language, transitions by its other
+letters are looked up in a sorted list. Whole texts are parsed, in pieces of ``PIECE`` characters (a phrase also ends where a piece ends, for every language
 alike).
 
 The reference text is a bounded sample: per language, whole labelled training rows of up to
@@ -15,8 +16,8 @@ The reference text is a bounded sample: per language, whole labelled training ro
 characters; where these rows hold less, longer ones give what is missing. Only that sample comes
 to the driver.
 
-A NULL text, or one without a letter, is ``und`` with score 0. Ties go to the language that comes
-first by name. Rows with a NULL language teach nothing. With no labelled row at all, everything is
+A NULL text, or one without a letter, is ``und`` with score 0. Ties go to the language
+whose sample has most of the text's letters, then to the one that comes first by name. Rows with a NULL language teach nothing. With no labelled row at all, everything is
 ``und``. Repeated rows are predicted alike; extra columns are ignored, whatever their names."""
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from .common import crc_of_id, fresh, map_texts, read
 #: Bounds of the sample that is learned from: characters per language, and of a row that is taken first.
 REFERENCE_CHARS = 24_000
 REFERENCE_ROW_CHARS = 2_000
-#: Characters of the alphabet kept apart; rarer ones match nothing.
+#: Letters of a language that have a column in the table; the others are looked up.
 ALPHABET = 62
 PIECE = 512
 #: Buckets by hash in which a language's first texts are looked for.
@@ -53,8 +54,8 @@ def letters_only(text: str) -> np.ndarray:
     return out[keep]
 
 
-def suffix_automaton(codes: list[int], width: int) -> np.ndarray:
-    """Transitions of the suffix automaton of ``codes`` (each below ``width``): row = state, -1 = none."""
+def transitions(codes: list[int]) -> list[dict[int, int]]:
+    """Per state of the suffix automaton of ``codes``, the next state by code."""
     link, length, moves, last = [-1], [0], [{}], 0
     for c in codes:
         cur = len(moves)
@@ -79,48 +80,88 @@ def suffix_automaton(codes: list[int], width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = twin
         last = cur
+    return moves
+
+
+def suffix_automaton(codes: list[int], width: int) -> np.ndarray:
+    """Transitions of the suffix automaton of ``codes`` (each below ``width``): row = state, -1 = none."""
+    return _table(transitions(codes), width)
+
+
+def _table(moves: list[dict[int, int]], width: int) -> np.ndarray:
+    """The transitions by codes below ``width`` as a table."""
     table = np.full((len(moves), width), -1, dtype=np.int32)
     for s, row in enumerate(moves):
-        if row:
-            table[s, list(row)] = list(row.values())
+        for c, t in row.items():
+            if 0 <= c < width:
+                table[s, c] = t
     return table
 
 
+@dataclass
+class Others:
+    """A language's transitions by letters without a column: sorted keys state * letters + letter, the
+    next state * width of each, and that of each letter where a phrase begins with it."""
+
+    letters: int
+    keys: np.ndarray
+    to: np.ndarray
+    first: np.ndarray
+
+    def step(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        key = state * self.letters + letter
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, 2 * self.to[at], 2 * self.first[letter] + 1)
+
+
 @dataclass
 class CrossParser:
     """Tables of all languages. ``step[state * width + code]`` holds 2 * (next state * width) plus 1
-    where a phrase begins; ``roots`` are the states before the first character."""
+    where a phrase begins; ``roots`` are the states before the first character. ``alphabet`` holds the
+    code points of all samples, ``codes`` per language its code for each of them (first: of any other):
+    0 if it has no such letter, ``width`` or more if the letter has no column."""
 
     languages: list[str]
     alphabet: np.ndarray
     step: np.ndarray
     roots: np.ndarray
     width: int
+    codes: list[np.ndarray]
+    others: list[Others | None]
 
     @classmethod
     def learn(cls, samples: dict[str, list[str]], alphabet: int = ALPHABET) -> CrossParser:
         languages = sorted(samples)
         cleaned = {x: [letters_only(t) for t in samples[x]] for x in languages}
         every = np.concatenate([p for x in languages for p in cleaned[x]] or [np.zeros(0, "<u4")])
-        points, n = np.unique(every, return_counts=True)
-        kept = np.sort(points[np.argsort(-n, kind="stable")[:alphabet]])
-        width = len(kept) + 2  # code 0: a character matched by nothing; last: between two rows of the sample
-        tables, roots, at = [], [], 0
-        for x in languages:
+        points = np.unique(every)
+        own = [np.unique(np.concatenate(cleaned[x] or [every[:0]]), return_counts=True) for x in languages]
+        width = min(alphabet, max((len(p) for p, _ in own), default=0)) + 2  # code 0: a letter of other languages; last: one without a column
+        tables, roots, of_points, others, at = [], [], [], [], 0
+        for x, (letters, n) in zip(languages, own, strict=True):
+            rank = np.argsort(np.argsort(-n, kind="stable"), kind="stable")
+            code = np.zeros(len(points) + 1, dtype=np.int32)
+            code[1 + np.searchsorted(points, letters)] = np.where(rank < width - 2, rank + 1, rank + 2)
             codes: list[int] = []
             for row in cleaned[x]:
-                codes += [*_encode(row, kept).tolist(), width - 1]
-            t = suffix_automaton(codes, width)
-            t[:, 0] = t[:, width - 1] = -1
+                codes += [*code[_encode(row, points)].tolist(), -1]  # -1: between two rows of the sample
+            moves = transitions(codes)
+            t = _table(moves, width)
+            rare = sorted((((at + s) * len(letters) + c - width), (at + to) * width) for s, row in enumerate(moves) for c, to in row.items() if c >= width)
+            first = np.array([(at + moves[0][c]) * width for c in range(width, len(letters) + 2)], dtype=np.int64)
+            others.append(Others(len(letters), *np.array(rare, dtype=np.int64).T.copy(), first) if rare else None)
+            of_points.append(code)
             # a last state without transitions: no phrase is under way, any character begins one
             t = np.concatenate((t, np.full((1, width), -1, t.dtype)))
             begins = t < 0
             t = np.where(begins, np.where(t[0] < 0, len(t) - 1, t[0]), t)
-            tables.append(((t + at).astype(np.int64) * width * 2 + begins).astype(np.int32 if len(languages) * t.size < 5e8 else np.int64))
+            tables.append((t, begins, at))
             at += len(t)
             roots.append((at - 1) * width)
-        step = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
-        return cls(languages, kept, step, np.array(roots, dtype=np.int64), width)
+        kind = np.int32 if at * width * 2 < 2 ** 31 else np.int64
+        step = np.concatenate([((t.astype(np.int64) + of) * width * 2 + begins).astype(kind) for t, begins, of in tables]).ravel() \
+            if tables else np.zeros(0, np.int32)
+        return cls(languages, points, step, np.array(roots, dtype=np.int64), width, of_points, others)
 
     def phrases(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """(characters, phrases per language) of each text of code points."""
@@ -130,7 +171,7 @@ class CrossParser:
         owner = np.repeat(np.arange(len(texts)), pieces)
         if not len(owner) or not self.languages:
             return chars, counts
-        codes = _encode(np.concatenate(texts), self.alphabet)
+        points = _encode(np.concatenate(texts), self.alphabet)
         starts = np.concatenate(([0], np.cumsum(chars)))[:-1]
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         begin = starts[owner] + nth * PIECE
@@ -141,10 +182,18 @@ class CrossParser:
             state = np.full(len(owner), root, dtype=np.int64)
             begun = np.zeros(len(owner), dtype=np.int32)
             going = len(owner)
+            codes = self.codes[language][points]
+            others = self.others[language] if (codes >= self.width).any() else None
             for k in range(int(size[0])):
                 while size[going - 1] <= k:
                     going -= 1
-                got = self.step[state[:going] + codes[begin[:going] + k]]
+                code = codes[begin[:going] + k]
+                if others is None:
+                    got = self.step[state[:going] + code]
+                else:
+                    got = self.step[state[:going] + np.minimum(code, self.width - 1)].astype(np.int64)
+                    rare = np.flatnonzero(code >= self.width)
+                    got[rare] = others.step(state[rare] // self.width, code[rare] - self.width)
                 begun[:going] += got & 1
                 state[:going] = got >> 1
             counts[:, language] = np.bincount(owner, weights=begun, minlength=len(texts)).astype(np.int64)
@@ -159,6 +208,10 @@ class CrossParser:
         if not self.languages or not len(texts):
             return out
         best = counts.argmin(axis=1)
+        for i in np.flatnonzero((counts == counts.min(axis=1, keepdims=True)).sum(axis=1) > 1):
+            points = _encode(cleaned[i], self.alphabet)
+            tied = np.flatnonzero(counts[i] == counts[i].min())
+            best[i] = min(tied, key=lambda x: (np.count_nonzero(self.codes[x][points] == 0), x))  # noqa: B023
         bits = np.log2(max(2.0, len(self.step) / self.width / len(self.languages) / 2))
         weight = np.exp2(np.maximum(-bits * (counts - counts.min(axis=1, keepdims=True)), -200))
         some = chars > 0

@@ -95,3 +95,22 @@ def test_copies_of_one_text_do_not_fill_the_sample(spark, documents):
     parser = la.learn(documents(rows))
     whole = la.letters_only("another sentence number t")
     assert parser.phrases([whole])[1][0][0] == 1
+
+
+def test_scripts_of_more_letters_than_columns():
+    """Latin, Cyrillic, Greek and Chinese, the last with hundreds of letters, against brute force."""
+    rng = random.Random(8)
+    scripts = {"en": (0x61, 26), "ru": (0x430, 32), "el": (0x3B1, 17), "zh": (0x4E00, 700), "ja": (0x5200, 300)}
+
+    def text(lang, n):
+        first, letters = scripts[lang]
+        skew = lambda: chr(first + int(letters * rng.random() ** 2))
+        return " ".join("".join(skew() for _ in range(rng.randint(1, 6))) for _ in range(n))
+    samples = {x: [text(x, 150) for _ in range(3)] for x in scripts}
+    parser = la.CrossParser.learn(samples)
+    texts = [text(x, n) for x in scripts for n in (1, 3, 30)] + [text("en", 20) + text("zh", 20) + "\u0531"]
+    counts = parser.phrases([la.letters_only(t) for t in texts])[1]
+    clean = lambda t: "".join(map(chr, la.letters_only(t)))
+    for t, c in zip(texts, counts, strict=True):
+        assert list(c) == [slow_phrases(clean(t), list(map(clean, samples[x]))) for x in parser.languages]
+    assert list(parser.predict(texts)["lang_pred"][:15]) == [x for x in scripts for _ in range(3)]
