@@ -1,8 +1,11 @@
 """Licence scan: notices by sparse TF-IDF cosine to templates, then inheritance along paths.
 
-Every line of a file, and the file as a whole, is a bag of words. Its TF-IDF cosine to each template
-is computed over an inverted index of the templates' words, so that only lines that share a telling
-word are scored at all. The best line over ``HEADER_COSINE`` is the file's own notice. A file whose
+Every line of a file is a bag of words, and so is every window of as many words as a template has,
+across line breaks, in a file of any length. TF-IDF cosines to the templates are computed over an
+inverted index of the templates' words; lines and windows that share no telling word are not scored.
+Windows slide around the telling words of their template only, so the work is linear in the text. The
+best line or window over ``HEADER_COSINE`` is the file's own notice; its line is the one it begins in. A
+file without any is scored as a whole. A file whose
 words are for the most part notice lines, or whose name says so, is a licence file and governs its
 directory. A file without a notice of its own inherits from the licence file of the nearest directory
 above it: its ancestor directories are joined with the governed ones by path.
@@ -16,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +76,17 @@ class TemplateIndex:
         # every template has one of its telling words: a line without any is close to none
         telling = {max(bag, key=lambda w: (self.idf[w], w)) for _, bag in bags} | {w for w in self.idf if len(w) > 3}
         self.telling = re.compile("|".join(sorted(map(re.escape, telling), key=len, reverse=True)))
+        self.sizes = [len(bag) for _, bag in bags]
+        self.weights = [{w: y for w, found in self.lists.items() for j, y in found if j == i} for i in range(n)]
+        # words of each template without which the others' share of its length keeps a cosine below the limit
+        self.anchors: dict[str, list[int]] = {}
+        for i, weights in enumerate(self.weights):
+            left = 1.0
+            for w in sorted(weights, key=lambda w: (-self.idf[w], -len(w), w)):
+                if left < HEADER_COSINE ** 2:
+                    break
+                left -= weights[w] ** 2
+                self.anchors.setdefault(w, []).append(i)
 
     def best(self, line: str) -> tuple[str | None, float]:
         """The licence of the closest template and the cosine; ties go to the name that sorts first."""
@@ -93,21 +108,83 @@ class TemplateIndex:
         return self.names[i], min(1.0, scores[i] / math.sqrt(square))
 
 
+    def windows(self, words: list[str], least: float = HEADER_COSINE) -> list[tuple[int, int, str, float]]:
+        """(first word, end, licence, cosine) of the windows of ``words`` that reach ``least``: per template
+        and run of overlapping windows the best one, the first of equals."""
+        near: dict[int, list[int]] = {}
+        for k, w in enumerate(words):
+            for i in self.anchors.get(w, ()):
+                near.setdefault(i, []).append(k)
+        out = []
+        for i, anchors in sorted(near.items()):
+            size, weights = min(self.sizes[i], len(words)), self.weights[i]
+            counts: dict[str, int] = {}
+            begin = end = 0
+            square = dot = 0.0
+            best: tuple[int, int, str, float] | None = None
+            last = -1  # the last start that was scored
+            for a in anchors:
+                first, stop = max(a - size + 1, last + 1, 0), min(a, len(words) - size)
+                if first > stop:
+                    continue
+                if first >= end or first < begin:  # nothing in common with the window before
+                    counts, begin, end, square, dot = {}, first, first, 0.0, 0.0
+                for start in range(first, stop + 1):
+                    while end < start + size:
+                        w = words[end]
+                        c, x = counts.get(w, 0), self.idf.get(w, self.other)
+                        counts[w], square, dot, end = c + 1, square + (2 * c + 1) * x * x, dot + x * weights.get(w, 0.0), end + 1
+                    while begin < start:
+                        w = words[begin]
+                        c, x = counts[w], self.idf.get(w, self.other)
+                        counts[w], square, dot, begin = c - 1, square - (2 * c - 1) * x * x, dot - x * weights.get(w, 0.0), begin + 1
+                    cosine = min(1.0, dot / math.sqrt(square)) if square > 1e-9 else 0.0
+                    if cosine >= least:
+                        if best is not None and start >= best[1]:
+                            out.append(best)
+                            best = None
+                        if best is None or cosine > best[3] + 1e-12:
+                            best = (start, start + size, self.names[i], cosine)
+                last = stop
+            if best is not None:
+                out.append(best)
+        return out
+
+
 def own_notice(text: str | None, index: TemplateIndex, least: float = HEADER_COSINE) -> tuple[str | None, float, int | None, float]:
     """(licence, cosine, number of the line, share of words in notice lines) of one text."""
-    found, cosine, at, noticed, total = None, 0.0, None, 0, 0
-    for k, line in enumerate((text or "").split("\n")):
-        total += (words := len(line.split()))
+    found, cosine, at, total = None, 0.0, None, 0
+    lines = (text or "").split("\n")
+    noticed = set()
+    for k, line in enumerate(lines):
+        total += len(line.split())
         name, c = index.best(line)
         if name is not None and c >= least:
-            noticed += words
+            noticed.add(k)
             if c > cosine:
                 found, cosine, at = name, c, k
-    if found is None and total:  # a notice broken over lines
-        name, c = index.best(text or "") if total <= 400 else (None, 0.0)
+    share = sum(len(lines[k].split()) for k in noticed)
+    low = (text or "").lower()
+    words = _WORD.findall(low)
+    if not index.anchors.keys().isdisjoint(words):  # a notice inside a line or broken over lines
+        spans = list(_WORD.finditer(low))
+        breaks = [m.start() for m in re.finditer("\n", low)]
+        windows = sorted(index.windows(words, least), key=lambda w: (-round(w[3], 12), w[2], w[0]))
+        covered = 0  # words of windows, outside lines that are notices as a whole
+        spoken: set[int] = set()
+        for begin, end, name, c in windows:
+            k = bisect_right(breaks, spans[begin].start())
+            if c > cosine + 1e-12:
+                found, cosine, at = name, c, k
+            spoken.update(range(begin, end))
+        for n in spoken:
+            covered += bisect_right(breaks, spans[n].start()) not in noticed
+        share += covered
+    if found is None and total:  # a notice with other words between its own
+        name, c = index.best(text or "")
         if name is not None and c >= least:
-            found, cosine, at, noticed = name, c, 0, total
-    return found, cosine, at, noticed / total if total else 0.0
+            found, cosine, at, share = name, c, 0, total
+    return found, cosine, at, min(1.0, share / total) if total else 0.0
 
 
 def directory(path: Column) -> Column:

@@ -69,3 +69,39 @@ def test_notices_of_the_documents(spark):
     assert got.count() == docs.count()
     assert got.where("how = 'own'").count() >= with_line > 0
     assert got.where("how = 'inherited' AND from_dir IS NULL").count() == 0
+
+
+@pytest.mark.parametrize("name", ["MIT", "BSD-3-Clause", "GPL-3.0"])
+@pytest.mark.parametrize("before, after", [(0, 0), (100, 100), (3000, 2000)])
+def test_wrapped_notice_in_a_file_of_any_length(index, name, before, after):
+    import textwrap
+    notice = textwrap.fill(max(li.TEMPLATES[name], key=len), 35)
+    body = lambda n: "\n".join(" ".join(f"x{i}" for i in range(j, min(j + 9, n))) for j in range(0, n, 9))
+    text = "\n".join(x for x in (body(before), notice, body(after)) if x)
+    found, cosine, line, share = li.own_notice(text, index)
+    assert found == name and cosine == pytest.approx(1) and line == -(-before // 9)
+    assert share == pytest.approx(len(notice.split()) / len(text.split()), abs=0.03)
+
+
+def test_notice_inside_a_longer_line(index):
+    line = "a parser for tables of many kinds that is small and quick. Released under the MIT License. Bug reports go to the list of the project, patches too"
+    for text in (line, "code " * 900 + "\n" + line):
+        assert li.own_notice(text, index)[:2] == ("MIT", pytest.approx(1))
+    assert li.own_notice("we released the new version of the plan under the bridge, with no license at all for those who fish", index)[0] is None
+
+
+def test_windows_against_every_window(index):
+    import random
+    rng = random.Random(3)
+    some = [w for t in li.TEMPLATES.values() for x in t for w in li._WORD.findall(x.lower())]
+    for _ in range(30):
+        words = [rng.choice(some) if rng.random() < 0.6 else f"x{rng.randrange(9)}" for _ in range(60)]
+        at = rng.randrange(60)
+        words[at:at] = li._WORD.findall(rng.choice(rng.choice(list(li.TEMPLATES.values()))).lower())
+        want = 0.0
+        for i, size in enumerate(index.sizes):
+            for s in range(len(words) - size + 1):
+                bag = words[s:s + size]
+                square = sum((bag.count(w) * index.idf.get(w, index.other)) ** 2 for w in set(bag))
+                want = max(want, sum(bag.count(w) * index.idf.get(w, index.other) * index.weights[i].get(w, 0) for w in set(bag)) / square ** 0.5)
+        assert max(c for *_, c in index.windows(words)) == pytest.approx(want)
