@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, language, license, lm, mixing, quality, sharding, simhash, toxicity
+from . import chat, decontaminate, fim, language, license, lm, mixing, quality, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_benchmark_decontamination": decontaminate.op1_benchmark_decontamination,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_lm_scoring": lm.op8_lm_scoring,
     "op9_license_scan": license.op9_license_scan,
     "op10_quality_rules": quality.op10_quality_rules,
+    "op12_fill_in_middle": fim.op12_fill_in_middle,
 }
 
 ORACLES = {
@@ -22,4 +23,5 @@ ORACLES = {
     "op6_mixing_to_weights": mixing.ORACLE,
     "op7_chat_formatting": chat.ORACLE,
     "op10_quality_rules": quality.ORACLE,
+    "op12_fill_in_middle": fim.ORACLE,
 }
