@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, fim, language, license, lm, mixing, quality, sharding, simhash, toxicity
+from . import chat, decontaminate, fim, language, license, lm, mixing, quality, sharding, simhash, structure, toxicity
 
 QUERIES = {
     "op1_benchmark_decontamination": decontaminate.op1_benchmark_decontamination,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_license_scan": license.op9_license_scan,
     "op10_quality_rules": quality.op10_quality_rules,
     "op12_fill_in_middle": fim.op12_fill_in_middle,
+    "op13_structure_repair": structure.op13_structure_repair,
 }
 
 ORACLES = {
@@ -24,4 +25,5 @@ ORACLES = {
     "op7_chat_formatting": chat.ORACLE,
     "op10_quality_rules": quality.ORACLE,
     "op12_fill_in_middle": fim.ORACLE,
+    "op13_structure_repair": structure.ORACLE,
 }
