@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, fim, language, license, lm, mixing, quality, sharding, simhash, structure, toxicity
+from . import chat, decontaminate, fim, language, license, lm, mixing, quality, rules, sharding, simhash, structure, toxicity
 
 QUERIES = {
     "op1_benchmark_decontamination": decontaminate.op1_benchmark_decontamination,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_lm_scoring": lm.op8_lm_scoring,
     "op9_license_scan": license.op9_license_scan,
     "op10_quality_rules": quality.op10_quality_rules,
+    "op11_quality_classifier": rules.op11_quality_classifier,
     "op12_fill_in_middle": fim.op12_fill_in_middle,
     "op13_structure_repair": structure.op13_structure_repair,
 }
