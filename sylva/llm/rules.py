@@ -39,17 +39,15 @@ THRESHOLD = 0.3
 SYMBOLS = "#*$%&|<>@^~_=+{}[]\\"
 
 
-def _count(text: Column, characters: str) -> Column:
-    """Number of these characters in ``text``."""
-    return F.char_length(text) - F.char_length(F.translate(text, characters, ""))
+def _count(text: Column, pattern: str) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(pattern)), F.lit(0))
 
 
 def _counts(text: Column) -> dict[str, Column]:
     words, lines = F.split(text, SPACE), F.split(text, "\n")
-    return {"chars": F.char_length(text), "words": word_count(text), "spaces": _count(text, " \t\n\x0b\x0c\r"),
-            "symbols": _count(text, SYMBOLS), "bars": _count(text, "|"), "digits": _count(text, "0123456789"), "marks": _count(text, ".,;:!?"), "shouts": _count(text, "!"),
-            "upper": F.coalesce(F.regexp_count(text, F.lit(r"\p{Lu}")), F.lit(0)),
-            "stops": F.coalesce(F.regexp_count(text, F.lit(r"[.!?](?=[\x20\x09-\x0D]|\z)")), F.lit(0)),
+    return {"chars": F.char_length(text), "words": word_count(text), "spaces": _count(text, r"[\x20\x09-\x0D]"),
+            "symbols": _count(text, f"[{re.escape(SYMBOLS)}]"), "bars": _count(text, r"\|"), "digits": _count(text, "[0-9]"), "marks": _count(text, "[.,;:!?]"),
+            "shouts": _count(text, "!"), "upper": _count(text, r"\p{Lu}"), "stops": _count(text, r"[.!?](?=[\x20\x09-\x0D]|\z)"),
             "lines": F.size(lines), "different_lines": F.size(F.array_distinct(lines)), "different_words": F.size(F.array_distinct(words))}
 
 
