@@ -20,7 +20,10 @@ def strict_sum(col: str | Column) -> Column:
 
 def null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "left") -> DataFrame:
     """Equi-join on ``cols`` with NULL = NULL, keeping one copy of every key column
-    (the left one), like a natural join on those names."""
+    (the left one), like a natural join on those names. Without a key it raises: the join would be a
+    cross join."""
+    if not cols:
+        raise ValueError("a join needs a key: the tables share no column to join on")
     r = right.select(*[F.col(c).alias(f"__r_{c}") if c in cols else F.col(c) for c in right.columns])
     cond = None
     for c in cols:
@@ -30,6 +33,17 @@ def null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how:
     return joined.drop(*[f"__r_{c}" for c in cols])
 
 
+def unique_rows(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
+    """``df`` (a dimension) with one row per key; a key that comes more than once raises while the job
+    runs (Q6), so that no join with it fans out. An aggregation of the dimension, no job of its own."""
+    rest = [c for c in df.columns if c not in keys]
+    key = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    per = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in rest])
+    repeated = F.raise_error(F.concat(F.lit(f"the table of {name} repeats the key ({', '.join(keys)}) = ("), key, F.lit(")")))
+    # the guard sits in a filter, so that it runs whichever columns are used
+    return per.where(F.when(F.col("__n") > 1, repeated.cast("boolean")).otherwise(F.lit(True))).select(*df.columns)
+
+
 def fill_or_add(df: DataFrame, col: str, default, dtype: str | None = None) -> DataFrame:
     """B1: replace NULL by ``default`` if the column exists, otherwise add it."""
     lit = F.lit(default)

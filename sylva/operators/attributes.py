@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sylva.functions.columns import fill_or_add, null_safe_join
+from sylva.functions.columns import fill_or_add, null_safe_join, unique_rows
 from sylva.sources.schema import ID_COLUMNS, require_columns, shared_classifiers
 
 log = logging.getLogger(__name__)
@@ -85,13 +85,30 @@ def default_sw_hw(state: DataFrame, parameters: DataFrame) -> DataFrame:
 
 
 def attach_curves(groups: DataFrame, gcmeta: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
-    """LEFT JOIN growth-curve metadata on every shared column name (NULL = NULL)."""
+    """LEFT JOIN growth-curve metadata on every shared column name (NULL = NULL). Two curves for one
+    key raise (Q6)."""
     require_columns(gcmeta, "growth curve metadata", ("gcID", "sw"))
     keys = list(keys) if keys is not None else shared_classifiers(groups, gcmeta, exclude=ID_COLUMNS)
     if not keys:
         raise ValueError("the growth curve metadata share no column with the cohorts")
     right = gcmeta.select(*keys, *[c for c in gcmeta.columns if c not in keys and c not in groups.columns])
-    return null_safe_join(groups, right, keys, "left")
+    return null_safe_join(groups, unique_rows(right, "growth curve metadata", keys), keys, "left")
+
+
+def with_site(state: DataFrame, units: DataFrame | None) -> DataFrame:
+    """``state`` with admin_name and eco_id, which are derived from spatial_unit_id by the table of spatial
+    units (A2) where they are absent (Q17). A unit that the table does not know has a NULL site."""
+    pair = ["admin_name", "eco_id"]
+    missing = [c for c in pair if c not in state.columns]
+    if not missing:
+        return state
+    if "spatial_unit_id" not in state.columns:
+        raise ValueError("no site: give admin_name and eco_id, or spatial_unit_id (lacking " + ", ".join(missing) + ")")
+    if units is None:
+        raise ValueError("a state with spatial_unit_id alone needs the table of spatial units to find its curves")
+    require_columns(units, "spatial units", ("spatial_unit_id", *pair))
+    sites = unique_rows(units.select("spatial_unit_id", *missing), "spatial units", ["spatial_unit_id"])
+    return state.join(sites, "spatial_unit_id", "left")
 
 
 def spatial_unit_keys(df: DataFrame) -> list[str]:
@@ -105,10 +122,10 @@ def spatial_unit_keys(df: DataFrame) -> list[str]:
 def attach_spatial_unit(groups: DataFrame, units: DataFrame) -> DataFrame:
     """LEFT JOIN spatial units (A2) on spatial_unit_id if present, else (admin_name,
     eco_id). Right-side columns already on the left are dropped before the join (left
-    wins)."""
+    wins). Two units for one key raise (Q6)."""
     keys = spatial_unit_keys(groups)
     right = units.select(*keys, *[c for c in units.columns if c not in groups.columns and c not in keys])
-    return null_safe_join(groups, right, keys, "left")
+    return null_safe_join(groups, unique_rows(right, "spatial units", keys), keys, "left")
 
 
 def fill_spatial_unit(state: DataFrame, units: DataFrame, parameters: DataFrame | None = None):

@@ -10,7 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sylva.functions.columns import clamp_to, null_safe_join
+from sylva.functions.columns import clamp_to, null_safe_join, unique_rows
+from sylva.operators.attributes import with_site
 from sylva.sources.schema import ID_COLUMNS, require_columns, shared_classifiers
 
 log = logging.getLogger(__name__)
@@ -42,17 +43,21 @@ def last_increment(increments: DataFrame) -> DataFrame:
 
 
 def annual_increments(state: DataFrame, gcmeta: DataFrame, increments: DataFrame,
-                      classifiers: Sequence[str] | None = None, age_col: str = "age") -> DataFrame:
+                      classifiers: Sequence[str] | None = None, age_col: str = "age",
+                      units: DataFrame | None = None) -> DataFrame:
     """State INNER JOIN curves on admin_name, eco_id and shared classifiers, then the
-    increment row at (gcID, age). Ages above a curve's last age use that last row; gaps
+    increment row at (gcID, age). A state that has spatial_unit_id alone takes admin_name and eco_id
+    from ``units`` (Q17); one without any site raises, and so do two curves for one key. Ages above a curve's last age use that last row; gaps
     inside a curve and ages below its first give NULL (as the reference's lookup).
 
     The clamp is a join against the per-curve maximum (D9), not materialised rows. It uses
     CASE, not ``least`` (which skips NULLs, so an unknown age would hit the last row)."""
+    require_columns(gcmeta, "growth curve metadata", ("gcID", "admin_name", "eco_id"))
+    state = with_site(state, units)
     if classifiers is None:
         classifiers = shared_classifiers(state, gcmeta, exclude=(*ID_COLUMNS, "gcID", "sw", age_col))
-    keys = list(dict.fromkeys([c for c in ("admin_name", "eco_id") if c in state.columns] + list(classifiers)))
-    meta = gcmeta.select(*keys, *([] if "gcID" in keys else ["gcID"]))
+    keys = list(dict.fromkeys(["admin_name", "eco_id", *classifiers]))
+    meta = unique_rows(gcmeta.select(*keys, *([] if "gcID" in keys else ["gcID"])), "growth curve metadata", keys)
     s = state.drop("gcID") if "gcID" in state.columns and "gcID" not in keys else state
     s = null_safe_join(s, meta, keys, "inner")
     return increments_at_age(s, increments, age_col)

@@ -3,7 +3,9 @@ slow mixing (H10), decay rates (H1-H3) and the root split (H4, H5), over panels
 
 Pools are handled long: (by..., row_idx, pool, value). A transfer is an equi-join of the
 long pools with a matrix (selector, source, sink, proportion) and a grouped sum by sink --
-a job over all groups at once, no per-group code. The planner picks the join by the size of
+a job over all groups at once, no per-group code. The ``_wide`` operators do the same within the row:
+all pools of a group stand in one row, so a transfer needs one join with the matrix and no shuffle
+behind it, and matrices can be multiplied first (``compose``). The planner picks the join by the size of
 the matrix (a model matrix is small and gets broadcast, one keyed per group is shuffled).
 
 Nothing disappears: a NULL value stays NULL in every pool it would have reached, carbon without
@@ -14,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sylva.functions import formulas as fm
@@ -205,3 +207,163 @@ def decay_matrix(rates: DataFrame, sinks: DataFrame, by: Sequence[str] = ()) ->
     stay = r.select(*by, "row_idx", "source", F.col("source").alias("sink"),
                     (F.lit(1.0) - F.col("decay_rate")).alias("proportion"))
     return out.unionByName(stay)
+
+
+# ---- the same inside the row: wide pools in, wide pools out, no shuffle above the join with the matrix
+
+#: A matrix has at most so many (source, sink) pairs; one with more is no matrix of pools.
+MAX_PAIRS = 2_500
+
+
+def matrix_pairs(matrix: DataFrame) -> list[tuple[str, str]]:
+    """The (source, sink) pairs of a matrix, whatever the selector: names of columns, which the plan
+    needs. Bounded by the square of the number of pools."""
+    found = matrix.select("source", "sink").distinct().limit(MAX_PAIRS + 1).collect()
+    if len(found) > MAX_PAIRS:
+        raise ValueError(f"the matrix has more than {MAX_PAIRS} pairs of pools")
+    if any(r["source"] is None or r["sink"] is None for r in found):
+        raise ValueError("the matrix names no source or no sink in some row")
+    return sorted((r["source"], r["sink"]) for r in found)
+
+
+def _matrix_wide(pools: DataFrame, matrix: DataFrame, pairs: Sequence[tuple[str, str]], selector: str,
+                 by: Sequence[str]) -> tuple[DataFrame, dict[tuple[str, str], F.Column], list[str]]:
+    """``pools`` joined with one row of proportions per selector (a column per pair, NULL where the selector's
+    matrix lacks it), those columns, and their names."""
+    keys = [selector, *[c for c in by if c in matrix.columns and c != selector]]
+    names = {pair: f"__m{i}" for i, pair in enumerate(pairs)}
+    of = [F.sum(F.when((F.col("source") == a) & (F.col("sink") == b), F.col("proportion").cast("double"))).alias(names[a, b]) for a, b in pairs]
+    wide = matrix.groupBy(*keys).agg(*of) if of else matrix.select(*keys).distinct()
+    joined = pools.join(wide, keys, "left")
+    return joined, {pair: F.col(n) for pair, n in names.items()}, list(names.values())
+
+
+def apply_transfers_wide(pools: DataFrame, matrix: DataFrame, selector: str = "disturbance_type_id",
+                         by: Sequence[str] = ("year",), pool_names: Sequence[str] | None = None) -> DataFrame:
+    """H6 on wide pools: one row per group in, one row out. The matrix becomes one row of proportions per
+    selector; after the join every pool is a sum over its sources within the row. A pool that only
+    the matrix names is added (0 where nothing reaches it). Otherwise as ``apply_transfers``: a source
+    absent from the row's matrix keeps its carbon, a NULL stays NULL in every pool that it would have
+    reached. Columns that are no pool pass through."""
+    by = _by(pools, by)
+    names = [c for c in pools.columns if c not in (*by, "row_idx", selector)] if pool_names is None else list(pool_names)
+    pairs = [p for p in matrix_pairs(matrix) if p[0] in names]
+    joined, share, helpers = _matrix_wide(pools, matrix, pairs, selector, by)
+    made = {}
+    for pool in [*names, *dict.fromkeys(b for _, b in pairs if b not in names)]:
+        value = F.col(pool) if pool in names else F.lit(0.0)
+        leaves = [share[a, b].isNotNull() for a, b in pairs if a == pool]
+        if leaves:
+            moved = leaves[0]
+            for x in leaves[1:]:
+                moved = moved | x
+            value = F.when(moved, F.col(pool) * F.lit(0.0)).otherwise(F.col(pool))
+        for a, b in pairs:
+            if b == pool:
+                value = value + F.when(share[a, b].isNull(), F.lit(0.0)).otherwise(F.col(a) * share[a, b])
+        made[pool] = value
+    kept = [F.col(c) if c not in made else made[c].alias(c) for c in pools.columns]
+    return joined.select(*kept, *[v.alias(p) for p, v in made.items() if p not in pools.columns])
+
+
+def transfer_flux_wide(pools: DataFrame, matrix: DataFrame, flux_map: DataFrame, selector: str = "disturbance_type_id",
+                       by: Sequence[str] = ("year",), pool_names: Sequence[str] | None = None) -> DataFrame:
+    """H7 on wide pools: (by..., row_idx, one column per flux), 0 where nothing moved. Moves without a
+    name add up in the column ``UNMAPPED``, which is there only if such a pair is in the matrix; two
+    names for one move raise."""
+    by = _by(pools, by)
+    names = [c for c in pools.columns if c not in (*by, "row_idx", selector)] if pool_names is None else list(pool_names)
+    pairs = [(a, b) for a, b in matrix_pairs(matrix) if a != b and a in names]
+    called: dict[tuple[str, str], str] = {}
+    for r in flux_map.select("source", "sink", "flux").distinct().limit(MAX_PAIRS + 1).collect():  # names of columns
+        if called.setdefault((r["source"], r["sink"]), r["flux"]) != r["flux"]:
+            raise ValueError(f"more than one flux name for {r['source']} to {r['sink']}")
+    joined, share, _ = _matrix_wide(pools, matrix, pairs, selector, by)
+    flux: dict[str, F.Column] = {}
+    for pair in pairs:
+        name = called.get(pair, UNMAPPED)
+        flux[name] = flux.get(name, F.lit(0.0)) + F.when(share[pair].isNull(), F.lit(0.0)).otherwise(F.col(pair[0]) * share[pair])
+    return joined.select(*by, "row_idx", *[v.alias(n) for n, v in sorted(flux.items())])
+
+
+def slow_mixing_wide(pools: DataFrame, rate: float = fm.SLOW_MIXING_RATE, source: str = "AboveGroundSlowSoil",
+                     sink: str = "BelowGroundSlowSoil") -> DataFrame:
+    """H10 on wide pools: arithmetic within the row, no join."""
+    moved = F.col(source) * F.lit(float(rate))
+    before = F.col(sink) if sink in pools.columns else F.lit(0.0)
+    return pools.withColumns({sink: before + moved, source: F.col(source) * F.lit(1.0 - float(rate))})
+
+
+def overmature_decline_wide(pools: DataFrame, increments: DataFrame, turnover: DataFrame,
+                            by: Sequence[str] = ("year",)) -> DataFrame:
+    """H9 on wide pools: one join with the increments, the rest within the row. As ``overmature_decline``:
+    a biomass pool without turnover rows sends its loss to the pool ``UNMAPPED``."""
+    by = _by(pools, by)
+    inc_by = _by(increments, by)
+    shares: dict[tuple[str, str], float] = {}
+    for r in turnover.select("source", "sink", "proportion").limit(MAX_PAIRS + 1).collect():  # a dimension of a few rows
+        if r["source"] in dict(BIOMASS_INCREMENTS):
+            shares[r["source"], r["sink"]] = shares.get((r["source"], r["sink"]), 0.0) + float(r["proportion"])
+    inc = increments.select(*inc_by, "row_idx", *[F.col(c).alias(f"__{c}") for _, c in BIOMASS_INCREMENTS])
+    out = pools.join(inc, [*inc_by, "row_idx"], "left")
+    loss = {p: F.when(F.col(f"__{c}") < 0, -F.col(f"__{c}")).otherwise(F.lit(0.0)) for p, c in BIOMASS_INCREMENTS}
+    homeless = [p for p in loss if not any(a == p for a, _ in shares)]
+    named = [c for c in pools.columns if c not in (*by, "row_idx")]
+    new = [p for p in [*loss, *dict.fromkeys(b for _, b in shares), *([UNMAPPED] if homeless else [])] if p not in named]
+    made = {}
+    for pool in [*named, *new]:
+        value = F.col(pool) if pool in named else F.lit(0.0)
+        if pool in loss:
+            value = value - loss[pool]
+        for (a, b), share in shares.items():
+            if b == pool:
+                value = value + loss[a] * F.lit(share)
+        if pool == UNMAPPED:
+            for p in homeless:
+                value = value + loss[p]
+        made[pool] = value
+    return out.select(*by, "row_idx", *[v.alias(p) for p, v in made.items()])
+
+
+# ---- matrices as tables: completed, checked and multiplied
+
+def conserving(matrix: DataFrame, keys: Sequence[str], tolerance: float = 1e-9) -> DataFrame:
+    """``matrix`` (keys..., source, sink, proportion); a source whose proportions do not add up to 1
+    raises while the job runs. Checked before and after a product, carbon cannot leak in between."""
+    total = F.sum("proportion").over(Window.partitionBy(*keys, "source"))
+    where = F.concat_ws(", ", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in (*keys, "source")])
+    leak = F.raise_error(F.concat(F.lit("proportions do not add up to 1: "), where)).cast("double")
+    right = F.abs(total - 1) <= F.lit(tolerance)
+    return matrix.withColumn("proportion", F.when(right, F.col("proportion")).otherwise(leak))
+
+
+def complete(matrix: DataFrame, pool_names: Sequence[str], selectors: DataFrame | None = None) -> DataFrame:
+    """``matrix`` with a row for every pool that keeps its carbon: (selector..., pool, pool, 1) where a selector's
+    matrix has no row for the pool. ``selectors`` (one row per selector) names selectors without a
+    matrix of their own too; without it the matrix holds for all rows (no selector)."""
+    keys = [c for c in (selectors.columns if selectors is not None else [])]
+    if selectors is None:
+        there = {r["source"] for r in matrix.select("source").distinct().limit(MAX_PAIRS).collect()}
+        rest = [(p, p, 1.0) for p in pool_names if p not in there]
+        m = matrix.select("source", "sink", F.col("proportion").cast("double").alias("proportion"))
+        return m.unionByName(matrix.sparkSession.createDataFrame(rest, "source string, sink string, proportion double")) if rest else m
+    m = matrix.select(*keys, "source", "sink", F.col("proportion").cast("double").alias("proportion"))
+    every = selectors.distinct().withColumn("source", F.explode(F.array(*[F.lit(p) for p in pool_names])))
+    stays = every.join(m.select(*keys, "source").distinct(), [*keys, "source"], "left_anti") \
+        .select(*keys, "source", F.col("source").alias("sink"), F.lit(1.0).alias("proportion"))
+    return m.unionByName(stays)
+
+
+def compose(first: DataFrame, second: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """The matrix that does what ``first`` and then ``second`` do: a sparse product, a join on the pool in
+    between and a grouped sum, for all selectors at once. ``keys`` are the selector columns of the
+    two; a matrix without one of them holds for all its values. Both must be complete (every pool has
+    a row) and conserve carbon, which is checked on both."""
+    mine, yours = [[k for k in keys if k in m.columns] for m in (first, second)]
+    a = conserving(first, mine).select(*mine, "source", F.col("sink").alias("__via"), F.col("proportion").alias("__p"))
+    b = conserving(second, yours).select(*yours, F.col("source").alias("__via"), "sink", F.col("proportion").alias("__q"))
+    on = ["__via", *[k for k in mine if k in yours]]
+    lost = F.raise_error(F.concat(F.lit("the second matrix has no row for the pool "), F.col("__via")))
+    met = a.join(b, on, "left").withColumn("sink", F.when(F.col("sink").isNull(), lost).otherwise(F.col("sink")))
+    every = [k for k in keys if k in mine or k in yours]
+    return met.groupBy(*every, "source", "sink").agg(F.sum(F.col("__p") * F.col("__q")).alias("proportion"))

@@ -85,6 +85,6 @@ def prepare_groups(t: CarbonTables, inputs: Inputs, cls: Sequence[str], by: Sequ
         old = marked.select(*by, "row_idx").distinct().join(old, "row_idx", "left_semi")
     state = materialize(gr.drop_inactive(state, live, by), "new-state")
     params = gr.drop_inactive(gr.parameters_from_state(old, state, split.new_groups, by), live, by)
-    incs = gw.annual_increments(state, inputs.gcmeta, inputs.increments, cls).select(*by, "row_idx", *gw.INCREMENT_COLUMNS)
+    incs = gw.annual_increments(state, inputs.gcmeta, inputs.increments, cls, units=inputs.units).select(*by, "row_idx", *gw.INCREMENT_COLUMNS)
     params = params.join(incs, [*by, "row_idx"], "left")
     return CarbonTables(key=key, parameters=params, state=state, pools=gr.drop_inactive(pools, live, by), flux=flux)

@@ -372,6 +372,14 @@ def q_annual_increments(spark, d):
     return out.select("cohortID", "gcID", "age", *gw.INCREMENT_COLUMNS)
 
 
+def q_annual_increments_unit(spark, d):
+    """C10 for a state that has the spatial unit only: its site comes from the unit (Q17)."""
+    fx = Fixtures(spark, d)
+    state = at.attach_spatial_unit(_c1(fx), _spu(fx)).select("cohortID", "species", "age", "spatial_unit_id")
+    out = gw.annual_increments(state, fx.gcmeta, fx.increments, units=_spu(fx))
+    return out.select("cohortID", "spatial_unit_id", "gcID", "age", *gw.INCREMENT_COLUMNS)
+
+
 def q_extend_curves(spark, d):
     fx = Fixtures(spark, d)
     return gw.extend_curves(fx.increments, fx.cohort.select("age"))
@@ -505,6 +513,40 @@ def q_transfer_flux(spark, d):
     return tr.transfer_flux(lp, fx.matrix, fx.flux_map, "disturbance_type_id", Y)
 
 
+def q_apply_transfers_wide(spark, d):
+    fx = Fixtures(spark, d)
+    return tr.apply_transfers_wide(_group_types(fx.pools), fx.matrix, by=Y).drop("disturbance_type_id")
+
+
+def q_transfer_flux_wide(spark, d):
+    fx = Fixtures(spark, d)
+    return tr.transfer_flux_wide(_group_types(fx.pools), fx.matrix, fx.flux_map, by=Y)
+
+
+def _composed(fx: Fixtures) -> DataFrame:
+    """Disturbance, turnover and mixing of a year as one matrix per disturbance type; 0 and 4 are types
+    without a disturbance matrix."""
+    types = fx.distmeta.select("disturbance_type_id").union(fx.spark.createDataFrame([(0,)], "disturbance_type_id int")).distinct()
+    first = tr.complete(fx.matrix, fx.POOL_NAMES, types)
+    then = tr.complete(fx.yearly_turnover, fx.POOL_NAMES)
+    last = tr.complete(fx.yearly_mixing, fx.POOL_NAMES)
+    keys = ("disturbance_type_id",)
+    return tr.conserving(tr.compose(tr.compose(first, then, keys), last, keys), keys)
+
+
+def q_composed_matrix(spark, d):
+    """The product as a table, for the types that groups of the panel have."""
+    fx = Fixtures(spark, d)
+    used = _group_types(fx.pools.select("row_idx")).select("disturbance_type_id").distinct()
+    return _composed(fx).join(used, "disturbance_type_id", "left_semi").where("proportion <> 0")
+
+
+def q_composed_transfers(spark, d):
+    """Three matrices multiplied first, then applied in one pass over the pools."""
+    fx = Fixtures(spark, d)
+    return tr.apply_transfers_wide(_group_types(fx.pools), _composed(fx), by=Y).drop("disturbance_type_id")
+
+
 def q_half_growth(spark, d):
     fx = Fixtures(spark, d)
     w = tr.half_growth(fx.pools, _state_increments(fx), Y)
@@ -521,6 +563,15 @@ def q_slow_mixing(spark, d):
     return tr.slow_mixing(rp.pools_long(fx.pools, None, Y), source="StemSnags", sink="MediumSoil", by=Y)
 
 
+def q_overmature_decline_wide(spark, d):
+    fx = Fixtures(spark, d)
+    return tr.overmature_decline_wide(fx.pools, _state_increments(fx), fx.turnover, Y)
+
+
+def q_slow_mixing_wide(spark, d):
+    return tr.slow_mixing_wide(Fixtures(spark, d).pools, source="StemSnags", sink="MediumSoil")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "spatial_units": q_spatial_units,
     "read_snapshots": q_read_snapshots,
@@ -561,6 +612,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drop_inactive": q_drop_inactive,
     "last_increment": q_last_increment,
     "annual_increments": q_annual_increments,
+    "annual_increments_unit": q_annual_increments_unit,
     "extend_curves": q_extend_curves,
     "cohorts_with_area": q_cohorts_with_area,
     "group_area": q_group_area,
@@ -587,4 +639,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "half_growth": q_half_growth,
     "overmature_decline": q_overmature_decline,
     "slow_mixing": q_slow_mixing,
+    "apply_transfers_wide": q_apply_transfers_wide,
+    "transfer_flux_wide": q_transfer_flux_wide,
+    "composed_matrix": q_composed_matrix,
+    "composed_transfers": q_composed_transfers,
+    "overmature_decline_wide": q_overmature_decline_wide,
+    "slow_mixing_wide": q_slow_mixing_wide,
 }

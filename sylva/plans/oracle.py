@@ -181,6 +181,61 @@ union all select year, row_idx, pool, cast(0 as double) from lp""")
              LP, LPT, moved)
 
 
+def _wide_transfers() -> str:
+    """Each pool of a group on a line of its own, moved, summed, and put beside each other again."""
+    return _in_turn(["f_matrix"], (*POOLS, "CO2"))
+
+
+def _in_turn(matrices: list[str], names) -> str:
+    """The matrices applied one after the other to long pools, wide at the end."""
+    ctes = [("s0", " union all ".join(f"select year, row_idx, cast(row_idx % 5 as int) as disturbance_type_id, '{p}' as pool, "
+                                      f"cast({p if p in POOLS else 0} as double) as value from f_pools" for p in names))]
+    for i, m in enumerate(matrices):
+        of = "m.disturbance_type_id = s.disturbance_type_id and " if m == "f_matrix" else ""
+        ctes.append((f"t{i}", f"""select s.year, s.row_idx, s.disturbance_type_id, coalesce(m.sink, s.pool) as pool,
+            s.value * coalesce(m.proportion, cast(1 as double)) as value from s{i} s left join {m} m on {of}m.source = s.pool
+            union all select year, row_idx, disturbance_type_id, pool, value * 0 from s{i}"""))
+        ctes.append((f"s{i + 1}", f"""select year, row_idx, disturbance_type_id, pool, {strict('value')} as value from t{i}
+            group by year, row_idx, disturbance_type_id, pool"""))
+    pools = ", ".join(f"max(case when pool = '{p}' then value end) as {p}" for p in names)
+    return q(f"select year, row_idx, {pools} from s{len(matrices)} group by year, row_idx", *ctes)
+
+
+def _wide_flux() -> str:
+    """Per group the sum over the moves of each name; 0 where the group's matrix has none of them."""
+    named = ("named", """select m.disturbance_type_id, m.source, m.proportion, coalesce(f.flux, 'unmapped') as flux from f_matrix m
+        left join f_flux_map f on f.source = m.source and f.sink = m.sink where m.source <> m.sink""")
+    names = sorted({n for _, _, n in Fixtures.FLUX_MAP})
+    cols = ", ".join(f"case when count(*) filter (n.flux = '{n}') = count(l.value) filter (n.flux = '{n}') "
+                     f"then coalesce(sum(l.value * n.proportion) filter (n.flux = '{n}'), 0) end as {n}" for n in names)
+    return q(f"""select l.year, l.row_idx, {cols} from lpt l left join named n
+        on n.disturbance_type_id = l.disturbance_type_id and n.source = l.pool group by l.year, l.row_idx""", LP, LPT, named)
+
+
+def _product() -> str:
+    """Types 0 to 4: unit carbon in every pool, moved by the three matrices one after the other."""
+    names = ", ".join(f"('{p}')" for p in Fixtures.POOL_NAMES)
+    unit = ("u0", f"""select t.type as disturbance_type_id, p.pool as source, p.pool, cast(1 as double) as value
+        from (select distinct cast(row_idx % 5 as int) as type from f_pools) t, (values {names}) p(pool)""")
+    steps = []
+    for i, m in enumerate(("f_matrix", "f_yearly_turnover", "f_yearly_mixing")):
+        of = "m.disturbance_type_id = u.disturbance_type_id and " if m == "f_matrix" else ""
+        steps.append((f"u{i + 1}", f"""select u.disturbance_type_id, u.source, coalesce(m.sink, u.pool) as pool,
+            sum(u.value * coalesce(m.proportion, cast(1 as double))) as value from u{i} u left join {m} m on {of}m.source = u.pool group by all"""))
+    return q("select disturbance_type_id, source, pool as sink, value as proportion from u3 where value <> 0", unit, *steps)
+
+
+def _decline_wide() -> str:
+    inc = ("oinc", "select p.*, sinc.merch_inc, sinc.foliage_inc, sinc.other_inc from f_pools p left join sinc on sinc.row_idx = p.row_idx")
+    lost = lambda c: f"(case when {c} < 0 then -{c} else cast(0 as double) end)"
+    gain = lambda sink: "".join(f" + {lost(dict(Merch='merch_inc', Foliage='foliage_inc', Other='other_inc')[a])} * cast({x} as double)"
+                                for a, b, x in Fixtures.TURNOVER if b == sink)
+    sinks = [b for _, b, _ in Fixtures.TURNOVER if b not in POOLS]
+    return q(f"""select year, row_idx, Input, Merch - {lost('merch_inc')} as Merch, Foliage - {lost('foliage_inc')} as Foliage,
+        StemSnags{gain('StemSnags')} as StemSnags, Products, cast(0 as double) - {lost('other_inc')} as Other,
+        {', '.join(f"cast(0 as double){gain(b)} as {b}" for b in dict.fromkeys(sinks))} from oinc""", MX, SINC, inc)
+
+
 def _slow() -> str:
     rate = "cast(0.006 as double)"
     moved = ("moved", f"""select year, row_idx, case when pool = 'StemSnags' then 'MediumSoil' else pool end as pool,
@@ -333,6 +388,12 @@ def oracle_sql() -> dict[str, str]:
             left join mx on mx.gcID = m.gcID
             left join f_increments i on i.gcID = m.gcID
               and i.age = case when c1.age > mx.max_age then mx.max_age else c1.age end""", C1, MX),
+        "annual_increments_unit": q("""select c1.cohortID, spu.spatial_unit_id, m.gcID, c1.age, i.merch_inc, i.foliage_inc, i.other_inc
+            from c1 join spu on """ + nse("c1", "spu", ("admin_name", "eco_id")) + " join f_gcmeta m on "
+                                    + nse("spu", "m", ("admin_name", "eco_id")) + """ and c1.species is not distinct from m.species
+            left join mx on mx.gcID = m.gcID
+            left join f_increments i on i.gcID = m.gcID
+              and i.age = case when c1.age > mx.max_age then mx.max_age else c1.age end""", C1, SPU, MX),
         "extend_curves": q("""select gcID, age, merch_inc, foliage_inc, other_inc from f_increments
             union all select gcID, cast(unnest(generate_series(max_age + 1, (select max(age) from f_cohort) + 250))
               as int) as age, merch_inc, foliage_inc, other_inc
@@ -382,6 +443,13 @@ def oracle_sql() -> dict[str, str]:
         "half_growth": _half_growth(),
         "overmature_decline": _decline(),
         "slow_mixing": _slow(),
+        "apply_transfers_wide": _wide_transfers(),
+        "transfer_flux_wide": _wide_flux(),
+        "composed_matrix": _product(),
+        "composed_transfers": _in_turn(["f_matrix", "f_yearly_turnover", "f_yearly_mixing"], Fixtures.POOL_NAMES),
+        "overmature_decline_wide": _decline_wide(),
+        "slow_mixing_wide": q("""select year, row_idx, Input, Merch, Foliage, StemSnags * (cast(1 as double) - cast(0.006 as double)) as StemSnags,
+            Products, cast(0 as double) + StemSnags * cast(0.006 as double) as MediumSoil from f_pools"""),
     }
 
 

@@ -225,6 +225,19 @@ class Fixtures:
             "disturbance_type_id int, source string, sink string, proportion double")
 
 
+    # Matrices that follow a disturbance: turnover and mixing, for every group alike (dyadic rates).
+    YEARLY_TURNOVER = [("Merch", "StemSnags", 0.0625), ("Merch", "Merch", 0.9375), ("Foliage", "Litter", 0.25), ("Foliage", "Foliage", 0.75)]
+    YEARLY_MIXING = [("StemSnags", "MediumSoil", 0.125), ("StemSnags", "StemSnags", 0.875), ("Litter", "MediumSoil", 0.5), ("Litter", "Litter", 0.5)]
+    POOL_NAMES = ("Input", "Merch", "Foliage", "StemSnags", "Products", "CO2", "Litter", "MediumSoil")
+
+    @cached_property
+    def yearly_turnover(self) -> DataFrame:
+        return self._values(self.YEARLY_TURNOVER, "source string, sink string, proportion double")
+
+    @cached_property
+    def yearly_mixing(self) -> DataFrame:
+        return self._values(self.YEARLY_MIXING, "source string, sink string, proportion double")
+
     # Small model dimension tables used by single operators (test coefficients, dyadic).
     SPECIES = [(1, "Black spruce"), (2, "Unspecified softwood species"), (3, "White birch"),
                (4, "Unspecified hardwood species")]
@@ -354,6 +367,8 @@ select id as spatial_unit_id, cast(4*(1+id%3) as double) as max_bio, cast(1+id%2
     "f_pool_class": _values_sql(Fixtures.POOL_CLASS, "pool,pool_class"),
     "f_decay": _values_sql(Fixtures.DECAY, "pool,base_rate,ref_temp,q10"),
     "f_turnover": _values_sql(Fixtures.TURNOVER, "source,sink,proportion"),
+    "f_yearly_turnover": _values_sql(Fixtures.YEARLY_TURNOVER, "source,sink,proportion"),
+    "f_yearly_mixing": _values_sql(Fixtures.YEARLY_MIXING, "source,sink,proportion"),
     "f_flux_map": _values_sql(Fixtures.FLUX_MAP, "source,sink,flux"),
     "f_matrix": """
 select disturbance_type_id, source, sink, cast(proportion as double) as proportion
