@@ -52,11 +52,13 @@ def _check_no_contest(typed: DataFrame, by: Sequence[str]) -> None:
             "Two or more events hit one stand in the same year; give the event metadata a priority column to rank them.")
 
 
-def resolve_events(typed: DataFrame, by: Sequence[str] = ("year",), check: bool = True) -> DataFrame:
+def resolve_events(typed: DataFrame, by: Sequence[str] = ("year",), check: bool = True,
+                   keep: Sequence[str] = ()) -> DataFrame:
     """One event per stand and year. Lowest priority wins, a NULL priority first (Q2);
     ties go to the lowest eventID, then the lowest type. ``row_number() = 1`` lets Catalyst
     plan a WindowGroupLimit, which keeps one row per key *before* the shuffle as well, so a
-    stand with a huge number of events does not land whole on one task."""
+    stand with a huge number of events does not land whole on one task. ``keep`` names more columns of
+    the winning events."""
     by = list(by)
     if "priority" not in typed.columns:
         if check:
@@ -66,7 +68,7 @@ def resolve_events(typed: DataFrame, by: Sequence[str] = ("year",), check: bool
         F.col("priority").asc_nulls_first(), F.col("eventID").asc_nulls_first(),
         F.col("disturbance_type_id").asc_nulls_first())
     return (typed.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1)
-            .select("pixelIndex", *by, "eventID", "disturbance_type_id"))
+            .select("pixelIndex", *by, "eventID", "disturbance_type_id", *keep))
 
 
 def mark_cohorts(key: DataFrame, winners: DataFrame, by: Sequence[str] = ("year",)) -> DataFrame:
@@ -105,7 +107,8 @@ def age_panel(winners: DataFrame, end_year: int, cohorts: DataFrame | None = Non
     ``winners`` is E1 output; rows with a NULL type mean "undisturbed" and are ignored.
     With ``cohorts`` (cohortID, pixelIndex, delay column) the result is per cohort."""
     ev = (winners.where(F.col("disturbance_type_id").isNotNull())
-          .select("pixelIndex", F.col("year").cast("int").alias("event_year")).distinct())
+          .select("pixelIndex", F.col("year").cast("int").alias("event_year")).distinct()
+          .where(F.col("event_year") <= F.lit(int(end_year))))
     first = ev.groupBy("pixelIndex").agg(F.min("event_year").alias("first_year"))
     panel = first.select("pixelIndex", F.explode(F.sequence(F.col("first_year"), F.lit(int(end_year)))).alias("year"))
     panel = panel.join(ev.withColumnRenamed("event_year", "year").withColumn("__hit", F.col("year")),
@@ -128,3 +131,20 @@ def age_panel(winners: DataFrame, end_year: int, cohorts: DataFrame | None = Non
     cols = (["cohortID"] if cohorts is not None else []) + ["pixelIndex", "year", "last_event_year", "delay",
                                                             "lookup_age", "age"]
     return out.select(*cols)
+
+
+def event_intervals(winners: DataFrame, end_year: int, cohorts: DataFrame, delay_col: str = "delay",
+                    default_delay: int = 0) -> DataFrame:
+    """The same horizon as ``age_panel``, one row per cohort and event instead of one per cohort and year: the
+    ``years`` from an event to the year before the stand's next one, or to ``end_year``. The columns of
+    ``cohorts`` stay; its delay becomes ``delay``. ``age`` is the age at the end of the interval."""
+    ev = (winners.where(F.col("disturbance_type_id").isNotNull())
+          .select("pixelIndex", F.col("year").cast("int").alias("event_year")).distinct()
+          .where(F.col("event_year") <= F.lit(int(end_year))))
+    following = F.lead("event_year").over(Window.partitionBy("pixelIndex").orderBy("event_year"))
+    ev = ev.withColumn("years", (F.coalesce(following, F.lit(int(end_year) + 1)) - F.col("event_year")).cast("int"))
+    d = F.coalesce(F.col(delay_col).cast("int"), F.lit(int(default_delay))) if delay_col in cohorts.columns else F.lit(int(default_delay))
+    kept = [c for c in cohorts.columns if c not in (delay_col, "delay", "event_year", "years")]
+    out = ev.join(cohorts.select(*kept, d.alias("delay")), "pixelIndex", "inner")
+    grown = F.col("years") - F.col("delay")
+    return out.select(*kept, "event_year", "years", "delay", F.when(grown > 0, grown).otherwise(F.lit(0)).cast("int").alias("age_at_end"))

@@ -7,7 +7,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sylva.functions.columns import clamp_to, null_safe_join, unique_rows
@@ -90,3 +90,59 @@ def extend_curves(increments: DataFrame, max_age: int | DataFrame) -> DataFrame:
         *INCREMENT_COLUMNS)
     cols = increments.columns
     return increments.unionByName(ext.select(*[F.col(c).cast(dict(increments.dtypes)[c]) for c in cols]))
+
+
+# ---- growth over spans of ages: prefix sums per curve instead of a row per year
+
+def curve_sums(increments: DataFrame) -> DataFrame:
+    """One row per curve: first_age, last_age, and per increment column an array of running sums over the
+    ages first .. last and one of running counts of the ages that have a value (a gap has none). A
+    curve's ages bound the arrays; NULL increments and missing ages add nothing to a sum, and its count tells."""
+    require_columns(increments, "increments", ("gcID", "age", *INCREMENT_COLUMNS))
+    rows = unique_rows(increments.select("gcID", "age", *INCREMENT_COLUMNS), "increments", ["gcID", "age"])
+    by_age = Window.partitionBy("gcID").orderBy("age")
+    upto = by_age.rowsBetween(Window.unboundedPreceding, 0)
+    figures = {f"sum_{c}": F.sum(F.coalesce(c, F.lit(0.0))).over(upto) for c in INCREMENT_COLUMNS}
+    figures |= {f"known_{c}": F.count(c).over(upto) for c in INCREMENT_COLUMNS}
+    # a row holds until the curve's next age
+    until = F.coalesce(F.lead("age").over(by_age) - 1, F.col("age"))
+    dense = rows.select("gcID", "age", until.alias("__until"), *[x.alias(n) for n, x in figures.items()])
+    dense = dense.withColumn("age", F.explode(F.sequence("age", "__until")))
+    steps = F.array_sort(F.collect_list(F.struct("age", *figures)))
+    out = dense.groupBy("gcID").agg(F.min("age").alias("first_age"), F.max("age").alias("last_age"), steps.alias("__steps"))
+    return out.select("gcID", "first_age", "last_age", *[F.col(f"__steps.{n}").alias(n) for n in figures])
+
+
+def _upto(array: F.Column, age: F.Column) -> F.Column:
+    """The running figure at ``age``: 0 before the curve; behind it, its last step goes on (the flat tail of
+    C10), in closed form."""
+    first, last = F.col("first_age"), F.col("last_age")
+    end = F.element_at(array, -1)
+    step = end - F.when(F.size(array) > 1, F.element_at(array, -2)).otherwise(F.lit(0))
+    inside = F.element_at(array, F.least(age, last) - first + 1)
+    return F.when(age < first, F.lit(0)).when(age > last, end + (age - last) * step).otherwise(inside)
+
+
+def growth_between(column: str, lowest: F.Column, highest: F.Column) -> F.Column:
+    """Sum of an increment over the ages ``lowest`` .. ``highest`` of the row's curve (columns of
+    ``curve_sums``): two lookups. NULL as soon as one of the ages has no increment (Q1), 0 for no age."""
+    def between(array: F.Column) -> F.Column:
+        return _upto(array, highest) - _upto(array, lowest - 1)
+    whole = between(F.col(f"known_{column}")) == highest - lowest + 1
+    # an unknown curve has no sums, and no growth is known
+    return F.when(F.col("first_age").isNull(), F.lit(None).cast("double")).when(highest < lowest, F.lit(0.0)).when(whole, between(F.col(f"sum_{column}")))
+
+
+def interval_growth(intervals: DataFrame, increments: DataFrame) -> DataFrame:
+    """E3 -> C10 without a row per year: growth of each row of ``intervals`` (gcID, years, delay): the age is 1 in the
+    year of the event, then 0 while the delay lasts, then 1, 2, ... (E3's lookup ages), so the sum is one year at age 1,
+    min(years - 1, delay) at age 0 and the ages 1 .. years - 1 - delay. One join with one row per curve."""
+    joined = intervals.join(curve_sums(increments), "gcID", "left")
+    years, delay = F.col("years"), F.greatest(F.col("delay"), F.lit(0))
+    waiting, grown = F.least(years - 1, delay), years - 1 - delay
+    out = {}
+    for c in INCREMENT_COLUMNS:
+        at_zero = growth_between(c, F.lit(0), F.lit(0))
+        out[c] = growth_between(c, F.lit(1), F.lit(1)) + F.when(waiting > 0, at_zero * waiting).otherwise(F.lit(0.0)) \
+            + growth_between(c, F.lit(1), grown)
+    return joined.select(*intervals.columns, *[v.alias(c) for c, v in out.items()])

@@ -23,6 +23,7 @@ from sylva.sources import snapshots as sn
 from sylva.sources.fixtures import GROUP_KINDS, Fixtures
 from sylva.sources.schema import CarbonTables, shared_classifiers
 from sylva.streaming.events import ingest_events
+from sylva.streaming.winners import merge_events, read_winners, start_winner_updates
 
 Y = ("year",)
 DIGITS = 9
@@ -101,7 +102,7 @@ def q_read_snapshots(spark, d):
     fx = Fixtures(spark, d)
     root = sn.open_store(spark, shared_dir(spark, "snapshots"))
     sn.write_panel(fx.pools, root, "pools")
-    spinup = fx.pools.where("year = 1").drop("Products")
+    spinup = fx.pools.where("year = 1").drop("Products", "year")
     sn.write_snapshot({"pools": spinup}, root, 0, spinup=True)
     years = sn.save_years(1, 2, 7, spinup=True)
     return sn.read_snapshots(spark, root, "pools", years).select("year", "row_idx", "Merch", "Products")
@@ -123,10 +124,11 @@ def q_write_snapshot(spark, d):
 
 def q_append_year(spark, d):
     """each year's totals added to the results one by one, one of them twice, read back."""
+    years = (*range(1, 8), 2)
     fx = Fixtures(spark, d)
     root = sn.open_store(spark, shared_dir(spark, "results"))
     totals = materialize(rp.products_stock(fx.pools, _areas(fx), Y), "totals")
-    for y in (1, 2, 3, 2):
+    for y in years:
         sn.append_year(totals.where(F.col("year") == y), root, "yearly")
     return sn.read_snapshots(spark, root, "yearly").select("year", "products_stock")
 
@@ -458,6 +460,20 @@ def q_age_panel(spark, d):
     return ev.age_panel(winners, HORIZON, cohorts=fx.cohort, delay_col="delayRegen")
 
 
+def q_age_panel_all(spark, d):
+    """E3 over all events of all stands."""
+    fx = Fixtures(spark, d)
+    return ev.age_panel(_winners(fx), HORIZON, cohorts=fx.cohort, delay_col="delayRegen")
+
+
+def q_interval_growth(spark, d):
+    """E3 -> C10: what each cohort has grown between its events, over all events."""
+    fx = Fixtures(spark, d)
+    curves = at.attach_curves(_c1(fx), fx.gcmeta).select("cohortID", "pixelIndex", "delayRegen", "gcID")
+    spans = ev.event_intervals(_winners(fx), HORIZON, curves, delay_col="delayRegen")
+    return gw.interval_growth(spans, fx.increments).drop("pixelIndex", "delay")
+
+
 def q_ingest_events(spark, d):
     fx = Fixtures(spark, d)
     table = shared_dir(spark, "events-table")
@@ -465,6 +481,19 @@ def q_ingest_events(spark, d):
                          transform=Fixtures.events_from_raw, glob_filter="events.parquet")
 
 
+def q_winners_by_batch(spark, d):
+    """A7 + E1: the events come in four batches of a stream, one of which is merged again."""
+    fx = Fixtures(spark, d)
+    source, root = shared_dir(spark, "event-files"), shared_dir(spark, "winners")
+    parts = fx.events.withColumn("part", F.pmod(F.xxhash64("pixelIndex", "year", "eventID"), F.lit(4)))
+    for k in range(4):
+        parts.where(F.col("part") == k).drop("part").coalesce(1).write.mode("append").parquet(source)
+    query = start_winner_updates(spark, source, fx.distmeta, root, glob_filter="*.parquet", files_per_batch=1)
+    query.awaitTermination()
+    merge_events(parts.where("part = 0").drop("part"), fx.distmeta, root, 0)
+    return read_winners(spark, root)
+
+
 def q_orphans(spark, d):
     fx = Fixtures(spark, d)
     twice = F.explode(F.when(F.col("pixelIndex") % 37 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
@@ -628,6 +657,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pool_proportions": q_pool_proportions,
     "total_carbon_by_stand": q_total_carbon_by_stand,
     "age_panel": q_age_panel,
+    "age_panel_all": q_age_panel_all,
+    "interval_growth": q_interval_growth,
+    "winners_by_batch": q_winners_by_batch,
     "orphans": q_orphans,
     "ingest_events": q_ingest_events,
     "temp_modifier": q_temp_modifier,

@@ -246,8 +246,8 @@ union all select year, row_idx, pool, cast(0 as double) from lp""")
              LP, moved)
 
 
-def _age_panel() -> str:
-    e = ("ev", "select distinct pixelIndex, year as event_year from swinners where disturbance_type_id is not null")
+def _age_panel(winners: str = "swinners") -> str:
+    e = ("ev", f"select distinct pixelIndex, year as event_year from {winners} where disturbance_type_id is not null")
     first = ("fy", "select pixelIndex, min(event_year) as first_year from ev group by pixelIndex")
     panel = ("panel", f"""select pixelIndex, cast(unnest(generate_series(first_year, {HORIZON})) as int) as year from fy""")
     p2 = ("p2", """select p.pixelIndex, p.year, max(e.event_year) over (partition by p.pixelIndex order by p.year
@@ -255,10 +255,25 @@ def _age_panel() -> str:
           from panel p left join ev e on e.pixelIndex = p.pixelIndex and e.event_year = p.year""")
     c = ("coh", "select cohortID, pixelIndex, cast(coalesce(delayRegen, 0) as int) as delay from f_cohort")
     t = "(p2.year - p2.last_event_year + 1)"
-    return q(f"""select coh.cohortID, p2.pixelIndex, p2.year, p2.last_event_year, coh.delay,
+    resolved = (STYPED, SWIN) if winners == "swinners" else (TYPED, WIN)
+    ctes = (*resolved, e, first, panel, p2, c)
+    body = f"""select coh.cohortID, p2.pixelIndex, p2.year, p2.last_event_year, coh.delay,
   cast(case when {t} = 1 then 1 when {t} - 1 - coh.delay > 0 then {t} - 1 - coh.delay else 0 end as int) as lookup_age,
   cast(case when {t} - coh.delay > 0 then {t} - coh.delay else 0 end as int) as age
-from p2 join coh on coh.pixelIndex = p2.pixelIndex""", STYPED, SWIN, e, first, panel, p2, c)
+from p2 join coh on coh.pixelIndex = p2.pixelIndex"""
+    return body, ctes
+
+
+def _interval_growth() -> str:
+    """A row per cohort and year, looked up one by one, summed per event."""
+    body, ctes = _age_panel("winners")
+    sums = ", ".join(f"{strict('i.' + c)} as {c}" for c in ("merch_inc", "foliage_inc", "other_inc"))
+    return q(f"""select a.cohortID, g.gcID, a.last_event_year as event_year, cast(count(*) as int) as years,
+        max(a.age) as age_at_end, {sums} from ages a
+        join c1 on c1.cohortID = a.cohortID left join f_gcmeta g on {nse('c1', 'g', ('admin_name', 'eco_id', 'species'))}
+        left join mx on mx.gcID = g.gcID left join f_increments i on i.gcID = g.gcID
+          and i.age = case when a.lookup_age > mx.max_age then mx.max_age else a.lookup_age end
+        group by a.cohortID, g.gcID, a.last_event_year""", C1, MX, *ctes, ("ages", body))
 
 
 def _orphans() -> str:
@@ -309,7 +324,7 @@ def oracle_sql() -> dict[str, str]:
         "read_snapshots": q("""select year, row_idx, Merch, Products from f_pools where year in (1, 3, 5, 7)
             union all select 0, row_idx, Merch, null from f_pools where year = 1"""),
         "write_snapshot": _save_options(),
-        "append_year": q("select year, products_stock from stock where year in (1, 2, 3)", AREAS, STOCK),
+        "append_year": q("select year, products_stock from stock", AREAS, STOCK),
         "year_filter": q("select * from f_events where year = 12"),
         "spinup_parameters": q("""select row_idx, cast(1 as int) as area, cast(age + 100 as int) as age, age as age_in,
             cast(3 as int) as delay, coalesce(historical_disturbance_type, 1) as historical_disturbance_type,
@@ -427,7 +442,10 @@ def oracle_sql() -> dict[str, str]:
         "total_carbon_by_stand": q(f"""select k.year, k.pixelIndex, {strict('p.Merch + p.Foliage + p.StemSnags')}
             as total_carbon from f_key k join f_pools p on p.year = k.year and p.row_idx = k.row_idx
             group by k.year, k.pixelIndex"""),
-        "age_panel": _age_panel(),
+        "age_panel": q(_age_panel()[0], *_age_panel()[1]),
+        "age_panel_all": q(_age_panel("winners")[0], *_age_panel("winners")[1]),
+        "interval_growth": _interval_growth(),
+        "winners_by_batch": q("select * from winners", TYPED, WIN),
         "orphans": _orphans(),
         "ingest_events": q("select pixelIndex, year, eventID from f_events"),
         "temp_modifier": q(f"select year, row_idx, pool, round(temp_mod, {DIGITS}) as temp_mod from tm", LP, GU, TM),

@@ -7,6 +7,7 @@ import re
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -34,8 +35,8 @@ def get_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
-#: Folders of the work in progress, the innermost last.
-_WORK: list[str] = []
+#: Folders of the work in progress, the innermost last; each thread has its own.
+_WORK: ContextVar[tuple[str, ...]] = ContextVar("work_folders", default=())
 
 
 def _checkpoint_root(spark: SparkSession) -> str:
@@ -59,7 +60,8 @@ def _checkpoint_root(spark: SparkSession) -> str:
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared folder (or of the open ``work_folder``), one per call."""
-    root = _WORK[-1] if _WORK else _checkpoint_root(spark)
+    work = _WORK.get()
+    root = work[-1] if work else _checkpoint_root(spark)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
@@ -68,11 +70,11 @@ def work_folder(spark: SparkSession):
     """A folder for the intermediate tables of the block, deleted at its end. Queries return lazy
     results that read such tables, so write or collect the result inside the block."""
     path = shared_dir(spark, "work")
-    _WORK.append(path)
+    token = _WORK.set((*_WORK.get(), path))
     try:
         yield path
     finally:
-        _WORK.remove(path)
+        _WORK.reset(token)
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 

@@ -102,8 +102,8 @@ def test_years_are_read_alone_and_written_in_few_files(spark, tmp_path):
     sn.write_panel(panel, root, "pools")
     sn.write_snapshot({"pools": spark.range(3).select("id")}, root, 0, spinup=True)
     for y in range(1, 6):
-        assert len(list((tmp_path / "run" / "pools" / f"year={y}").glob("*.parquet"))) <= 2
-    got = sn.read_snapshots(spark, root, "pools", [0, 3, 99])
+        assert len(list((tmp_path / "run" / "pools").glob(f"write=*/year={y}/*.parquet"))) <= 2
+    got = sn.read_snapshots(spark, root, "pools", [0, 3])
     assert {r["year"] for r in got.select("year").distinct().collect()} == {0, 3}
     assert got.where("year = 0 AND Products IS NULL").count() == 3
     assert "year=1" not in str(got.inputFiles())
