@@ -20,6 +20,9 @@ from __future__ import annotations
 import math
 import re
 from bisect import bisect_right
+from collections import Counter
+from collections.abc import Iterable
+from operator import mul
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +55,9 @@ TEMPLATES = {
     "proprietary": ["All rights reserved", "Copyright. All rights reserved", "Proprietary and confidential. All rights reserved"],
 }
 _WORD = re.compile(r"[^\W_]+")
+#: Words of everyday language, the commonest first; the last choice for an anchor, from the end.
+EVERYDAY = ("the of and to a in that is was it for with as be on not this are or by at from have you which but all they an were "
+            "if has their one can more will no your its any may other such these under").split()
 
 
 class TemplateIndex:
@@ -78,46 +84,65 @@ class TemplateIndex:
         self.telling = re.compile("|".join(sorted(map(re.escape, telling), key=len, reverse=True)))
         self.sizes = [len(bag) for _, bag in bags]
         self.weights = [{w: y for w, found in self.lists.items() for j, y in found if j == i} for i in range(n)]
-        # words of each template without which the others' share of its length keeps a cosine below the limit
+        # words of each template without which the others' share of its length keeps the cosine of any bag below
+        # the limit, words of everyday language last (any choice is exact, a rare word meets fewer texts)
         self.anchors: dict[str, list[int]] = {}
         for i, weights in enumerate(self.weights):
             left = 1.0
-            for w in sorted(weights, key=lambda w: (-self.idf[w], -len(w), w)):
+            for w in sorted(weights, key=lambda w: (-EVERYDAY.index(w) if w in EVERYDAY else -math.inf, -weights[w], -len(w), w)):
                 if left < HEADER_COSINE ** 2:
                     break
                 left -= weights[w] ** 2
                 self.anchors.setdefault(w, []).append(i)
+        self.anchor_words = frozenset(self.anchors)
+
+    def in_reach(self, words: set[str], templates: Iterable[int] | None = None, least: float = HEADER_COSINE) -> list[int]:
+        """The templates that a bag of some of these words can reach ``least`` with: they have an anchor among
+        them, and the cosine is no more than the length of what a template shares with them."""
+        if templates is None:
+            templates = {i for w in self.anchor_words.intersection(words) for i in self.anchors[w]}
+        return [i for i in templates if sum([x * x for w, x in self.weights[i].items() if w in words]) >= least ** 2 - 1e-9]
 
     def best(self, line: str) -> tuple[str | None, float]:
         """The licence of the closest template and the cosine; ties go to the name that sorts first."""
         low = line.lower()
         if not self.telling.search(low):
             return None, 0.0
-        counts: dict[str, int] = {}
-        for w in _WORD.findall(low):
-            counts[w] = counts.get(w, 0) + 1
-        square, scores = 0.0, {}
-        for w, c in counts.items():
-            x = c * self.idf.get(w, self.other)
+        counts = Counter(_WORD.findall(low))
+        known = sorted(self.idf.keys() & counts.keys())
+        others = sum(map(mul, counts.values(), counts.values())) - sum([counts[w] ** 2 for w in known])
+        square, scores = others * self.other ** 2, {}
+        for w in known:
+            x = counts[w] * self.idf[w]
             square += x * x
-            for i, y in self.lists.get(w, ()):
+            for i, y in self.lists[w]:
                 scores[i] = scores.get(i, 0.0) + x * y
         if not scores:
             return None, 0.0
         i = max(scores, key=lambda i: (round(scores[i], 12), -i))
         return self.names[i], min(1.0, scores[i] / math.sqrt(square))
 
-
-    def windows(self, words: list[str], least: float = HEADER_COSINE) -> list[tuple[int, int, str, float]]:
+    def windows(self, words: list[str], least: float = HEADER_COSINE, hits: Iterable[int] | None = None) -> list[tuple[int, int, str, float]]:
         """(first word, end, licence, cosine) of the windows of ``words`` that reach ``least``: per template
-        and run of overlapping windows the best one, the first of equals."""
+        and run of overlapping windows the best one, the first of equals. ``hits`` are the places of anchors."""
         near: dict[int, list[int]] = {}
-        for k, w in enumerate(words):
-            for i in self.anchors.get(w, ()):
-                near.setdefault(i, []).append(k)
+        alive = set(self.in_reach(set(words), None, least))
+        for k in range(len(words)) if hits is None else hits:
+            for i in self.anchors.get(words[k], ()):
+                if i in alive:
+                    near.setdefault(i, []).append(k)
         out = []
-        for i, anchors in sorted(near.items()):
+        for i, met in sorted(near.items()):
             size, weights = min(self.sizes[i], len(words)), self.weights[i]
+            # runs of anchors whose windows overlap; one whose words cannot reach the limit is left out
+            anchors, run = [], []
+            for a in [*met, None]:
+                if run and (a is None or a - run[-1] >= 2 * size):
+                    if self.in_reach(set(words[max(run[0] - size + 1, 0): run[-1] + size]), (i,), least):
+                        anchors += run
+                    run = []
+                if a is not None:
+                    run.append(a)
             counts: dict[str, int] = {}
             begin = end = 0
             square = dot = 0.0
@@ -153,35 +178,37 @@ class TemplateIndex:
 
 def own_notice(text: str | None, index: TemplateIndex, least: float = HEADER_COSINE) -> tuple[str | None, float, int | None, float]:
     """(licence, cosine, number of the line, share of words in notice lines) of one text."""
-    found, cosine, at, total = None, 0.0, None, 0
-    lines = (text or "").split("\n")
+    low = (text or "").lower()
+    words = _WORD.findall(low)
+    alive = index.in_reach(set(words), None, least)
+    if not alive:  # no line, window or whole of the text can be close to a template
+        return None, 0.0, None, 0.0
+    found, cosine, at = None, 0.0, None
+    spans = [m.start() for m in _WORD.finditer(low)]
+    breaks = [m.start() for m in re.finditer("\n", low)]
+    lines = text.split("\n")
+    total = sum(len(line.split()) for line in lines)
     noticed = set()
-    for k, line in enumerate(lines):
-        total += len(line.split())
-        name, c = index.best(line)
+    hits = [j for j, w in enumerate(words) if w in index.anchor_words]
+    for k in sorted({bisect_right(breaks, spans[j]) for j in hits}):
+        if not index.in_reach(set(_WORD.findall(lines[k].lower())), alive, least):
+            continue
+        name, c = index.best(lines[k])
         if name is not None and c >= least:
             noticed.add(k)
             if c > cosine:
                 found, cosine, at = name, c, k
     share = sum(len(lines[k].split()) for k in noticed)
-    low = (text or "").lower()
-    words = _WORD.findall(low)
-    if not index.anchors.keys().isdisjoint(words):  # a notice inside a line or broken over lines
-        spans = list(_WORD.finditer(low))
-        breaks = [m.start() for m in re.finditer("\n", low)]
-        windows = sorted(index.windows(words, least), key=lambda w: (-round(w[3], 12), w[2], w[0]))
-        covered = 0  # words of windows, outside lines that are notices as a whole
-        spoken: set[int] = set()
-        for begin, end, name, c in windows:
-            k = bisect_right(breaks, spans[begin].start())
-            if c > cosine + 1e-12:
-                found, cosine, at = name, c, k
-            spoken.update(range(begin, end))
-        for n in spoken:
-            covered += bisect_right(breaks, spans[n].start()) not in noticed
-        share += covered
+    # a notice inside a line or broken over lines
+    windows = sorted(index.windows(words, least, hits), key=lambda w: (-round(w[3], 12), w[2], w[0]))
+    spoken: set[int] = set()
+    for begin, end, name, c in windows:
+        if c > cosine + 1e-12:
+            found, cosine, at = name, c, bisect_right(breaks, spans[begin])
+        spoken.update(range(begin, end))
+    share += sum(bisect_right(breaks, spans[n]) not in noticed for n in spoken)  # outside lines that are notices as a whole
     if found is None and total:  # a notice with other words between its own
-        name, c = index.best(text or "")
+        name, c = index.best(text)
         if name is not None and c >= least:
             found, cosine, at, share = name, c, 0, total
     return found, cosine, at, min(1.0, share / total) if total else 0.0
@@ -218,13 +245,15 @@ def scan(files: DataFrame, templates: dict[str, list[str]] = TEMPLATES) -> DataF
     met = above.join(governed, F.col("up.dir") == F.col("_dir"))
     nearest = met.groupBy("_of").agg(F.max(F.struct("up.depth", "_dir", "_given", "_cosine")).alias("_near"))
     nearest = stored(nearest, "inherited")
-    here = own.withColumn("_here", F.when(F.col("license").isNull(), directory(F.col("path"))))
-    out = here.join(small(nearest, nearest.count()), F.col("_here") == F.col("_of"), "left")
-    how = F.when(F.col("license").isNotNull(), "own").when(F.col("_near").isNotNull(), "inherited").otherwise("none")
-    out = out.withColumn("how", how).withColumn("from_dir", F.col("_near._dir")) \
-        .withColumn("cosine", F.when(F.col("license").isNotNull(), F.col("cosine")).otherwise(F.coalesce("_near._cosine", F.lit(0.0)))) \
-        .withColumn("license", F.coalesce("license", "_near._given"))
-    return out.drop("_here", "_of", "_near", row)
+    here, of, near = (fresh(c, [*own.columns, "how", "from_dir"]) for c in ("_here", "_of", "_near"))
+    nearest = nearest.select(F.col("_of").alias(of), F.col("_near").alias(near))
+    needing = own.withColumn(here, F.when(F.col("license").isNull(), directory(F.col("path"))))
+    out = needing.join(small(nearest, nearest.count()), F.col(here) == F.col(of), "left")
+    how = F.when(F.col("license").isNotNull(), "own").when(F.col(near).isNotNull(), "inherited").otherwise("none")
+    out = out.withColumn("how", how).withColumn("from_dir", F.col(f"{near}._dir")) \
+        .withColumn("cosine", F.when(F.col("license").isNotNull(), F.col("cosine")).otherwise(F.coalesce(f"{near}._cosine", F.lit(0.0)))) \
+        .withColumn("license", F.coalesce("license", f"{near}._given"))
+    return out.drop(here, of, near, row)
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
