@@ -54,12 +54,14 @@ BEGINNINGS = (4, 5)
 #: Words on either side of a term that tell one place from another.
 CONTEXT = 3
 NEAREST = 15
-BLOCK = 64
+BLOCK = 256
 #: Terms that more than one in so many examples hold are kept as rows over all examples.
 COMMON = 8
 #: Share of the chosen terms in the squared length of a text that has any.
 CHOSEN_SHARE = 0.5
 EVIDENCE = 3
+#: Texts whose common terms are scored in one product.
+RUN = 64
 #: Of the bytes of a text: A-Z in lower case, all that stands between words as a space.
 _SPACED = bytes(ord(" ") if c < 128 and not chr(c).isalnum() else ord(chr(c).lower()) if c < 128 else c for c in range(256))
 
@@ -110,19 +112,31 @@ class BlockMaxIndex:
         self.top = np.maximum.reduceat(self.weight, self.begin) if len(key) else np.zeros(0)
         self.of_block = (self.owner[self.begin] // block).astype(np.int32)
         self.entries = np.searchsorted(term[self.begin], np.arange(n_terms + 1))
+        self.postings = np.searchsorted(term, np.arange(n_terms + 1))
         self.begin = np.append(self.begin, len(key))
 
-    def nearest(self, at: np.ndarray, w: np.ndarray, k: int, leave_out: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of largest cosine (above 0), nearest first, ties by number."""
+    def common(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """What the common terms of each vector add to the score of each example: one product for all."""
+        q = np.zeros((len(vectors), len(self.rows)))
+        for i, (at, w) in enumerate(vectors):
+            row = self.row[at]
+            is_row = row >= 0
+            q[i, row[is_row]] = w[is_row]
+        return q @ self.rows
+
+    def nearest(self, at: np.ndarray, w: np.ndarray, k: int, leave_out: int = -1, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The k examples of largest cosine (above 0), nearest first, ties by number. ``common`` is the
+        vector's row of ``common``."""
         none = np.zeros(0, np.int64), np.zeros(0)
         if not self.n or not len(at):
             return none
-        row = self.row[at]
-        is_row = row >= 0
-        scores = w[is_row] @ self.rows[row[is_row]]
-        at, w = at[~is_row], w[~is_row]
-        entry = ranges(self.entries[at], self.entries[at + 1])
-        q, of_block = np.repeat(w, self.entries[at + 1] - self.entries[at]), self.of_block[entry]
+        base = self.common([(at, w)])[0] if common is None else common
+        scores = base.copy()
+        rare = self.row[at] < 0
+        at, w = at[rare], w[rare]
+        first, last = self.entries[at], self.entries[at + 1]
+        entry = ranges(first, last)
+        q, of_block = np.repeat(w, last - first), self.of_block[entry]
         bound = np.maximum.reduceat(scores, np.arange(0, self.n, self.block))
         bound = bound + np.bincount(of_block, weights=q * self.top[entry], minlength=self.blocks)
         opened = np.zeros(self.blocks, dtype=bool)
@@ -130,15 +144,20 @@ class BlockMaxIndex:
         opening = np.zeros(self.blocks, dtype=bool)
         opening[bound.argmax()] = True
         while (opening & (bound > 0)).any():
-            chosen = opening[of_block]
-            e = entry[chosen]
-            begin, end = self.begin[e], self.begin[e + 1]
-            spots = ranges(begin, end)
-            scores += np.bincount(self.owner[spots], weights=np.repeat(q[chosen], end - begin) * self.weight[spots], minlength=self.n)
+            if 2 * (opened | opening).sum() > self.blocks and self.blocks > 1:
+                # most blocks are needed: all postings, term by term, are cheaper than block by block
+                opening = ~opened
+                scores = base + self._all(at, w)
+            else:
+                chosen = opening[of_block]
+                e = entry[chosen]
+                begin, end = self.begin[e], self.begin[e + 1]
+                spots = ranges(begin, end)
+                scores += np.bincount(self.owner[spots], weights=np.repeat(q[chosen], end - begin) * self.weight[spots], minlength=self.n)
             if leave_out >= 0:
                 scores[leave_out] = 0
             opened |= opening
-            hit = np.flatnonzero((scores > 0) & np.repeat(opened, self.block)[:self.n])
+            hit = np.flatnonzero(scores > 0 if opened.all() else (scores > 0) & np.repeat(opened, self.block)[:self.n])
             if len(hit) > k:  # all that tie with the k-th stay
                 hit = hit[scores[hit] >= np.partition(scores[hit], len(hit) - k)[len(hit) - k] - 1e-11]
             best = np.lexsort((hit, -np.round(scores[hit], 12)))[:k]
@@ -146,6 +165,12 @@ class BlockMaxIndex:
             opening = ~opened & (bound >= (found[k - 1] if len(found) >= k else 0.0) - 1e-11)
         return found_at, found
 
+    def _all(self, at: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """What these terms add to the score of every example."""
+        first, last = self.postings[at], self.postings[at + 1]
+        spots = ranges(first, last)
+        return np.bincount(self.owner[spots], weights=np.repeat(w, last - first) * self.weight[spots], minlength=self.n)
+
 
 def monotone(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """First and last points of the best non-decreasing fit of y by x: pool neighbours that are out of order."""
@@ -169,9 +194,11 @@ class ToxicityModel:
     def __init__(self, terms: dict[str, int], idf: np.ndarray, examples: list[Example], rate_without: float, k: int = NEAREST,
                  df: dict[str, int] | None = None, n: int = 0):
         self.terms = {t.encode(): i for t, i in terms.items()}
-        self.beginnings = [(b" " + t[:-1], i) for t, i in self.terms.items() if t.endswith(b"*")]
+        self.beginnings = {t[:-1]: i for t, i in self.terms.items() if t.endswith(b"*")}
+        self.lengths = sorted({len(t) for t in self.beginnings})
         self.idf, self.k, self.rate_without = idf, k, rate_without
         self.vocabulary = {w: i for i, w in enumerate(sorted({w for e in examples for w in spaced(e.text).split()}))}
+        self.begun = {w: found for w in self.vocabulary if (found := self.begins(w))}
         self.other = math.log(1 + n) + 1
         self.word_idf = np.array([math.log((1 + n) / (1 + (df or {}).get(w.decode(), 0))) + 1 for w in self.vocabulary])
         self.ids = [e.doc_id for e in examples]
@@ -188,21 +215,32 @@ class ToxicityModel:
         """Term numbers and weights: the words of the examples, then the chosen terms."""
         flat = spaced(text)
         words = Counter(flat.split())
-        known = {i: c for w, c in words.items() if (i := self.vocabulary.get(w)) is not None}
-        other = sum((1 + math.log(c)) ** 2 for w, c in words.items() if w not in self.vocabulary) * self.other ** 2
-        chosen = {i: words[t] for t, i in self.terms.items() if t in words} if len(self.terms) < len(words) \
-            else {self.terms[w]: c for w, c in words.items() if w in self.terms}
-        for start, t in self.beginnings:
-            if c := flat.count(start):
-                chosen[t] = c
-        at, w = unit(known, self.word_idf, other)
+        number = self.vocabulary.get
+        ids = np.array([number(w, -1) for w in words], dtype=np.int64)
+        tf = 1 + np.log(np.fromiter(words.values(), dtype=np.float64, count=len(words)))
+        known = ids >= 0
+        other = (tf[~known] ** 2).sum() * self.other ** 2
+        order = np.argsort(ids[known])
+        at = ids[known][order]
+        w = tf[known][order] * self.word_idf[at]
+        w = w / np.sqrt((w * w).sum() + other) if len(at) else w
+        chosen = {self.terms[t]: words[t] for t in self.terms.keys() & words.keys()}
+        if self.beginnings:  # those of known words are listed, the others are looked up
+            begun = [(word, t) for word in self.begun.keys() & words.keys() for t in self.begun[word]]
+            begun += [(word, t) for word, i in zip(words, ids.tolist(), strict=True) if i < 0 for t in self.begins(word)]
+            for word, t in begun:
+                chosen[t] = chosen.get(t, 0) + words[word]
         if not chosen:
             return at, w
         more, x = unit(chosen, self.idf)
         return np.concatenate((at, more + len(self.vocabulary))), np.concatenate((w * math.sqrt(1 - CHOSEN_SHARE), x * math.sqrt(CHOSEN_SHARE)))
 
-    def _vote(self, at: np.ndarray, w: np.ndarray, leave_out: int = -1) -> tuple[float | None, np.ndarray]:
-        near, cosine = self.index.nearest(at, w, self.k, leave_out)
+    def begins(self, word: bytes) -> list[int]:
+        """The chosen beginnings of a word."""
+        return [self.beginnings[word[:k]] for k in self.lengths if len(word) >= k and word[:k] in self.beginnings]
+
+    def _vote(self, at: np.ndarray, w: np.ndarray, leave_out: int = -1, common: np.ndarray | None = None) -> tuple[float | None, np.ndarray]:
+        near, cosine = self.index.nearest(at, w, self.k, leave_out, common)
         if not len(near):
             return None, near
         cosine = np.minimum(cosine, 1.0)
@@ -210,10 +248,18 @@ class ToxicityModel:
         return round(float((weight * self.toxic[near]).sum() / weight.sum()), 9), near
 
     def score(self, text: str | None) -> tuple[float, list]:
-        vote, near = self._vote(*self.vector(text))
-        if vote is None:
-            return self.rate_without, []
-        return float(np.interp(vote, self.steps, self.values)), [self.ids[i] for i in near[:EVIDENCE]]
+        return self.scores([text])[0]
+
+    def scores(self, texts: list[str | None], run: int = RUN) -> list[tuple[float, list]]:
+        """(score, evidence) of each text; the common terms of a run of texts are scored at once."""
+        out: list[tuple[float, list]] = []
+        for first in range(0, len(texts), run):
+            vectors = [self.vector(t) for t in texts[first: first + run]]
+            for v, common in zip(vectors, self.index.common(vectors), strict=True):
+                vote, near = self._vote(*v, common=common)
+                out.append((self.rate_without, []) if vote is None else
+                           (float(np.interp(vote, self.steps, self.values)), [self.ids[i] for i in near[:EVIDENCE]]))
+        return out
 
 
 def spaced(text: str | None) -> bytes:
@@ -300,7 +346,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(texts: list[str | None]) -> dict:
-        got = [shared.value.score(t) for t in texts]
+        got = shared.value.scores(texts)
         return {"score": [s for s, _ in got], "predicted": [int(s >= 0.5) for s, _ in got], "evidence": [[str(i) for i in e] for _, e in got]}
 
     return map_texts(docs, {"score": "double", "predicted": "int", "evidence": "array<string>"}, scored)
