@@ -10,8 +10,10 @@ words are for the most part notice lines, or whose name says so, is a licence fi
 directory. A file without a notice of its own inherits from the licence file of the nearest directory
 above it: its ancestor directories are joined with the governed ones by path.
 
-Words outside the templates count in a bag's length with the weight of a word in no template. NULL
-texts and paths have no notice and no directory; a NULL path inherits nothing. Several licence
+Words outside the templates count in a bag's length with the weight of a word in no template, words of
+everyday language with a small one; a notice shares at least ``OWN_WORDS`` other words with its template. NULL
+texts and paths have no notice and no directory; a NULL path inherits nothing. Empty texts have no notice,
+very long ones are scanned whole; an empty table gives an empty one. Several licence
 files in one directory: the best cosine governs, then the name that sorts first. Repeated rows are
 judged alike. Extra columns are kept by ``scan`` (those with the names it adds give way)."""
 
@@ -30,32 +32,80 @@ from pyspark.sql import functions as F
 from .common import fresh, map_texts, read, small, stored
 
 HEADER_COSINE = 0.6
+#: Least number of a template's words, but those of everyday language, that a notice has.
+OWN_WORDS = 2
 #: A licence file has at least this share of its words in notice lines.
 FILE_SHARE = 0.25
 LICENSE_NAME = r"(?i)(^|/)(licen[cs]e|copying)[^/]*$"
-#: Notices by licence, as their publishers word them in short.
+#: Notices and licence texts by SPDX identifier, as their publishers word them.
 TEMPLATES = {
     "MIT": [
         "Released under the MIT License", "Licensed under the MIT License",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, "
-        "to deal in the Software without restriction"],
+        "to deal in the Software without restriction",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), "
+        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, "
+        "sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
+        "conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."],
+    "ISC": [
+        "Released under the ISC License", "Licensed under the ISC License",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies"],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License"],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+        "published by the Free Software Foundation; either version 2 of the License, or any later version"],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
         "published by the Free Software Foundation, either version 3 of the License, or any later version"],
+    "LGPL-2.1": [
+        "Licensed under the GNU Lesser General Public License, version 2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation; either version 2.1 of the License, or any later version"],
+    "LGPL-3.0": [
+        "Licensed under the GNU Lesser General Public License, version 3",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or any later version"],
+    "AGPL-3.0": [
+        "Licensed under the GNU Affero General Public License, version 3",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or any later version"],
+    "BSD-2-Clause": ["Licensed under the BSD 2-Clause License", "Licensed under the Simplified BSD License"],
     "BSD-3-Clause": [
         "Licensed under the BSD 3-Clause License",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"],
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+        "this software without specific prior written permission"],
+    "MPL-2.0": ["Licensed under the Mozilla Public License 2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"],
+    "EPL-2.0": [
+        "Licensed under the Eclipse Public License 2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"],
+    "Unlicense": ["This is free and unencumbered software released into the public domain", "Released under the Unlicense"],
+    "CC0-1.0": ["Licensed under CC0 1.0", "CC0 1.0 Universal Public Domain Dedication"],
     "CC-BY-4.0": ["Licensed under CC BY 4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"],
+    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"],
+    "CC-BY-ND-4.0": ["Licensed under CC BY-ND 4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License"],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"],
+    "CC-BY-NC-SA-4.0": [
+        "Licensed under CC BY-NC-SA 4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"],
+    "CC-BY-NC-ND-4.0": [
+        "Licensed under CC BY-NC-ND 4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License"],
     "proprietary": ["All rights reserved", "Copyright. All rights reserved", "Proprietary and confidential. All rights reserved"],
 }
+# the short form that source files carry, of every licence that has an identifier
+for _name, _texts in TEMPLATES.items():
+    if _name != "proprietary":
+        _texts.append(f"SPDX-License-Identifier: {_name}")
 _WORD = re.compile(r"[^\W_]+")
-#: Words of everyday language, the commonest first; the last choice for an anchor, from the end.
+#: Words of everyday language, the commonest first; the last choice for an anchor, from the end. In a bag
+#: they weigh no more than this.
+EVERYDAY_IDF = 0.3
 EVERYDAY = ("the of and to a in that is was it for with as be on not this are or by at from have you which but all they an were "
             "if has their one can more will no your its any may other such these under").split()
 
@@ -71,7 +121,8 @@ class TemplateIndex:
             for w in bag:
                 holders.setdefault(w, set()).add(i)
         n = len(bags)
-        self.idf = {w: math.log((1 + n) / (1 + len(s))) + 1 for w, s in holders.items()}
+        # templates are no sample of a language: words of everyday language weigh little, however few templates have them
+        self.idf = {w: math.log((1 + n) / (1 + len(s))) + 1 for w, s in holders.items()} | dict.fromkeys(EVERYDAY, EVERYDAY_IDF)
         self.other = math.log(1 + n) + 1
         self.lists: dict[str, list[tuple[int, float]]] = {}
         for i, (_, bag) in enumerate(bags):
@@ -80,10 +131,13 @@ class TemplateIndex:
             for w, x in weights.items():
                 self.lists.setdefault(w, []).append((i, x / length))
         # every template has one of its telling words: a line without any is close to none
-        telling = {max(bag, key=lambda w: (self.idf[w], w)) for _, bag in bags} | {w for w in self.idf if len(w) > 3}
+        telling = {max(bag, key=lambda w: (self.idf[w], w)) for _, bag in bags} | {w for w in holders if len(w) > 3}
         self.telling = re.compile("|".join(sorted(map(re.escape, telling), key=len, reverse=True)))
         self.sizes = [len(bag) for _, bag in bags]
         self.weights = [{w: y for w, found in self.lists.items() for j, y in found if j == i} for i in range(n)]
+        # beside the cosine, a notice shares at least two words that are not everyday language with its template: a
+        # foreign word that is spelt like a licence ("mit"), said often, is close to a short template too
+        self.own_words = [frozenset(w) - frozenset(EVERYDAY) for w in self.weights]
         # words of each template without which the others' share of its length keeps the cosine of any bag below
         # the limit, words of everyday language last (any choice is exact, a rare word meets fewer texts)
         self.anchors: dict[str, list[int]] = {}
@@ -101,7 +155,7 @@ class TemplateIndex:
         them, and the cosine is no more than the length of what a template shares with them."""
         if templates is None:
             templates = {i for w in self.anchor_words.intersection(words) for i in self.anchors[w]}
-        return [i for i in templates if sum([x * x for w, x in self.weights[i].items() if w in words]) >= least ** 2 - 1e-9]
+        return [i for i in templates if len(self.own_words[i] & words) >= OWN_WORDS and sum([x * x for w, x in self.weights[i].items() if w in words]) >= least ** 2 - 1e-9]
 
     def best(self, line: str) -> tuple[str | None, float]:
         """The licence of the closest template and the cosine; ties go to the name that sorts first."""
@@ -111,12 +165,14 @@ class TemplateIndex:
         counts = Counter(_WORD.findall(low))
         known = sorted(self.idf.keys() & counts.keys())
         others = sum(map(mul, counts.values(), counts.values())) - sum([counts[w] ** 2 for w in known])
-        square, scores = others * self.other ** 2, {}
+        square, scores, shared = others * self.other ** 2, {}, Counter()
         for w in known:
             x = counts[w] * self.idf[w]
             square += x * x
-            for i, y in self.lists[w]:
+            for i, y in self.lists.get(w, ()):
                 scores[i] = scores.get(i, 0.0) + x * y
+                shared[i] += w in self.own_words[i]
+        scores = {i: x for i, x in scores.items() if shared[i] >= OWN_WORDS}
         if not scores:
             return None, 0.0
         i = max(scores, key=lambda i: (round(scores[i], 12), -i))
@@ -133,7 +189,7 @@ class TemplateIndex:
                     near.setdefault(i, []).append(k)
         out = []
         for i, met in sorted(near.items()):
-            size, weights = min(self.sizes[i], len(words)), self.weights[i]
+            size, weights, own = min(self.sizes[i], len(words)), self.weights[i], self.own_words[i]
             # runs of anchors whose windows overlap; one whose words cannot reach the limit is left out
             anchors, run = [], []
             for a in [*met, None]:
@@ -144,7 +200,7 @@ class TemplateIndex:
                 if a is not None:
                     run.append(a)
             counts: dict[str, int] = {}
-            begin = end = 0
+            begin = end = shared = 0
             square = dot = 0.0
             best: tuple[int, int, str, float] | None = None
             last = -1  # the last start that was scored
@@ -153,18 +209,20 @@ class TemplateIndex:
                 if first > stop:
                     continue
                 if first >= end or first < begin:  # nothing in common with the window before
-                    counts, begin, end, square, dot = {}, first, first, 0.0, 0.0
+                    counts, begin, end, shared, square, dot = {}, first, first, 0, 0.0, 0.0
                 for start in range(first, stop + 1):
                     while end < start + size:
                         w = words[end]
                         c, x = counts.get(w, 0), self.idf.get(w, self.other)
+                        shared += not c and w in own
                         counts[w], square, dot, end = c + 1, square + (2 * c + 1) * x * x, dot + x * weights.get(w, 0.0), end + 1
                     while begin < start:
                         w = words[begin]
                         c, x = counts[w], self.idf.get(w, self.other)
+                        shared -= c == 1 and w in own
                         counts[w], square, dot, begin = c - 1, square - (2 * c - 1) * x * x, dot - x * weights.get(w, 0.0), begin + 1
                     cosine = min(1.0, dot / math.sqrt(square)) if square > 1e-9 else 0.0
-                    if cosine >= least:
+                    if cosine >= least and shared >= OWN_WORDS:
                         if best is not None and start >= best[1]:
                             out.append(best)
                             best = None

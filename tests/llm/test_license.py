@@ -105,3 +105,91 @@ def test_windows_against_every_window(index):
                 square = sum((bag.count(w) * index.idf.get(w, index.other)) ** 2 for w in set(bag))
                 want = max(want, sum(bag.count(w) * index.idf.get(w, index.other) * index.weights[i].get(w, 0) for w in set(bag)) / square ** 0.5)
         assert max(c for *_, c in index.windows(words)) == pytest.approx(want)
+
+
+@pytest.mark.parametrize("line, name", [
+    ("Licensed under the BSD 2-Clause License", "BSD-2-Clause"), ("GNU Affero General Public License, version 3", "AGPL-3.0"),
+    ("CC BY-SA 4.0", "CC-BY-SA-4.0"), ("CC BY-NC-ND 4.0", "CC-BY-NC-ND-4.0"), ("Licensed under the ISC License.", "ISC"),
+    ("GNU Lesser General Public License, version 2.1", "LGPL-2.1"), ("# SPDX-License-Identifier: BSD-3-Clause", "BSD-3-Clause"),
+    ("// SPDX-License-Identifier: MIT", "MIT"), ("/* SPDX-License-Identifier: AGPL-3.0 */", "AGPL-3.0")])
+def test_neighbour_licences_are_told_apart(index, line, name):
+    found, cosine, *_ = li.own_notice("code and more code\n" + line + "\nand the rest of it", index)
+    assert found == name and cosine >= li.HEADER_COSINE
+
+
+def test_every_template_is_nearest_to_itself(index):
+    for name, texts in li.TEMPLATES.items():
+        for t in texts:
+            assert index.best(t) == (name, pytest.approx(1.0))
+
+
+def test_one_word_is_no_notice(index):
+    for text in ("mit the of and in mit mit", "nd nd nd and nd of the", "er ging mit der und mit dem mit in the"):
+        assert li.own_notice(text, index)[0] is None
+
+
+def plain_notice(text, index, least=li.HEADER_COSINE):
+    """(licence, cosine) of the best line or window, every one of them scored."""
+    import math
+    words = li._WORD.findall((text or "").lower())
+    best = (0.0, None)
+
+    def cosine(bag, i):
+        if len(index.own_words[i] & set(bag)) < li.OWN_WORDS:
+            return 0.0
+        square = sum((bag.count(w) * index.idf.get(w, index.other)) ** 2 for w in set(bag))
+        return sum(bag.count(w) * index.idf.get(w, index.other) * index.weights[i].get(w, 0) for w in set(bag)) / math.sqrt(square) if bag else 0.0
+    bags = [(li._WORD.findall(line.lower()), None) for line in (text or "").split("\n")]
+    for i, size in enumerate(index.sizes):
+        size = min(size, len(words))
+        for bag in [b for b, _ in bags] + [words[s:s + size] for s in range(len(words) - size + 1)]:
+            best = max(best, (cosine(bag, i), index.names[i]), key=lambda x: x[0])
+    if best[0] < least:
+        best = max(((cosine(words, i), index.names[i]) for i in range(len(index.sizes))), key=lambda x: x[0], default=(0.0, None))
+    return best
+
+
+def test_bounds_lose_nothing(index):
+    import random
+    rng = random.Random(8)
+    pool = [w for ts in li.TEMPLATES.values() for t in ts for w in li._WORD.findall(t.lower())] + "the of and to a in or by you are x y z q".split() * 20
+    for k in range(60):
+        words = [rng.choice(pool) for _ in range(rng.randint(0, 40))]
+        if k % 2:
+            notice = li._WORD.findall(rng.choice(rng.choice(list(li.TEMPLATES.values()))))
+            at = rng.randint(0, len(words))
+            words[at:at] = [w for w in notice if rng.random() < 0.85]
+        text = "".join(w + rng.choice("   \n") for w in words)
+        cosine, name = plain_notice(text, index)
+        got, c, *_ = li.own_notice(text, index)
+        if cosine >= li.HEADER_COSINE + 1e-9:
+            assert got is not None and c == pytest.approx(cosine), text
+        elif cosine < li.HEADER_COSINE - 1e-9:
+            assert got is None
+
+
+def test_inheritance_in_random_trees(spark):
+    import random
+    rng = random.Random(5)
+    rows = []
+    for _ in range(200):
+        path = "/".join(rng.choice("abc") for _ in range(rng.randint(0, 4)))
+        name = rng.choice(["LICENSE", "x.py", "y.py", "z.txt"])
+        text = rng.choice(["Released under the MIT License", "Licensed under the ISC License", "code", "", None]) if name == "LICENSE" else rng.choice(["code", None, "text"])
+        rows.append((f"{path}/{name}".lstrip("/"), text))
+    rows = list(dict.fromkeys(rows))
+    df = spark.createDataFrame([(p, t, "mine", 1) for p, t in rows], "path string, text string, _here string, _of int").repartition(3)
+    governs = {}
+    for p, t in sorted(rows, key=str):
+        if t and "License" in t:
+            d = p.rpartition("/")[0]
+            governs.setdefault(d, []).append((-li.own_notice(t, li.TemplateIndex())[1], "MIT" if "MIT" in t else "ISC", p))
+    for r in li.scan(df).collect():
+        p, own = r["path"], None
+        assert r["_here"] == "mine" and r["_of"] == 1
+        if r["how"] == "own":
+            continue
+        parts = p.split("/")[:-1]
+        ups = ["/".join(parts[:n]) for n in range(len(parts), -1, -1)]
+        at = next((u for u in ups if u in governs), None)
+        assert (r["license"], r["from_dir"]) == ((min(governs[at])[1], at) if at is not None else (None, None))
