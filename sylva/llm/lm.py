@@ -46,8 +46,8 @@ from sylva.session import shared_dir
 from .common import SPACE, ascii_lower, chunks, crc_of_id, map_texts, read, stored
 
 ORDER = 2
-#: Least count of an n-gram of each order that becomes an entry; tokens all do.
-MIN_COUNT = (1, 2, 2)
+#: Least count of an n-gram of each order that becomes an entry; tokens and bigrams all do.
+MIN_COUNT = (1, 1, 2)
 DISCOUNT = 0.75
 #: Entries of one shard; a task holds one shard while it writes it.
 SHARD_ENTRIES = 1_000_000
@@ -239,6 +239,11 @@ def read_arrays(path: str) -> list[np.ndarray]:
     return out
 
 
+def packed_counts(count: np.ndarray) -> np.ndarray:
+    """Counts in four bytes each, or in eight where one of them needs it."""
+    return count.astype(np.uint32 if not len(count) or count.max() < 1 << 32 else np.uint64)
+
+
 def quantised(log10: np.ndarray) -> np.ndarray:
     return np.clip(np.round(-log10 * QUANTA), 0, 65535).astype(np.uint16)
 
@@ -261,7 +266,7 @@ class Shard:
         tops = token[ends].astype(np.uint64) + _ONE
         bases = np.concatenate((np.zeros(1, np.uint64), np.cumsum(tops)))[:-1]
         values = token.astype(np.uint64) + np.repeat(bases, per[per > 0])
-        return [*EliasFano.encode(begins).arrays(), *EliasFano.encode(values).arrays(), quantised(prob), quantised(backoff), count.astype(np.uint32)]
+        return [*EliasFano.encode(begins).arrays(), *EliasFano.encode(values).arrays(), quantised(prob), quantised(backoff), packed_counts(count)]
 
     @property
     def last(self) -> int:
@@ -478,7 +483,7 @@ def train(texts: DataFrame, order: int = ORDER, min_count: tuple[int, ...] = MIN
 
     def encode_words(c: dict) -> tuple:
         hashes = c["h"].view(np.uint64) ^ np.uint64(1 << 63)
-        return int(hashes[0]), int(hashes[0]) >> 1, [*EliasFano.encode(hashes - hashes[0]).arrays(), c["count"].astype(np.uint32)]
+        return int(hashes[0]), int(hashes[0]) >> 1, [*EliasFano.encode(hashes - hashes[0]).arrays(), packed_counts(c["count"])]
 
     dealt = counted.select(unsigned.alias("h"), "count").repartitionByRange(_shards(n), "h").sortWithinPartitions("h")
     about = Directory(total, n, [_write_level(dealt, folder, 1, encode_words)] if n else [[]], order)
