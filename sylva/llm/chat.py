@@ -56,7 +56,8 @@ def mark_turns(turns: list[Turn]) -> str:
 
 def spans(turns: list[Turn], template: Template = mark_turns) -> tuple[str, list[tuple[int, int, int, int]] | None, int | None]:
     """(output, spans, turn that rewrites history). A span is (begin of turn, begin of text, end of
-    text, end of turn) in the output; spans are None if history is rewritten."""
+    text, end of turn) in the output; the text of a turn whose text the template leaves out begins and ends
+    with the turn's end. Spans are None if history is rewritten."""
     before, found, prefix = "", [], []
     for k, (role, text) in enumerate(turns):
         prefix.append((role, text))
@@ -65,6 +66,10 @@ def spans(turns: list[Turn], template: Template = mark_turns) -> tuple[str, list
             return template(turns), None, k
         # two probes agree up to the text and, from the end, down to it
         x, y = (template([*prefix[:-1], (role, mark)])[len(before):] for mark in ("x", "yy"))
+        if x == y:  # the template leaves the turn's text out: an empty span behind the turn
+            found.append((len(before), len(output), len(output), len(output)))
+            before = output
+            continue
         head = next((i for i, (a, b) in enumerate(zip(x, y, strict=False)) if a != b), min(len(x), len(y)))
         tail = len(x) - head - 1
         found.append((len(before), len(before) + head, len(output) - tail, len(output)))

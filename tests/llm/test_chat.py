@@ -69,3 +69,9 @@ def test_hostile_conversation_and_empty_table(spark):
     assert [(r["n_turns"], r["loss_chars"]) for r in got] == [(2, len(HOSTILE))]
     assert got[0]["loss_sha256"] == hashlib.sha256(HOSTILE.encode()).hexdigest()
     assert ch.format_conversations(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+def test_template_that_leaves_texts_out():
+    names_only = lambda turns: "".join(f"<{r}>" + (t if r == "user" else "") for r, t in turns)
+    output, where, rewritten = ch.spans([("user", "hi"), ("assistant", "long text"), ("user", "c")], names_only)
+    assert rewritten is None and where[1] == (8, 19, 19, 19) and [output[a:b] for _, a, b, _ in where] == ["hi", "", "c"]
