@@ -126,9 +126,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     key, text = fresh("_key", docs.columns), F.coalesce(F.sha2("text", 256), F.lit("none"))
     marked = docs.select(F.struct("doc_id", text.alias("text")).alias("doc_id"), "text")
     bad = stored(contamination(marked, benchmark, window).where("contaminated").select("doc_id").distinct(), "contaminated")
-    found = small(bad.select(F.to_json("doc_id").alias("bad")), bad.count(), 100_000)
+    of = fresh("_bad", [*docs.columns, key])
+    found = small(bad.select(F.to_json("doc_id").alias(of)), bad.count(), 100_000)
     keyed = docs.withColumn(key, F.to_json(F.struct("doc_id", text.alias("text"))))
-    return keyed.join(found, F.col(key) == F.col("bad"), "left_anti").drop(key)
+    return keyed.join(found, F.col(key) == F.col(of), "left_anti").drop(key)
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

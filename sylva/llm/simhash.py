@@ -17,7 +17,9 @@ odd distance cannot be halved; there all lists are joined.)
 
 NULL text counts as empty; a text without words has fingerprint zero and links like any other.
 Repeated rows share a fingerprint. A NULL id stays in its row and its component takes the smallest
-id of the others. Extra columns of the input pass through ``keep_one`` untouched."""
+id of the others. Very long texts are hashed whole, their bits counted in runs; ties (equal ids) go by
+the place in the stored table; an empty table gives an empty one. Extra columns of the input pass through
+``keep_one`` untouched, whatever their names."""
 
 from __future__ import annotations
 
@@ -28,14 +30,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, map_texts, read, stored
+from .common import components, fresh, map_texts, read, stored
 
 SEED = 42
 SHINGLE = 4
 MAX_BITS = 4
 #: Above this many members the changed values of a list are fewer than its pairs.
 LONG_LIST = 1024
-FP, AT, KEPT = "_simhash", "_simhash_at", "_simhash_kept"
 
 
 def simhash(text: str | None, shingle: int = SHINGLE) -> int:
@@ -137,12 +138,13 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` that are first in their component: the row with the component's smallest
     id, or, where ids repeat or are all NULL, one of the rows with it."""
-    rows = stored(map_texts(docs, {FP: "long"}, lambda texts: {FP: np.array([simhash(t, shingle) for t in texts], dtype=np.uint64).view(np.int64)})
-                  .withColumn(AT, F.monotonically_increasing_id()), "hashed-documents")
+    fp, at = (fresh(c, docs.columns) for c in ("_simhash", "_simhash_at"))
+    rows = stored(map_texts(docs, {fp: "long"}, lambda texts: {fp: np.array([simhash(t, shingle) for t in texts], dtype=np.uint64).view(np.int64)})
+                  .withColumn(at, F.monotonically_increasing_id()), "hashed-documents")
     # smallest id first (NULL last), then the place in the stored table
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col(AT).alias("at")))
-    fps = stored(rows.groupBy(F.col(FP).alias("fp")).agg(first.alias("first")), "distinct-fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col(at).alias("at")))
+    fps = stored(rows.groupBy(F.col(fp).alias("fp")).agg(first.alias("first")), "distinct-fingerprints")
     roots = components(links(fps.select("fp"), max_bits))
     grouped = fps.join(roots, fps.fp == roots.node, "left").select("first", F.coalesce("root", "fp").alias("root"))
-    kept = grouped.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.at").alias(KEPT))
-    return rows.join(kept, rows[AT] == kept[KEPT], "left_semi").select(*docs.columns)
+    kept = grouped.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.at").alias("_kept"))
+    return rows.join(kept, rows[at] == kept["_kept"], "left_semi").select(*docs.columns)

@@ -88,3 +88,10 @@ def test_keeps_clean_rows_with_all_columns(spark):
     kept = dc.decontaminate(docs, spark.createDataFrame([(9, item)], "item_id long, text string"))
     assert kept.columns == docs.columns
     assert sorted(tuple(r) for r in kept.select("doc_id", "win").collect()) == [(2, "b"), (2, "b"), (4, "d"), (5, "e")]
+
+
+def test_decontaminate_keeps_columns_of_any_name(spark):
+    text = " ".join(f"w{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, text, "x", 4), (2, "something else", "y", 5)], "doc_id long, text string, bad string, _bad int")
+    tests = spark.createDataFrame([("i1", " ".join(f"w{i}" for i in range(15)))], "item_id string, text string")
+    assert [tuple(r) for r in dc.decontaminate(docs, tests).collect()] == [(2, "something else", "y", 5)]

@@ -100,3 +100,9 @@ def test_keeps_one_of_each_component(spark, documents):
     assert sorted(r["doc_id"] for r in kept.collect()) == [2, 7, 9]
     assert sm.keep_one(documents([])).count() == 0
     assert sm.near_components(documents([])).count() == 0
+
+
+def test_keep_one_keeps_columns_of_any_name(spark):
+    rows = [(1, "a b c d e", 7, 8, 9), (2, "a b c d e", 5, 6, 7), (3, "quite another text here", 1, 2, 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _simhash long, _simhash_at long, fp long")
+    assert sorted(map(tuple, sm.keep_one(df).collect())) == [rows[0], rows[2]]
