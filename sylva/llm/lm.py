@@ -50,7 +50,7 @@ ORDER = 2
 MIN_COUNT = (1, 1, 2)
 DISCOUNT = 0.75
 #: Entries of one shard; a task holds one shard while it writes it.
-SHARD_ENTRIES = 1_000_000
+SHARD_ENTRIES = 2_000_000
 #: Characters of text that a task looks up at once.
 RUN_CHARS = 4_000_000
 #: N-grams that a task gathers before it counts the equal ones and passes them on.
@@ -514,15 +514,17 @@ def train(texts: DataFrame, order: int = ORDER, min_count: tuple[int, ...] = MIN
         if not n:
             about.levels.append([])
             break
-        # the mass that a context's entries leave to its shorter context
-        freed = kept.groupBy("parent").agg(F.sum(F.col("count") - discount).alias("held"))
-        rows = kept.join(freed, "parent").repartitionByRange(_shards(n), "parent").sortWithinPartitions("parent", "token")
+        # all entries of a context come to one task, which adds up the mass that they hold
+        rows = kept.repartitionByRange(_shards(n), "parent").sortWithinPartitions("parent", "token")
 
         def encode(c: dict, level: int = level, below=below) -> tuple:
             trie = opened(below.value)
             parent, token, count = c["parent"], c["token"], c["count"]
             of_context = trie.counts(level - 1, parent).astype(float)
-            weight = np.maximum(1 - c["held"] / of_context, 1e-9)
+            begins = np.flatnonzero(np.concatenate(([True], parent[1:] != parent[:-1])))
+            held = np.repeat(np.add.reduceat(count - discount, begins), np.diff(np.append(begins, len(parent))))
+            # what they leave goes to the shorter context
+            weight = np.maximum(1 - held / of_context, 1e-9)
             shorter = 10.0 ** trie.shorter(level, c["lower"] if level > 2 else token)
             prob = np.log10((count - discount) / of_context + weight * shorter)
             first = int(parent[0])
