@@ -44,6 +44,16 @@ def unique_rows(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
     return per.where(F.when(F.col("__n") > 1, repeated.cast("boolean")).otherwise(F.lit(True))).select(*df.columns)
 
 
+#: Rows up to which a counted table may be broadcast.
+BROADCAST_ROWS = 20_000
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (a dimension) with a broadcast hint if it has at most ``limit`` rows, which one bounded count
+    tells; a larger one is joined as the planner likes."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def fill_or_add(df: DataFrame, col: str, default, dtype: str | None = None) -> DataFrame:
     """B1: replace NULL by ``default`` if the column exists, otherwise add it."""
     lit = F.lit(default)

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sylva.functions.columns import broadcast_if_small
 from sylva.sources.schema import require_columns
 
 log = logging.getLogger(__name__)
@@ -80,6 +81,26 @@ def mark_cohorts(key: DataFrame, winners: DataFrame, by: Sequence[str] = ("year"
     return k.join(w, ["pixelIndex", *by], "left")
 
 
+def stand_histories(events: DataFrame, meta: DataFrame) -> DataFrame:
+    """C5 -> E1 -> one row per stand: (pixelIndex, types), the winning type of each of its years as a map. On
+    events clustered by stand neither the ranking nor the grouping shuffles. The map holds at most one entry a year; a
+    winner without a type has no entry, as its cohorts count as undisturbed, and an event without a year is never read."""
+    winners = resolve_events(type_events(events, broadcast_if_small(meta)))
+    known = winners.where(F.col("year").isNotNull() & F.col("disturbance_type_id").isNotNull())
+    entries = F.collect_list(F.struct("year", "disturbance_type_id"))
+    return known.groupBy("pixelIndex").agg(F.map_from_entries(entries).alias("types"))
+
+
+def mark_by_history(key: DataFrame, events: DataFrame, meta: DataFrame) -> DataFrame:
+    """C6 on clustered tables, for a key with a year: equal to ``mark_cohorts``, joined on the stand alone so that the layout of
+    both sides serves; the year is looked up in the stand's map."""
+    k = key.drop("disturbance_type_id") if "disturbance_type_id" in key.columns else key
+    marked = k.join(stand_histories(events, meta), "pixelIndex", "left")
+    year = F.col("year").cast(events.schema["year"].dataType)
+    kind = F.when(year.isNotNull(), F.element_at("types", year))
+    return marked.select(*k.columns, kind.alias("disturbance_type_id"))
+
+
 def prep_disturbances(key: DataFrame, events: DataFrame | None, meta: DataFrame | None,
                       year: int | None = None, by: Sequence[str] = ()) -> DataFrame:
     """B9 -> C5 -> D10 -> E1 -> C6 for one year (``year``) or a panel (``by=("year",)``)."""

@@ -11,7 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sylva.functions.columns import null_safe_join, typed_null
+from sylva.functions.columns import BROADCAST_ROWS, null_safe_join, typed_null
+from sylva.operators.heavy import attach_group_ids
 from sylva.operators.ids import number_groups
 from sylva.session import materialize
 from sylva.sources.schema import ID_COLUMNS
@@ -22,29 +23,29 @@ GROUP_EXCLUDE = ("cohortID", "pixelIndex", "area")
 
 
 def cohort_groups(cohort_stand: DataFrame, exclude: Sequence[str] = GROUP_EXCLUDE,
-                  warn_ratio: float | None = None) -> tuple[DataFrame, DataFrame]:
+                  warn_ratio: float | None = None, small: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
     """A group is one combination of values in every column except ``exclude`` (NULL is
     a value). Groups are numbered 1..n by their first cohortID.
 
     Returns (key, groups): key = (cohortID, pixelIndex, row_idx) per cohort; groups = one
     row per row_idx with its attributes. The group table comes from a partial (map-side)
     aggregation, so a group holding a third of all cohorts costs one row per map task; ids
-    are assigned in parallel (``number_groups``); the key is a null-safe equi-join back. The
-    input, usually a join of two large tables, is stored once and read for both."""
+    are assigned in parallel (``number_groups``); the key is a null-safe equi-join back, in which
+    the groups (or, if they are many, the heavy ones) are broadcast, so that no task gets a heavy
+    group whole. The input, usually a join of two large tables, is stored once and read for both."""
     cols = [c for c in cohort_stand.columns if c not in exclude]
     if not cols:
         raise ValueError("the cohorts have no attribute columns to group by")
     cohort_stand = materialize(cohort_stand, "cohort-stands")
-    groups = cohort_stand.groupBy(*cols).agg(F.min("cohortID").alias("__first"))
+    groups = cohort_stand.groupBy(*cols).agg(F.min("cohortID").alias("__first"), F.count(F.lit(1)).alias("__n"))
     groups = number_groups(groups, ["__first"]).drop("__first")
+    n_g, n_c = groups.agg(F.count(F.lit(1)), F.coalesce(F.sum("__n"), F.lit(0))).first()
     key_cols = [c for c in ("cohortID", "pixelIndex") if c in cohort_stand.columns]
-    key = null_safe_join(cohort_stand.select(*key_cols, *cols), groups, cols, "inner").select(*key_cols, "row_idx")
+    key = attach_group_ids(cohort_stand.select(*key_cols, *cols), groups, cols, n_c, n_g, small).select(*key_cols, "row_idx")
     groups = groups.select("row_idx", *cols)
-    if warn_ratio is not None:
-        n_g, n_c = groups.count(), cohort_stand.count()
-        if n_c and n_g > warn_ratio * n_c:
-            log.warning("cohort_groups: %d groups for %d cohorts; an extra per-stand column may split groups",
-                        n_g, n_c)
+    if warn_ratio is not None and n_c and n_g > warn_ratio * n_c:
+        log.warning("cohort_groups: %d groups for %d cohorts; an extra per-stand column may split groups",
+                    n_g, n_c)
     return key, groups
 
 

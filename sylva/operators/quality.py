@@ -54,10 +54,3 @@ def orphans(stands: DataFrame, cohorts: DataFrame | None = None, events: DataFra
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
-
-
-def require_unique(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
-    """``df``, after a job that raises if a key comes more than once."""
-    if df.groupBy(*keys).count().where("count > 1").limit(1).count():
-        raise ValueError(f"the table of {name} repeats a key of {', '.join(keys)}")
-    return df

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sylva.functions.columns import result_columns, strict_sum
+from sylva.operators.heavy import split_join
+from sylva.session import materialize
 
 M2_PER_HA = 10000.0
 CO2_FLUX = ("DisturbanceBioCO2Emission", "DecayDOMCO2Emission", "DisturbanceDOMCO2Emission")
@@ -44,23 +46,46 @@ def cohorts_with_area(key: DataFrame, stands: DataFrame) -> DataFrame:
     return key.join(stand_areas(stands), "pixelIndex", "inner")
 
 
-def group_area(key: DataFrame, stands: DataFrame | None, by: Sequence[str] = ("year",)) -> DataFrame:
+def shared_areas(key: DataFrame, stands: DataFrame, by: Sequence[str] = ("year",)) -> DataFrame:
+    """Q5's other reading: the key with the ``area`` of its stand dealt evenly to the stand's cohorts (of the same
+    year), so that the areas of a stand's cohorts add up to the stand. The cohorts are counted per stand by a
+    partial aggregation and the share is worked out once per stand."""
+    by = _by(key, by)
+    n = key.groupBy(*by, "pixelIndex").agg(F.count(F.lit(1)).alias("__n"))
+    share = n.join(stand_areas(stands), "pixelIndex", "inner").select(*by, "pixelIndex", (F.col("area") / F.col("__n")).alias("area"))
+    return key.drop("area").join(share, [*by, "pixelIndex"], "inner")
+
+
+def group_area(key: DataFrame, stands: DataFrame | None, by: Sequence[str] = ("year",), equal_split: bool = False) -> DataFrame:
     """Per group, sum of its cohorts' stand areas (each cohort counts its whole stand,
     Q5). Output (by..., row_idx, area_m2, area_ha); NULL if any area is NULL (Q1). A key
     that already carries the stand ``area`` (the yearly loop attaches it once) needs no
-    join with the stands: the area is one partial aggregation of the key."""
+    join with the stands: the area is one partial aggregation of the key. With ``equal_split`` a
+    stand's area is dealt to its cohorts instead (``shared_areas``)."""
     by = _by(key, by)
+    if equal_split:
+        if stands is None:
+            raise ValueError("an equal split needs the stands")
+        key = shared_areas(key, stands, by)
     src = key if "area" in key.columns else cohorts_with_area(key, stands)
     return (src.groupBy(*by, "row_idx")
             .agg(strict_sum("area").alias("area_m2"))
             .withColumn("area_ha", F.col("area_m2") / F.lit(M2_PER_HA)))
 
 
-def cohort_flux(key: DataFrame, flux: DataFrame, by: Sequence[str] = ("year",)) -> DataFrame:
+def _with_groups(rows: DataFrame, table: DataFrame, keys: Sequence[str], heavy: bool) -> DataFrame:
+    """``rows`` INNER JOIN a group table; ``heavy`` keeps rows of groups that hold a large share where they lie."""
+    if heavy:
+        return split_join(materialize(rows, "spread-rows"), table, keys)
+    return rows.join(table, list(keys), "inner")
+
+
+def cohort_flux(key: DataFrame, flux: DataFrame, by: Sequence[str] = ("year",), heavy: bool = False) -> DataFrame:
     """Group densities spread back to cohorts (key INNER JOIN flux on row_idx). Flux
-    has one row per group, so AQE broadcasts it while it is small."""
+    has one row per group, so AQE broadcasts it while it is small. ``heavy`` is for a large flux
+    table with groups that hold a large share of the cohorts (``heavy.split_join``); P3 and P4 have it too."""
     by = _by(key, by)
-    return key.join(flux, [*by, "row_idx"], "inner")
+    return _with_groups(key, flux, [*by, "row_idx"], heavy)
 
 
 def flux_totals(flux: DataFrame, areas: DataFrame, by: Sequence[str] = ("year",),
@@ -92,18 +117,22 @@ def products_stock(pools: DataFrame, areas: DataFrame, by: Sequence[str] = ("yea
                               .alias("products_stock"))
 
 
-def products_by_year(stock: DataFrame, year_col: str = "year", stock_col: str = "products_stock") -> DataFrame:
+def products_by_year(stock: DataFrame, year_col: str = "year", stock_col: str = "products_stock",
+                     initial_year: int | None = None) -> DataFrame:
     """Yearly products = stock minus all earlier yearly products = stock(t) - stock(t-1);
     the first year is the whole stock (Q11). An earlier NULL makes every later year NULL,
     as the running sum in the reference does. The input has one row per year, so this
-    un-partitioned window is bounded by the number of years."""
+    un-partitioned window is bounded by the number of years. ``initial_year`` (0 for the spinup) names a year whose
+    stock was there before: it is taken off the next year's products, and that year and those before it are not reported."""
     w = Window.orderBy(year_col)
     before = Window.orderBy(year_col).rowsBetween(Window.unboundedPreceding, -1)
     prev = F.lag(stock_col).over(w)
     broken = F.max(F.col(stock_col).isNull().cast("int")).over(before)
     val = F.when(F.coalesce(broken, F.lit(0)) == 1, F.lit(None).cast("double")).otherwise(
         F.col(stock_col) - F.coalesce(prev, F.lit(0.0)))
-    return stock.withColumn("Products", val)
+    out = stock if initial_year is None else stock.where(F.col(year_col) >= F.lit(initial_year))
+    out = out.withColumn("Products", val)
+    return out if initial_year is None else out.where(F.col(year_col) > F.lit(initial_year))
 
 
 def emissions_products(key: DataFrame, stands: DataFrame, flux: DataFrame, pools: DataFrame,
@@ -147,12 +176,12 @@ def npp_by_year(key: DataFrame, flux: DataFrame, by: Sequence[str] = ("year",),
     return n.join(f, [*by, "row_idx"], "inner").groupBy(*by).agg(strict_sum(F.col("__n") * F.col("__npp")).alias("NPP"))
 
 
-def npp_by_stand(key: DataFrame, flux: DataFrame, by: Sequence[str] = ("year",)) -> DataFrame:
+def npp_by_stand(key: DataFrame, flux: DataFrame, by: Sequence[str] = ("year",), heavy: bool = False) -> DataFrame:
     """Per stand and year, the summed NPP densities of its cohorts."""
     by = _by(key, by)
     n = key.groupBy(*by, "pixelIndex", "row_idx").agg(F.count(F.lit(1)).alias("__n"))
     f = flux.select(*by, "row_idx", _npp(flux).alias("__npp"))
-    return (n.join(f, [*by, "row_idx"], "inner").groupBy(*by, "pixelIndex")
+    return (_with_groups(n, f, [*by, "row_idx"], heavy).groupBy(*by, "pixelIndex")
             .agg(strict_sum(F.col("__n") * F.col("__npp")).alias("NPP")))
 
 
@@ -160,7 +189,7 @@ def stock_pools(pools: DataFrame, by: Sequence[str] = ("year",)) -> list[str]:
     return [c for c in pools.columns if c not in (*by, "row_idx", *NON_STOCK_POOLS)]
 
 
-def total_carbon_by_stand(key: DataFrame, pools: DataFrame, by: Sequence[str] = ("year",)) -> DataFrame:
+def total_carbon_by_stand(key: DataFrame, pools: DataFrame, by: Sequence[str] = ("year",), heavy: bool = False) -> DataFrame:
     """Per stand and year the summed carbon densities (all pools except Input, Products
     and atmosphere) of its cohorts. Our definition; the reference draws it elsewhere."""
     by = _by(key, by)
@@ -170,7 +199,7 @@ def total_carbon_by_stand(key: DataFrame, pools: DataFrame, by: Sequence[str] =
         total = F.col(c) if total is None else total + F.col(c)
     n = key.groupBy(*by, "pixelIndex", "row_idx").agg(F.count(F.lit(1)).alias("__n"))
     p = pools.select(*by, "row_idx", total.alias("__c"))
-    return (n.join(p, [*by, "row_idx"], "inner").groupBy(*by, "pixelIndex")
+    return (_with_groups(n, p, [*by, "row_idx"], heavy).groupBy(*by, "pixelIndex")
             .agg(strict_sum(F.col("__n") * F.col("__c")).alias("total_carbon")))
 
 

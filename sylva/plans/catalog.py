@@ -17,9 +17,12 @@ from sylva.operators import growth as gw
 from sylva.operators import quality as qa
 from sylva.operators import reports as rp
 from sylva.operators import transfers as tr
+from sylva.operators.watch import Watch
 from sylva.plans import annual as an
 from sylva.session import materialize, shared_dir
 from sylva.sources import snapshots as sn
+from sylva.sources.clustered import clustered
+from sylva.sources.delimited import SCHEMAS, read_delimited
 from sylva.sources.fixtures import GROUP_KINDS, Fixtures
 from sylva.sources.schema import CarbonTables, shared_classifiers
 from sylva.streaming.events import ingest_events
@@ -601,6 +604,83 @@ def q_slow_mixing_wide(spark, d):
     return tr.slow_mixing_wide(Fixtures(spark, d).pools, source="StemSnags", sink="MediumSoil")
 
 
+# ---- options, layouts and guards -----------------------------------------------------------
+
+def q_group_area_shared(spark, d):
+    """Q5: the area of a stand dealt to its cohorts. Shares are no binary fractions, so they are rounded."""
+    fx = Fixtures(spark, d)
+    out = rp.group_area(fx.key, fx.stand, Y, equal_split=True)
+    return out.select("year", "row_idx", F.round("area_m2", 3).alias("area_m2"), F.round("area_ha", 7).alias("area_ha"))
+
+
+def q_products_by_year_initial(spark, d):
+    """Q11: the stock of the first year was there before."""
+    fx = Fixtures(spark, d)
+    return rp.products_by_year(rp.products_stock(fx.pools, _areas(fx), Y), initial_year=1).select("year", "Products")
+
+
+def q_clustered_cohorts_with_stands(spark, d):
+    """C1 on tables clustered by stand."""
+    fx = Fixtures(spark, d)
+    return at.cohorts_with_stands(clustered(fx.cohort, "cohorts"), clustered(fx.stand, "stands"))
+
+
+def q_clustered_mark_cohorts(spark, d):
+    """C5 -> E1 -> C6 on tables clustered by stand."""
+    fx = Fixtures(spark, d)
+    marked = ev.mark_by_history(clustered(fx.key, "key"), clustered(fx.events, "events"), fx.distmeta)
+    return marked.select("year", "cohortID", "disturbance_type_id")
+
+
+def q_clustered_cohorts_with_area(spark, d):
+    """C11 on tables clustered by stand."""
+    fx = Fixtures(spark, d)
+    return rp.cohorts_with_area(clustered(fx.key, "key"), clustered(fx.stand, "stands"))
+
+
+def q_cohort_groups_hot(spark, d):
+    """D1 where a third of all cohorts is one group; only heavy groups are broadcast."""
+    key, _ = gr.cohort_groups(Fixtures(spark, d).hot_cohort_stands, small=0)
+    return key.select("cohortID", "row_idx")
+
+
+def q_cohort_flux_hot(spark, d):
+    fx = Fixtures(spark, d)
+    return rp.cohort_flux(fx.hot_key.select("year", "cohortID", "row_idx"), fx.hot_flux, Y, heavy=True)
+
+
+def q_npp_by_stand_hot(spark, d):
+    fx = Fixtures(spark, d)
+    return rp.npp_by_stand(fx.hot_key, fx.hot_flux, Y, heavy=True)
+
+
+def q_total_carbon_by_stand_hot(spark, d):
+    fx = Fixtures(spark, d)
+    return rp.total_carbon_by_stand(fx.hot_key, fx.hot_pools, Y, heavy=True)
+
+
+def q_run_warnings(spark, d):
+    """Q18: counts that ride along while the typed events, the increments and the areas of a run are written."""
+    fx = Fixtures(spark, d)
+    watch = Watch()
+    materialize(watch.events(ev.type_events(fx.events, fx.distmeta)), "typed-events")
+    cohorts = at.attach_curves(_c1(fx), fx.gcmeta).select("cohortID", "gcID", "age")
+    materialize(watch.increments(gw.increments_at_age(cohorts, fx.increments), fx.increments), "increments")
+    stands = fx.stand.withColumn("area", F.when(F.col("pixelIndex") % 50 != 0, F.col("area")))
+    materialize(watch.areas(rp.cohorts_with_area(fx.key, stands)), "areas")
+    return spark.createDataFrame(sorted(watch.counts().items()), "check string, n long")
+
+
+def q_read_delimited(spark, d):
+    """The cohort table by way of CSV files in which some fields are empty or no numbers."""
+    fx = Fixtures(spark, d)
+    age = F.when(F.col("cohortID") % 97 == 0, "old").otherwise(F.col("age").cast("string"))
+    species = F.when(F.col("cohortID") % 89 != 0, F.col("species"))
+    path = shared_dir(spark, "cohorts-csv")
+    fx.cohort.select("cohortID", "pixelIndex", species.alias("species"), age.alias("age")).write.csv(path, header=True)
+    return read_delimited(spark, path, SCHEMAS["cohorts"], required=("cohortID", "species"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "spatial_units": q_spatial_units,
     "read_snapshots": q_read_snapshots,
@@ -677,4 +757,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "composed_transfers": q_composed_transfers,
     "overmature_decline_wide": q_overmature_decline_wide,
     "slow_mixing_wide": q_slow_mixing_wide,
+    "group_area_shared": q_group_area_shared,
+    "products_by_year_initial": q_products_by_year_initial,
+    "clustered_cohorts_with_stands": q_clustered_cohorts_with_stands,
+    "clustered_mark_cohorts": q_clustered_mark_cohorts,
+    "clustered_cohorts_with_area": q_clustered_cohorts_with_area,
+    "cohort_groups_hot": q_cohort_groups_hot,
+    "cohort_flux_hot": q_cohort_flux_hot,
+    "npp_by_stand_hot": q_npp_by_stand_hot,
+    "total_carbon_by_stand_hot": q_total_carbon_by_stand_hot,
+    "run_warnings": q_run_warnings,
+    "read_delimited": q_read_delimited,
 }

@@ -317,6 +317,20 @@ def _save_options() -> str:
     return q(" union all ".join(parts))
 
 
+def _warnings() -> str:
+    inc = ("inc", """select c1.cohortID, c1.age, mx.max_age, i.gcID as hit from c1 left join f_gcmeta g on """
+           + nse("c1", "g", ("admin_name", "eco_id", "species")) + """ left join mx on mx.gcID = g.gcID
+      left join f_increments i on i.gcID = g.gcID and i.age = case when c1.age > mx.max_age then mx.max_age else c1.age end""")
+    return q("""select 'events' as "check", count(*) as n from typed
+      union all select 'unknown_events', count(*) from typed where disturbance_type_id is null
+      union all select 'no_events', cast(count(*) = 0 as bigint) from typed
+      union all select 'ages_beyond_curve', count(*) from inc where age > max_age
+      union all select 'rows_without_curve', count(*) from inc where max_age is null
+      union all select 'ages_without_increment', count(*) from inc where max_age is not null and hit is null
+      union all select 'unknown_area', count(*) from f_key k join f_stand s on k.pixelIndex = s.pixelIndex where s.pixelIndex % 50 = 0
+      """, TYPED, C1, MX, inc)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "spatial_units": q("select spatial_unit_id, admin_name, eco_id, mean_annual_temperature, return_interval "
@@ -468,6 +482,27 @@ def oracle_sql() -> dict[str, str]:
         "overmature_decline_wide": _decline_wide(),
         "slow_mixing_wide": q("""select year, row_idx, Input, Merch, Foliage, StemSnags * (cast(1 as double) - cast(0.006 as double)) as StemSnags,
             Products, cast(0 as double) + StemSnags * cast(0.006 as double) as MediumSoil from f_pools"""),
+        "group_area_shared": q("""select year, row_idx, round(sum(part), 3) as area_m2, round(sum(part) / 10000, 7) as area_ha from (
+            select k.year, k.row_idx, s.area / count(*) over (partition by k.year, k.pixelIndex) as part
+            from f_key k join f_stand s on k.pixelIndex = s.pixelIndex) t group by year, row_idx"""),
+        "products_by_year_initial": q("select year, Products from pby where year > 1", AREAS, STOCK, PBY),
+        "clustered_cohorts_with_stands": q("select * from c1", C1),
+        "clustered_mark_cohorts": q("select year, cohortID, disturbance_type_id from marked", TYPED, WIN, MARKED),
+        "clustered_cohorts_with_area": q("""select k.year, k.cohortID, k.pixelIndex, k.row_idx, s.area
+            from f_key k join f_stand s on k.pixelIndex = s.pixelIndex"""),
+        "cohort_groups_hot": q("select cohortID, row_idx from d1k", ("c1", "select * from f_hot_cohort_stands"), D1G, D1K),
+        "cohort_flux_hot": q("""select k.year, k.cohortID, k.row_idx, """ + ", ".join(f"f.{c}" for c in EMI + NPP) + """
+            from f_hot_key k join f_hot_flux f on f.year = k.year and f.row_idx = k.row_idx"""),
+        "npp_by_stand_hot": q(f"""select k.year, k.pixelIndex, {strict(NPP_SUM)} as NPP from f_hot_key k
+            join f_hot_flux f on f.year = k.year and f.row_idx = k.row_idx group by k.year, k.pixelIndex"""),
+        "total_carbon_by_stand_hot": q(f"""select k.year, k.pixelIndex, {strict('p.Merch + p.Foliage + p.StemSnags')}
+            as total_carbon from f_hot_key k join f_hot_pools p on p.year = k.year and p.row_idx = k.row_idx
+            group by k.year, k.pixelIndex"""),
+        "run_warnings": _warnings(),
+        "read_delimited": q("""select cohortID, pixelIndex, case when cohortID % 89 <> 0 then species end as species,
+            case when cohortID % 97 <> 0 then age end as age,
+            nullif(concat_ws('; ', case when cohortID % 97 = 0 then 'age is no int: old' end,
+              case when cohortID % 89 = 0 then 'species is empty' end), '') as rejected from f_cohort"""),
     }
 
 

@@ -206,6 +206,35 @@ class Fixtures:
             F.when(~((y == NULL_YEAR) & (r == 7)), ((r % 5) * y).cast("double") / F.lit(16)).alias("Products"),
         )
 
+    # One group (number 0) that holds the cohorts of every third order, beside the groups of the others.
+    @cached_property
+    def hot_key(self) -> DataFrame:
+        return self.key.withColumn("row_idx", F.when(F.col("cohortID") % 3 == 0, F.lit(0)).otherwise(F.col("row_idx")).cast("long"))
+
+    @staticmethod
+    def _with_hot(table: DataFrame) -> DataFrame:
+        """``table`` with a row per year for group 0: the greatest value of each column."""
+        names = [c for c in table.columns if c not in ("year", "row_idx")]
+        hot = table.groupBy("year").agg(*[F.max(c).alias(c) for c in names]).withColumn("row_idx", F.lit(0).cast("long"))
+        return table.unionByName(hot)
+
+    @cached_property
+    def hot_flux(self) -> DataFrame:
+        return self._with_hot(self.flux)
+
+    @cached_property
+    def hot_pools(self) -> DataFrame:
+        return self._with_hot(self.pools)
+
+    @cached_property
+    def hot_cohort_stands(self) -> DataFrame:
+        """Cohorts with stand attributes, alike for every third order."""
+        hot = F.col("cohortID") % 3 == 0
+        c = self.cohort.join(self.stand, "pixelIndex", "left")
+        alike = {"species": F.lit("mixed"), "admin_name": F.lit(None).cast("string"), "age": F.lit(1), "delayRegen": F.lit(0),
+                 "eco_id": F.lit(0), "historical_disturbance_type": F.lit(None).cast("int")}
+        return c.select(*[F.when(hot, alike[x]).otherwise(F.col(x)).alias(x) if x in alike else x for x in c.columns])
+
     @cached_property
     def state(self) -> DataFrame:
         x = self.key.select("row_idx").distinct()
@@ -357,6 +386,20 @@ select year, row_idx, cast(1 as double) as Input, cast((z*3+year)%16 as double)/
        cast((z+year)%8 as double)/8 as Foliage, cast(z%4 as double)/8 as StemSnags,
        case when not (year=7 and z=7) then cast((z%5)*year as double)/16 end as Products
 from (select distinct year, row_idx, row_idx%30 as z from f_key) x""",
+    "f_hot_key": """
+select year, cohortID, pixelIndex, case when cohortID%3=0 then 0 else row_idx end as row_idx from f_key""",
+    "f_hot_flux": "select * from f_flux union all select year, 0, "
+                  + ", ".join(f"max({c})" for c in Fixtures.EMISSION_FLUX + Fixtures.NPP_FLUX) + " from f_flux group by year",
+    "f_hot_pools": "select * from f_pools union all select year, 0, max(Input), max(Merch), max(Foliage), max(StemSnags), max(Products) "
+                   "from f_pools group by year",
+    "f_hot_cohort_stands": """
+select c.cohortID, c.pixelIndex, case when c.cohortID%3=0 then 'mixed' else c.species end as species,
+       cast(case when c.cohortID%3=0 then 1 else c.age end as int) as age,
+       cast(case when c.cohortID%3=0 then 0 else c.delayRegen end as int) as delayRegen,
+       case when c.cohortID%3<>0 then s.admin_name end as admin_name,
+       cast(case when c.cohortID%3=0 then 0 else s.eco_id end as int) as eco_id,
+       case when c.cohortID%3<>0 then s.historical_disturbance_type end as historical_disturbance_type
+from f_cohort c left join f_stand s on c.pixelIndex = s.pixelIndex""",
     "f_state": """
 select row_idx, cast(z%8 as int)*10 as age, cast(z%3 as int) as delay, cast(z%5 as int) as gcID
 from (select distinct row_idx, row_idx%30 as z from f_key) x""",
@@ -381,6 +424,10 @@ _DEPS = {
     "f_sparse_events": ["f_events"],
     "f_stand_coefficients": ["f_spatial_unit"],
     "f_pools": ["f_key"],
+    "f_hot_key": ["f_key"],
+    "f_hot_flux": ["f_flux"],
+    "f_hot_pools": ["f_pools"],
+    "f_hot_cohort_stands": ["f_cohort", "f_stand"],
     "f_state": ["f_key"],
 }
 

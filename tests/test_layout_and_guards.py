@@ -1,0 +1,245 @@
+"""Clustered storage, joins with a group that holds a third of all rows, warnings counted on the way, CSV tables and the options of areas and
+products."""
+
+import re
+from contextlib import contextmanager
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from sylva.functions.columns import broadcast_if_small
+from sylva.operators import attributes as at
+from sylva.operators import events as ev
+from sylva.operators import groups as gr
+from sylva.operators import growth as gw
+from sylva.operators import heavy
+from sylva.operators import reports as rp
+from sylva.operators.watch import Watch
+from sylva.session import materialize, shared_dir
+from sylva.sources.clustered import clustered
+from sylva.sources.delimited import SCHEMAS, accepted, read_delimited
+from sylva.sources.fixtures import Fixtures
+
+
+@contextmanager
+def conf(spark, **settings):
+    names = {k.replace("__", "."): v for k, v in settings.items()}
+    old = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def rows(df, *order):
+    return [tuple(r) for r in df.orderBy(*order).collect()]
+
+
+# ---- clustered tables
+
+@pytest.fixture(scope="module")
+def fx(spark):
+    return Fixtures(spark, SF_SMALL)
+
+
+def _shuffles(df) -> list[str]:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"Exchange hashpartitioning\(([^)]*)", plan)
+
+
+def test_clustered_joins_do_not_shuffle(spark, fx):
+    """C1, C6 and C11 even where nothing is broadcast by size."""
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        assert _shuffles(at.cohorts_with_stands(fx.cohort, fx.stand))
+        cohorts, stands = clustered(fx.cohort, "cohorts", buckets=5), clustered(fx.stand, "stands", buckets=5)
+        key, events = clustered(fx.key, "key", buckets=5), clustered(fx.events, "events", buckets=5)
+        assert not _shuffles(at.cohorts_with_stands(cohorts, stands))
+        assert not _shuffles(rp.cohorts_with_area(key, stands))
+        marked = ev.mark_by_history(key, events, fx.distmeta)
+        # the distinct event kinds, a dimension, are the only rows that move
+        assert not [s for s in _shuffles(marked) if "pixelIndex" in s]
+        plain = ev.mark_cohorts(fx.key, ev.resolve_events(ev.type_events(fx.events, fx.distmeta)))
+        cols = ["year", "cohortID", "disturbance_type_id"]
+        assert rows(marked.select(cols), *cols) == rows(plain.select(cols), *cols)
+
+
+def test_clustered_keeps_rows_without_key_and_empty_tables(spark):
+    df = spark.createDataFrame([(None, 1), (3, 2), (3, 2)], "pixelIndex long, v int")
+    assert rows(clustered(df, "t", buckets=3), "v", "pixelIndex") == [(None, 1), (3, 2), (3, 2)]
+    assert clustered(df.where("v > 9"), "t", buckets=3).count() == 0
+
+
+def test_history_ignores_events_without_year_and_unknown_winners(spark):
+    key = spark.createDataFrame([(1, 10, 5), (2, 10, 5), (None, 10, 5), (1, 11, 6)], "year int, cohortID long, pixelIndex long")
+    events = spark.createDataFrame([(5, 1, 1), (5, 2, 9), (5, None, 1), (7, 1, 1)], "pixelIndex long, year int, eventID int")
+    meta = spark.createDataFrame([(1, 4, 1)], "eventID int, disturbance_type_id int, priority int")
+    got = ev.mark_by_history(key, events, meta)
+    assert rows(got.select("cohortID", "year", "disturbance_type_id"), "cohortID", "year") == [
+        (10, None, None), (10, 1, 4), (10, 2, None), (11, 1, None)]
+
+
+def test_broadcast_if_small_has_a_bound(spark):
+    df = spark.range(10)
+    hinted = lambda d: "ResolvedHint" in d._jdf.queryExecution().analyzed().toString()
+    assert hinted(broadcast_if_small(df, 10))
+    assert not hinted(broadcast_if_small(df, 9))
+
+
+# ---- heavy groups
+
+def _spread(df) -> tuple[int, float]:
+    """Rows of the largest and of the median task."""
+    n = sorted(r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect())
+    return n[-1], n[len(n) // 2]
+
+
+@pytest.fixture(scope="module")
+def hot(spark):
+    """30 000 cohorts, a third of them in group 0, in eight files; a flux row per group."""
+    key = spark.range(30000, numPartitions=8).select(
+        F.col("id").alias("cohortID"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 4001).cast("long").alias("row_idx"))
+    key = materialize(key, "hot-key")
+    return key, materialize(key.select("row_idx").distinct().withColumn("v", F.col("row_idx") * 2), "hot-flux")
+
+
+def test_no_task_gets_the_hot_group(spark, hot):
+    key, flux = hot
+    off = {"spark__sql__autoBroadcastJoinThreshold": "-1", "spark__sql__adaptive__enabled": "false"}
+    with conf(spark, **off, spark__sql__files__maxPartitionBytes="40000", spark__sql__files__openCostInBytes="1"):
+        plain = key.join(flux, "row_idx")
+        top, median = _spread(plain)
+        assert top > 3 * median
+        split = heavy.split_join(key, flux, ["row_idx"])
+        top, median = _spread(split)
+        assert top <= 3 * median
+        assert rows(split.select("cohortID", "row_idx", "v"), "cohortID") == rows(plain.select("cohortID", "row_idx", "v"), "cohortID")
+
+
+def test_no_task_gets_the_hot_group_of_cohort_groups(spark, hot):
+    key, _ = hot
+    cohorts = key.withColumnRenamed("row_idx", "species").withColumn("age", F.lit(None).cast("int"))
+    off = {"spark__sql__autoBroadcastJoinThreshold": "-1", "spark__sql__adaptive__enabled": "false"}
+    with conf(spark, **off, spark__sql__files__maxPartitionBytes="40000", spark__sql__files__openCostInBytes="1"):
+        few, groups = gr.cohort_groups(cohorts, small=0)
+        top, median = _spread(few)
+        assert top <= 3 * median
+    many, _ = gr.cohort_groups(cohorts)
+    assert rows(few, "cohortID") == rows(many, "cohortID")
+    assert groups.count() == cohorts.select("species").distinct().count()
+
+
+def test_heavy_keys_are_bounded(spark):
+    """At any size fewer than PER_TASK x partitions keys can be heavy."""
+    for total, parts in ((0, 8), (1, 8), (100, 8), (10**9, 1000)):
+        limit = heavy.heavy_limit(total, parts)
+        assert limit * heavy.PER_TASK * parts > total
+
+
+def test_split_join_null_keys_ties_and_empty(spark):
+    big = materialize(spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "c"), (None, "d"), (9, "e")], "k int, t string"), "b")
+    small = spark.createDataFrame([(1, 10), (2, 20), (None, 30)], "k int, v int")
+    for how in ("inner", "left"):
+        assert rows(heavy.split_join(big, small, ["k"], how), "t") == rows(big.join(small, "k", how), "t")
+        assert heavy.split_join(materialize(big.where("k = 5"), "none"), small, ["k"], how).count() == 0
+        assert heavy.split_join(big, small.where("k = 5"), ["k"], how).count() == (0 if how == "inner" else 6)
+    with pytest.raises(ValueError):
+        heavy.split_join(big, small, ["k"], "full")
+
+
+# ---- warnings on the way
+
+def _jobs(spark, group, run) -> int:
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        run()
+        return len(sc.statusTracker().getJobIdsForGroup(group))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_warnings_need_no_job(spark):
+    inc = spark.createDataFrame([(1, 0, 1.0, 1.0, 1.0), (1, 2, 1.0, 1.0, 1.0)],
+                                "gcID int, age int, merch_inc double, foliage_inc double, other_inc double")
+    state = spark.createDataFrame([(1, 1, 0), (2, 1, 1), (3, 1, 7), (4, 2, 1), (5, 1, None)], "row_idx long, gcID int, age int")
+    plain = gw.increments_at_age(state, inc)
+    watch = Watch()
+    watched = watch.increments(plain, inc)
+    with conf(spark, spark__sql__adaptive__enabled="false"):
+        # the curves' ends are one more broadcast at most; reading the counts is no job
+        before = _jobs(spark, "watched", lambda: materialize(watched, "w"))
+        assert _jobs(spark, "counts", watch.counts) == 0
+        assert before <= _jobs(spark, "plain", lambda: materialize(plain, "p")) + 1
+    assert watch.counts() == {"ages_beyond_curve": 1, "rows_without_curve": 1, "ages_without_increment": 2}
+    assert rows(watched, "row_idx") == rows(plain, "row_idx")
+    with pytest.warns(UserWarning, match="older than their growth curve"):
+        assert len(watch.warn()) == 3
+
+
+def test_warnings_of_a_year_without_events(spark):
+    events = spark.createDataFrame([(5, 1, 1)], "pixelIndex long, year int, eventID int")
+    meta = spark.createDataFrame([(1, 4, 1)], "eventID int, disturbance_type_id int, priority int")
+    for year, n in ((1, 1), (2, 0)):
+        watch = Watch()
+        materialize(watch.events(ev.type_events(ev.year_filter(events, year), meta)), "typed")
+        assert watch.counts() == {"events": n, "unknown_events": 0, "no_events": int(n == 0)}
+        assert watch.messages() == ([] if n else ["no event: no cohort is disturbed"])
+
+
+# ---- CSV
+
+def _csv(spark, text: str) -> str:
+    path = shared_dir(spark, "csv")
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    return path
+
+
+def test_csv_tells_rows_that_do_not_fit(spark):
+    path = _csv(spark, 'species_id,species_name\n1,Black spruce\n 2 ,"Unspecified softwood species"\ntwo,White birch\n4\n5,a,b\n6,\n')
+    got = read_delimited(spark, path, SCHEMAS["species"], required=("species_name",))
+    assert got.dtypes == [("species_id", "int"), ("species_name", "string"), ("rejected", "string")]
+    by_name = {(r[0], r[1]): r[2] for r in got.collect()}
+    assert by_name[(1, "Black spruce")] is None and by_name[(2, "Unspecified softwood species")] is None
+    assert by_name[(None, "White birch")] == "species_id is no int: two"
+    assert by_name[(4, None)].startswith("the number of fields")
+    assert by_name[(5, "a")] == "the number of fields"
+    assert by_name[(6, None)] == "species_name is empty"
+    # whichever columns are read, the same rows are kept
+    assert accepted(got).count() == 2 and accepted(got).select("species_id").distinct().count() == 2
+    with pytest.raises(Exception, match="a row does not fit"):
+        accepted(got, strict=True).collect()
+
+
+def test_csv_names_and_empty_table(spark):
+    assert read_delimited(spark, _csv(spark, "species_id,species_name"), SCHEMAS["species"]).count() == 0
+    with pytest.raises(ValueError, match="no column"):
+        read_delimited(spark, "x", SCHEMAS["species"], required=("nope",))
+    with pytest.raises(ValueError, match="names of the reader"):
+        read_delimited(spark, "x", "rejected int")
+    wrong = _csv(spark, "species_name,species_id\nBlack spruce,1")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_delimited(spark, wrong, SCHEMAS["species"]).collect()
+
+
+# ---- options
+
+def test_shared_areas_add_up_to_the_stand(spark):
+    key = spark.createDataFrame([(1, 1, 7, 1), (1, 2, 7, 2), (1, 3, 7, 2), (1, 4, 8, 2), (2, 1, 7, 1)],
+                                "year int, cohortID long, pixelIndex long, row_idx long")
+    stands = spark.createDataFrame([(7, 900.0), (8, None)], "pixelIndex long, area double")
+    got = rp.group_area(key, stands, equal_split=True).select("year", "row_idx", "area_m2")
+    assert rows(got, "year", "row_idx") == [(1, 1, 300.0), (1, 2, None), (2, 1, 900.0)]
+    with pytest.raises(ValueError):
+        rp.group_area(key, None, equal_split=True)
+
+
+def test_stock_before_the_first_year(spark):
+    stock = spark.createDataFrame([(0, 5.0), (1, 7.0), (2, 6.0)], "year int, products_stock double")
+    assert rows(rp.products_by_year(stock, initial_year=0).select("year", "Products"), "year") == [(1, 2.0), (2, -1.0)]
+    assert rows(rp.products_by_year(stock).select("year", "Products"), "year") == [(0, 5.0), (1, 2.0), (2, -1.0)]
+    unknown = stock.withColumn("products_stock", F.when(F.col("year") > 0, F.col("products_stock")))
+    assert rows(rp.products_by_year(unknown, initial_year=0).select("year", "Products"), "year") == [(1, None), (2, None)]
