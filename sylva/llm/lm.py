@@ -351,7 +351,8 @@ class Trie:
             width = np.int64(token[ask].max()) + 1
             gram, again = np.unique((parent[ask] - shard.first) * width + token[ask], return_inverse=True)
             local, last = gram // width, gram % width
-            of, spread = np.unique(local, return_inverse=True)
+            new = starts(local)
+            of, spread = local[new], np.cumsum(new) - 1
             begin, end, base = (x[spread] for x in shard.ranges(of + shard.first))
             got, same = shard.children.find(base + last.astype(np.uint64))
             found = np.where(same & (got >= begin) & (got < end), got, -1)[again]
@@ -414,6 +415,11 @@ def before(which: np.ndarray, opens: np.ndarray) -> np.ndarray:
     return out
 
 
+def starts(ordered: np.ndarray) -> np.ndarray:
+    """Where a run of equal values begins."""
+    return np.concatenate((np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1]))
+
+
 class _Words(dict):
     """Numbers words in the order in which they come."""
 
@@ -552,9 +558,17 @@ def _new_grams(trie: Trie, texts: list[str | None], level: int, least: int) -> t
 def _counted(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
     """The distinct n-grams of several runs with their counts."""
     parent, token, *lower = (np.concatenate(x) for x in zip(*held, strict=True))
+    width = int(token.max()) + 1
+    if not lower and (int(parent.max()) + 1) * width < 1 << 63:
+        # parent and token are one number, which says all: sorted by itself, without the places it came from
+        gram = np.sort(parent * width + token)
+        first = np.flatnonzero(starts(gram))
+        parent, token = np.divmod(gram[first], width)
+        n = np.diff(np.append(first, len(gram)))
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (parent, token, n.astype(np.int64))], names=["parent", "token", "count"])
     # one number for parent and token, among those of these runs
     p = np.unique(parent, return_inverse=True)[1]
-    _, first, n = np.unique(p * (int(token.max()) + 1) + token, return_index=True, return_counts=True)
+    _, first, n = np.unique(p * width + token, return_index=True, return_counts=True)
     return pa.RecordBatch.from_arrays([pa.array(x) for x in (parent[first], token[first], *[x[first] for x in lower], n.astype(np.int64))],
                                       names=["parent", "token", *["lower"] * len(lower), "count"])
 

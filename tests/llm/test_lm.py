@@ -124,3 +124,16 @@ def test_held_out_texts_are_likelier_than_by_single_tokens(spark):
     got = [r for r in lm.op8_lm_scoring(spark, "/root/testdata/sf0.01").collect() if r["held_out"]]
     assert sum(r["score"] for r in got) > 0.97 * sum(r["base_score"] for r in got)
     assert all(r["score"] <= 0 for r in got)
+
+
+def test_ngrams_of_several_runs_are_counted_alike_with_numbers_of_any_size():
+    rng = np.random.default_rng(5)
+    held = [(rng.integers(0, 40, 500), rng.integers(0, 30, 500)) for _ in range(3)]
+    plain = Counter(pair for parent, token in held for pair in zip(parent.tolist(), token.tolist(), strict=True))
+    # far apart: parent and token do not fit one number
+    for scale, shift in ((1, 0), (10**9, 10**10)):
+        got = lm._counted([(parent * scale, token + shift) for parent, token in held])
+        found = {(a // scale, b - shift): n for a, b, n in zip(*(c.to_pylist() for c in got.columns), strict=True)}
+        assert found == plain
+    assert lm.starts(np.array([], dtype=np.int64)).tolist() == []
+    assert lm.starts(np.array([2, 2, 3])).tolist() == [True, False, True]
