@@ -105,12 +105,12 @@ class BlockMaxIndex:
         self.rows[self.row[term[dense]], owner[dense]] = weight[dense]
         owner, term, weight = owner[~dense], term[~dense], weight[~dense]
         order = np.lexsort((owner, term))
-        self.owner, self.weight, term = owner[order].astype(np.int32), weight[order], term[order]
+        self.owner, self.weight, term = owner[order].astype(np.intp), weight[order], term[order]
         # an entry per term and block: where its postings begin, and their largest weight
         key = term * max(self.blocks, 1) + self.owner // block
         self.begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
         self.top = np.maximum.reduceat(self.weight, self.begin) if len(key) else np.zeros(0)
-        self.of_block = (self.owner[self.begin] // block).astype(np.int32)
+        self.of_block = self.owner[self.begin] // block
         self.entries = np.searchsorted(term[self.begin], np.arange(n_terms + 1))
         self.postings = np.searchsorted(term, np.arange(n_terms + 1))
         self.begin = np.append(self.begin, len(key))
