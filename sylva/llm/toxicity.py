@@ -272,6 +272,11 @@ def beginning(word: Column, letters: int) -> Column:
     return F.when(F.length(word) >= letters, F.concat(F.substring(word, 1, letters), F.lit("*")))
 
 
+def terms_of(word: Column) -> Column:
+    """An array of the word and its beginnings; a beginning is NULL for a shorter word."""
+    return F.array(word, *[beginning(word, k) for k in BEGINNINGS])
+
+
 def places_of(w: Column, words: int = CONTEXT) -> Column:
     """An array with a struct per word of ``w``: the word (w) and the hashes of the words to its left
     and right (l1, r1, ...); the text goes on at its other end."""
@@ -307,12 +312,15 @@ def learn(labelled: DataFrame, max_terms: int = MAX_TERMS, max_examples: int = M
     likely = per.withColumn("low", lower_bound(F.col("bad"), F.col("df"))).where(F.col("low") >= least) \
         .orderBy(F.desc("low"), "term").limit(4 * max_terms)
     likely = stored(likely.select("term", "df"), "toxic-terms")
-    # where the likely terms stand: the words on either side of each of them
+    # where the likely terms stand: the words on either side of each of them. The words that hold a term
+    # are found among the distinct ones, so that each place is looked up once
+    holders = per.where("NOT endswith(term, '*')").select(F.col("term").alias("w"), F.explode(terms_of(F.col("term"))).alias("term"))
+    holders = stored(holders.join(F.broadcast(likely.select("term")), "term"), "toxic-holders")  # 4 * max_terms rows at most
     spots = once.select("toxic", "h", F.explode(places_of(F.col("w"))).alias("s")).select("toxic", "h", "s.*")
-    spots = spots.select("*", F.explode(F.array("w", *[beginning(F.col("w"), k) for k in BEGINNINGS])).alias("term"))
-    sides = F.explode(F.array(*[F.struct(F.lit(x).alias("side"), F.xxhash64(*[f"{x}{j}" for j in range(1, CONTEXT + 1)]).alias("words")) for x in "lr"]))
-    # 4 * max_terms rows at most
-    places = spots.join(F.broadcast(likely.select("term")), "term").select("term", "toxic", sides.alias("c")).groupBy("term", "c") \
+    sides = [F.xxhash64(*[f"{x}{j}" for j in range(1, CONTEXT + 1)]).alias(x) for x in "lr"]
+    spots = stored(spots.join(small(holders, holders.count()), "w").select("term", "toxic", "h", *sides), "toxic-places")
+    each = F.explode(F.array(*[F.struct(F.lit(x).alias("side"), F.col(x).alias("words")) for x in "lr"]))
+    places = spots.select("term", "toxic", each.alias("c")).groupBy("term", "c") \
         .agg(F.max("toxic").alias("bad"), (1 - F.min("toxic")).alias("good")).groupBy("term", "c.side") \
         .agg(F.sum("bad").alias("bad"), F.sum(F.col("bad") + F.col("good")).alias("places"))
     places = places.groupBy("term").agg(F.min(lower_bound(F.col("bad"), F.col("places"))).alias("low"))
@@ -324,8 +332,7 @@ def learn(labelled: DataFrame, max_terms: int = MAX_TERMS, max_examples: int = M
     with_terms, toxic_with = 0, 0
     if terms:
         listed = F.broadcast(labelled.sparkSession.createDataFrame([(t,) for t in terms], "term string"))  # max_terms rows at most
-        all_terms = once.select("h", "toxic", F.explode(F.array_distinct(F.concat("w", begun))).alias("term"))
-        with_terms, toxic_with = all_terms.join(listed, "term", "left_semi").select("h", "toxic").distinct() \
+        with_terms, toxic_with = spots.join(listed, "term", "left_semi").select("h", "toxic").distinct() \
             .agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     # up to half of the examples of either label, the rest of the other one
     n_clean = n - n_toxic
