@@ -10,10 +10,15 @@ does not, the template rewrites history, and the turn at which that shows is rep
 and escapes these inside roles and texts, so that what a text says can never pass for a mark and
 everything can be read back from the output. The loss mask covers the texts of assistant turns.
 
-The turns of a conversation are sorted by turn, role and text; one sort brings a conversation to one
-task, which streams it: no more than ``EPISODE`` turns are held. A longer conversation is rendered
-in episodes of that many turns, and their outputs are joined, which also bounds the number of prefixes.
-(The digests of the contract run over a whole conversation and are fed turn by turn.)
+``format_turns`` renders any template: the whole conversation, whatever its length, with a row per turn
+that holds its spans. A conversation is one group there, as only the template knows what it does with
+all its turns, and each turn is a prefix to render.
+
+``format_conversations`` is for templates that only append, like ``mark_turns``. The turns of a
+conversation are sorted by turn, role and text; one sort brings a conversation to one task, which streams
+it: no more than ``EPISODE`` turns are held. A longer conversation is rendered in episodes of that many
+turns, and their outputs are joined, which is exact for such a template and bounds the prefixes. (The
+digests of the contract run over a whole conversation and are fed turn by turn.)
 
 A NULL text or role is empty, a NULL turn sorts first, rows without conv_id form one conversation,
 and repeated rows are turns of their own. Extra columns are ignored."""

@@ -5,8 +5,8 @@ Examples are a bounded sample of these rows, up to half of it of either label, i
 hash of the text; each stands for the rows of its label per example. Their whole texts go into a
 block-max inverted index: postings by term, and per term and block of examples the largest weight
 (terms that many examples hold are kept as rows over all examples, which is exact). Every text asks
-it: the block maxima bound what any example of a block can reach, the best block is opened first,
-then all blocks that can still beat the k-th example found: the k nearest are exact.
+it: the block maxima bound what any example of a block can reach, the blocks of at least half the best
+bound are opened first, then all that can still beat the k-th example found: the k nearest are exact.
 
 Words, and the first letters of words for their unseen forms, that speak for toxicity are chosen
 from counts over all labelled rows and are extra terms, which make up half of the squared length of
@@ -31,6 +31,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -141,8 +142,7 @@ class BlockMaxIndex:
         bound = bound + np.bincount(of_block, weights=q * self.top[entry], minlength=self.blocks)
         opened = np.zeros(self.blocks, dtype=bool)
         found_at, found = none
-        opening = np.zeros(self.blocks, dtype=bool)
-        opening[bound.argmax()] = True
+        opening = bound >= bound.max() / 2
         while (opening & (bound > 0)).any():
             if 2 * (opened | opening).sum() > self.blocks and self.blocks > 1:
                 # most blocks are needed: all postings, term by term, are cheaper than block by block
@@ -216,7 +216,7 @@ class ToxicityModel:
         flat = spaced(text)
         words = Counter(flat.split())
         number = self.vocabulary.get
-        ids = np.array([number(w, -1) for w in words], dtype=np.int64)
+        ids = np.fromiter(map(number, words, repeat(-1)), dtype=np.int64, count=len(words))
         tf = 1 + np.log(np.fromiter(words.values(), dtype=np.float64, count=len(words)))
         known = ids >= 0
         other = (tf[~known] ** 2).sum() * self.other ** 2
