@@ -75,3 +75,21 @@ def test_template_that_leaves_texts_out():
     names_only = lambda turns: "".join(f"<{r}>" + (t if r == "user" else "") for r, t in turns)
     output, where, rewritten = ch.spans([("user", "hi"), ("assistant", "long text"), ("user", "c")], names_only)
     assert rewritten is None and where[1] == (8, 19, 19, 19) and [output[a:b] for _, a, b, _ in where] == ["hi", "", "c"]
+
+
+def test_formats_by_other_templates(spark):
+    rows = [(1, k, ["user", "assistant"][k % 2], f"t{k}") for k in range(ch.EPISODE + 40)]
+    rows += [(2, 0, "user", "a"), (2, 1, "assistant", "long"), (2, 2, "user", "c"), (3, 0, "user", "alone"), (4, 0, None, None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    begun = lambda turns: "<begin>" + "".join(f"{r}: {t}\n" for r, t in turns)
+    got = {r["conv_id"]: r for r in ch.format_conversations(df, ch.Format(begun, None, str, None)).collect()}
+    for conv in (1, 2, 3, 4):  # one begin mark however many turns
+        said = [(r or "", t or "") for c, _, r, t in rows if c == conv]
+        learned = "".join(t for r, t in said if r == "assistant")
+        assert got[conv]["turns_sha256"] == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in said).encode()).hexdigest()
+        assert (got[conv]["loss_chars"], got[conv]["loss_sha256"]) == (len(learned), hashlib.sha256(learned.encode()).hexdigest())
+        assert (got[conv]["formatted_chars"], got[conv]["rewritten_at"]) == (len(begun(said)), None)
+    last_only = lambda turns: "".join(f"<{r}>{t if i == len(turns) - 1 else t[:1]}" for i, (r, t) in enumerate(turns))
+    got = {r["conv_id"]: r for r in ch.format_conversations(df, ch.Format(last_only, None, str, None)).collect()}
+    assert (got[2]["rewritten_at"], got[2]["turns_sha256"], got[2]["loss_chars"], got[2]["n_turns"]) == (2, None, None, 3)
+    assert got[2]["formatted_chars"] == len("<user>a<assistant>l<user>c") and got[3]["rewritten_at"] is None
