@@ -86,6 +86,13 @@ def split_columns(state: DataFrame, pools: DataFrame, classifiers: Sequence[str]
     return out
 
 
+def group_counts(key: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., row_idx, disturbance_type_id, first_cohort, n) of a marked key: all that the split and
+    the live groups need to know of its cohorts. One partial aggregation; store it if both are asked for."""
+    return key.groupBy(*by, "row_idx", "disturbance_type_id").agg(
+        F.min("cohortID").alias("first_cohort"), F.count(F.lit(1)).alias("n"))
+
+
 @dataclass(frozen=True)
 class Split:
     pairs: DataFrame       # (by..., row_idx_prev, disturbance_type_id) -> row_idx
@@ -93,7 +100,7 @@ class Split:
 
 
 def split_disturbed(key: DataFrame, state: DataFrame, pools: DataFrame, classifiers: Sequence[str] = (),
-                    by: Sequence[str] = (), start: int | None = None) -> Split:
+                    by: Sequence[str] = (), start: int | None = None, counts: DataFrame | None = None) -> Split:
     """D2 + D3: new groups for disturbed cohorts.
 
     Cohorts fall into one new group when they share the type and every grouping column
@@ -102,11 +109,10 @@ def split_disturbed(key: DataFrame, state: DataFrame, pools: DataFrame, classifi
     the disturbed key rows -- instead of on cohorts: one huge fire is one pair per group.
     New ids follow the first cohortID of each new group, after ``start`` (default: the
     greatest live row_idx). The representative (D3) is the previous group of the first
-    cohort."""
+    cohort. ``counts`` are the ``group_counts`` of the key, if they are stored."""
     by = list(by)
-    pairs = (key.where(F.col("disturbance_type_id").isNotNull())
-             .groupBy(*by, F.col("row_idx").alias("row_idx_prev"), "disturbance_type_id")
-             .agg(F.min("cohortID").alias("__first")))
+    pairs = (group_counts(key, by) if counts is None else counts).where(F.col("disturbance_type_id").isNotNull()).select(
+        *by, F.col("row_idx").alias("row_idx_prev"), "disturbance_type_id", F.col("first_cohort").alias("__first"))
     cols = split_columns(state, pools, classifiers)
     s = _prev(state, by).select("row_idx_prev", *[c for c in by if c in state.columns],
                                 *[c for c in cols if c in state.columns])
@@ -153,12 +159,12 @@ def apply_split_to_key(key: DataFrame, split: Split, by: Sequence[str] = ()) ->
     return k.where(F.col("disturbance_type_id").isNull()).unionByName(hit)
 
 
-def live_groups(marked: DataFrame, split: Split, by: Sequence[str] = ()) -> DataFrame:
+def live_groups(marked: DataFrame, split: Split, by: Sequence[str] = (), counts: DataFrame | None = None) -> DataFrame:
     """(by..., row_idx) of the groups that hold a cohort after the split: those with an undisturbed
     cohort or one whose pair got no new group, and the new groups. One partial aggregation of
-    the marked key; the updated key is not needed."""
+    the marked key (or its stored ``counts``); the updated key is not needed."""
     by = list(by)
-    per = marked.groupBy(*by, "row_idx", "disturbance_type_id").agg(F.count(F.lit(1)).alias("__n"))
+    per = group_counts(marked, by) if counts is None else counts
     pairs = split.pairs.select(*by, F.col("row_idx_prev").alias("row_idx"), "disturbance_type_id")
     kept = per.join(pairs, [*by, "row_idx", "disturbance_type_id"], "left_anti").select(*by, "row_idx")
     return kept.union(split.new_groups.select(*by, "row_idx")).distinct()

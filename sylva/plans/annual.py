@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,32 +60,81 @@ def spinup_inputs(inputs: Inputs, opts: Options = Options()):
     return key, groups, gw.expand_increments(groups, inputs.increments)
 
 
-def prepare_groups(t: CarbonTables, inputs: Inputs, cls: Sequence[str], by: Sequence[str] = ()) -> CarbonTables:
+class PreparedGroups:
+    """The tables of ``prepare_groups``. Each is made when it is first asked for, so that a job that wants one
+    of them does not pay for the others; all hold the same row_idx."""
+
+    def __init__(self, t: CarbonTables, inputs: Inputs, cls: Sequence[str], by: Sequence[str] = ()):
+        self._given, self._inputs, self._classifiers, self._by = t, inputs, cls, list(by)
+
+    @cached_property
+    def marked(self) -> DataFrame:
+        """The marked key, stored: the new key reads it twice."""
+        return materialize(self._given.key, "marked-key")
+
+    @cached_property
+    def counts(self) -> DataFrame:
+        """One row per group and event type, all that the group tables need of the marked key."""
+        marked = self.marked if "marked" in self.__dict__ else self._given.key
+        return materialize(gr.group_counts(marked, self._by), "group-counts")
+
+    @cached_property
+    def split(self) -> gr.Split:
+        t = self._given
+        return gr.split_disturbed(t.key, t.state, t.pools, self._classifiers, self._by, counts=self.counts)
+
+    @cached_property
+    def live(self) -> DataFrame:
+        return materialize(gr.live_groups(self._given.key, self.split, self._by, self.counts), "live-groups")
+
+    def _still_live(self, table: DataFrame) -> DataFrame:
+        """The rows of groups that go on (C9). A table without the panel's columns holds for every year in
+        which its group lives."""
+        if set(self._by) <= set(table.columns):
+            return gr.drop_inactive(table, self.live, self._by)
+        return self.live.join(table, [c for c in self.live.columns if c in table.columns], "inner")
+
+    def _clones(self, table: DataFrame) -> DataFrame:
+        return gr.clone_group_rows(self.split.new_groups, table, self._by)
+
+    @cached_property
+    def key(self) -> DataFrame:
+        marked = self.marked
+        return materialize(gr.apply_split_to_key(marked, self.split, self._by), "new-key")
+
+    @cached_property
+    def state(self) -> DataFrame:
+        old = self._given.state
+        return materialize(gr.union_fill(self._still_live(old), gr.reset_disturbed_state(self._clones(old))), "new-state")
+
+    @cached_property
+    def pools(self) -> DataFrame:
+        old = self._given.pools
+        return gr.union_fill(self._still_live(old), gr.reset_disturbed_pools(self._clones(old)))
+
+    @cached_property
+    def flux(self) -> DataFrame | None:
+        old = self._given.flux
+        return None if old is None else gr.union_fill(self._still_live(old), self._clones(old))
+
+    @cached_property
+    def parameters(self) -> DataFrame:
+        ids = [*self._by, "row_idx"]
+        old = self._given.parameters
+        old = self._still_live(old.select(*[c for c in ids if c in old.columns]))
+        params = gr.parameters_from_state(old, self.state, self.split.new_groups, self._by)
+        incs = gw.annual_increments(self.state, self._inputs.gcmeta, self._inputs.increments, self._classifiers, units=self._inputs.units)
+        return params.join(incs.select(*ids, *gw.INCREMENT_COLUMNS), ids, "left")
+
+    def tables(self) -> CarbonTables:
+        """All of them; the key first, so that the marked key is stored before it is counted."""
+        return CarbonTables(key=self.key, parameters=self.parameters, state=self.state, pools=self.pools, flux=self.flux)
+
+
+def prepare_groups(t: CarbonTables, inputs: Inputs, cls: Sequence[str], by: Sequence[str] = ()) -> PreparedGroups:
     """The cohort groups of a year (or, with ``by``, of a panel of years) after its disturbances:
     C7 -> D2 -> D3 -> C8 + B5 -> F2 -> B6 -> C9 -> C10. ``t.key`` is the marked key (C6).
 
-    The marked key is stored once. The new key is stored before it is returned, and every group
-    table keeps exactly the groups of ``live_groups``, so all tables hold the same row_idx."""
-    by = list(by)
-    marked = materialize(t.key, "marked-key")
-    state = t.state
-    split = gr.split_disturbed(marked, state, t.pools, cls, by)
-    key = materialize(gr.apply_split_to_key(marked, split, by), "new-key")
-    live = materialize(gr.live_groups(marked, split, by), "live-groups")
-    if by and not set(by) <= set(state.columns):
-        # a state without the panel's columns holds for every year in which its group lives
-        years = marked.select(*by, "row_idx").distinct()
-        state = years.join(state, "row_idx", "inner")
-    state = gr.union_fill(state, gr.reset_disturbed_state(gr.clone_group_rows(split.new_groups, state, by)))
-    pools = gr.union_fill(t.pools, gr.reset_disturbed_pools(gr.clone_group_rows(split.new_groups, t.pools, by)))
-    flux = None
-    if t.flux is not None:
-        flux = gr.drop_inactive(gr.union_fill(t.flux, gr.clone_group_rows(split.new_groups, t.flux, by)), live, by)
-    old = t.parameters.select(*[c for c in by if c in t.parameters.columns], "row_idx")
-    if by and not set(by) <= set(old.columns):
-        old = marked.select(*by, "row_idx").distinct().join(old, "row_idx", "left_semi")
-    state = materialize(gr.drop_inactive(state, live, by), "new-state")
-    params = gr.drop_inactive(gr.parameters_from_state(old, state, split.new_groups, by), live, by)
-    incs = gw.annual_increments(state, inputs.gcmeta, inputs.increments, cls, units=inputs.units).select(*by, "row_idx", *gw.INCREMENT_COLUMNS)
-    params = params.join(incs, [*by, "row_idx"], "left")
-    return CarbonTables(key=key, parameters=params, state=state, pools=gr.drop_inactive(pools, live, by), flux=flux)
+    The group tables need only the ``group_counts`` of the key. Rows of groups that end are dropped before
+    the new groups' rows are added."""
+    return PreparedGroups(t, inputs, cls, by)

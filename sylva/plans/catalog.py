@@ -191,7 +191,7 @@ def q_emissions_products_extra(spark, d):
     return rp.emissions_products(fx.key, fx.stand, fx.flux, fx.pools, extra_columns=extra)
 
 
-def _prepared(fx: Fixtures) -> CarbonTables:
+def _prepared(fx: Fixtures) -> an.PreparedGroups:
     state = fx.state.join(_group_sites(fx), "row_idx", "left").drop("gcID")
     inputs = an.Inputs(stands=fx.stand, cohorts=fx.cohort, gcmeta=fx.gcmeta, increments=fx.increments)
     t = CarbonTables(key=_marked(fx), parameters=fx.state.select("row_idx"), state=state, pools=fx.pools, flux=fx.flux)
@@ -363,8 +363,9 @@ def q_union_fill(spark, d):
 
 def q_drop_inactive(spark, d):
     fx = Fixtures(spark, d)
-    marked, split = _split(fx)
-    return gr.drop_inactive(_union_pools(fx, split), gr.live_groups(marked, split, Y), Y)
+    counts = materialize(gr.group_counts(_marked(fx), Y), "group-counts")
+    split = gr.split_disturbed(fx.key, fx.state, fx.pools, classifiers=_classifiers(fx), by=Y, counts=counts)
+    return gr.drop_inactive(_union_pools(fx, split), gr.live_groups(fx.key, split, Y, counts), Y)
 
 
 def q_last_increment(spark, d):
