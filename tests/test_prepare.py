@@ -107,3 +107,35 @@ def test_years_are_read_alone_and_written_in_few_files(spark, tmp_path):
     assert {r["year"] for r in got.select("year").distinct().collect()} == {0, 3}
     assert got.where("year = 0 AND Products IS NULL").count() == 3
     assert "year=1" not in str(got.inputFiles())
+
+
+def test_group_tables_do_not_store_the_key(spark):
+    from sylva.operators import groups as gr
+    inputs = _inputs(spark)
+    key = spark.createDataFrame([(1, 1, 1, 7), (2, 2, 1, 7), (3, 3, 1, None), (4, 4, 2, None)],
+                                "cohortID long, pixelIndex long, row_idx long, disturbance_type_id int")
+    counts = {(r["row_idx"], r["disturbance_type_id"]): (r["first_cohort"], r["n"]) for r in gr.group_counts(key).collect()}
+    assert counts == {(1, 7): (1, 2), (1, None): (3, 1), (2, None): (4, 1)}
+    state = spark.createDataFrame([(i, "Saskatchewan", 9, 1, 10, 0) for i in (1, 2)],
+                                  "row_idx long, admin_name string, eco_id int, gcID int, age int, delay int")
+    pools = spark.createDataFrame([(1, 5.0), (2, 6.0)], "row_idx long, Input double")
+    t = an.prepare_groups(CarbonTables(key=key, parameters=state.select("row_idx"), state=state, pools=pools), inputs, ["gcID"])
+    assert sorted(r["row_idx"] for r in t.pools.collect()) == [1, 2, 3]
+    assert "key" not in t.__dict__ and "marked" not in t.__dict__ and t.flux is None
+    whole = t.tables()
+    assert {r["cohortID"]: r["row_idx"] for r in whole.key.collect()} == {1: 3, 2: 3, 3: 1, 4: 2}
+    assert whole.parameters.count() == whole.state.count() == 3
+
+
+def test_tables_without_years_hold_for_every_year_of_a_panel(spark):
+    inputs = _inputs(spark)
+    key = spark.createDataFrame([(1, 1, 1, 7, 1), (2, 2, 2, None, 1), (1, 1, 1, None, 2)],
+                                "cohortID long, pixelIndex long, row_idx long, disturbance_type_id int, year int")
+    state = spark.createDataFrame([(i, "Saskatchewan", 9, 1, 10, 0) for i in (1, 2)],
+                                  "row_idx long, admin_name string, eco_id int, gcID int, age int, delay int")
+    pools = spark.createDataFrame([(1, 5.0), (2, 6.0)], "row_idx long, Input double")
+    t = an.prepare_groups(CarbonTables(key=key, parameters=state.select("row_idx"), state=state, pools=pools), inputs, ["gcID"], ("year",))
+    want = {(1, 2), (1, 3), (2, 1)}
+    for table in (t.key, t.state, t.pools, t.parameters):
+        assert {(r["year"], r["row_idx"]) for r in table.collect()} == want
+    assert {(r["year"], r["row_idx"]): r["Input"] for r in t.pools.collect()} == {(1, 2): 6.0, (1, 3): 1.0, (2, 1): 5.0}
