@@ -204,11 +204,12 @@ def total_carbon_by_stand(key: DataFrame, pools: DataFrame, by: Sequence[str] =
 
 
 def pools_long(pools: DataFrame, names: Sequence[str] | None = None, by: Sequence[str] = ("year",)) -> DataFrame:
-    """Wide pools -> (by..., row_idx, pool, value) with one ``unpivot`` (no per-pool job)."""
+    """Wide pools -> (by..., row_idx, pool, value) within the row (no per-pool job). An ``unpivot`` would give the same rows,
+    but behind it Spark no longer knows how they are dealt, and every sum by group would shuffle them again."""
     by = _by(pools, by)
     names = list(names) if names is not None else [c for c in pools.columns if c not in (*by, "row_idx")]
-    return pools.select(*by, "row_idx", *[F.col(c).cast("double").alias(c) for c in names]).unpivot(
-        [*by, "row_idx"], names, "pool", "value")
+    each = [F.struct(F.lit(c).alias("pool"), F.col(c).cast("double").alias("value")) for c in names]
+    return pools.select(*by, "row_idx", F.inline(F.array(*each)))
 
 
 def pool_proportions(pools: DataFrame, areas: DataFrame, pool_class: DataFrame,

@@ -5,8 +5,9 @@ Pools are handled long: (by..., row_idx, pool, value). A transfer is an equi-joi
 long pools with a matrix (selector, source, sink, proportion) and a grouped sum by sink --
 a job over all groups at once, no per-group code. The ``_wide`` operators do the same within the row:
 all pools of a group stand in one row, so a transfer needs one join with the matrix and no shuffle
-behind it, and matrices can be multiplied first (``compose``). The planner picks the join by the size of
-the matrix (a model matrix is small and gets broadcast, one keyed per group is shuffled).
+behind it, and matrices can be multiplied first (``compose``). A model matrix and other dimensions are counted and
+broadcast (the planner does not know the size of a table made from rows, and would shuffle the pools to its few keys); a
+matrix keyed per group is joined as the planner likes. Pools dealt by their group are summed where they lie.
 
 Nothing disappears: a NULL value stays NULL in every pool it would have reached, carbon without
 a mapped destination or name is reported as ``UNMAPPED``, and a group without a spatial unit
@@ -20,8 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sylva.functions import formulas as fm
-from sylva.functions.columns import strict_sum
-from sylva.operators.reports import pools_long
+from sylva.functions.columns import broadcast_if_small, strict_sum
 
 #: Name of the flux, sink or class of carbon that a table has no name for.
 UNMAPPED = "unmapped"
@@ -55,7 +55,7 @@ def apply_transfers(long_pools: DataFrame, matrix: DataFrame, selector: str = "d
     carry = [c for c in carry if c != selector] + ([selector] if selector in carry else [])
     keys = [selector, *[c for c in by if c in matrix.columns and c != selector]]
     m = _matrix(matrix, keys, zero_self=True)
-    j = long_pools.join(m, [*keys, "pool"], "left")
+    j = long_pools.join(broadcast_if_small(m), [*keys, "pool"], "left")
     moved = j.select(*by, "row_idx", *carry, F.coalesce(F.col("sink"), F.col("pool")).alias("pool"),
                      (F.col("value") * F.coalesce(F.col("proportion"), F.lit(1.0))).alias("value"))
     return moved.groupBy(*by, "row_idx", *carry, "pool").agg(strict_sum("value").alias("value"))
@@ -73,7 +73,7 @@ def transfer_flux(long_pools: DataFrame, matrix: DataFrame, flux_map: DataFrame,
         F.min("flux").alias("flux"), F.count_distinct("flux").alias("__names"))
     fmap = fmap.select("pool", "sink", F.when(F.col("__names") > 1, F.raise_error(
         F.concat(F.lit("more than one flux name for "), "pool", F.lit(" to "), "sink"))).otherwise(F.col("flux")).alias("flux"))
-    moved = long_pools.join(m, [*keys, "pool"], "inner").join(fmap, ["pool", "sink"], "left")
+    moved = long_pools.join(broadcast_if_small(m), [*keys, "pool"], "inner").join(broadcast_if_small(fmap), ["pool", "sink"], "left")
     return (moved.groupBy(*by, "row_idx", F.coalesce("flux", F.lit(UNMAPPED)).alias("flux"))
             .agg(strict_sum(F.col("value") * F.col("proportion")).alias("value")))
 
@@ -102,23 +102,26 @@ def overmature_decline(pools: DataFrame, increments: DataFrame, turnover: DataFr
     pool without turnover rows sends its loss to the pool ``UNMAPPED``. Returns long pools."""
     by_p = _by(pools, by)
     inc_by = _by(increments, by_p)
-    inc = pools.select(*by_p, "row_idx").join(
-        increments.select(*inc_by, "row_idx", *[c for _, c in BIOMASS_INCREMENTS]), [*inc_by, "row_idx"], "inner")
-    amounts = inc.select(*by_p, "row_idx", *[
-        F.when(F.col(c) < 0, -F.col(c)).otherwise(F.lit(0.0)).alias(p) for p, c in BIOMASS_INCREMENTS])
-    losses = amounts.unpivot([*by_p, "row_idx"], [p for p, _ in BIOMASS_INCREMENTS], "source", "amount")
-    t = turnover.select("source", "sink", F.col("proportion").cast("double"))
-    share = F.coalesce("proportion", F.lit(1.0))
-    gains = losses.join(t, "source", "left").where(F.col("sink").isNotNull() | (F.col("amount") != 0)).select(
-        *by_p, "row_idx", F.coalesce("sink", F.lit(UNMAPPED)).alias("pool"), (F.col("amount") * share).alias("value"))
-    minus = losses.select(*by_p, "row_idx", F.col("source").alias("pool"), (-F.col("amount")).alias("value"))
+    # a group's losses, added up if it has several rows of increments, stand beside its pools: no second pass over the pools
+    amounts = increments.groupBy(*inc_by, "row_idx").agg(F.lit(True).alias("__grown"), *[
+        F.sum(F.when(F.col(c) < 0, -F.col(c)).otherwise(F.lit(0.0))).alias(f"__{c}") for _, c in BIOMASS_INCREMENTS])
     names = [c for c in pools.columns if c not in (*by_p, "row_idx")]
-    base = pools
-    for p, _ in BIOMASS_INCREMENTS:
-        if p not in names:
-            base = base.withColumn(p, F.lit(0.0))
-    lp = pools_long(base, None, by_p)
-    rows = lp.unionByName(gains).unionByName(minus)
+    base = pools.withColumns({p: F.lit(0.0) for p, _ in BIOMASS_INCREMENTS if p not in names})
+    j = base.join(amounts, [*inc_by, "row_idx"], "left")
+
+    def part(pool, value, source=None, amount=None) -> F.Column:
+        return F.struct(F.lit(pool).cast("string").alias("pool"), value.cast("double").alias("value"),
+                        F.lit(source).cast("string").alias("source"), (F.lit(None) if amount is None else amount).cast("double").alias("amount"))
+
+    kept = [part(c, F.col(c)) for c in base.columns if c not in (*by_p, "row_idx")]
+    lost = [part(p, -F.col(f"__{c}")) for p, c in BIOMASS_INCREMENTS]
+    leaving = [part(None, F.lit(None), p, F.col(f"__{c}")) for p, c in BIOMASS_INCREMENTS]
+    rows = j.select(*by_p, "row_idx", F.inline(F.when(F.col("__grown"), F.array(*kept, *lost, *leaving)).otherwise(F.array(*kept))))
+    t = turnover.select("source", "sink", F.col("proportion").cast("double"))
+    rows = rows.join(broadcast_if_small(t), "source", "left").where(F.col("source").isNull() | F.col("sink").isNotNull() | (F.col("amount") != 0))
+    stays = F.col("source").isNull()
+    rows = rows.select(*by_p, "row_idx", F.when(stays, F.col("pool")).otherwise(F.coalesce("sink", F.lit(UNMAPPED))).alias("pool"),
+                       F.when(stays, F.col("value")).otherwise(F.col("amount") * F.coalesce("proportion", F.lit(1.0))).alias("value"))
     return rows.groupBy(*by_p, "row_idx", "pool").agg(strict_sum("value").alias("value"))
 
 
@@ -142,9 +145,9 @@ def temp_modifiers(long_pools: DataFrame, group_units: DataFrame, units: DataFra
     by = _by(long_pools, by)
     dp = decay_params.select("pool", "base_rate", "ref_temp", "q10")
     mat = units.select("spatial_unit_id", "mean_annual_temperature")
-    j = (long_pools.join(dp, "pool", "inner")
+    j = (long_pools.join(broadcast_if_small(dp), "pool", "inner")
          .join(group_units.select("row_idx", "spatial_unit_id"), "row_idx", "left")
-         .join(mat, "spatial_unit_id", "left"))
+         .join(broadcast_if_small(mat), "spatial_unit_id", "left"))
     return j.withColumn("temp_mod", fm.temp_modifier("mean_annual_temperature", "ref_temp", "q10"))
 
 

@@ -81,8 +81,8 @@ def _group_types(df: DataFrame) -> DataFrame:
 
 
 def _state_increments(fx: Fixtures) -> DataFrame:
-    return gw.increments_at_age(fx.state.select("row_idx", "gcID", "age"), fx.increments).select(
-        "row_idx", *gw.INCREMENT_COLUMNS)
+    increments = gw.increments_at_age(fx.state.select("row_idx", "gcID", "age"), fx.increments)
+    return fx.dealt(increments.select("row_idx", *gw.INCREMENT_COLUMNS), "row_idx")
 
 
 def _units(fx: Fixtures) -> DataFrame:
@@ -192,9 +192,9 @@ def q_emissions_products_extra(spark, d):
 
 
 def _prepared(fx: Fixtures) -> an.PreparedGroups:
-    state = fx.state.join(_group_sites(fx), "row_idx", "left").drop("gcID")
+    state = materialize(fx.state.join(_group_sites(fx), "row_idx", "left").drop("gcID"), "state")  # read by every table
     inputs = an.Inputs(stands=fx.stand, cohorts=fx.cohort, gcmeta=fx.gcmeta, increments=fx.increments)
-    t = CarbonTables(key=_marked(fx), parameters=fx.state.select("row_idx"), state=state, pools=fx.pools, flux=fx.flux)
+    t = CarbonTables(key=_marked(fx), parameters=state.select("row_idx"), state=state, pools=fx.pools, flux=fx.flux)
     return an.prepare_groups(t, inputs, ["species"], Y)
 
 

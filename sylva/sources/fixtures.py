@@ -23,6 +23,9 @@ GROUP_ORDERS = 3
 GROUP_KINDS = 30
 #: The year (of 1 to 7) with NULL fluxes and pools.
 NULL_YEAR = 7
+#: Rows of the largest table that one task takes. The tables of cohorts and groups are dealt to as many tasks as that makes, so
+#: that a task's memory does not grow with the input; run-time coalescing would give all of them to one task per core.
+ROWS_PER_TASK = 250_000
 
 
 def group_of(order_key: str) -> F.Column:
@@ -39,6 +42,17 @@ class Fixtures:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @cached_property
+    def tasks(self) -> int | None:
+        """Tasks of the tables of cohorts and groups, from the row counts in the files' footers; None (as the planner likes) for
+        what a single task can take."""
+        n = -(-max(self.raw("lineitem").count(), self.raw("orders").count()) // ROWS_PER_TASK)
+        return max(n, self.spark.sparkContext.defaultParallelism) if n > 1 else None
+
+    def dealt(self, table: DataFrame, *columns: str) -> DataFrame:
+        """``table`` dealt by ``columns`` to ``tasks``. Two tables dealt by the columns they are joined on need no other shuffle."""
+        return table if self.tasks is None else table.repartition(self.tasks, *columns)
+
     def _values(self, rows, schema: str) -> DataFrame:
         return self.spark.createDataFrame(rows, schema)
 
@@ -159,16 +173,17 @@ class Fixtures:
             F.when(F.col("locale_id") == 1, F.col("n_name")).otherwise(F.lower("n_name")).alias("name"),
         )
 
+    @cached_property
+    def _key_rows(self) -> DataFrame:
+        """The key with a row per line."""
+        li = self.raw("lineitem").select((F.year("l_shipdate") - 1994).cast("int").alias("year"), F.col("l_orderkey").alias("cohortID"))
+        o = self.raw("orders").select(F.col("o_orderkey").alias("cohortID"), F.col("o_custkey").alias("pixelIndex"))
+        return self.dealt(li, "cohortID").join(self.dealt(o, "cohortID"), "cohortID").select(
+            "year", "cohortID", "pixelIndex", group_of("cohortID").alias("row_idx"))
+
     @cached_property
     def key(self) -> DataFrame:
-        li = self.raw("lineitem").select("l_orderkey", "l_shipdate")
-        o = self.raw("orders").select("o_orderkey", "o_custkey")
-        return li.join(o, li.l_orderkey == o.o_orderkey).select(
-            (F.year("l_shipdate") - 1994).cast("int").alias("year"),
-            F.col("l_orderkey").alias("cohortID"),
-            F.col("o_custkey").alias("pixelIndex"),
-            group_of("l_orderkey").alias("row_idx"),
-        ).distinct()
+        return self._key_rows.distinct()
 
     EMISSION_FLUX = ("DisturbanceBioCO2Emission", "DecayDOMCO2Emission", "DisturbanceDOMCO2Emission",
                      "DisturbanceBioCH4Emission", "DisturbanceDOMCH4Emission", "DisturbanceBioCOEmission",
@@ -178,7 +193,9 @@ class Fixtures:
 
     @cached_property
     def flux(self) -> DataFrame:
-        li = self.raw("lineitem")
+        li = self.raw("lineitem").select((F.year("l_shipdate") - 1994).cast("int").alias("year"), group_of("l_orderkey").alias("row_idx"),
+                                         "l_linenumber", "l_suppkey", "l_quantity")
+        li = self.dealt(li, "year", "row_idx")
         q = F.col("l_quantity")
         aggs = []
         for i, name in enumerate(self.EMISSION_FLUX):
@@ -187,15 +204,14 @@ class Fixtures:
         for i, name in enumerate(self.NPP_FLUX):
             aggs.append((F.sum(F.when(F.col("l_suppkey") % 7 == i, q).otherwise(F.lit(0.0))).cast("double")
                          / F.lit(64)).alias(name))
-        out = (li.groupBy((F.year("l_shipdate") - 1994).cast("int").alias("year"),
-                          group_of("l_orderkey").alias("row_idx")).agg(*aggs))
+        out = li.groupBy("year", "row_idx").agg(*aggs)
         unknown = (F.col("year") == NULL_YEAR) & (F.col("row_idx") % GROUP_KINDS == 11)
         first = self.EMISSION_FLUX[0]
         return out.withColumn(first, F.when(~unknown, F.col(first)))
 
     @cached_property
     def pools(self) -> DataFrame:
-        x = self.key.select("year", "row_idx").distinct()
+        x = self.dealt(self._key_rows.select("year", "row_idx"), "row_idx").distinct()
         r, y = F.col("row_idx") % GROUP_KINDS, F.col("year")
         return x.select(
             "year", "row_idx",
@@ -237,7 +253,7 @@ class Fixtures:
 
     @cached_property
     def state(self) -> DataFrame:
-        x = self.key.select("row_idx").distinct()
+        x = self.dealt(self._key_rows.select("row_idx"), "row_idx").distinct()
         r = F.col("row_idx") % GROUP_KINDS
         return x.select(
             "row_idx",
