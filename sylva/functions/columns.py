@@ -51,7 +51,17 @@ BROADCAST_ROWS = 20_000
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` (a dimension) with a broadcast hint if it has at most ``limit`` rows, which one bounded count
     tells; a larger one is joined as the planner likes."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    return F.broadcast(df) if is_small(df, limit) else df
+
+
+def is_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
+    return df.limit(limit + 1).count() <= limit
+
+
+def dealt(df: DataFrame, tasks: int | None, *columns: str) -> DataFrame:
+    """``df`` dealt by ``columns`` to ``tasks``; None leaves it to the planner, whose run-time coalescing gives a shuffle to one
+    task per core as long as it is not very large, so that a task's memory grows with the input."""
+    return df if tasks is None else df.repartition(tasks, *columns)
 
 
 def fill_or_add(df: DataFrame, col: str, default, dtype: str | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sylva.functions.columns import result_columns, strict_sum
+from sylva.functions.columns import dealt, result_columns, strict_sum
 from sylva.operators.heavy import split_join
 from sylva.session import materialize
 
@@ -176,22 +176,25 @@ def npp_by_year(key: DataFrame, flux: DataFrame, by: Sequence[str] = ("year",),
     return n.join(f, [*by, "row_idx"], "inner").groupBy(*by).agg(strict_sum(F.col("__n") * F.col("__npp")).alias("NPP"))
 
 
-def npp_by_stand(key: DataFrame, flux: DataFrame, by: Sequence[str] = ("year",), heavy: bool = False) -> DataFrame:
-    """Per stand and year, the summed NPP densities of its cohorts."""
+def npp_by_stand(key: DataFrame, flux: DataFrame, by: Sequence[str] = ("year",), heavy: bool = False,
+                 tasks: int | None = None) -> DataFrame:
+    """Per stand and year, the summed NPP densities of its cohorts. The cohorts are counted per stand and group first; those
+    counts are dealt by stand to ``tasks``, if they are given."""
     by = _by(key, by)
     n = key.groupBy(*by, "pixelIndex", "row_idx").agg(F.count(F.lit(1)).alias("__n"))
     f = flux.select(*by, "row_idx", _npp(flux).alias("__npp"))
-    return (_with_groups(n, f, [*by, "row_idx"], heavy).groupBy(*by, "pixelIndex")
-            .agg(strict_sum(F.col("__n") * F.col("__npp")).alias("NPP")))
+    found = _with_groups(n, f, [*by, "row_idx"], heavy).select(*by, "pixelIndex", (F.col("__n") * F.col("__npp")).alias("__npp"))
+    return dealt(found, tasks, *by, "pixelIndex").groupBy(*by, "pixelIndex").agg(strict_sum("__npp").alias("NPP"))
 
 
 def stock_pools(pools: DataFrame, by: Sequence[str] = ("year",)) -> list[str]:
     return [c for c in pools.columns if c not in (*by, "row_idx", *NON_STOCK_POOLS)]
 
 
-def total_carbon_by_stand(key: DataFrame, pools: DataFrame, by: Sequence[str] = ("year",), heavy: bool = False) -> DataFrame:
+def total_carbon_by_stand(key: DataFrame, pools: DataFrame, by: Sequence[str] = ("year",), heavy: bool = False,
+                          tasks: int | None = None) -> DataFrame:
     """Per stand and year the summed carbon densities (all pools except Input, Products
-    and atmosphere) of its cohorts. Our definition; the reference draws it elsewhere."""
+    and atmosphere) of its cohorts. Our definition; the reference draws it elsewhere. ``tasks`` as in ``npp_by_stand``."""
     by = _by(key, by)
     names = stock_pools(pools, by)
     total = None
@@ -199,8 +202,8 @@ def total_carbon_by_stand(key: DataFrame, pools: DataFrame, by: Sequence[str] =
         total = F.col(c) if total is None else total + F.col(c)
     n = key.groupBy(*by, "pixelIndex", "row_idx").agg(F.count(F.lit(1)).alias("__n"))
     p = pools.select(*by, "row_idx", total.alias("__c"))
-    return (_with_groups(n, p, [*by, "row_idx"], heavy).groupBy(*by, "pixelIndex")
-            .agg(strict_sum(F.col("__n") * F.col("__c")).alias("total_carbon")))
+    found = _with_groups(n, p, [*by, "row_idx"], heavy).select(*by, "pixelIndex", (F.col("__n") * F.col("__c")).alias("__c"))
+    return dealt(found, tasks, *by, "pixelIndex").groupBy(*by, "pixelIndex").agg(strict_sum("__c").alias("total_carbon"))
 
 
 def pools_long(pools: DataFrame, names: Sequence[str] | None = None, by: Sequence[str] = ("year",)) -> DataFrame:

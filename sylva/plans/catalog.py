@@ -322,7 +322,7 @@ def q_cohort_groups(spark, d):
 
 
 def q_group_census(spark, d):
-    return gr.group_census(Fixtures(spark, d).key, Y)
+    return gr.group_census(Fixtures(spark, d).group_key, Y)
 
 
 def q_split_disturbed(spark, d):
@@ -435,7 +435,7 @@ def q_cohort_flux(spark, d):
 
 def q_npp_by_year(spark, d):
     fx = Fixtures(spark, d)
-    return rp.npp_by_year(fx.key, fx.flux, Y)
+    return rp.npp_by_year(fx.group_key, fx.flux, Y)
 
 
 def q_npp_by_year_area(spark, d):
@@ -445,7 +445,7 @@ def q_npp_by_year_area(spark, d):
 
 def q_npp_by_stand(spark, d):
     fx = Fixtures(spark, d)
-    return rp.npp_by_stand(fx.key, fx.flux, Y)
+    return rp.npp_by_stand(fx.group_key, fx.flux, Y, tasks=fx.tasks)
 
 
 def q_pool_proportions(spark, d):
@@ -455,7 +455,7 @@ def q_pool_proportions(spark, d):
 
 def q_total_carbon_by_stand(spark, d):
     fx = Fixtures(spark, d)
-    return rp.total_carbon_by_stand(fx.key, fx.pools, Y)
+    return rp.total_carbon_by_stand(fx.group_key, fx.group_pools, Y, tasks=fx.tasks)
 
 
 def q_age_panel(spark, d):

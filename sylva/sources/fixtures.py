@@ -185,6 +185,11 @@ class Fixtures:
     def key(self) -> DataFrame:
         return self._key_rows.distinct()
 
+    @cached_property
+    def group_key(self) -> DataFrame:
+        """The key dealt by year and group, as flux is: what is counted by group or joined with the flux lies in one task."""
+        return self.dealt(self.key, "year", "row_idx")
+
     EMISSION_FLUX = ("DisturbanceBioCO2Emission", "DecayDOMCO2Emission", "DisturbanceDOMCO2Emission",
                      "DisturbanceBioCH4Emission", "DisturbanceDOMCH4Emission", "DisturbanceBioCOEmission",
                      "DisturbanceDOMCOEmission")
@@ -211,7 +216,15 @@ class Fixtures:
 
     @cached_property
     def pools(self) -> DataFrame:
-        x = self.dealt(self._key_rows.select("year", "row_idx"), "row_idx").distinct()
+        return self._pools("row_idx")
+
+    @cached_property
+    def group_pools(self) -> DataFrame:
+        """The pools dealt by year and group, as ``group_key`` is."""
+        return self._pools("year", "row_idx")
+
+    def _pools(self, *columns: str) -> DataFrame:
+        x = self.dealt(self._key_rows.select("year", "row_idx"), *columns).distinct()
         r, y = F.col("row_idx") % GROUP_KINDS, F.col("year")
         return x.select(
             "year", "row_idx",

@@ -4,8 +4,11 @@ import datetime as dt
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from sylva.operators import groups as gr
+from sylva.operators import growth as gw
+from sylva.operators import heavy
 from sylva.operators import reports as rp
 from sylva.operators import transfers as tr
 from sylva.sources import fixtures as fxm
@@ -84,3 +87,23 @@ def test_decline_with_repeated_missing_and_unknown_increments(spark):
         (2, "Merch"): 8.0, (2, "Foliage"): None, (2, "Other"): -1.0, (2, "StemSnags"): 0.0, (2, "Litter"): 1.0, (2, tr.UNMAPPED): 1.0,
         (3, "Merch"): 8.0, (3, "Foliage"): 1.0, (3, "Other"): 0.0,
         (None, "Merch"): 4.0, (None, "Foliage"): 1.0, (None, "Other"): 0.0}
+
+
+def _coalescible(df) -> list[str]:
+    """Columns of the shuffles that run-time coalescing may give to one task per core."""
+    return [x for x, origin in _shuffles(df) if origin != "REPARTITION_BY_NUM"]
+
+
+def test_sums_by_group_and_stand_have_tasks_by_rows(spark, folder, monkeypatch):
+    monkeypatch.setattr(fxm, "ROWS_PER_TASK", 50)
+    fx = fxm.Fixtures(spark, folder)
+    plain = fxm.Fixtures(spark, folder)
+    plain.tasks = None
+    rows = {}
+    for f in (fx, plain):
+        rows[f.tasks] = [gr.group_census(f.group_key, Y), rp.npp_by_year(f.group_key, f.flux, Y),
+                         rp.npp_by_stand(f.group_key, f.flux, Y, tasks=f.tasks), rp.total_carbon_by_stand(f.group_key, f.group_pools, Y, tasks=f.tasks)]
+    for many, few in zip(rows[fx.tasks], rows[None]):
+        assert _rows(many) == _rows(few) and _rows(few)
+        assert not [x for x in _coalescible(many) if re.search("row_idx|pixelIndex", x)], _plan(many)
+        assert [x for x in _coalescible(few) if re.search("row_idx|pixelIndex", x)]
