@@ -46,27 +46,33 @@ def cohorts_with_area(key: DataFrame, stands: DataFrame) -> DataFrame:
     return key.join(stand_areas(stands), "pixelIndex", "inner")
 
 
-def shared_areas(key: DataFrame, stands: DataFrame, by: Sequence[str] = ("year",)) -> DataFrame:
+def shared_areas(key: DataFrame, stands: DataFrame, by: Sequence[str] = ("year",), tasks: int | None = None) -> DataFrame:
     """Q5's other reading: the key with the ``area`` of its stand dealt evenly to the stand's cohorts (of the same
-    year), so that the areas of a stand's cohorts add up to the stand. The cohorts are counted per stand by a
-    partial aggregation and the share is worked out once per stand."""
+    year), so that the areas of a stand's cohorts add up to the stand. The key is shuffled once, by stand (to ``tasks`` if they
+    are given): the cohorts are counted and the area is joined where they lie. Rows without a year (``by``) have no area."""
     by = _by(key, by)
-    n = key.groupBy(*by, "pixelIndex").agg(F.count(F.lit(1)).alias("__n"))
-    share = n.join(stand_areas(stands), "pixelIndex", "inner").select(*by, "pixelIndex", (F.col("area") / F.col("__n")).alias("area"))
-    return key.drop("area").join(share, [*by, "pixelIndex"], "inner")
-
-
-def group_area(key: DataFrame, stands: DataFrame | None, by: Sequence[str] = ("year",), equal_split: bool = False) -> DataFrame:
+    columns = [*by, "pixelIndex", *[c for c in key.columns if c not in (*by, "pixelIndex", "area")]]
+    k = key.select(*columns)
+    for c in by:
+        k = k.where(F.col(c).isNotNull())
+    k = dealt(k.where(F.col("pixelIndex").isNotNull()), tasks, "pixelIndex")
+    k = k.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy("pixelIndex", *by)))
+    k = k.join(dealt(stand_areas(stands), tasks, "pixelIndex"), "pixelIndex", "inner")
+    return k.select(*columns, (F.col("area") / F.col("__n")).alias("area"))
+
+
+def group_area(key: DataFrame, stands: DataFrame | None, by: Sequence[str] = ("year",), equal_split: bool = False,
+               tasks: int | None = None) -> DataFrame:
     """Per group, sum of its cohorts' stand areas (each cohort counts its whole stand,
     Q5). Output (by..., row_idx, area_m2, area_ha); NULL if any area is NULL (Q1). A key
     that already carries the stand ``area`` (the yearly loop attaches it once) needs no
     join with the stands: the area is one partial aggregation of the key. With ``equal_split`` a
-    stand's area is dealt to its cohorts instead (``shared_areas``)."""
+    stand's area is dealt to its cohorts instead (``shared_areas``, by ``tasks``)."""
     by = _by(key, by)
     if equal_split:
         if stands is None:
             raise ValueError("an equal split needs the stands")
-        key = shared_areas(key, stands, by)
+        key = shared_areas(key, stands, by, tasks)
     src = key if "area" in key.columns else cohorts_with_area(key, stands)
     return (src.groupBy(*by, "row_idx")
             .agg(strict_sum("area").alias("area_m2"))

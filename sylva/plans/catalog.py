@@ -610,7 +610,7 @@ def q_slow_mixing_wide(spark, d):
 def q_group_area_shared(spark, d):
     """Q5: the area of a stand dealt to its cohorts. Shares are no binary fractions, so they are rounded."""
     fx = Fixtures(spark, d)
-    out = rp.group_area(fx.key, fx.stand, Y, equal_split=True)
+    out = rp.group_area(fx.key, fx.stand, Y, equal_split=True, tasks=fx.tasks)
     return out.select("year", "row_idx", F.round("area_m2", 3).alias("area_m2"), F.round("area_ha", 7).alias("area_ha"))
 
 

@@ -107,3 +107,19 @@ def test_sums_by_group_and_stand_have_tasks_by_rows(spark, folder, monkeypatch):
         assert _rows(many) == _rows(few) and _rows(few)
         assert not [x for x in _coalescible(many) if re.search("row_idx|pixelIndex", x)], _plan(many)
         assert [x for x in _coalescible(few) if re.search("row_idx|pixelIndex", x)]
+
+
+@pytest.mark.parametrize("tasks", [None, 9])
+def test_shared_areas_shuffle_the_key_once(spark, tasks):
+    """Stands that come twice, cohorts that come twice, unknown stands, years and areas."""
+    key = spark.createDataFrame([(1, 1, 1, 1), (1, 2, 1, 2), (1, 2, 1, 2), (2, 1, 1, 1), (None, 3, 1, 1), (1, 4, None, 2), (1, 5, 9, 2), (1, 6, 2, 3), (1, 7, 3, 3)],
+                                "year int, cohortID long, pixelIndex long, row_idx long")
+    stands = spark.createDataFrame([(1, 900.0), (1, 300.0), (2, None), (3, 600.0), (None, 100.0)], "pixelIndex long, area double")
+    out = rp.shared_areas(key, stands, Y, tasks)
+    assert out.columns == ["year", "pixelIndex", "cohortID", "row_idx", "area"]
+    assert _rows(out.select("year", "cohortID", "row_idx", "area")) == sorted(
+        f"Row(year={y}, cohortID={c}, row_idx={g}, area={a})" for y, c, g, a in (
+            (1, 1, 1, 300.0), (1, 1, 1, 100.0), (1, 2, 2, 300.0), (1, 2, 2, 100.0), (1, 2, 2, 300.0), (1, 2, 2, 100.0),
+            (2, 1, 1, 900.0), (2, 1, 1, 300.0), (1, 6, 3, None), (1, 7, 3, 600.0)))
+    if tasks:
+        assert _shuffles(out) == [(f"hashpartitioning(pixelIndex, {tasks})", "REPARTITION_BY_NUM")] * 2
