@@ -12,11 +12,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sylva.functions.columns import null_safe_join
+from sylva.functions.columns import dealt, null_safe_join
 from sylva.session import materialize
 
 #: Parts of a task's even share that one key may fill before it counts as heavy.
 PER_TASK = 4
+#: Rows of the big side that a task of a split join takes: larger tables are dealt to more tasks than the session's shuffles have.
+ROWS_PER_TASK = 250_000
+#: Buckets of keys per key that may be heavy.
+BUCKETS = 16
 
 
 def key_counts(big: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -33,16 +37,29 @@ def partitions_of(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def heavy_keys(big: DataFrame, keys: Sequence[str], limit: int, buckets: int) -> DataFrame:
+    """The keys with ``limit`` rows or more. Rows are counted by bucket of keys first: a heavy key lies in a bucket that reaches the
+    limit, and only the keys of such buckets are counted one by one. Neither count holds a row per key of the table."""
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+    rows = big.select(*keys, bucket.alias("__bucket"))
+    full = rows.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= limit).select("__bucket")
+    counts = key_counts(rows.join(F.broadcast(full), "__bucket", "left_semi"), keys)
+    return counts.where(F.col("__n") >= limit).select(*keys)
+
+
 def split_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """``big`` joined on ``keys`` with ``small``, which has one row per key. ``how`` is inner or left. Both halves read
     ``big``, which should be a stored table. A NULL key matches nothing; with ``left`` such rows stay where they lie."""
     if how not in ("inner", "left"):
         raise ValueError(f"a split join is inner or left, not {how}")
     keys = list(keys)
-    counts = materialize(key_counts(big.dropna(subset=keys), keys), "key-counts")
-    total = counts.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
+    known = big.dropna(subset=keys)
+    total = known.count()
+    tasks = -(-total // ROWS_PER_TASK)
+    partitions = max(tasks, partitions_of(big))
     # fewer than PER_TASK x partitions keys reach the limit, so this table is bounded
-    heavy = counts.where(F.col("__n") >= heavy_limit(total, partitions_of(big))).select(*keys)
+    heavy = materialize(heavy_keys(known, keys, heavy_limit(total, partitions), BUCKETS * PER_TASK * partitions), "heavy-keys")
+    tasks = partitions if tasks > 1 else None
     tagged = big.join(F.broadcast(heavy.withColumn("__heavy", F.lit(True))), keys, "left")
     stays = F.col("__heavy").isNotNull()
     if how == "left":
@@ -50,7 +67,7 @@ def split_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str =
             stays = stays | F.col(k).isNull()
     few = F.broadcast(small.join(F.broadcast(heavy), keys, "left_semi"))
     here = tagged.where(stays).drop("__heavy").join(few, keys, how)
-    rest = tagged.where(~stays).drop("__heavy").join(small, keys, how)
+    rest = dealt(tagged.where(~stays).drop("__heavy"), tasks, *keys).join(dealt(small, tasks, *keys), keys, how)
     return here.unionByName(rest)
 
 

@@ -652,12 +652,12 @@ def q_cohort_flux_hot(spark, d):
 
 def q_npp_by_stand_hot(spark, d):
     fx = Fixtures(spark, d)
-    return rp.npp_by_stand(fx.hot_key, fx.hot_flux, Y, heavy=True)
+    return rp.npp_by_stand(fx.dealt(fx.hot_key, "year", "pixelIndex"), fx.hot_flux, Y, heavy=True, tasks=fx.tasks)
 
 
 def q_total_carbon_by_stand_hot(spark, d):
     fx = Fixtures(spark, d)
-    return rp.total_carbon_by_stand(fx.hot_key, fx.hot_pools, Y, heavy=True)
+    return rp.total_carbon_by_stand(fx.dealt(fx.hot_key, "year", "pixelIndex"), fx.hot_pools, Y, heavy=True, tasks=fx.tasks)
 
 
 def q_run_warnings(spark, d):

@@ -123,3 +123,25 @@ def test_shared_areas_shuffle_the_key_once(spark, tasks):
             (2, 1, 1, 900.0), (2, 1, 1, 300.0), (1, 6, 3, None), (1, 7, 3, 600.0)))
     if tasks:
         assert _shuffles(out) == [(f"hashpartitioning(pixelIndex, {tasks})", "REPARTITION_BY_NUM")] * 2
+
+
+def test_split_join_is_dealt_by_its_rows(spark, monkeypatch):
+    big = spark.range(4000).select(F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 100 != 1, F.col("id")).alias("k"), F.col("id").alias("t"))
+    small = spark.range(0, 4000, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    monkeypatch.setattr(heavy, "ROWS_PER_TASK", 100)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for how in ("inner", "left"):
+            out = heavy.split_join(big, small, ["k"], how)
+            assert _rows(out) == _rows(big.join(small, "k", how))
+            assert ("hashpartitioning(k, 40)", "REPARTITION_BY_NUM") in _shuffles(out)
+            assert not [x for x in _coalescible(out) if "k," in x], _plan(out)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_heavy_keys_are_those_that_reach_the_limit(spark):
+    table = spark.range(3000).select((F.col("id") % 2).cast("int").alias("a"), F.expr("cast(sqrt(id) as int)").alias("b"))
+    for limit, buckets in ((1, 4), (40, 4), (40, 4096), (55, 64), (10_000, 64)):
+        exact = heavy.key_counts(table, ["a", "b"]).where(F.col("__n") >= limit).select("a", "b")
+        assert _rows(heavy.heavy_keys(table, ["a", "b"], limit, buckets)) == _rows(exact)
