@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sylva.functions.columns import clamp_to, null_safe_join, unique_rows
+from sylva.functions.columns import clamp_to, is_small, null_safe_join, unique_rows
 from sylva.operators.attributes import with_site
 from sylva.sources.schema import ID_COLUMNS, require_columns, shared_classifiers
 
@@ -59,16 +59,18 @@ def annual_increments(state: DataFrame, gcmeta: DataFrame, increments: DataFrame
     keys = list(dict.fromkeys(["admin_name", "eco_id", *classifiers]))
     meta = unique_rows(gcmeta.select(*keys, *([] if "gcID" in keys else ["gcID"])), "growth curve metadata", keys)
     s = state.drop("gcID") if "gcID" in state.columns and "gcID" not in keys else state
-    s = null_safe_join(s, meta, keys, "inner")
+    # curves are a dimension: joined where the state lies, not shuffled to the curves' few keys
+    s = null_safe_join(s, F.broadcast(meta) if is_small(gcmeta) else meta, keys, "inner")
     return increments_at_age(s, increments, age_col)
 
 
 def increments_at_age(df: DataFrame, increments: DataFrame, age_col: str = "age") -> DataFrame:
-    """The clamped (gcID, age) lookup of C10 for rows that already carry gcID."""
+    """The clamped (gcID, age) lookup of C10 for rows that already carry gcID. Increments that are small are broadcast."""
+    hinted = F.broadcast if is_small(increments) else (lambda table: table)
     mx = last_increment(increments).select("gcID", "max_age")
-    s = df.join(mx, "gcID", "left").withColumn("__lookup", clamp_to(F.col(age_col), F.col("max_age")))
+    s = df.join(hinted(mx), "gcID", "left").withColumn("__lookup", clamp_to(F.col(age_col), F.col("max_age")))
     inc = increments.select("gcID", F.col("age").alias("__lookup"), *INCREMENT_COLUMNS)
-    return s.join(inc, ["gcID", "__lookup"], "left").drop("__lookup", "max_age")
+    return s.join(hinted(inc), ["gcID", "__lookup"], "left").drop("__lookup", "max_age")
 
 
 def extend_curves(increments: DataFrame, max_age: int | DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sylva.functions.columns import choose_column, fill_or_add
+from sylva.functions.columns import choose_column, fill_or_add, is_small
 from sylva.operators import attributes as at
 from sylva.operators import events as ev
 from sylva.operators import groups as gr
@@ -203,7 +203,7 @@ def _group_sites(fx: Fixtures) -> DataFrame:
     curves = fx.gcmeta.withColumn("k", F.row_number().over(Window.orderBy("gcID")) - 1)  # a dimension
     n = fx.gcmeta.count()
     return fx.state.select("row_idx").withColumn("k", F.col("row_idx") % GROUP_KINDS % n).join(
-        curves, "k", "left").select("row_idx", "admin_name", "eco_id", "species")
+        F.broadcast(curves) if is_small(fx.gcmeta) else curves, "k", "left").select("row_idx", "admin_name", "eco_id", "species")
 
 
 def q_prepare_groups_key(spark, d):

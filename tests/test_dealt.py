@@ -145,3 +145,18 @@ def test_heavy_keys_are_those_that_reach_the_limit(spark):
     for limit, buckets in ((1, 4), (40, 4), (40, 4096), (55, 64), (10_000, 64)):
         exact = heavy.key_counts(table, ["a", "b"]).where(F.col("__n") >= limit).select("a", "b")
         assert _rows(heavy.heavy_keys(table, ["a", "b"], limit, buckets)) == _rows(exact)
+
+
+def test_curves_are_joined_where_the_state_lies(spark):
+    meta = spark.createDataFrame([(1, "x", 1, "s"), (2, "y", None, "s")], "gcID int, admin_name string, eco_id int, species string")
+    inc = spark.createDataFrame([(1, 1, 1.0, 2.0, 3.0), (1, 2, 4.0, 5.0, 6.0), (2, 1, 7.0, None, 9.0)],
+                                "gcID int, age int, merch_inc double, foliage_inc double, other_inc double")
+    state = spark.createDataFrame([(1, "x", 1, "s", 9), (2, "y", None, "s", 1), (3, "z", 1, "s", 1), (4, "x", 1, "s", None), (5, "x", 1, "s", 0)],
+                                  "row_idx long, admin_name string, eco_id int, species string, age int").repartition(7, "row_idx")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = gw.annual_increments(state, meta, inc, ["species"])
+        assert "SortMergeJoin" not in _plan(out)
+        assert {r["row_idx"]: (r["merch_inc"], r["foliage_inc"]) for r in out.collect()} == {1: (4.0, 5.0), 2: (7.0, None), 4: (None, None), 5: (None, None)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
