@@ -11,6 +11,7 @@ from sylva.operators import growth as gw
 from sylva.operators import heavy
 from sylva.operators import reports as rp
 from sylva.operators import transfers as tr
+from sylva.plans.catalog import QUERIES
 from sylva.sources import fixtures as fxm
 
 Y = ("year",)
@@ -160,3 +161,25 @@ def test_curves_are_joined_where_the_state_lies(spark):
         assert {r["row_idx"]: (r["merch_inc"], r["foliage_inc"]) for r in out.collect()} == {1: (4.0, 5.0), 2: (7.0, None), 4: (None, None), 5: (None, None)}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _whole_query(spark, folder, monkeypatch, name):
+    """A registered query has the same rows however its tables are dealt, and no shuffle of cohorts, groups or pools whose number
+    of tasks run-time coalescing may lower."""
+    spark.createDataFrame([(n, f"N{n}", n % 3) for n in range(8)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{folder}/nation.parquet")
+    rows = {}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for limit in (10_000, 50):
+            monkeypatch.setattr(fxm, "ROWS_PER_TASK", limit)
+            rows[limit] = _rows(QUERIES[name](spark, folder))
+        out = QUERIES[name](spark, folder)
+        assert rows[50] == rows[10_000] and rows[50]
+        assert not [x for x in _coalescible(out) if re.search("row_idx|cohortID|pool|disturbance_type_id|spatial_unit_id", x)], _plan(out)
+        assert ("hashpartitioning(row_idx, 40)", "REPARTITION_BY_NUM") in _shuffles(out)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_temp_modifier_has_tasks_by_rows(spark, folder, monkeypatch):
+    _whole_query(spark, folder, monkeypatch, "temp_modifier")
