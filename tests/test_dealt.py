@@ -183,3 +183,7 @@ def _whole_query(spark, folder, monkeypatch, name):
 
 def test_temp_modifier_has_tasks_by_rows(spark, folder, monkeypatch):
     _whole_query(spark, folder, monkeypatch, "temp_modifier")
+
+
+def test_transfer_flux_has_tasks_by_rows(spark, folder, monkeypatch):
+    _whole_query(spark, folder, monkeypatch, "transfer_flux")
