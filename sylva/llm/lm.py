@@ -11,9 +11,10 @@ table cut into shards; a shard is one binary file of Elias-Fano sequences and co
   its count.
 
 Training is a Spark job per level: tasks walk the training texts through the levels that exist and
-count the n-grams whose context is an entry; counts are summed by a shuffle, entries under the
-minimum dropped (an n-gram cannot be frequent unless its parts are, so nothing is lost by looking
-under frequent contexts only), and the range-sorted rest written by one task per shard.
+count the n-grams whose context is an entry; counts are summed by a shuffle (of one number for
+context and token, where 63 bits hold both), entries under the minimum dropped (an n-gram cannot be
+frequent unless its parts are, so nothing is lost by looking under frequent contexts only), and the
+range-sorted rest written by one task per shard.
 
 Smoothing is interpolated absolute discounting: an entry has (count - discount) / count of its
 context, plus the context's freed mass times the probability of the shorter context; a context
@@ -33,9 +34,12 @@ import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -43,7 +47,7 @@ from pyspark.sql import functions as F
 
 from sylva.session import shared_dir
 
-from .common import SPACE, ascii_lower, chunks, crc_of_id, map_texts, read, stored
+from .common import chunks, crc_of_id, map_texts, read, stored
 
 ORDER = 2
 #: Least count of an n-gram of each order that becomes an entry; tokens and bigrams all do.
@@ -55,6 +59,8 @@ SHARD_ENTRIES = 2_000_000
 RUN_CHARS = 4_000_000
 #: N-grams that a task gathers before it counts the equal ones and passes them on.
 RUN_GRAMS = 3_000_000
+#: Parent and token share one number if all such pairs are below it.
+PACKED = 1 << 63
 #: Quantised log10: steps of 1/QUANTA below 0.
 QUANTA = 4096.0
 #: The end token; no word has white space.
@@ -114,6 +120,19 @@ class EliasFano:
             at += shift
         return at + _IN_BYTE[((bits & np.uint64(255)).astype(np.int64) << 3) + left]
 
+    def _next(self, begin: np.ndarray, ranks: np.ndarray, before: np.ndarray, flip: bool) -> np.ndarray:
+        """Places of the ones (zeros) of the given ranks, which are the first not below ``begin``."""
+        word = begin >> 6
+        bits = (~self.high[word] if flip else self.high[word]) & (_ALL << (begin & 63).astype(np.uint64))
+        todo = np.flatnonzero(bits == 0)
+        for _ in range(3):
+            word[todo] += 1
+            bits[todo] = ~self.high[word[todo]] if flip else self.high[word[todo]]
+            todo = todo[bits[todo] == 0]
+        place = (word << 6) + np.bitwise_count((bits & (~bits + _ONE)) - _ONE)
+        place[todo] = self._select(ranks[todo], before, flip)  # a long way off
+        return place
+
     def at(self, i: np.ndarray) -> np.ndarray:
         """Values at the places ``i``."""
         place = self._select(i, self.ones, False)
@@ -122,16 +141,7 @@ class EliasFano:
     def at_and_next(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Values at the places ``i`` and behind them; the places behind must exist."""
         place = self._select(i, self.ones, False)
-        behind = place + 1
-        word = behind >> 6
-        bits = self.high[word] & (_ALL << (behind & 63).astype(np.uint64))
-        todo = np.flatnonzero(bits == 0)
-        for _ in range(3):
-            word[todo] += 1
-            bits[todo] = self.high[word[todo]]
-            todo = todo[bits[todo] == 0]
-        behind = (word << 6) + np.bitwise_count((bits & (~bits + _ONE)) - _ONE)
-        behind[todo] = self._select(i[todo] + 1, self.ones, False)  # a long way off
+        behind = self._next(place + 1, i + 1, self.ones, False)
         value = [((p - j).astype(np.uint64) << np.uint64(self.low_bits)) | _unpack(self.low, j, self.low_bits)
                  for p, j in ((place, i), (behind, i + 1))]
         return value[0], value[1]
@@ -146,19 +156,18 @@ class EliasFano:
             return place, same
         up, low = upper[inside], targets[inside] & np.uint64((1 << self.low_bits) - 1)
         # the zero of rank u ends the bucket of the values with upper bits u
-        begin = np.where(up > 0, self._select(np.maximum(up - 1, 0), self.zeros, True) + 1 - up, 0)
-        end = self._select(up, self.zeros, True) - up
-        lo, hi = begin, end.copy()
+        opens = np.where(up > 0, self._select(np.maximum(up - 1, 0), self.zeros, True) + 1, 0)
+        lo, hi = opens - up, self._next(opens, up, self.zeros, True) - up
         todo = np.flatnonzero(lo < hi)
         while len(todo):
             mid = (lo[todo] + hi[todo]) >> 1
-            less = _unpack(self.low, mid, self.low_bits) < low[todo]
+            here = _unpack(self.low, mid, self.low_bits)
+            same[inside[todo[here == low[todo]]]] = True
+            less = here < low[todo]
             lo[todo] = np.where(less, mid + 1, lo[todo])
             hi[todo] = np.where(less, hi[todo], mid)
             todo = todo[lo[todo] < hi[todo]]
         place[inside] = lo
-        held = np.flatnonzero(lo < end)
-        same[inside[held]] = _unpack(self.low, lo[held], self.low_bits) == low[held]
         return place, same
 
     def arrays(self) -> list[np.ndarray]:
@@ -420,31 +429,20 @@ def starts(ordered: np.ndarray) -> np.ndarray:
     return np.concatenate((np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1]))
 
 
-class _Words(dict):
-    """Numbers words in the order in which they come."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        return n
-
-
 def text_tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hashes of the distinct tokens, which of them each token is, its text, whether it opens a
     text): an end token stands before and after the words of each text."""
-    known, out, sizes = _Words(), [], []
-    number = known.__getitem__
-    end = number(END.encode())
-    for t in texts:
-        words = (t or "").encode().lower().split()
-        out.append(end)
-        out.extend(map(number, words))
-        out.append(end)
-        sizes.append(len(words) + 2)
-    digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(w, SEED) for w in known], dtype=np.uint64)
-    opens = np.zeros(len(out), dtype=bool)
-    opens[np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64)[: len(sizes)]] = True
-    return hashes, np.array(out, dtype=np.int64), np.repeat(np.arange(len(texts)), sizes), opens
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.large_string()).fill_null("")))
+    words, of = split.flatten(), np.repeat(np.arange(len(texts)), split.value_lengths())
+    full = pc.not_equal(words, "")  # white space at either end of a text leaves an empty word there
+    coded, of = words.filter(full).dictionary_encode(), of[full.to_numpy(zero_copy_only=False)]
+    distinct = (END.encode(), *coded.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False))
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, distinct, repeat(SEED)), np.uint64, len(distinct))
+    sizes = np.bincount(of, minlength=len(texts)) + 2
+    which, opens = np.zeros(sizes.sum(), dtype=np.int64), np.zeros(sizes.sum(), dtype=bool)
+    which[np.arange(len(of)) + 2 * of + 1] = coded.indices.to_numpy().astype(np.int64) + 1
+    opens[np.cumsum(sizes) - sizes] = True
+    return hashes, which, np.repeat(np.arange(len(texts)), sizes), opens
 
 
 # --- training ---------------------------------------------------------------------------------
@@ -479,10 +477,8 @@ def train(texts: DataFrame, order: int = ORDER, min_count: tuple[int, ...] = MIN
     folder = shared_dir(spark, "ngram-trie")
     texts = texts.select(F.coalesce("text", F.lit("")).alias("text"))
 
-    # level 1: every token; the JVM's hash of a string is the same XXH64 with seed 42
-    bag = F.array_remove(F.split(ascii_lower(F.col("text")), SPACE), "")
-    words = texts.select(F.explode(F.concat(bag, F.array(F.lit(END)))).alias("w"))
-    counted = stored(words.groupBy(F.xxhash64("w").alias("h")).agg(F.count("*").alias("count")), "ngrams-1")
+    # level 1: every token
+    counted = stored(texts.mapInArrow(_token_counts, "h long, count long").groupBy("h").agg(F.sum("count").alias("count")), "ngrams-1")
     n, total = counted.agg(F.count("*"), F.coalesce(F.sum("count"), F.lit(0))).first()
     # signed order is unsigned order with the top bit turned
     unsigned = F.col("h").bitwiseXOR(F.lit(-(1 << 63)))
@@ -497,8 +493,11 @@ def train(texts: DataFrame, order: int = ORDER, min_count: tuple[int, ...] = MIN
     for level in range(2, order + 1):
         below = spark.sparkContext.broadcast(about)
         least = min_count[min(level, len(min_count)) - 1]
+        # parent and token are one number where it has room for both: such rows are grouped and sorted faster
+        width = about.distinct if sum(entries for *_, entries in about.levels[-1]) * about.distinct < PACKED else 0
 
-        def counts(batches: Iterator[pa.RecordBatch], level: int = level, below=below, least: int = least) -> Iterator[pa.RecordBatch]:
+        def counts(batches: Iterator[pa.RecordBatch], level: int = level, below=below, least: int = least,
+                   counted=partial(_packed, width=width) if width else _counted) -> Iterator[pa.RecordBatch]:
             trie = opened(below.value)
             held, n = [], 0
             for batch in batches:
@@ -506,26 +505,29 @@ def train(texts: DataFrame, order: int = ORDER, min_count: tuple[int, ...] = MIN
                     held.append(_new_grams(trie, part, level, least))
                     n += len(held[-1][0])
                     if n >= RUN_GRAMS:
-                        yield _counted(held)
+                        yield counted(held)
                         held, n = [], 0
             if n:
-                yield _counted(held)
+                yield counted(held)
 
         # on level 2 the n-gram without its first token is the token
         more = [F.max("lower").alias("lower")] if level > 2 else []
-        grams = texts.mapInArrow(counts, "parent long, token long, " + "lower long, " * (level > 2) + "count long")
-        kept = stored(grams.groupBy("parent", "token").agg(F.sum("count").alias("count"), *more)
+        key = ["gram"] if width else ["parent", "token"]
+        grams = texts.mapInArrow(counts, "".join(f"{c} long, " for c in [*key, *["lower"] * (level > 2)]) + "count long")
+        # the runs of a task are counted: grouped once more before the shuffle they hardly shrink, so they are dealt first
+        kept = stored(grams.repartition(*key).groupBy(*key).agg(F.sum("count").alias("count"), *more)
                       .where(F.col("count") >= least), f"ngrams-{level}")
         n = kept.count()
         if not n:
             about.levels.append([])
             break
         # all entries of a context come to one task, which adds up the mass that they hold
-        rows = kept.repartitionByRange(_shards(n), "parent").sortWithinPartitions("parent", "token")
+        rows = kept.repartitionByRange(_shards(n), F.expr(f"gram div {width}L") if width else "parent").sortWithinPartitions(*key)
 
-        def encode(c: dict, level: int = level, below=below) -> tuple:
+        def encode(c: dict, level: int = level, below=below, width: int = width) -> tuple:
             trie = opened(below.value)
-            parent, token, count = c["parent"], c["token"], c["count"]
+            parent, token = np.divmod(c["gram"], width) if width else (c["parent"], c["token"])
+            count = c["count"]
             of_context = trie.counts(level - 1, parent).astype(float)
             begins = np.flatnonzero(np.concatenate(([True], parent[1:] != parent[:-1])))
             held = np.repeat(np.add.reduceat(count - discount, begins), np.diff(np.append(begins, len(parent))))
@@ -542,6 +544,15 @@ def train(texts: DataFrame, order: int = ORDER, min_count: tuple[int, ...] = MIN
     return about
 
 
+def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hashes of the distinct tokens of each run of texts with their counts."""
+    for batch in batches:
+        for part in chunks(batch.column(0), RUN_CHARS):
+            distinct, which, _, opens = text_tokens(part)
+            count = np.bincount(which[~opens], minlength=len(distinct))
+            yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(count.astype(np.int64))], names=["h", "count"])
+
+
 def _new_grams(trie: Trie, texts: list[str | None], level: int, least: int) -> tuple[np.ndarray, ...]:
     """(parent, token[, lower]) of the n-grams of ``level`` whose context, and whose end without its
     first token, are entries frequent enough; lower is the entry of that end."""
@@ -560,12 +571,8 @@ def _counted(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
     parent, token, *lower = (np.concatenate(x) for x in zip(*held, strict=True))
     width = int(token.max()) + 1
     if not lower and (int(parent.max()) + 1) * width < 1 << 63:
-        # parent and token are one number, which says all: sorted by itself, without the places it came from
-        gram = np.sort(parent * width + token)
-        first = np.flatnonzero(starts(gram))
-        parent, token = np.divmod(gram[first], width)
-        n = np.diff(np.append(first, len(gram)))
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (parent, token, n.astype(np.int64))], names=["parent", "token", "count"])
+        gram, n = _packed(held, width).columns
+        return pa.RecordBatch.from_arrays([*(pa.array(x) for x in np.divmod(gram.to_numpy(), width)), n], names=["parent", "token", "count"])
     # one number for parent and token, among those of these runs
     p = np.unique(parent, return_inverse=True)[1]
     _, first, n = np.unique(p * width + token, return_index=True, return_counts=True)
@@ -573,6 +580,20 @@ def _counted(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
                                       names=["parent", "token", *["lower"] * len(lower), "count"])
 
 
+def _packed(held: list[tuple[np.ndarray, ...]], width: int) -> pa.RecordBatch:
+    """As ``_counted``, with parent * width + token for the two, which must fit 63 bits."""
+    gram = np.concatenate([parent * width + token for parent, token, *_ in held])
+    if len(held[0]) == 2:
+        # the number says all: sorted by itself, without the places it came from
+        gram.sort()
+        first, lower = np.flatnonzero(starts(gram)), []
+        n = np.diff(np.append(first, len(gram)))
+    else:
+        _, first, n = np.unique(gram, return_index=True, return_counts=True)
+        lower = [np.concatenate([x[2] for x in held])[first]]
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (gram[first], *lower, n.astype(np.int64))], names=["gram", *["lower"] * len(lower), "count"])
+
+
 _OPEN: dict[str, Trie] = {}
 
 

@@ -137,3 +137,51 @@ def test_ngrams_of_several_runs_are_counted_alike_with_numbers_of_any_size():
         assert found == plain
     assert lm.starts(np.array([], dtype=np.int64)).tolist() == []
     assert lm.starts(np.array([2, 2, 3])).tolist() == [True, False, True]
+
+
+def test_tokens_are_those_of_plain_python():
+    rng = random.Random(3)
+    letters = " \t\n\x0b\x0c\r\x00\x1c\x85\xa0\u2003aAbBzZÉéİǅ😀0.,"
+    for size in range(60):
+        texts = [None if rng.random() < 0.1 else "".join(rng.choices(letters, k=rng.randint(0, 40))) for _ in range(size % 12)]
+        plain = [[b" ", *(t or "").encode().lower().split(), b" "] for t in texts]
+        hashes, which, owner, opens = lm.text_tokens(texts)
+        assert hashes[which].tolist() == [lm.xxhash.xxh64_intdigest(w, lm.SEED) for words in plain for w in words]
+        assert len(set(hashes.tolist())) == len(hashes) and hashes[0] == lm.xxhash.xxh64_intdigest(b" ", lm.SEED)
+        assert owner.tolist() == [i for i, words in enumerate(plain) for _ in words]
+        assert opens.tolist() == [j == 0 for words in plain for j in range(len(words))]
+
+
+@pytest.mark.parametrize("packed", [lm.PACKED, 0])
+@pytest.mark.parametrize("order, least", [(2, (1, 1)), (3, (1, 2, 2))])
+def test_ngrams_are_grouped_by_one_number_where_it_has_room(spark, documents, corpus, monkeypatch, order, least, packed):
+    tables, stored = {}, lm.stored
+    monkeypatch.setattr(lm, "PACKED", packed)
+    monkeypatch.setattr(lm, "SHARD_ENTRIES", 300)
+    monkeypatch.setattr(lm, "stored", lambda df, name: tables.setdefault(name, stored(df, name)))
+    about = lm.train(documents(list(enumerate(corpus))), order, least)
+    key = ["gram"] if packed else ["parent", "token"]
+    slow = Slow(corpus, order, least)
+    assert {r["h"] % (1 << 64): r["count"] for r in tables["ngrams-1"].collect()} == {
+        lm.xxhash.xxh64_intdigest(w or lm.END, lm.SEED): n for (w,), n in slow.counts[1].items()}
+    for level in range(2, order + 1):
+        assert [c for c in tables[f"ngrams-{level}"].columns if c not in ("lower", "count")] == key
+        assert sorted(r["count"] for r in tables[f"ngrams-{level}"].collect()) == sorted(slow.counts[level].values())
+        shards = about.levels[level - 1]
+        assert len(shards) > 1 and len({first for *_, first, _ in shards}) == len(shards)
+    asked = corpus[:20]
+    got = {r["doc_id"]: r for r in lm.score(documents(list(enumerate(asked))), about).collect()}
+    for i, t in enumerate(asked):
+        n, known, base, full = slow.score(t)
+        assert (got[i]["n_tokens"], got[i]["n_known"]) == (n, known)
+        assert got[i]["base_score"] == pytest.approx(base) and got[i]["score"] == pytest.approx(full, abs=n * order / lm.QUANTA + 1e-9)
+
+
+def test_packed_runs_are_counted_as_pairs_are():
+    rng = np.random.default_rng(6)
+    held = [(rng.integers(0, 40, 500), rng.integers(0, 30, 500)) for _ in range(3)]
+    threes = [(parent, token, parent * 7 + token % 7) for parent, token in held]
+    for runs in (held, threes):
+        pairs, one = lm._counted(runs).to_pydict(), lm._packed(runs, 30).to_pydict()
+        assert one.pop("gram") == [a * 30 + b for a, b in zip(pairs.pop("parent"), pairs.pop("token"), strict=True)]
+        assert one == pairs
